@@ -68,9 +68,9 @@ class MergeFold:
                 if a is not None and b is not None:
                     key = a * 65536 + b
                     buckets[key % (BUCKETS - 1)][key] = rank
-        # One foldable expression, so the optimiser turns it into a literal.
-        self.buckets = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>").cast("array<map<bigint,int>>")
-        self.signs = F.split(F.lit("".join(chr(FIRST_SIGN + i) for i in range(len(ranks)))), "")
+        # Foldable expressions, so the optimiser turns each into one literal; lambda variables stand for them below.
+        self._literals = (F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>").cast("array<map<bigint,int>>"),
+                          F.split(F.lit("".join(chr(FIRST_SIGN + i) for i in range(len(ranks)))), ""))
 
     def rank(self, a: Column, b: Column) -> Column:
         return _let(a.cast("bigint") * 65536 + b, lambda key: F.try_element_at(F.get(self.buckets, F.pmod(key, F.lit(BUCKETS - 1)).cast("int")), key))
@@ -99,10 +99,18 @@ class MergeFold:
         least = lambda x: F.coalesce(F.when(F.size(x) < 2, None).otherwise(F.array_min(self._pairs(x))), F.lit(1 << 30))
         return _let(whole, lambda x: F.when((least(x) > m) & (F.coalesce(self.rank(m, a), F.lit(1 << 30)) > m), x).otherwise(self._one(ids, m, p)))
 
-    def encode(self, word: Column) -> Column:
-        """``word``: array of the ids of its bytes."""
+    def _encode(self, word: Column) -> Column:
         return F.when(F.size(word) < 2, word).when(F.size(word) <= LONG, self._fold(word, self._one)).otherwise(self._fold(word, self._all))
 
+    def encode(self, words: Column) -> Column:
+        """``words``: array of words, each an array of the ids of its bytes."""
+
+        def with_literals(buckets: Column, signs: Column) -> Column:
+            self.buckets, self.signs = buckets, signs
+            return F.transform(words, self._encode)
+
+        return _let(self._literals[0], lambda buckets: _let(self._literals[1], lambda signs: with_literals(buckets, signs)))
+
 
 def _found(texts: list[str], simple: bool, pattern: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words, the place of each word, words of each text."""
@@ -195,7 +203,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     kind = own.schema["doc_id"].dataType.simpleString()
     blocks = own.mapInArrow(_cut(byte_ids, pattern), f"doc_ids array<{kind}>, counts array<long>, base int, words array<array<int>>, places binary")
     fold = MergeFold(ranks)
-    folded = blocks.select("doc_ids", "counts", "base", F.transform("words", fold.encode).alias("words"), "places")
+    folded = blocks.select("doc_ids", "counts", "base", fold.encode(F.col("words")).alias("words"), "places")
     return folded.mapInArrow(_assemble, f"doc_id {kind}, n_tokens long, ids binary")
 
 

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from loamstack.llm import byte_bpe, chat, exact_dedup, langid, packing, secrets, token_store, topk
 
-NO_BYTES = F.lit(b"")
-
-
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -63,7 +60,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
     done = byte_bpe.decode(byte_bpe.encode(_documents(spark, sf_dir), path, public_tokenizers.PATTERN), path)
-    return done.select("doc_id", "n_tokens", F.sha2(F.coalesce("ids", NO_BYTES), 256).alias("ids_sha256"), F.sha2(F.coalesce("decoded", NO_BYTES), 256).alias("decoded_sha256"))
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
