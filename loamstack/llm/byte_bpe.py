@@ -66,38 +66,45 @@ class MergeFold:
             for i in range(1, len(word)):
                 a, b = ranks.get(word[:i]), ranks.get(word[i:])
                 if a is not None and b is not None:
-                    key = a * 65536 + b
+                    key = (a << 16 | b) - (a >> 15 << 32)  # as a signed number of 32 bits
                     buckets[key % (BUCKETS - 1)][key] = rank
         # Foldable expressions, so the optimiser turns each into one literal; lambda variables stand for them below.
-        self._literals = (F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>").cast("array<map<bigint,int>>"),
+        self._literals = (F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>").cast("array<map<int,int>>"),
                           F.split(F.lit("".join(chr(FIRST_SIGN + i) for i in range(len(ranks)))), ""))
 
     def rank(self, a: Column, b: Column) -> Column:
-        return _let(a.cast("bigint") * 65536 + b, lambda key: F.try_element_at(F.get(self.buckets, F.pmod(key, F.lit(BUCKETS - 1)).cast("int")), key))
+        key = F.shiftleft(a, 16).bitwiseOR(b)
+        return F.try_element_at(F.get(self.buckets, F.pmod(key, F.lit(BUCKETS - 1))), key)
 
     def _pairs(self, ids: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(ids) - 2), lambda i: self.rank(F.get(ids, i), F.get(ids, i + 1)))
+        """The ranks of neighbours, with a null at either end."""
+        return F.transform(F.sequence(F.lit(0), F.size(ids)), lambda i: self.rank(F.get(ids, i - 1), F.get(ids, i)))
 
     def _fold(self, word: Column, merge) -> Column:
-        def step(acc: Column, _: Column) -> Column:
-            ids, stop = acc["ids"], F.struct(acc["ids"].alias("ids"), F.lit(False).alias("go"))
-            more = _let(self._pairs(ids), lambda pairs: _let(F.array_min(pairs), lambda m: F.when(m.isNull(), stop).otherwise(
-                F.struct(merge(ids, m, F.array_position(pairs, m).cast("int")).alias("ids"), F.lit(True).alias("go")))))
-            return F.when(~acc["go"] | (F.size(ids) < 2), stop).otherwise(more)
-
-        start = F.struct(word.alias("ids"), F.lit(True).alias("go"))
-        return F.aggregate(F.sequence(F.lit(1), F.size(word) - 1), start, step)["ids"]
+        state = lambda ids, pairs, go: F.struct(ids.alias("ids"), pairs.alias("pairs"), F.lit(go).alias("go"))
 
-    @staticmethod
-    def _one(ids: Column, m: Column, p: Column) -> Column:
-        return F.concat(F.slice(ids, F.lit(1), p - 1), F.array(m), F.slice(ids, p + 2, F.size(ids)))
-
-    def _all(self, ids: Column, m: Column, p: Column) -> Column:
-        a, b, sign = F.get(ids, p - 1), F.get(ids, p), lambda x: F.get(self.signs, x)
+        def step(acc: Column, _: Column) -> Column:
+            ids, pairs = acc["ids"], acc["pairs"]
+            more = _let(F.array_min(pairs), lambda m: F.when(m.isNull(), state(ids, pairs, False)).otherwise(
+                _let(F.array_position(pairs, m).cast("int"), lambda q: merge(ids, pairs, m, q, state))))
+            return F.when(acc["go"], more).otherwise(acc)
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(word) - 1), state(word, self._pairs(word), True), step)["ids"]
+
+    def _one(self, ids: Column, pairs: Column, m: Column, q: Column, state) -> Column:
+        """Merge at place ``q`` of ``pairs``; only the ranks on either side are looked up anew."""
+        merged = F.concat(F.slice(ids, F.lit(1), q - 2), F.array(m), F.slice(ids, q + 1, F.size(ids)))
+        ranks = F.array(self.rank(F.get(ids, q - 3), m), self.rank(m, F.get(ids, q)))
+        return state(merged, F.concat(F.slice(pairs, F.lit(1), q - 2), ranks, F.slice(pairs, q + 2, F.size(pairs))), True)
+
+    def _all(self, ids: Column, pairs: Column, m: Column, q: Column, state) -> Column:
+        """Merge wherever the least pair occurs, if single merges would too."""
+        a, b, sign = F.get(ids, q - 2), F.get(ids, q - 1), lambda x: F.get(self.signs, x)
         replaced = F.replace(F.array_join(F.transform(ids, sign), ""), F.concat(sign(a), sign(b)), sign(m))
         whole = F.transform(F.split(replaced, ""), lambda c: F.ascii(c) - FIRST_SIGN)
-        least = lambda x: F.coalesce(F.when(F.size(x) < 2, None).otherwise(F.array_min(self._pairs(x))), F.lit(1 << 30))
-        return _let(whole, lambda x: F.when((least(x) > m) & (F.coalesce(self.rank(m, a), F.lit(1 << 30)) > m), x).otherwise(self._one(ids, m, p)))
+        above = lambda x: F.coalesce(x > m, F.lit(True))
+        return _let(whole, lambda x: _let(self._pairs(x), lambda after: F.when(
+            above(F.array_min(after)) & above(self.rank(m, a)), state(x, after, True)).otherwise(self._one(ids, pairs, m, q, state))))
 
     def _encode(self, word: Column) -> Column:
         return F.when(F.size(word) < 2, word).when(F.size(word) <= LONG, self._fold(word, self._one)).otherwise(self._fold(word, self._all))

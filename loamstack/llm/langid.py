@@ -166,5 +166,11 @@ class LanguageModel:
         return given.mapInArrow(run, ", ".join([*kinds, "lang_pred string, score double, rejected boolean"]))
 
 
+def drop_rejected(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """``docs`` without the rows that the model rejects. Whole rows pass beside the text, so no column name can clash."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text")
+    return model.predict(rows, ["_row"]).filter("not rejected").select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+
+
 def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4

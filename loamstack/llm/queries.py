@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamstack.llm import byte_bpe, chat, exact_dedup, langid, packing, secrets, token_store, topk
+from loamstack.llm import byte_bpe, chat, exact_dedup, langid, minhash, packing, secrets, suffix_dedup, token_store, topk
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -20,7 +20,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def _new_index(spark: SparkSession) -> exact_dedup.DigestIndex:
+def new_index(spark: SparkSession) -> exact_dedup.DigestIndex:
     return exact_dedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
 
 
@@ -55,6 +55,11 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(_documents(spark, sf_dir))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -64,7 +69,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _new_index(spark).add(_documents(spark, sf_dir))
+    rows = new_index(spark).add(_documents(spark, sf_dir))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
@@ -73,6 +78,10 @@ def op7_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors.filter(F.col("vec_id") % 100 == 0), vectors, 10, 1024)
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf_dir))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), ids=False)
 
@@ -83,8 +92,8 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_secret_scans, op2_language_id, op3_chat_formatting, op5_byte_bpe, op6_exact_dedup, op7_exact_topk_search,
-              op9_best_fit_packing, op10_token_id_output)
+    for f in (op1_secret_scans, op2_language_id, op3_chat_formatting, op4_suffix_array_dedup, op5_byte_bpe, op6_exact_dedup, op7_exact_topk_search,
+              op8_minhash_near_dedup, op9_best_fit_packing, op10_token_id_output)
 }
 
 ORACLE_SQL: dict[str, str] = {
