@@ -1,4 +1,9 @@
-"""Registered queries and their SQL."""
+"""All registered queries of the library and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from loamstack.plans import join_queries, scalar_queries
+
+_MODULES = (scalar_queries, join_queries)
+QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+ORACLE_SQL = {k: v for m in _MODULES for k, v in m.ORACLE_SQL.items()}
