@@ -29,11 +29,13 @@ from loamstack.llm.pretokenize import Words, byte_level, plain
 
 BUCKETS = 1 << 15
 LONG = 48
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
 TASK_WORDS = 300_000
+#: What is taken from ranks, so that they lie below all ids.
+OFFSET = 1 << 20
 #: Sequences of ids are written as strings, an id as one character from here, where replace() has to work on them.
 FIRST_SIGN = 0x100
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 
 @cache
@@ -58,16 +60,20 @@ def _let(value: Column, f) -> Column:
 
 
 class MergeFold:
-    """The merge table of a rank file as literals, and the fold over an array of ids."""
+    """The merge table of a rank file as literals, and the fold over arrays of ids.
+
+    A word under way is an array of ids and, between neighbours, the rank of their pair less OFFSET: negative, so that
+    the least number is the next merge and no id can be. Where a pair has no rank, and at both ends, stands null.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
-        buckets: list[dict[int, int]] = [{} for _ in range(BUCKETS)]
+        buckets: list[dict[int, int]] = [{} for _ in range(BUCKETS - 1)]
         for word, rank in ranks.items():
             for i in range(1, len(word)):
                 a, b = ranks.get(word[:i]), ranks.get(word[i:])
                 if a is not None and b is not None:
                     key = (a << 16 | b) - (a >> 15 << 32)  # as a signed number of 32 bits
-                    buckets[key % (BUCKETS - 1)][key] = rank
+                    buckets[key % (BUCKETS - 1)][key] = rank - OFFSET
         # Foldable expressions, so the optimiser turns each into one literal; lambda variables stand for them below.
         self._literals = (F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>").cast("array<map<int,int>>"),
                           F.split(F.lit("".join(chr(FIRST_SIGN + i) for i in range(len(ranks)))), ""))
@@ -76,45 +82,51 @@ class MergeFold:
         key = F.shiftleft(a, 16).bitwiseOR(b)
         return F.try_element_at(F.get(self.buckets, F.pmod(key, F.lit(BUCKETS - 1))), key)
 
-    def _pairs(self, ids: Column) -> Column:
-        """The ranks of neighbours, with a null at either end."""
-        return F.transform(F.sequence(F.lit(0), F.size(ids)), lambda i: self.rank(F.get(ids, i - 1), F.get(ids, i)))
+    def _laid(self, ids: Column) -> Column:
+        pairs = F.flatten(F.transform(ids, lambda x, i: F.array(self.rank(F.get(ids, i - 1), x), x)))
+        return F.concat(pairs, F.array(F.lit(None).cast("int")))
 
-    def _fold(self, word: Column, merge) -> Column:
-        state = lambda ids, pairs, go: F.struct(ids.alias("ids"), pairs.alias("pairs"), F.lit(go).alias("go"))
+    @staticmethod
+    def _ids(laid: Column) -> Column:
+        return F.filter(laid, lambda x, i: i % 2 == 1)
 
-        def step(acc: Column, _: Column) -> Column:
-            ids, pairs = acc["ids"], acc["pairs"]
-            more = _let(F.array_min(pairs), lambda m: F.when(m.isNull(), state(ids, pairs, False)).otherwise(
-                _let(F.array_position(pairs, m).cast("int"), lambda q: merge(ids, pairs, m, q, state))))
-            return F.when(acc["go"], more).otherwise(acc)
+    def _merge(self, laid: Column, q: Column) -> Column:
+        """Merge the pair at place ``q`` (from 1); only the ranks on either side are looked up anew."""
+        m = F.get(laid, q - 1) + OFFSET
+        new = F.array(self.rank(F.get(laid, q - 4), m), m, self.rank(m, F.get(laid, q + 2)))
+        return F.concat(F.slice(laid, F.lit(1), q - 3), new, F.slice(laid, q + 3, F.size(laid)))
 
-        return F.aggregate(F.sequence(F.lit(1), F.size(word) - 1), state(word, self._pairs(word), True), step)["ids"]
+    def _short(self, word: Column) -> Column:
+        def step(laid: Column, _: Column) -> Column:
+            return _let(F.array_position(laid, F.array_min(laid)).cast("int"), lambda q: F.when(F.get(laid, q - 1) < 0, self._merge(laid, q)).otherwise(laid))
 
-    def _one(self, ids: Column, pairs: Column, m: Column, q: Column, state) -> Column:
-        """Merge at place ``q`` of ``pairs``; only the ranks on either side are looked up anew."""
-        merged = F.concat(F.slice(ids, F.lit(1), q - 2), F.array(m), F.slice(ids, q + 1, F.size(ids)))
-        ranks = F.array(self.rank(F.get(ids, q - 3), m), self.rank(m, F.get(ids, q)))
-        return state(merged, F.concat(F.slice(pairs, F.lit(1), q - 2), ranks, F.slice(pairs, q + 2, F.size(pairs))), True)
+        return self._ids(F.aggregate(F.sequence(F.lit(1), F.size(word) - 1), self._laid(word), step))
 
-    def _all(self, ids: Column, pairs: Column, m: Column, q: Column, state) -> Column:
+    def _long(self, word: Column) -> Column:
         """Merge wherever the least pair occurs, if single merges would too."""
-        a, b, sign = F.get(ids, q - 2), F.get(ids, q - 1), lambda x: F.get(self.signs, x)
-        replaced = F.replace(F.array_join(F.transform(ids, sign), ""), F.concat(sign(a), sign(b)), sign(m))
-        whole = F.transform(F.split(replaced, ""), lambda c: F.ascii(c) - FIRST_SIGN)
-        above = lambda x: F.coalesce(x > m, F.lit(True))
-        return _let(whole, lambda x: _let(self._pairs(x), lambda after: F.when(
-            above(F.array_min(after)) & above(self.rank(m, a)), state(x, after, True)).otherwise(self._one(ids, pairs, m, q, state))))
+        state = lambda laid, go: F.struct(laid.alias("laid"), F.lit(go).alias("go"))
 
-    def _encode(self, word: Column) -> Column:
-        return F.when(F.size(word) < 2, word).when(F.size(word) <= LONG, self._fold(word, self._one)).otherwise(self._fold(word, self._all))
+        def merge_all(laid: Column, q: Column) -> Column:
+            sign = lambda x: F.get(self.signs, x)
+            a, b, m = F.get(laid, q - 2), F.get(laid, q), F.get(laid, q - 1)
+            text = F.replace(F.array_join(F.transform(self._ids(laid), sign), ""), F.concat(sign(a), sign(b)), sign(m + OFFSET))
+            whole = F.transform(F.split(text, ""), lambda c: F.ascii(c) - FIRST_SIGN)
+            above = lambda x: F.coalesce(x > m, F.lit(True))
+            return _let(whole, lambda x: _let(self._laid(x), lambda after: F.when(above(F.array_min(after)) & above(self.rank(m + OFFSET, a)), after).otherwise(self._merge(laid, q))))
+
+        def step(acc: Column, _: Column) -> Column:
+            laid = acc["laid"]
+            more = _let(F.array_position(laid, F.array_min(laid)).cast("int"), lambda q: F.when(F.get(laid, q - 1) < 0, state(merge_all(laid, q), True)).otherwise(state(laid, False)))
+            return F.when(acc["go"], more).otherwise(acc)
+
+        return self._ids(F.aggregate(F.sequence(F.lit(1), F.size(word) - 1), state(self._laid(word), True), step)["laid"])
 
     def encode(self, words: Column) -> Column:
         """``words``: array of words, each an array of the ids of its bytes."""
 
         def with_literals(buckets: Column, signs: Column) -> Column:
             self.buckets, self.signs = buckets, signs
-            return F.transform(words, self._encode)
+            return F.transform(words, lambda w: F.when(F.size(w) < 2, w).when(F.size(w) <= LONG, self._short(w)).otherwise(self._long(w)))
 
         return _let(self._literals[0], lambda buckets: _let(self._literals[1], lambda signs: with_literals(buckets, signs)))
 
@@ -152,7 +164,7 @@ def _cut(byte_ids: np.ndarray, pattern: str):
                                               names=["doc_ids", "counts", "base", "words", "places"])
 
         kind = None
-        for b in batches:
+        for b in (whole.slice(at, BATCH_ROWS) for whole in batches for at in range(0, whole.num_rows, BATCH_ROWS)):
             kind = b.schema.field(0).type
             ids: list = []
             texts: list[str] = []
@@ -180,55 +192,68 @@ def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.n
     return flat[np.repeat(start - ends + size, size) + np.arange(total)], ends
 
 
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    flat = start = size = None
-    for b in batches:
-        for i in range(b.num_rows):
-            docs, counts, base, words, places = (b.column(k)[i] for k in range(5))
-            new = words.values
-            own = np.asarray(new.flatten(), np.uint16) if len(new) else np.zeros(0, np.uint16)
-            own_size = np.diff(np.asarray(new.offsets)).astype(np.int64) if len(new) else np.zeros(0, np.int64)
-            own_start = np.cumsum(own_size) - own_size
-            if base.as_py() == 0:
-                flat, start, size = own, own_start, own_size
-            else:
-                start, size = np.concatenate([start, own_start + len(flat)]), np.concatenate([size, own_size])
-                flat = np.concatenate([flat, own])
-            at = np.frombuffer(places.as_buffer(), np.int32)
-            ids, ends = _gather(flat, start[at], size[at])
-            last = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(np.asarray(counts.values))])]
-            data = ids.astype("<u4").tobytes()
-            out = pa.Array.from_buffers(pa.binary(), len(last) - 1, [None, pa.py_buffer((4 * last).astype(np.int32)), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([docs.values, pa.array(np.diff(last), pa.int64()), out], names=["doc_id", "n_tokens", "ids"])
-
-
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids (binary, little-endian unsigned 32 bits), without special tokens."""
+def _binary(data: bytes, bounds: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
+
+
+class Pieces:
+    """The bytes of every id."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        words = sorted(ranks, key=ranks.__getitem__)
+        self.flat, self.size = np.frombuffer(b"".join(words), np.uint8), np.array(list(map(len, words)))
+        self.start = np.cumsum(self.size) - self.size
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of ids, concatenated, and where each ends."""
+        return _gather(self.flat, self.start[ids], self.size[ids])
+
+
+def _assemble(pieces: Pieces | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat = start = size = None
+        for b in batches:
+            for i in range(b.num_rows):
+                docs, counts, base, words, places = (b.column(k)[i] for k in range(5))
+                new = words.values
+                own = np.asarray(new.flatten(), np.uint16) if len(new) else np.zeros(0, np.uint16)
+                own_size = np.diff(np.asarray(new.offsets)).astype(np.int64) if len(new) else np.zeros(0, np.int64)
+                own_start = np.cumsum(own_size) - own_size
+                if base.as_py() == 0:
+                    flat, start, size = own, own_start, own_size
+                else:
+                    start, size = np.concatenate([start, own_start + len(flat)]), np.concatenate([size, own_size])
+                    flat = np.concatenate([flat, own])
+                at = np.frombuffer(places.as_buffer(), np.int32)
+                ids, ends = _gather(flat, start[at], size[at])
+                last = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(np.asarray(counts.values))])]
+                columns = [docs.values, pa.array(np.diff(last), pa.int64()), _binary(ids.astype("<u4").tobytes(), 4 * last)]
+                if pieces:
+                    letters, ends = pieces.decode(ids)
+                    columns.append(_binary(letters.tobytes(), np.concatenate([[0], ends])[last]))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded"][: len(columns)])
+
+    return run
+
+
+def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids (binary, little-endian unsigned 32 bits), without special tokens; if asked for, ``decoded`` from the ids."""
     ranks = load_ranks(path)
     byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
     own = docs.select("doc_id", "text")
     kind = own.schema["doc_id"].dataType.simpleString()
     blocks = own.mapInArrow(_cut(byte_ids, pattern), f"doc_ids array<{kind}>, counts array<long>, base int, words array<array<int>>, places binary")
-    fold = MergeFold(ranks)
-    folded = blocks.select("doc_ids", "counts", "base", fold.encode(F.col("words")).alias("words"), "places")
-    return folded.mapInArrow(_assemble, f"doc_id {kind}, n_tokens long, ids binary")
+    folded = blocks.select("doc_ids", "counts", "base", MergeFold(ranks).encode(F.col("words")).alias("words"), "places")
+    return folded.mapInArrow(_assemble(Pieces(ranks) if decoded else None), f"doc_id {kind}, n_tokens long, ids binary" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``encoded`` with ``decoded`` (binary): the pieces of its ids, concatenated."""
-    pieces = sorted((rank, word) for word, rank in load_ranks(path).items())
-    flat, size = np.frombuffer(b"".join(w for _, w in pieces), np.uint8), np.array([len(w) for _, w in pieces])
-    start = np.cumsum(size) - size
+    """``encoded`` with ``decoded`` (binary): the pieces of its ids, concatenated; null ids count as none."""
+    pieces = Pieces(load_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            k = whole.schema.get_field_index("ids")
-            for at in range(0, whole.num_rows, BATCH_ROWS):
-                b = whole.slice(at, BATCH_ROWS)
-                out = []
-                for x in b.column(k):
-                    ids = np.frombuffer(x.as_buffer(), "<u4") if x.is_valid else np.zeros(0, np.uint32)
-                    out.append(_gather(flat, start[ids], size[ids])[0].tobytes())
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "decoded"])
+        for b in (whole.slice(at, BATCH_ROWS) for whole in batches for at in range(0, whole.num_rows, BATCH_ROWS)):
+            ids = [np.frombuffer(x.as_buffer(), "<u4") if x.is_valid else np.zeros(0, np.uint32) for x in b.column("ids")]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([pieces.decode(x)[0].tobytes() for x in ids], pa.binary())], names=[*b.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, ", ".join([*[f"`{n}` {t}" for n, t in encoded.dtypes], "decoded binary"]))

@@ -64,7 +64,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
-    done = byte_bpe.decode(byte_bpe.encode(_documents(spark, sf_dir), path, public_tokenizers.PATTERN), path)
+    done = byte_bpe.encode(_documents(spark, sf_dir), path, public_tokenizers.PATTERN, decoded=True)
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
