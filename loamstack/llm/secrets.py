@@ -66,8 +66,9 @@ def default_samples(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     random = spark.range(rows).select(F.explode(F.array(
         F.substring(b64, 1, 40), F.substring(d, 1, 40), F.upper(F.substring(F.regexp_replace(b64, r"[+/]", ""), 1, 24)),
         F.substring(F.regexp_replace(b64, r"[+/]", ""), 30, 32), F.translate(F.substring(b64, 40, 40), "+/", "-_"))).alias("token"), F.lit(True).alias("is_random"))
-    picked = docs.select("doc_id", "text").filter(F.length("text") > 0).orderBy(F.xxhash64("doc_id", "text")).limit(rows)
-    words = picked.select(F.slice(F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{2,19}(?![A-Za-z0-9+/_=-])"), 0), 1, 60).alias("w"))
+    # Only ids are ordered; at most ``rows`` of them are sent round, and texts stay where they are.
+    picked = docs.select(F.col("doc_id").alias("_picked")).filter("_picked is not null").orderBy(F.xxhash64("_picked"), "_picked").limit(rows)
+    words = docs.join(F.broadcast(picked), docs["doc_id"] == picked["_picked"], "left_semi").filter(F.length("text") > 0).select(F.slice(F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{2,19}(?![A-Za-z0-9+/_=-])"), 0), 1, 60).alias("w"))
     join = lambda sep: F.array_join(F.slice("w", 1, 4), sep)
     ordinary = words.select(F.explode(F.concat("w", F.transform("w", lambda x: F.upper(x)), F.array(
         join("_"), join("-"), join("/"), F.upper(join("_")), F.array_join(F.transform(F.slice("w", 1, 4), F.initcap), "")))).alias("token"))
