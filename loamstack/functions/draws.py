@@ -21,8 +21,8 @@ def uniform(seed: int | str, *cols: Column) -> Column:
 
 
 def pick(values: Column, seed: int | str, *cols: Column) -> Column:
-    """One element of an array."""
-    return F.get(values, (number(seed, *cols) % F.size(values)).cast("int"))
+    """One element of an array, null if it is empty."""
+    return F.get(values, F.try_mod(number(seed, *cols), F.size(values).cast("bigint")).cast("int"))
 
 
 def top_per_stratum(df: DataFrame, strata: list[Column | str], n: Column | int, seed: int | str, *ids: Column) -> DataFrame:
