@@ -9,11 +9,12 @@ Texts with the same words form one node, so that copies never meet in pairs. Nod
 registers meet in its bucket. Three rounds find all links (Jaccard similarity of the sets of shingles, at least ``THRESHOLD``):
 
 1. every node of a bucket against the least node of the bucket;
-2. nodes outside the largest component of their bucket against the bucket, block by block: with each other component
-   the most similar signature;
-3. the same with all pairs of different components that are left.
+2. twice: nodes outside the largest component of their bucket against the bucket, block by block; each goes on with the
+   node of another component whose signature is most like its own;
+3. all pairs of different components that are left, each in the first band that its nodes share.
 
-Signatures that agree in less than ``LEAST_AGREEMENT`` of their registers are not compared further.
+Signatures that agree in less than ``LEAST_AGREEMENT`` of their registers (over five standard deviations below the
+threshold) are not compared further.
 
 Result: one row for each row of the input: doc_id, class_id (the least doc_id of its class), class_size, kept (one row
 for each class). Edge cases: a null text counts as empty; texts without words form one class; rows with one doc_id
@@ -39,7 +40,7 @@ WORDS = 5
 THRESHOLD = 0.8
 REGISTERS, ROWS = 128, 4
 BANDS = REGISTERS // ROWS
-LEAST_AGREEMENT = 0.45
+LEAST_AGREEMENT = 0.6
 CHUNK_ROWS, CHUNK_CHARS = 512, 2_000_000
 #: Rows of a bucket that meet at a time in rounds 2 and 3.
 BLOCK = 1024
@@ -184,22 +185,28 @@ def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cross(best_only: bool):
-    """Of two blocks of a bucket the pairs of different components with agreeing signatures."""
+    """Of two blocks of a bucket the pairs of different components with agreeing signatures, in their first common band."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[tuple[bytes, bytes]] = []
+        a: list[bytes] = []
+        b: list[bytes] = []
+        agree: list[float] = []
         if left.num_rows and right.num_rows:
             sig = [np.frombuffer(b"".join(t["signature"].to_pylist()), np.uint32).reshape(t.num_rows, -1) for t in (left, right)]
-            nodes, theirs = left["node"].to_pylist(), right["o_node"].to_pylist()
+            nodes, theirs, band = left["node"].to_pylist(), right["o_node"].to_pylist(), left["band"][0].as_py()
             own, other = np.array(left["label"].to_pylist(), object), np.array(right["o_label"].to_pylist(), object)
             for i, node in enumerate(nodes):
-                share = np.where(other != own[i], (sig[1] == sig[0][i]).mean(1), 0)
+                same = sig[1] == sig[0][i]
+                share = np.where(other != own[i], same.mean(1), 0)
                 at = np.flatnonzero(share >= LEAST_AGREEMENT)
-                if best_only and len(at):
-                    at = at[np.argsort(-share[at], kind="stable")]
-                    at = at[np.unique(other[at].astype("S16"), return_index=True)[1]]
-                out += [(min(node, theirs[j]), max(node, theirs[j])) for j in at]
-        return pa.table([pa.array([p[0] for p in out], pa.binary()), pa.array([p[1] for p in out], pa.binary())], names=["a", "b"])
+                if best_only:
+                    at = at[[share[at].argmax()]] if len(at) else at
+                else:
+                    at = at[same[at].reshape(len(at), BANDS, ROWS).all(2).argmax(1) == band]
+                a += [node] * len(at)
+                b += [theirs[j] for j in at]
+                agree += share[at].tolist()
+        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(agree, pa.float64())], names=["a", "b", "agree"])
 
     return run
 
@@ -222,10 +229,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     kind = own.schema["doc_id"].dataType.simpleString()
     rows = materialise(own.mapInArrow(_sketch, f"doc_id {kind}, node binary, has_words boolean, signature binary, bands array<long>"), "signatures")
     nodes = materialise(rows.filter("has_words").groupBy("node").agg(F.first("signature").alias("signature"), F.first("bands").alias("bands")), "nodes")
-    members = nodes.select("node", F.explode("bands").alias("bucket"))
-    buckets = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
+    members = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    buckets = members.groupBy("band", "bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
     # Only nodes that share a bucket go on.
-    shared = materialise(members.join(buckets, "bucket"), "buckets")
+    shared = materialise(members.join(buckets, ["band", "bucket"]), "buckets")
     pairs = _signed(shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), nodes)
     met = materialise(shared.select("node").distinct(), "met")
     first = rows.join(met, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
@@ -234,7 +241,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sets = materialise(texts.mapInArrow(_sets, "node binary, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
     links = materialise(_links(pairs, sets, threshold), "links")
     labels = _labels(met, links)
-    for best_only in (True, False):
+    for best_only in (True, True, False):
         more = _cross_pairs(shared, nodes, labels, best_only)
         if more is None:
             break
@@ -254,19 +261,22 @@ def _labels(met: DataFrame, links: DataFrame) -> DataFrame:
 
 def _cross_pairs(shared: DataFrame, nodes: DataFrame, labels: DataFrame, best_only: bool) -> DataFrame | None:
     """Pairs of different components in one bucket, from nodes outside the bucket's largest component."""
-    placed = shared.select("bucket", "node").join(labels, "node")
-    by_label = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    mixed_buckets = by_label.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"), F.sum("n").alias("size")).filter("labels > 1")
-    there = materialise(placed.join(mixed_buckets, "bucket").select("bucket", "node", "label", "main", "size"), "mixed")
+    placed = shared.select("band", "bucket", "node").join(labels, "node")
+    by_label = placed.groupBy("band", "bucket", "label").agg(F.count("*").alias("n"))
+    mixed_buckets = by_label.groupBy("band", "bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"), F.sum("n").alias("size")).filter("labels > 1")
+    there = materialise(placed.join(mixed_buckets, ["band", "bucket"]).select("band", "bucket", "node", "label", "main", "size"), "mixed")
     if there.limit(1).count() == 0:
         return None
     full = there.join(nodes.select("node", "signature"), "node").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     block = lambda seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks")).cast("int")
-    left = full.filter("label <> main").select("bucket", block(1).alias("row"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("col"), "node", "label", "signature")
-    outside = left.select("bucket", "row").distinct()
-    right = full.withColumn("col", block(1)).select("bucket", "col", F.col("node").alias("o_node"), F.col("label").alias("o_label"), "signature").join(outside, "bucket")
-    return (left.groupBy("bucket", "row", "col").cogroup(right.select(F.col("bucket").alias("o_bucket"), F.col("row").alias("o_row"), F.col("col").alias("o_col"), "o_node", "o_label", F.col("signature").alias("signature"))
-            .groupBy("o_bucket", "o_row", "o_col")).applyInArrow(_cross(best_only), "a binary, b binary").distinct())
+    left = full.filter("label <> main").select("band", "bucket", block(1).alias("row"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("col"), "node", "label", "signature")
+    outside = left.select("band", "bucket", "row").distinct()
+    right = full.withColumn("col", block(1)).select("band", "bucket", "col", F.col("node").alias("o_node"), F.col("label").alias("o_label"), "signature").join(outside, ["band", "bucket"])
+    right = right.select(F.col("band").alias("o_band"), F.col("bucket").alias("o_bucket"), F.col("row").alias("o_row"), F.col("col").alias("o_col"), "o_node", "o_label", F.col("signature").alias("signature"))
+    pairs = left.groupBy("band", "bucket", "row", "col").cogroup(right.groupBy("o_band", "o_bucket", "o_row", "o_col")).applyInArrow(_cross(best_only), "a binary, b binary, agree double")
+    if best_only:
+        pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
