@@ -3,15 +3,18 @@
 A byte is removed if a string of ``LENGTH`` bytes that covers it also starts in a document with a smaller doc_id.
 Sorting all suffixes of a corpus byte by byte is out of reach, so only places that can hold a repeat are sorted:
 
+Texts that are equal to one with a smaller doc_id are marked first: all their strings are repeats, so they take no further
+part. Of the others:
+
 1. Every window of LENGTH bytes has one anchor, the least-hashed GRAM-gram in it. Equal windows have equal anchors, so a
    window whose anchor occurs in one document alone is not repeated. Anchors are counted over all documents, once for
    each chunk of documents before they are dealt by hash.
-2. Around the anchors that several documents have, the contexts (at most 2 * LENGTH - GRAM bytes, which hold all
-   windows of the anchor) are gathered by anchor; equal contexts of a chunk count once.
+2. Around the anchors that several documents have, the contexts (the bytes of all windows of the anchor, at most
+   2 * LENGTH - GRAM) are gathered by anchor; equal contexts of a chunk count once.
 3. Contexts of one anchor that are all equal need no sorting. The others are put into shards; each shard gets its
    Burrows-Wheeler transform, and the transforms are merged by iterative interleave refinement: round h turns the order of
-   the shards' suffixes by h bytes into that by h + 1 bytes from the transforms alone, and a boundary that first
-   appears in round h is a common prefix of h bytes. After LENGTH rounds the intervals between boundaries are
+   the shards' suffixes by h bytes into that by h + 2 bytes from the transforms (of letter pairs) alone, and a boundary
+   that first appears in a round is a common prefix of as many bytes. After LENGTH bytes the intervals between boundaries are
    the repeated strings; the least doc_id of each tells which occurrences go.
 4. Each document gets the spans that its anchors found, and keeps the rest.
 
@@ -28,6 +31,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +39,7 @@ from loamstack.llm.store import materialise
 
 LENGTH = 50
 GRAM = 16
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 BUCKET_ANCHORS = 500_000
 SHARDS = 8
 LAST = (1 << 63) - 1
@@ -46,7 +50,7 @@ class Chunk:
     """The texts of a chunk one after the other, with the anchor of every window."""
 
     def __init__(self, table: pa.Table, length: int = LENGTH, gram: int = GRAM):
-        t = table.select(["_id", "_row", "text"])
+        t = table.filter(pc.invert(table["copy"])).select(["_id", "_row", "text"])
         self.ids, self.rows = np.asarray(t["_id"]).astype(np.int64), np.asarray(t["_row"]).astype(np.int64)
         raw = [x or b"" for x in t["text"].cast(pa.binary()).to_pylist()]
         self.data = np.frombuffer(b"".join(raw), np.uint8)
@@ -145,137 +149,182 @@ def _repeated(table: pa.Table) -> pa.Table:
     return _packed(out, {"r_chunk": pa.int32(), "hashes": pa.binary()})
 
 
-_ENTRY = {"bucket": pa.int32(), "chunk": pa.int32(), "context": pa.binary(), "left": pa.int32(), "low": pa.int32(), "high": pa.int32(), "least": pa.int64(),
-          "ids": pa.binary(), "rows": pa.binary(), "places": pa.binary()}
-_ENTRY_DDL = "bucket int, chunk int, context binary, left int, low int, high int, least long, ids binary, rows binary, places binary"
+_LONGS = pa.list_(pa.int64())
+_ENTRY = {"bucket": pa.int32(), "chunk": pa.int32(), "hash": pa.int64(), "context": pa.binary(), "least": pa.int64(), "ids": _LONGS, "rows": _LONGS, "places": _LONGS}
+_ENTRY_DDL = "bucket int, chunk int, hash long, context binary, least long, ids array<long>, rows array<long>, places array<long>"
+
+
+def _starts(code: np.ndarray) -> np.ndarray:
+    """Where runs of equal numbers begin."""
+    return np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+
+
+def _lists(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)).astype(np.int32)), pa.array(values))
 
 
-def _contexts(buckets: int, length: int = LENGTH, gram: int = GRAM):
+def _contexts(buckets: int, length: int = LENGTH):
     def run(table: pa.Table, wanted: pa.Table) -> pa.Table:
-        out: dict[str, list] = {k: [] for k in _ENTRY}
-        if table.num_rows and wanted.num_rows:
-            c, w = Chunk(table), np.sort(_numbers(wanted["hashes"], "<u8")[0])
-            hit = np.flatnonzero(w[np.minimum(np.searchsorted(w, c.hash), len(w) - 1)] == c.hash)
-            at, owner = c.at[hit], c.owner[hit]
-            start = np.maximum(at - (length - gram), c.begins[owner])
-            stop = np.minimum(at + length, c.ends[owner])
-            raw, found = c.data.tobytes(), defaultdict(list)
-            rows = zip(start.tolist(), stop.tolist(), (at - start).tolist(), (c.low[hit] - start).tolist(), (c.high[hit] - start).tolist(), (c.hash[hit] % np.uint64(buckets)).tolist(), strict=True)
-            for i, (a, b, left, low, high, bucket) in enumerate(rows):
-                found[raw[a:b], left, low, high, bucket].append(i)
-            chunk, ids, marks, place = table["chunk"][0].as_py(), c.ids[owner], c.rows[owner], start - c.begins[owner]
-            for (context, left, low, high, bucket), own in found.items():
-                for k, v in zip(_ENTRY, (bucket, chunk, context, left, low, high, int(ids[own].min()), ids[own].tobytes(), marks[own].tobytes(), place[own].tobytes()), strict=True):
-                    out[k].append(v)
-        return _packed(out, _ENTRY)
+        if not table.num_rows or not wanted.num_rows:
+            return _packed({k: [] for k in _ENTRY}, _ENTRY)
+        c, w = Chunk(table), np.sort(_numbers(wanted["hashes"], "<u8")[0])
+        hit = np.flatnonzero(w[np.minimum(np.searchsorted(w, c.hash), len(w) - 1)] == c.hash)
+        owner, start, size = c.owner[hit], c.low[hit], c.high[hit] + length - c.low[hit]
+        ends = np.cumsum(size)
+        data = c.data[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        texts = pa.Array.from_buffers(pa.binary(), len(hit), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(data.tobytes())]).dictionary_encode()
+        code, ids = np.asarray(texts.indices), c.ids[owner]
+        order = np.lexsort((ids, code))
+        first = _starts(code[order])
+        h = c.hash[hit][order][first]
+        return pa.table({
+            "bucket": pa.array((h % np.uint64(buckets)).astype(np.int32)), "chunk": pa.array(np.full(len(first), table["chunk"][0].as_py(), np.int32)), "hash": pa.array(h.view(np.int64)),
+            "context": texts.dictionary.take(pa.array(code[order][first])), "least": pa.array(ids[order][first]), "ids": _lists(ids[order], first), "rows": _lists(c.rows[owner][order], first),
+            "places": _lists((start - c.begins[owner])[order], first)})
 
     return run
 
 
 def shard_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Rotations of ``text`` in the order of their first ``depth`` bytes, rounded up to eight."""
-    n, words = len(text), -(-depth // 8)
-    round_text = np.concatenate([text] * (1 + -(-8 * words // n)))[: n + 8 * words].astype(np.uint64)
-    eight = np.zeros(n + 8 * words - 7, np.uint64)
+    """Rotations of ``text`` in the order of their first ``depth`` bytes at least, by doubling ranks of eight bytes."""
+    n, have = len(text), 8
+    eight = np.zeros(n, np.uint64)
     for k in range(8):
-        eight = (eight << np.uint64(8)) | round_text[k : k + len(eight)]
-    return np.lexsort([eight[8 * w : 8 * w + n] for w in reversed(range(words))])
+        eight = (eight << np.uint64(8)) | np.roll(text, -k).astype(np.uint64)
+    key = eight
+    while True:
+        order = np.argsort(key)
+        ranked = key[order]
+        new = np.append(False, ranked[1:] != ranked[:-1])
+        rank = np.empty(n, np.uint64)
+        rank[order] = np.cumsum(new).astype(np.uint64)
+        if have >= depth or new.sum() == n - 1:
+            return order
+        key = rank * np.uint64(n) + np.roll(rank, -have % n)
+        have *= 2
+
+
+def letter_pairs(text: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The transform: the two bytes before each rotation."""
+    return text[order - 2].astype(np.uint16) << np.uint16(8) | text[order - 1]
 
 
 def merge_transforms(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave the rotations of several transforms: the shard of each, and common prefixes (up to ``depth``) with the one before."""
+    """Interleave the rotations of several transforms of letter pairs.
+
+    Returns the shard of each rotation in the order of ``depth`` bytes and its common prefix with the one before: exact
+    whether it reaches ``depth``, else rounded down to the depth of the last round. A boundary never moves once it is found,
+    because each round refines the order of the round before.
+    """
     shard = np.repeat(np.arange(len(transforms), dtype=np.uint8), [len(t) for t in transforms])
     letters = np.concatenate(transforms)
-    n = len(shard)
-    common = np.full(n, depth, np.int16)
-    common[0] = 0
-    block = np.zeros(n, np.int32)
-    for h in range(depth):
-        # The next letter of each shard, in the present order of the shards.
-        turn = np.empty(n, np.uint8)
-        turn[np.argsort(shard, kind="stable")] = letters
+    n, h = len(shard), 0
+    common, block = np.full(n, depth, np.int16), np.zeros(n, np.int32)
+    while h < depth:
+        # The next letters of each shard, in the present order of the shards; an odd depth begins with single letters.
+        step = 2 - (depth - h) % 2
+        turn = np.empty(n, np.uint16)
+        turn[np.argsort(shard, kind="stable")] = letters if step == 2 else letters & np.uint16(0xFF)
         order = np.argsort(turn, kind="stable")
         shard, turn, block = shard[order], turn[order], block[order]
         new = np.append(True, (turn[1:] != turn[:-1]) | (block[1:] != block[:-1]))
         np.minimum(common, h, out=common, where=new)
         block = np.cumsum(new, dtype=np.int32)
+        h += step
     return shard, common
 
 
-def least_of_windows(contexts: list[bytes], least: np.ndarray, length: int = LENGTH, shards: int = SHARDS) -> list[np.ndarray]:
-    """For each context and each start of a window in it, the least number of any context that holds the window."""
+def least_of_windows(contexts: list[bytes], least: np.ndarray, length: int = LENGTH, shards: int = SHARDS) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte of the contexts (each followed by one gap) the least number of any context with the window that starts there, and where each begins."""
     parts = [np.arange(s, len(contexts), shards) for s in range(min(shards, len(contexts)))]
-    orders, transforms, owners = [], [], []
+    size = np.fromiter(map(len, contexts), np.int64, len(contexts)) + 1
+    begin = np.cumsum(size) - size
+    places, transforms = [], []
     for part in parts:
-        text = np.frombuffer(b"".join(contexts[i] + b"\xff" for i in part), np.uint8)
-        order = shard_order(text, length)
-        orders.append(order)
-        transforms.append(text[order - 1])
-        sizes = [len(contexts[i]) + 1 for i in part]
-        owners.append((np.repeat(part, sizes), np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)))
+        text = np.frombuffer(b"\xff".join([contexts[i] for i in part]) + b"\xff", np.uint8)
+        order = shard_order(text, length + 2)
+        own = size[part]
+        place = np.repeat(begin[part] - np.cumsum(own) + own, own) + np.arange(len(text))
+        places.append(place[order])
+        transforms.append(letter_pairs(text, order))
     shard, common = merge_transforms(transforms, length)
+    # The place of the rotation that stands at each position of the merged order.
+    place = np.empty(len(shard), np.int64)
+    place[np.argsort(shard, kind="stable")] = np.concatenate(places)
     interval = np.flatnonzero(common < length)
-    # The suffix that stands at each place of the merged order.
-    turn = np.argsort(shard, kind="stable")
-    owner, offset = np.empty(len(shard), np.int64), np.empty(len(shard), np.int64)
-    owner[turn] = np.concatenate([o[k] for (o, _), k in zip(owners, orders, strict=True)])
-    offset[turn] = np.concatenate([p[k] for (_, p), k in zip(owners, orders, strict=True)])
-    best = np.repeat(np.minimum.reduceat(least[owner], interval), np.diff(np.append(interval, len(shard))))
-    size = np.fromiter(map(len, contexts), np.int64, len(contexts)) + 1
-    begin = np.cumsum(size) - size
-    flat = np.empty(size.sum(), np.int64)
-    flat[begin[owner] + offset] = best
-    return [flat[b : b + max(0, s - length)] for b, s in zip(begin.tolist(), size.tolist(), strict=True)]
+    owner = np.repeat(np.arange(len(contexts)), size)
+    best = np.minimum.reduceat(least[owner[place]], interval)
+    flat = np.empty(len(place), np.int64)
+    flat[place] = np.repeat(best, np.diff(np.append(interval, len(place))))
+    return flat, begin
 
 
 _SPANS = {"s_chunk": pa.int32(), "ids": pa.binary(), "rows": pa.binary(), "starts": pa.binary(), "stops": pa.binary()}
 
 
-def _resolve(length: int = LENGTH, gram: int = GRAM):
+def _expand(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row, ``count`` numbers from ``first``; and the row of each."""
+    row = np.repeat(np.arange(len(count)), count)
+    return first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count), row
+
+
+def _resolve(length: int = LENGTH):
     def run(table: pa.Table) -> pa.Table:
-        t = {k: table[k].to_pylist() for k in ("chunk", "context", "left", "low", "high", "least", "ids", "rows", "places")}
-        groups = defaultdict(list)
-        for i, (c, left) in enumerate(zip(t["context"], t["left"], strict=True)):
-            groups[c[left : left + gram]].append(i)
-        found: dict[int, list[np.ndarray]] = defaultdict(list)
-
-        def tell(i: int, low: int, high: int, than: int) -> None:
-            """Windows from low to high of entry i lie in document ``than``."""
-            ids = np.frombuffer(t["ids"][i], "<i8")
-            later = ids > than
-            if later.any():
-                place = np.frombuffer(t["places"][i], "<i8")[later]
-                found[t["chunk"][i]].append(np.stack([ids[later], np.frombuffer(t["rows"][i], "<i8")[later], place + low, place + high + length]))
-
-        unclear: dict[bytes, int] = {}
-        for own in groups.values():
-            if len({t["context"][i] for i in own}) == 1:
-                than = min(t["least"][i] for i in own)
-                for i in own:
-                    tell(i, t["low"][i], t["high"][i], than)
-            else:
-                for i in own:
-                    c = t["context"][i]
-                    unclear[c] = min(unclear.get(c, LAST), t["least"][i])
-        if unclear:
-            contexts = list(unclear)
-            best = dict(zip(contexts, least_of_windows(contexts, np.fromiter(unclear.values(), np.int64, len(contexts)), length), strict=True))
-            for i, c in enumerate(t["context"]):
-                if c in best:
-                    than = best[c][t["low"][i] : t["high"][i] + 1]
-                    cuts = np.flatnonzero(np.append(True, than[1:] != than[:-1]))
-                    for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(than)).tolist(), strict=True):
-                        tell(i, t["low"][i] + a, t["low"][i] + b - 1, int(than[a]))
+        table = table.combine_chunks()
+        texts = table["context"].combine_chunks().dictionary_encode()
+        code, values = np.asarray(texts.indices), texts.dictionary
+        least, size = np.asarray(table["least"]), np.asarray(pc.binary_length(values))
+        lists = {k: table[k].combine_chunks() for k in ("ids", "rows", "places")}
+        count = np.asarray(pc.list_value_length(lists["ids"]))
+        # Contexts of each anchor: a group with one text is clear.
+        _, group = np.unique(np.asarray(table["hash"]), return_inverse=True)
+        lowest, highest = np.full(group.max() + 1, len(values)), np.full(group.max() + 1, -1)
+        np.minimum.at(lowest, group, code)
+        np.maximum.at(highest, group, code)
+        by_text = np.full(len(values), LAST)
+        np.minimum.at(by_text, code, least)
+        unclear = np.zeros(len(values), bool)
+        unclear[code[(lowest < highest)[group]]] = True
+        # Runs of windows of each text that have one least document: (first window, last window, document).
+        first_run, runs = np.arange(len(values)), np.ones(len(values), np.int64)
+        low, high, than = np.zeros(len(values), np.int64), size - length, by_text.copy()
+        which = np.flatnonzero(unclear)
+        if len(which):
+            flat, begin = least_of_windows(values.take(pa.array(which)).to_pylist(), by_text[which], length)
+            at, row = _expand(begin, (size[which] - length + 1).astype(np.int64))
+            new = np.append(True, (row[1:] != row[:-1]) | (flat[at[1:]] != flat[at[:-1]]))
+            cut = np.flatnonzero(new)
+            last = np.append(cut[1:], len(at)) - 1
+            first_run[which] = len(values) + np.searchsorted(row[cut], np.arange(len(which)))
+            runs[which] = np.bincount(row[cut], minlength=len(which))
+            low, high, than = np.append(low, at[cut] - begin[row[cut]]), np.append(high, at[last] - begin[row[cut]]), np.append(than, flat[at[cut]])
+        # Every occurrence of every entry, then every run of its text.
+        entry = np.repeat(np.arange(len(count)), count)
+        run_of, occurrence = _expand(first_run[code[entry]], runs[code[entry]])
+        ids, rows, places = (np.asarray(lists[k].flatten()) for k in ("ids", "rows", "places"))
+        later = ids[occurrence] > than[run_of]
+        run_of, occurrence = run_of[later], occurrence[later]
+        chunk = np.asarray(table["chunk"])[entry[occurrence]]
+        order = np.argsort(chunk, kind="stable")
+        run_of, occurrence, chunk = run_of[order], occurrence[order], chunk[order]
+        columns = [ids[occurrence], rows[occurrence], places[occurrence] + low[run_of], places[occurrence] + high[run_of] + length]
+        cut = _starts(chunk)
         out: dict[str, list] = {k: [] for k in _SPANS}
-        for chunk, parts in found.items():
-            whole = np.concatenate(parts, axis=1)
-            for k, v in zip(_SPANS, (chunk, *(x.tobytes() for x in whole)), strict=True):
+        for a, b in zip(cut.tolist(), np.append(cut[1:], len(chunk)).tolist(), strict=True):
+            for k, v in zip(_SPANS, (int(chunk[a]), *(x[a:b].tobytes() for x in columns)), strict=True):
                 out[k].append(v)
         return _packed(out, _SPANS)
 
     return run
 
 
+def _marked(table: pa.Table, copies: pa.Table) -> pa.Table:
+    """The texts of a chunk, told which are equal to one with a smaller doc_id."""
+    known = set(zip(copies["c_id"].to_pylist(), copies["c_row"].to_pylist(), strict=True)) if copies.num_rows else set()
+    mark = [k in known for k in zip(table["_id"].to_pylist(), table["_row"].to_pylist(), strict=True)]
+    return table.append_column("copy", pa.array(mark, pa.bool_()))
+
+
 def _remove(table: pa.Table, spans: pa.Table) -> pa.Table:
     by_row: dict[tuple[int, int], list[int]] = defaultdict(list)
     if spans.num_rows:
@@ -283,11 +332,13 @@ def _remove(table: pa.Table, spans: pa.Table) -> pa.Table:
         for i, key in enumerate(zip(ids.tolist(), rows.tolist(), strict=True)):
             by_row[key].append(i)
     out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept")}
-    for i, row, text in zip(table["_id"].to_pylist(), table["_row"].to_pylist(), table["text"].cast(pa.binary()).to_pylist(), strict=True):
+    for i, row, copy, text in zip(table["_id"].to_pylist(), table["_row"].to_pylist(), table["copy"].to_pylist(), table["text"].cast(pa.binary()).to_pylist(), strict=True):
         text = text or b""
         own = by_row.get((i, row))
         kept, runs = text, 0
-        if own:
+        if copy and len(text) >= LENGTH:
+            kept, runs = b"", 1
+        elif own:
             edge = np.zeros(len(text) + 1, np.int64)
             np.add.at(edge, starts[own], 1)
             np.add.at(edge, stops[own], -1)
@@ -308,10 +359,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     buckets = max(1, math.ceil(total / ((LENGTH - GRAM + 2) / 2) / BUCKET_ANCHORS))
     table = f"suffix_chunks_{uuid.uuid4().hex}"
     kind = own.schema["doc_id"].dataType.simpleString()
+    keyed = (own.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn("_row", F.xxhash64("text"))
+             .withColumn("chunk", F.pmod(F.xxhash64("doc_id", "_row"), F.lit(chunks)).cast("int")))
+    rows = materialise(keyed.select("_id", "_row", "chunk", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest")), "digests")
+    first = rows.groupBy("digest").agg(F.min("_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first")
+    copies = rows.join(first, "digest").filter("_id > first").select(F.col("chunk").alias("c_chunk"), F.col("_id").alias("c_id"), F.col("_row").alias("c_row")).distinct()
     # Written once, bucketed by chunk: the three passes over the texts need no further shuffle.
-    (own.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn("_row", F.xxhash64("text"))
-     .withColumn("chunk", F.pmod(F.xxhash64("doc_id", "_row"), F.lit(chunks)).cast("int")).repartition(chunks, "chunk")
-     .write.bucketBy(chunks, "chunk").sortBy("chunk").option("compression", "zstd").format("parquet").saveAsTable(table))
+    marked = keyed.groupBy("chunk").cogroup(copies.groupBy("c_chunk")).applyInArrow(_marked, f"doc_id {kind}, text string, _id long, _row long, chunk int, copy boolean")
+    (marked.write.bucketBy(chunks, "chunk").sortBy("chunk").option("compression", "zstd").format("parquet").saveAsTable(table))
     texts = spark.read.table(table)
     anchors = texts.groupBy("chunk").applyInArrow(_anchors(buckets), "bucket int, chunk int, hashes binary, least binary, most binary")
     wanted = materialise(anchors.groupBy("bucket").applyInArrow(_repeated, "r_chunk int, hashes binary"), "anchors")
