@@ -1,0 +1,40 @@
+"""Layered configuration: plain dictionaries on the driver."""
+
+from __future__ import annotations
+
+import copy
+import json
+
+
+def merge_specs(*layers: list[dict]) -> list[dict]:
+    """Source specs by name; a later layer wins field by field, new names are added at the end."""
+    out: dict[str, dict] = {}
+    for layer in layers:
+        for spec in layer:
+            out[spec["name"]] = out.get(spec["name"], {}) | spec
+    return list(out.values())
+
+
+def apply_overrides(cfg: dict, pairs: list[str]) -> dict:
+    """``a.b=v`` sets cfg["a"]["b"]; v is JSON where it can be read as such, else text."""
+    cfg = copy.deepcopy(cfg)
+    for pair in pairs:
+        path, _, value = pair.partition("=")
+        at = cfg
+        *outer, last = path.split(".")
+        for key in outer:
+            at = at.setdefault(key, {})
+        try:
+            at[last] = json.loads(value)
+        except ValueError:
+            at[last] = value
+    return cfg
+
+
+def enabled(specs: list[dict], only: list[str] | None = None, commercial: bool = False) -> list[dict]:
+    """A source named in ``only`` runs even if it is switched off."""
+    if only:
+        specs = [s for s in specs if s["name"] in only]
+    else:
+        specs = [s for s in specs if s.get("enabled", True)]
+    return [s for s in specs if s.get("commercial_ok")] if commercial else specs
