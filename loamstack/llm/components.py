@@ -13,11 +13,10 @@ def connected_components(links: DataFrame) -> DataFrame:
     edges = materialise(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
     labels = materialise(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")), "labels")
     while True:
-        seen = edges.join(labels.withColumnsRenamed({"node": "b", "label": "theirs"}), "b").groupBy("a").agg(F.min("theirs").alias("theirs"))
-        nearer = labels.join(seen.withColumnRenamed("a", "node"), "node").select("node", F.col("label").alias("old"), F.least("label", "theirs").alias("near"))
-        step = materialise(nearer, "labels")
-        jump = step.select(F.col("node").alias("near"), F.col("near").alias("far"))
-        labels = materialise(step.join(jump, "near").select("node", "old", F.least("near", "far").alias("label")), "labels")
-        if labels.filter("label <> old").limit(1).count() == 0:
-            return labels.select("node", "label")
-        labels = labels.select("node", "label")
+        seen = edges.join(labels.withColumnsRenamed({"node": "b", "label": "theirs"}), "b").groupBy(F.col("a").alias("node")).agg(F.min("theirs").alias("theirs"))
+        nearer = labels.join(seen, "node").select("node", F.col("label").alias("old"), F.least("label", "theirs").alias("near"))
+        jump = labels.select(F.col("node").alias("near"), F.col("label").alias("far"))
+        new = materialise(nearer.join(jump, "near").select("node", "old", F.least("near", "far").alias("label")), "labels")
+        labels = new.select("node", "label")
+        if new.filter("label <> old").limit(1).count() == 0:
+            return labels

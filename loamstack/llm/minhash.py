@@ -9,9 +9,10 @@ Texts with the same words form one node, so that copies never meet in pairs. Nod
 registers meet in its bucket. Three rounds find all links (Jaccard similarity of the sets of shingles, at least ``THRESHOLD``):
 
 1. every node of a bucket against the least node of the bucket;
-2. twice: nodes outside the largest component of their bucket against the bucket, block by block; each goes on with the
+2. nodes outside the largest component of their bucket against the bucket, block by block; each goes on with the
    node of another component whose signature is most like its own;
-3. all pairs of different components that are left, each in the first band that its nodes share.
+3. all pairs of different components that are left, each in the first band that its nodes share. The blocks carry the
+   shingles (32 bits of each), and only pairs that come within ``SLACK`` of the threshold leave their task.
 
 Signatures that agree in less than ``LEAST_AGREEMENT`` of their registers (over five standard deviations below the
 threshold) are not compared further.
@@ -41,6 +42,7 @@ THRESHOLD = 0.8
 REGISTERS, ROWS = 128, 4
 BANDS = REGISTERS // ROWS
 LEAST_AGREEMENT = 0.6
+SLACK = 0.01
 CHUNK_ROWS, CHUNK_CHARS = 512, 2_000_000
 #: Rows of a bucket that meet at a time in rounds 2 and 3.
 BLOCK = 1024
@@ -155,11 +157,13 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, _ = shingle_keys(texts)
         bounds = np.searchsorted(keys, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(54))
         parts = [(keys[a:b] & np.uint64((1 << 54) - 1)).tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([pa.array(list(map(_node, texts)), pa.binary()), pa.array(parts, pa.binary())], names=["node", "shingles"])
+        thin = [np.unique(np.frombuffer(p, np.uint64).astype(np.uint32)).tobytes() for p in parts]
+        yield pa.RecordBatch.from_arrays([pa.array(list(map(_node, texts)), pa.binary()), pa.array(parts, pa.binary()), pa.array(thin, pa.binary())], names=["node", "shingles", "thin"])
 
 
-def jaccard(a: bytes, b: bytes) -> float:
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+def jaccard(a: bytes, b: bytes, kind: type = np.uint64) -> float:
+    """Of two sorted sets of numbers."""
+    x, y = np.frombuffer(a, kind), np.frombuffer(b, kind)
     if len(y) < len(x):
         x, y = y, x
     if not len(x):
@@ -184,7 +188,7 @@ def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array((x == y).mean(1) >= LEAST_AGREEMENT))
 
 
-def _cross(best_only: bool):
+def _cross(best_only: bool, threshold: float):
     """Of two blocks of a bucket the pairs of different components with agreeing signatures, in their first common band."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -194,6 +198,7 @@ def _cross(best_only: bool):
         if left.num_rows and right.num_rows:
             sig = [np.frombuffer(b"".join(t["signature"].to_pylist()), np.uint32).reshape(t.num_rows, -1) for t in (left, right)]
             nodes, theirs, band = left["node"].to_pylist(), right["o_node"].to_pylist(), left["band"][0].as_py()
+            thin = [] if best_only else [t["thin"].to_pylist() for t in (left, right)]
             own, other = np.array(left["label"].to_pylist(), object), np.array(right["o_label"].to_pylist(), object)
             for i, node in enumerate(nodes):
                 same = sig[1] == sig[0][i]
@@ -203,6 +208,7 @@ def _cross(best_only: bool):
                     at = at[[share[at].argmax()]] if len(at) else at
                 else:
                     at = at[same[at].reshape(len(at), BANDS, ROWS).all(2).argmax(1) == band]
+                    at = at[[jaccard(thin[0][i], thin[1][j], np.uint32) >= threshold - SLACK for j in at]] if len(at) else at
                 a += [node] * len(at)
                 b += [theirs[j] for j in at]
                 agree += share[at].tolist()
@@ -238,15 +244,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     first = rows.join(met, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = first.select(F.col("doc_id").alias("_wanted")).distinct()
     texts = own.join(wanted, own["doc_id"].eqNullSafe(wanted["_wanted"]), "left_semi")
-    sets = materialise(texts.mapInArrow(_sets, "node binary, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
+    sets = materialise(texts.mapInArrow(_sets, "node binary, shingles binary, thin binary").groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("thin").alias("thin")), "shingles")
     links = materialise(_links(pairs, sets, threshold), "links")
-    labels = _labels(met, links)
-    for best_only in (True, True, False):
-        more = _cross_pairs(shared, nodes, labels, best_only)
+    labels = connected_components(links)
+    for best_only in (True, False):
+        more = _cross_pairs(shared, nodes if best_only else nodes.join(sets.select("node", "thin"), "node"), labels, best_only, threshold)
         if more is None:
             break
         links = materialise(links.union(_links(more, sets, threshold)), "links")
-        labels = _labels(met, links)
+        labels = connected_components(links)
     grouped = rows.select("doc_id", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     classes = materialise(grouped.groupBy("label", "doc_id").agg(F.count("*").alias("copies"), F.first("node").alias("node")), "classes")
     sizes = classes.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
@@ -254,26 +260,22 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return joined.select("doc_id", "class_id", "class_size", (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("copy") == 1)).alias("kept"))
 
 
-def _labels(met: DataFrame, links: DataFrame) -> DataFrame:
-    found = connected_components(links)
-    return materialise(met.join(found, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "labels")
-
-
-def _cross_pairs(shared: DataFrame, nodes: DataFrame, labels: DataFrame, best_only: bool) -> DataFrame | None:
+def _cross_pairs(shared: DataFrame, nodes: DataFrame, labels: DataFrame, best_only: bool, threshold: float) -> DataFrame | None:
     """Pairs of different components in one bucket, from nodes outside the bucket's largest component."""
-    placed = shared.select("band", "bucket", "node").join(labels, "node")
+    placed = shared.select("band", "bucket", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     by_label = placed.groupBy("band", "bucket", "label").agg(F.count("*").alias("n"))
     mixed_buckets = by_label.groupBy("band", "bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"), F.sum("n").alias("size")).filter("labels > 1")
     there = materialise(placed.join(mixed_buckets, ["band", "bucket"]).select("band", "bucket", "node", "label", "main", "size"), "mixed")
     if there.limit(1).count() == 0:
         return None
-    full = there.join(nodes.select("node", "signature"), "node").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    carried = ["signature"] if best_only else ["signature", "thin"]
+    full = there.join(nodes.select("node", *carried), "node").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     block = lambda seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks")).cast("int")
-    left = full.filter("label <> main").select("band", "bucket", block(1).alias("row"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("col"), "node", "label", "signature")
+    left = full.filter("label <> main").select("band", "bucket", block(1).alias("row"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("col"), "node", "label", *carried)
     outside = left.select("band", "bucket", "row").distinct()
-    right = full.withColumn("col", block(1)).select("band", "bucket", "col", F.col("node").alias("o_node"), F.col("label").alias("o_label"), "signature").join(outside, ["band", "bucket"])
-    right = right.select(F.col("band").alias("o_band"), F.col("bucket").alias("o_bucket"), F.col("row").alias("o_row"), F.col("col").alias("o_col"), "o_node", "o_label", F.col("signature").alias("signature"))
-    pairs = left.groupBy("band", "bucket", "row", "col").cogroup(right.groupBy("o_band", "o_bucket", "o_row", "o_col")).applyInArrow(_cross(best_only), "a binary, b binary, agree double")
+    right = full.withColumn("col", block(1)).select("band", "bucket", "col", F.col("node").alias("o_node"), F.col("label").alias("o_label"), *carried).join(outside, ["band", "bucket"])
+    right = right.select(F.col("band").alias("o_band"), F.col("bucket").alias("o_bucket"), F.col("row").alias("o_row"), F.col("col").alias("o_col"), "o_node", "o_label", *[F.col(c).alias(c) for c in carried])
+    pairs = left.groupBy("band", "bucket", "row", "col").cogroup(right.groupBy("o_band", "o_bucket", "o_row", "o_col")).applyInArrow(_cross(best_only, threshold), "a binary, b binary, agree double")
     if best_only:
         pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
