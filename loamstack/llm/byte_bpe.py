@@ -74,8 +74,14 @@ class MergeFold:
                 if a is not None and b is not None:
                     key = (a << 16 | b) - (a >> 15 << 32)  # as a signed number of 32 bits
                     buckets[key % (BUCKETS - 1)][key] = rank - OFFSET
+        # Most words begin with pairs of bytes: these have a table of their own, if the ids of bytes are the first 256.
+        self.by_byte = all(ranks[bytes([a])] < 256 for a in range(256))
+        pairs: list[int | None] = [None] * 65536
+        for word, rank in ranks.items():
+            if self.by_byte and len(word) == 2:
+                pairs[ranks[word[:1]] << 8 | ranks[word[1:]]] = rank - OFFSET
         # Foldable expressions, so the optimiser turns each into one literal; lambda variables stand for them below.
-        self._literals = (F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>").cast("array<map<int,int>>"),
+        self._literals = (F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>").cast("array<map<int,int>>"), F.from_json(F.lit(json.dumps(pairs)), "array<int>"),
                           F.split(F.lit("".join(chr(FIRST_SIGN + i) for i in range(len(ranks)))), ""))
 
     def rank(self, a: Column, b: Column) -> Column:
@@ -86,6 +92,13 @@ class MergeFold:
         pairs = F.flatten(F.transform(ids, lambda x, i: F.array(self.rank(F.get(ids, i - 1), x), x)))
         return F.concat(pairs, F.array(F.lit(None).cast("int")))
 
+    def _laid_bytes(self, word: Column) -> Column:
+        """The same for a word of single bytes."""
+        if not self.by_byte:
+            return self._laid(word)
+        pairs = F.flatten(F.transform(word, lambda x, i: F.array(F.get(self.pairs, F.shiftleft(F.get(word, i - 1), 8).bitwiseOR(x)), x)))
+        return F.concat(pairs, F.array(F.lit(None).cast("int")))
+
     @staticmethod
     def _ids(laid: Column) -> Column:
         return F.filter(laid, lambda x, i: i % 2 == 1)
@@ -100,7 +113,7 @@ class MergeFold:
         def step(laid: Column, _: Column) -> Column:
             return _let(F.array_position(laid, F.array_min(laid)).cast("int"), lambda q: F.when(F.get(laid, q - 1) < 0, self._merge(laid, q)).otherwise(laid))
 
-        return self._ids(F.aggregate(F.sequence(F.lit(1), F.size(word) - 1), self._laid(word), step))
+        return self._ids(F.aggregate(F.sequence(F.lit(1), F.size(word) - 1), self._laid_bytes(word), step))
 
     def _long(self, word: Column) -> Column:
         """Merge wherever the least pair occurs, if single merges would too."""
@@ -119,16 +132,17 @@ class MergeFold:
             more = _let(F.array_position(laid, F.array_min(laid)).cast("int"), lambda q: F.when(F.get(laid, q - 1) < 0, state(merge_all(laid, q), True)).otherwise(state(laid, False)))
             return F.when(acc["go"], more).otherwise(acc)
 
-        return self._ids(F.aggregate(F.sequence(F.lit(1), F.size(word) - 1), state(self._laid(word), True), step)["laid"])
+        return self._ids(F.aggregate(F.sequence(F.lit(1), F.size(word) - 1), state(self._laid_bytes(word), True), step)["laid"])
 
     def encode(self, words: Column) -> Column:
         """``words``: array of words, each an array of the ids of its bytes."""
 
-        def with_literals(buckets: Column, signs: Column) -> Column:
-            self.buckets, self.signs = buckets, signs
+        def with_literals(buckets: Column, pairs: Column, signs: Column) -> Column:
+            self.buckets, self.pairs, self.signs = buckets, pairs, signs
             return F.transform(words, lambda w: F.when(F.size(w) < 2, w).when(F.size(w) <= LONG, self._short(w)).otherwise(self._long(w)))
 
-        return _let(self._literals[0], lambda buckets: _let(self._literals[1], lambda signs: with_literals(buckets, signs)))
+        a, b, c = self._literals
+        return _let(a, lambda buckets: _let(b, lambda pairs: _let(c, lambda signs: with_literals(buckets, pairs, signs))))
 
 
 def _found(texts: list[str], simple: bool, pattern: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
