@@ -234,15 +234,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     own = docs.select("doc_id", "text")
     kind = own.schema["doc_id"].dataType.simpleString()
     rows = materialise(own.mapInArrow(_sketch, f"doc_id {kind}, node binary, has_words boolean, signature binary, bands array<long>"), "signatures")
-    nodes = materialise(rows.filter("has_words").groupBy("node").agg(F.first("signature").alias("signature"), F.first("bands").alias("bands")), "nodes")
+    nodes = materialise(rows.filter("has_words").groupBy("node").agg(F.first("signature").alias("signature"), F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id")), "nodes")
     members = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     buckets = members.groupBy("band", "bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
     # Only nodes that share a bucket go on.
     shared = materialise(members.join(buckets, ["band", "bucket"]), "buckets")
     pairs = _signed(shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), nodes)
-    met = materialise(shared.select("node").distinct(), "met")
-    first = rows.join(met, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = first.select(F.col("doc_id").alias("_wanted")).distinct()
+    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select(F.col("doc_id").alias("_wanted")).distinct()
     texts = own.join(wanted, own["doc_id"].eqNullSafe(wanted["_wanted"]), "left_semi")
     sets = materialise(texts.mapInArrow(_sets, "node binary, shingles binary, thin binary").groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("thin").alias("thin")), "shingles")
     links = materialise(_links(pairs, sets, threshold), "links")
