@@ -1,9 +1,11 @@
-"""Near duplicates by ProbMinHash: weighted shingles, banding, exact verification, connected components.
+"""Near duplicates by ProbMinHash: shingles, banding, exact verification, connected components.
 
-A text's shingles are its runs of five words (white space apart; a shorter text is one shingle). The weight of a
-shingle is 1 + ln(count). Every shingle starts a Poisson process with its weight as rate; each arrival falls into one of
-``REGISTERS`` registers, which keeps the shingle of its earliest arrival. A shingle stops when its next arrival comes after the
-latest of all registers. Two texts agree in a register with their probability Jaccard similarity.
+A text's shingles are its runs of five words (white space apart; a shorter text is one shingle). Every shingle starts
+a Poisson process with its weight as rate; each arrival falls into one of ``REGISTERS`` registers, which keeps the
+shingle of its earliest arrival. A shingle stops when its next arrival comes after the latest of all registers. Two texts
+agree in a register with their probability Jaccard similarity. Links are decided by the sets of shingles, so every
+shingle has weight 1 here, however often its text repeats it: then that similarity is the one of the sets, each register
+on its own. Weights by count would put it far below for a text that repeats what the other says once.
 
 Texts with the same words form one node, so that copies never meet in pairs. Nodes that agree in a band of ``ROWS``
 registers meet in its bucket. Three rounds find all links (Jaccard similarity of the sets of shingles, at least ``THRESHOLD``):
@@ -14,8 +16,8 @@ registers meet in its bucket. Three rounds find all links (Jaccard similarity of
 3. all pairs of different components that are left, each in the first band that its nodes share. The blocks carry the
    shingles (32 bits of each), and only pairs that come within ``SLACK`` of the threshold leave their task.
 
-Signatures that agree in less than ``LEAST_AGREEMENT`` of their registers (over five standard deviations below the
-threshold) are not compared further.
+Signatures that agree in less than ``least_agreement`` of their registers are not compared further: a pair at the
+threshold does so with a probability below ``MISS`` (the bands miss it with 5e-8).
 
 Result: one row for each row of the input: doc_id, class_id (the least doc_id of its class), class_size, kept (one row
 for each class). Edge cases: a null text counts as empty; texts without words form one class; rows with one doc_id
@@ -26,6 +28,7 @@ doc_id and text are never looked at.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -41,7 +44,7 @@ WORDS = 5
 THRESHOLD = 0.8
 REGISTERS, ROWS = 128, 4
 BANDS = REGISTERS // ROWS
-LEAST_AGREEMENT = 0.6
+MISS = 1e-12
 SLACK = 0.01
 CHUNK_ROWS, CHUNK_CHARS = 512, 2_000_000
 #: Rows of a bucket that meet at a time in rounds 2 and 3.
@@ -49,6 +52,17 @@ BLOCK = 1024
 ONE_WAY = np.uint64(0x9E3779B97F4A7C15)
 
 
+@cache
+def least_agreement(threshold: float, registers: int = REGISTERS) -> float:
+    """The largest share of registers below which a pair at the threshold falls with a probability under ``MISS`` (binomial)."""
+    below = 0.0
+    for n in range(registers):
+        below += math.comb(registers, n) * threshold**n * (1 - threshold) ** (registers - n)
+        if below >= MISS:
+            return n / registers
+    return 1.0
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -96,7 +110,7 @@ def shingle_keys(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.n
 
 
 def prob_min_hash(keys: np.ndarray, counts: np.ndarray, texts: int, registers: int = REGISTERS) -> np.ndarray:
-    """For each text the shingles (32 bits of their hashes) of the earliest arrivals, 0 where there is none."""
+    """For each text the shingles (32 bits of their hashes) of the earliest arrivals at rates 1 + ln(count), 0 where there is none."""
     owner = (keys >> np.uint64(54)).astype(np.int64)
     shingle = keys & np.uint64((1 << 54) - 1)
     rate = 1 + np.log(counts)
@@ -142,7 +156,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     fold = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
     for ids, texts in _chunks(batches):
         keys, counts = shingle_keys(texts)
-        sig = prob_min_hash(keys, counts, len(texts))
+        sig = prob_min_hash(keys, np.ones_like(counts), len(texts))
         bands = np.repeat(fold[None], len(texts), 0)
         for r in range(ROWS):
             bands = mixed(bands * np.uint64(0xD6E8FEB86659FD93) + sig[:, r::ROWS])
@@ -182,10 +196,13 @@ def _verify(threshold: float):
     return run
 
 
-def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint32).reshape(b.num_rows, -1) for k in (2, 3))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array((x == y).mean(1) >= LEAST_AGREEMENT))
+def _agree(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint32).reshape(b.num_rows, -1) for k in (2, 3))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array((x == y).mean(1) >= least_agreement(threshold)))
+
+    return run
 
 
 def _cross(best_only: bool, threshold: float):
@@ -203,7 +220,7 @@ def _cross(best_only: bool, threshold: float):
             for i, node in enumerate(nodes):
                 same = sig[1] == sig[0][i]
                 share = np.where(other != own[i], same.mean(1), 0)
-                at = np.flatnonzero(share >= LEAST_AGREEMENT)
+                at = np.flatnonzero(share >= least_agreement(threshold))
                 if best_only:
                     at = at[[share[at].argmax()]] if len(at) else at
                 else:
@@ -223,10 +240,10 @@ def _links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_verify(threshold), "a binary, b binary")
 
 
-def _signed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _signed(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     one = nodes.select(F.col("node").alias("a"), F.col("signature").alias("x"))
     two = nodes.select(F.col("node").alias("b"), F.col("signature").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_agree, "a binary, b binary")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_agree(threshold), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -239,7 +256,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     buckets = members.groupBy("band", "bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
     # Only nodes that share a bucket go on.
     shared = materialise(members.join(buckets, ["band", "bucket"]), "buckets")
-    pairs = _signed(shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), nodes)
+    pairs = _signed(shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), nodes, threshold)
     wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select(F.col("doc_id").alias("_wanted")).distinct()
     texts = own.join(wanted, own["doc_id"].eqNullSafe(wanted["_wanted"]), "left_semi")
     sets = materialise(texts.mapInArrow(_sets, "node binary, shingles binary, thin binary").groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("thin").alias("thin")), "shingles")

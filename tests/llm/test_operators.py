@@ -210,6 +210,25 @@ def test_near_dedup(spark, mixed):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_dedup_of_repeated_lines(spark):
+    rng = random.Random(11)
+    texts = []
+    for times in (1000, 1000, 1000, 30, 1000, 1000):
+        head, line = words(rng, 84), words(rng, 20)
+        texts += [f"{head} {line}", " ".join([head, *[line] * times])]
+        first, last = words(rng, 40), words(rng, 40)
+        texts += [" ".join([first] * times + [last]), " ".join([first] + [last] * times)]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(documents(spark, texts)).collect()}
+    assert got == brute_classes(texts) and len(set(got.values())) == len(texts) // 2
+
+
+def test_least_agreement_keeps_pairs_at_the_threshold():
+    rng = np.random.default_rng(4)
+    for threshold in (0.5, 0.8, 0.95):
+        least = minhash.least_agreement(threshold)
+        assert 0 < least < threshold and rng.binomial(minhash.REGISTERS, threshold, 1_000_000).min() >= least * minhash.REGISTERS
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(0)
     for share in (0.9, 0.5):
