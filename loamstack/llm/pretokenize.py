@@ -2,7 +2,8 @@
 
 Byte-pair encoders treat every pre-token on its own, so a batch is cut into pre-tokens with array operations, each
 distinct one is encoded once by the tokenizers library and the ids are gathered. This holds for texts whose code
-points all lie below ``LIMIT`` (Latin scripts); the library encodes any other text as a whole.
+points all lie below ``LIMIT`` (Latin scripts) and that hold no added token's string; the library encodes any other text
+as a whole, added tokens included, as it does with ``add_special_tokens=False``.
 """
 
 from __future__ import annotations
@@ -133,10 +134,18 @@ class CachedEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.level, self.lower = level, lower
+        # The library matches those of the normalized kind in the lowered text.
+        self.added = [t.content.lower() if lower else t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._clear()
 
+    def _alone(self, text: str) -> bool:
+        """Whether the text's pre-tokens are all there is to it."""
+        if not plain(text):
+            return False
+        low = text.lower() if self.lower else text
+        return not any(t in low for t in self.added)
+
     def _clear(self) -> None:
         self.known: dict[bytes, int] = {}
         self.ids, self.used = np.zeros(1 << 16, np.uint16), 0
@@ -191,7 +200,7 @@ class CachedEncoder:
                 part, size = [], 0
 
         for t in texts:
-            if plain(t):
+            if self._alone(t):
                 part.append(t)
                 size += len(t)
                 if size >= CHUNK_CHARS:

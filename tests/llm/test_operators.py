@@ -303,6 +303,25 @@ def test_variable_length_code():
         assert len(control) == -(-n // 4) and (token_store.decode_ranks(control, data, n) == ranks).all()
 
 
+def test_added_tokens_are_the_librarys(spark):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(6)
+    texts = ["a <|endoftext|> x", "<|startoftext|>", "<|ENDOFTEXT|> É", "日本 <|endoftext|>é", "<|endoftext|><|endoftext|>"]
+    texts += ["".join(rng.choices(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", "endoftext", " ", "I'll", "é", "\n", "中"], k=rng.randint(1, 9))) for _ in range(300)]
+    for name, kind in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+        fresh = Tokenizer.from_file(tokenizer_path(name))
+        want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+        ids, counts = pretokenize.encoder(tokenizer_path(name), kind).encode(texts)
+        assert ids.tolist() == [i for x in want for i in x] and counts.tolist() == [len(x) for x in want]
+    # The last fresh one and want are the word pattern's.
+    packed = packing.pack_documents(documents(spark, texts[:5]), tokenizer_path("word_bpe_49k.json")).collect()
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in packed} == {i: [*want[i], 1] for i in range(5)}
+    fresh = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    for r in token_store.stored(documents(spark, texts[:5]), tokenizer_path("byte_bpe_50k.json"), ids=True).collect():
+        assert np.frombuffer(r["ids"], "<u4").tolist() == [*fresh.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 2]
+
+
 def test_pretokens_are_the_librarys():
     rng = random.Random(5)
     texts = ["".join(rng.choices("aAbsStTdmrevl''   \n\t\x0b \u0085\x1c12²½.,-_!éÉßſŉªʼˢΑ中", k=rng.randint(0, 40))) for _ in range(2000)]
