@@ -45,7 +45,7 @@ def _best(q: np.ndarray, c: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int
     if exact:
         scores = (q @ c.T).astype(np.int64)
         key = scores * len(c) + np.arange(len(c) - 1, -1, -1)
-        low = np.iinfo(np.int64).min
+        low = np.iinfo(np.int64).min + 1  # the least number whose negative is a long too
     else:
         big = lambda m: np.array([[int(x) for x in r] for r in m], dtype=object)
         scores = np.clip(big(q) @ big(c).T, -(2**63), 2**63 - 1)

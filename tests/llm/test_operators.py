@@ -179,6 +179,13 @@ def test_topk(spark):
     assert topk.search(df.limit(0), df).count() == 0 and topk.search(df.limit(5), df.limit(0)).count() == 0
 
 
+def test_topk_of_one_shard_is_whole():
+    q = np.array([[3.0, 1.0]])
+    c = np.array([[float(i), 1.0] for i in range(50)])
+    scores, cols = topk._best(q, c, np.array([20]), np.arange(50), 10)
+    assert cols[0].tolist() == list(range(49, 39, -1)) and scores[0].tolist() == [3 * i + 1 for i in range(49, 39, -1)]
+
+
 def brute_classes(texts):
     sets = {}
     for i, t in enumerate(texts):
