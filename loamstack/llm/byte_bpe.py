@@ -1,36 +1,48 @@
 """Byte-level BPE: Spark's higher-order functions fold ranked merges over the byte arrays of distinct words.
 
-A pass of array operations cuts each text by the pattern and passes on, for each block of texts, the words that are
-new to its task (as arrays of the ids of their bytes) and the place of every word. The fold then runs in the JVM: in
-each step the adjacent pair of least rank, the leftmost of equals, becomes one token, looked up in a literal map of
-ranks that is dealt over buckets. A last pass gathers the ids of each text. No shuffle takes place.
+1. Texts are cut by the pattern in chunks. A chunk is written as the places of its words in its own dictionary, and the
+   dictionary beside it, dealt into parts by the hash of the word.
+2. Each part makes its words distinct, so that a word of the corpus is folded once, however many chunks hold it. The fold
+   runs in the JVM: in each step the adjacent pair of least rank, the leftmost of equals, becomes one token, looked up in
+   a literal map of ranks that is dealt over buckets.
+3. The ids go back to the chunks that asked for the words, and each chunk gathers those of its texts. Texts themselves are
+   never shuffled; a chunk sends a word once.
 
 In words over ``LONG`` bytes all occurrences of the least pair merge in one step if that gives what single merges
 give: no pair of the result, and no pair of the new token with the pair's first token, ranks below it.
 
 Rank files have to be such that every token is reached by merges of its bytes (checked on loading); an id is its rank.
-Edge cases: a null or empty text has no ids; repeated rows each get theirs; an empty table gives an empty result;
-other columns are never looked at. A long word takes time in proportion to its length times its distinct merges.
+Edge cases: a null or empty text has no ids; repeated rows each get theirs; a doc_id may be null or of any type; an empty
+table gives an empty result; other columns are never looked at. A long word takes time in proportion to its length times
+its distinct merges.
 """
 
 from __future__ import annotations
 
 import base64
 import json
+import math
+import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from loamstack.llm.pretokenize import Words, byte_level, plain
+from loamstack.llm.pretokenize import BYTE_LEVEL_PATTERN, Words, byte_level, plain
+from loamstack.llm.store import MOST_BUCKETS, bucketed, small_batches
 
 BUCKETS = 1 << 15
 LONG = 48
-CHUNK_CHARS = 2_000_000
-TASK_WORDS = 300_000
+#: Characters of a chunk, which has one dictionary, and of the slices in which it is cut.
+CHUNK_CHARS, SLICE_CHARS = 16_000_000, 1_000_000
+#: Bytes of text for each part of the words.
+PART_BYTES = 12_000_000
 #: What is taken from ranks, so that they lie below all ids.
 OFFSET = 1 << 20
 #: Sequences of ids are written as strings, an id as one character from here, where replace() has to work on them.
@@ -157,48 +169,117 @@ def _found(texts: list[str], simple: bool, pattern: str) -> tuple[list[bytes], n
     return d.dictionary.to_pylist(), np.asarray(d.indices), np.array([len(words) for words in cut], np.int64)
 
 
-def _cut(byte_ids: np.ndarray, pattern: str):
+def _planes(codes: np.ndarray) -> bytes:
+    """Numbers below 2**24 as three planes of bytes, which compress far better than whole numbers."""
+    return codes.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T.tobytes()
+
+
+def _from_planes(data: pa.Buffer) -> np.ndarray:
+    low, mid, high = np.frombuffer(data, np.uint8).reshape(3, -1).astype(np.int32)
+    return low | mid << 8 | high << 16
+
+
+def _slices(batches: Iterator[pa.RecordBatch], fast: bool) -> Iterator[tuple[list, list[str], bool]]:
+    """Ids and texts in slices of one kind: all of Latin script or all not."""
+    for b in (whole.slice(at, BATCH_ROWS) for whole in batches for at in range(0, whole.num_rows, BATCH_ROWS)):
+        ids: list = []
+        texts: list[str] = []
+        size, simple = 0, True
+        for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            t = t or ""
+            same = (fast and plain(t)) == simple
+            if ids and (not same or size >= SLICE_CHARS):
+                yield ids, texts, simple
+                ids, texts, size = [], [], 0
+            simple = simple if same else not simple
+            ids.append(d)
+            texts.append(t)
+            size += len(t)
+        if ids:
+            yield ids, texts, simple
+
+
+def _cut(pattern: str, parts: int, kind: pa.DataType):
+    """Rows of slices (part -1) and, for each chunk of slices, rows of its distinct words by part."""
+    schema = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("doc_ids", pa.list_(kind)), ("counts", pa.binary()), ("places", pa.binary()), ("words", pa.binary()), ("sizes", pa.binary()), ("codes", pa.binary())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        chunk, size = TaskContext.get().partitionId() << 24, 0
         known: dict[bytes, int] = {}
 
-        def block(ids: list, texts: list[str], simple: bool) -> pa.RecordBatch:
-            nonlocal known
+        def words() -> pa.RecordBatch:
+            """The chunk's words by part, each part's in the order of their codes."""
+            names = list(known)
+            part = np.fromiter(map(zlib.crc32, names), np.int64, len(names)) % parts
+            order = np.argsort(part, kind="stable")
+            cuts = _cuts(part[order])
+            length = np.fromiter(map(len, names), np.int32, len(names))
+            rows = [(chunk, int(part[order[a]]), None, None, None, b"".join([names[i] for i in order[a:b]]), length[order[a:b]].tobytes(), order[a:b].astype("<i4").tobytes()) for a, b in pairwise(cuts)]
+            return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+        for ids, texts, simple in _slices(batches, pattern == BYTE_LEVEL_PATTERN):
             values, codes, counts = _found(texts, simple, pattern)
-            if len(known) > TASK_WORDS:
-                known = {}
-            base = len(known)
-            new = [w for w in values if w not in known]
-            known.update(zip(new, range(base, base + len(new)), strict=True))
-            places = np.fromiter(map(known.__getitem__, values), np.int32, len(values))[codes] if len(values) else np.zeros(0, np.int32)
-            joined = byte_ids[np.frombuffer(b"".join(new), np.uint8)]
-            ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, new), np.int64, len(new)))]).astype(np.int32)
-            words = pa.ListArray.from_arrays(pa.array(ends), pa.array(joined))
-            outer = pa.ListArray.from_arrays(pa.array([0, len(new)], pa.int32()), words)
-            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(kind)), pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([base], pa.int32()), outer, pa.array([places.tobytes()], pa.binary())],
-                                              names=["doc_ids", "counts", "base", "words", "places"])
-
-        kind = None
-        for b in (whole.slice(at, BATCH_ROWS) for whole in batches for at in range(0, whole.num_rows, BATCH_ROWS)):
-            kind = b.schema.field(0).type
-            ids: list = []
-            texts: list[str] = []
-            size, simple = 0, True
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                t = t or ""
-                same = plain(t) == simple
-                if ids and (not same or size >= CHUNK_CHARS):
-                    yield block(ids, texts, simple)
-                    ids, texts, size = [], [], 0
-                simple = simple if same else not simple
-                ids.append(d)
-                texts.append(t)
-                size += len(t)
-            if ids:
-                yield block(ids, texts, simple)
+            for w in values:
+                known.setdefault(w, len(known))
+            places = np.fromiter(map(known.__getitem__, values), np.int32, len(values))[codes] if values else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip((chunk, -1, ids, counts.astype("<i8").tobytes(), _planes(places), None, None, None), schema, strict=True)], schema=schema)
+            size += sum(map(len, texts))
+            if size >= CHUNK_CHARS:
+                if known:
+                    yield words()
+                chunk, size, known = chunk + 1, 0, {}
+        if known:
+            yield words()
 
     return run
 
 
+def _cuts(ordered: np.ndarray) -> list[int]:
+    """Where runs of equal numbers begin, and the end."""
+    return [*np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])).tolist(), len(ordered)] if len(ordered) else [0]
+
+
+def _numbers(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    parts = [np.frombuffer(x.as_buffer(), kind) for x in column]
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def _distinct(byte_ids: np.ndarray):
+    """One row for a part: its distinct words as arrays of byte ids, and where each chunk's words stand among them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        sizes = _numbers(table["sizes"], "<i4")
+        data = b"".join(x.as_buffer() for x in table["words"])
+        found = _binary(data, np.append(0, np.cumsum(sizes, dtype=np.int64))).dictionary_encode()
+        letters = byte_ids[np.frombuffer(b"".join(found.dictionary.to_pylist()), np.uint8)]
+        ends = np.append(0, np.cumsum(np.asarray(pc.binary_length(found.dictionary)), dtype=np.int64)).astype(np.int32)
+        words = pa.ListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(letters)))
+        counts = [len(x.as_buffer()) // 4 for x in table["codes"]]
+        return pa.table([pa.array([table["chunk"].to_pylist()], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int32())), words, pa.array([np.asarray(found.indices).astype("<i4").tobytes()]), pa.array([_numbers(table["codes"], "<i4").tobytes()])],
+                        names=["chunks", "counts", "words", "at", "codes"])
+
+    return run
+
+
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids of a part's words, back to the chunks that asked for them."""
+    for b in batches:
+        for i in range(b.num_rows):
+            chunks, counts, words, at, codes = (b.column(k)[i] for k in range(5))
+            new = words.values
+            flat, ends = np.asarray(new.flatten(), np.uint16), np.asarray(new.offsets).astype(np.int64)
+            at, codes = np.frombuffer(at.as_buffer(), "<i4"), np.frombuffer(codes.as_buffer(), "<i4")
+            start, size, last, rows = ends[:-1] - ends[0], np.diff(ends), 0, []
+            for c, n in zip(chunks.as_py(), counts.as_py(), strict=True):
+                own = at[last : last + n]
+                ids, _ = _gather(flat, start[own], size[own])
+                rows.append((c, codes[last : last + n].tobytes(), size[own].astype("<u4").tobytes(), ids.astype("<u2").tobytes()))
+                last += n
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["w_chunk", "codes", "sizes", "ids"])
+
+
 def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The stretches of ``flat`` one after the other, and where each ends."""
     ends = np.cumsum(size)
@@ -223,42 +304,47 @@ class Pieces:
         return _gather(self.flat, self.start[ids], self.size[ids])
 
 
-def _assemble(pieces: Pieces | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = start = size = None
-        for b in batches:
-            for i in range(b.num_rows):
-                docs, counts, base, words, places = (b.column(k)[i] for k in range(5))
-                new = words.values
-                own = np.asarray(new.flatten(), np.uint16) if len(new) else np.zeros(0, np.uint16)
-                own_size = np.diff(np.asarray(new.offsets)).astype(np.int64) if len(new) else np.zeros(0, np.int64)
-                own_start = np.cumsum(own_size) - own_size
-                if base.as_py() == 0:
-                    flat, start, size = own, own_start, own_size
-                else:
-                    start, size = np.concatenate([start, own_start + len(flat)]), np.concatenate([size, own_size])
-                    flat = np.concatenate([flat, own])
-                at = np.frombuffer(places.as_buffer(), np.int32)
-                ids, ends = _gather(flat, start[at], size[at])
-                last = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(np.asarray(counts.values))])]
-                columns = [docs.values, pa.array(np.diff(last), pa.int64()), _binary(ids.astype("<u4").tobytes(), 4 * last)]
-                if pieces:
-                    letters, ends = pieces.decode(ids)
-                    columns.append(_binary(letters.tobytes(), np.concatenate([[0], ends])[last]))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded"][: len(columns)])
+def _assemble(pieces: Pieces | None, kind: pa.DataType):
+    """The ids of a chunk's texts from those of its words."""
+    schema = pa.schema([("doc_id", kind), ("n_tokens", pa.int64()), ("ids", pa.binary())] + [("decoded", pa.binary())] * bool(pieces))
+
+    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+        codes, sizes, flat = _numbers(words["codes"], "<i4"), _numbers(words["sizes"], "<u4"), _numbers(words["ids"], "<u2")
+        start, size = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
+        size[codes] = sizes
+        start[codes] = np.cumsum(sizes, dtype=np.int64) - sizes
+        out = []
+        for i in range(texts.num_rows):
+            docs, counts, places = (texts[k][i] for k in ("doc_ids", "counts", "places"))
+            at = _from_planes(places.as_buffer())
+            ids, ends = _gather(flat, start[at], size[at])
+            last = np.append(0, ends)[np.append(0, np.cumsum(np.frombuffer(counts.as_buffer(), "<i8")))]
+            columns = [docs.values, pa.array(np.diff(last), pa.int64()), _binary(ids.astype("<u4").tobytes(), 4 * last)]
+            if pieces:
+                letters, ends = pieces.decode(ids)
+                columns.append(_binary(letters.tobytes(), np.append(0, ends)[last]))
+            out.append(pa.RecordBatch.from_arrays([c.cast(t.type) for c, t in zip(columns, schema, strict=True)], schema=schema))
+        return pa.Table.from_batches(out, schema)
 
     return run
 
 
 def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids (binary, little-endian unsigned 32 bits), without special tokens; if asked for, ``decoded`` from the ids."""
-    ranks = load_ranks(path)
+    ranks, spark = load_ranks(path), docs.sparkSession
     byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+    small_batches(spark)
     own = docs.select("doc_id", "text")
-    kind = own.schema["doc_id"].dataType.simpleString()
-    blocks = own.mapInArrow(_cut(byte_ids, pattern), f"doc_ids array<{kind}>, counts array<long>, base int, words array<array<int>>, places binary")
-    folded = blocks.select("doc_ids", "counts", "base", MergeFold(ranks).encode(F.col("words")).alias("words"), "places")
-    return folded.mapInArrow(_assemble(Pieces(ranks) if decoded else None), f"doc_id {kind}, n_tokens long, ids binary" + ", decoded binary" * decoded)
+    kind = own.schema["doc_id"].dataType
+    total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts, buckets = math.ceil(total / PART_BYTES) or 1, min(MOST_BUCKETS, 4 * math.ceil(total / CHUNK_CHARS) or 1)
+    cut = own.mapInArrow(_cut(pattern, parts, to_arrow_type(kind)), f"chunk long, part int, doc_ids array<{kind.simpleString()}>, counts binary, places binary, words binary, sizes binary, codes binary")
+    table = bucketed(cut, "chunk", buckets, "bpe_chunks")
+    asked = table.filter("part >= 0").select("part", "chunk", "words", "sizes", "codes")
+    new = asked.groupBy("part").applyInArrow(_distinct(byte_ids), "chunks array<long>, counts array<int>, words array<array<int>>, at binary, codes binary")
+    folded = new.select("chunks", "counts", MergeFold(ranks).encode(F.col("words")).alias("words"), "at", "codes").mapInArrow(_deal, "w_chunk long, codes binary, sizes binary, ids binary")
+    texts = table.filter("part = -1").select("chunk", "doc_ids", "counts", "places")
+    return texts.groupBy("chunk").cogroup(folded.groupBy("w_chunk")).applyInArrow(_assemble(Pieces(ranks) if decoded else None, to_arrow_type(kind)), f"doc_id {kind.simpleString()}, n_tokens long, ids binary" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

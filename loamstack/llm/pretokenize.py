@@ -20,9 +20,11 @@ import pyarrow as pa
 #: Below this every code point is stable under NFC; U+0130 alone has a lower case of two code points.
 LIMIT = 0x300
 _ODD = re.compile("[^\x00-įı-˿]")
+#: Fixed value: the byte-level pattern, which byte_level() carries out.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 L, N, O, S = range(4)
-CACHE_WORDS = 300_000
-CHUNK_CHARS = 4_000_000
+#: Words that a worker remembers, those that it learns at a time, and characters that it cuts at a time.
+CACHE_WORDS, LEARN_WORDS, CHUNK_CHARS = 120_000, 10_000, 1_000_000
 
 
 @cache
@@ -151,7 +153,11 @@ class CachedEncoder:
         self.ids, self.used = np.zeros(1 << 16, np.uint16), 0
         self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, all_words: list[bytes]) -> None:
+        for at in range(0, len(all_words), LEARN_WORDS):
+            self._learn_some(all_words[at : at + LEARN_WORDS])
+
+    def _learn_some(self, words: list[bytes]) -> None:
         encode, n = self.tokenizer.model.tokenize, len(self.known)
         signs = byte_signs()[np.frombuffer(b"".join(words), np.uint8)].tobytes().decode("utf-32-le")
         ends = list(accumulate(map(len, words), initial=0))
