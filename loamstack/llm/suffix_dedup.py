@@ -10,7 +10,8 @@ part. Of the others:
    window whose anchor occurs in one document alone is not repeated. Anchors are counted over all documents, once for
    each chunk of documents before they are dealt by hash.
 2. Around the anchors that several documents have, the contexts (the bytes of all windows of the anchor, at most
-   2 * LENGTH - GRAM) are gathered by anchor; equal contexts of a chunk count once.
+   2 * LENGTH - GRAM) are gathered by anchor. Of equal contexts of a chunk one goes, with the least and largest doc_id;
+   where they stand stays with the chunk, so a line of a third of all documents sends a row for each chunk only.
 3. Contexts of one anchor that are all equal need no sorting. The others are put into shards; each shard gets its
    Burrows-Wheeler transform, and the transforms are merged by iterative interleave refinement: round h turns the order of
    the shards' suffixes by h bytes into that by h + 2 bytes from the transforms (of letter pairs) alone, and a boundary
@@ -26,7 +27,6 @@ and text are never looked at.
 from __future__ import annotations
 
 import math
-import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -35,11 +35,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamstack.llm.store import materialise
+from loamstack.llm.store import MOST_BUCKETS, bucketed, materialise, small_batches
 
 LENGTH = 50
 GRAM = 16
 CHUNK_BYTES = 2_000_000
+BLOCK = 1 << 15
 BUCKET_ANCHORS = 500_000
 SHARDS = 8
 LAST = (1 << 63) - 1
@@ -47,43 +48,30 @@ _GAP = 0xFF  # in no UTF-8 text
 
 
 class Chunk:
-    """The texts of a chunk one after the other, with the anchor of every window."""
-
-    def __init__(self, table: pa.Table, length: int = LENGTH, gram: int = GRAM):
-        t = table.filter(pc.invert(table["copy"])).select(["_id", "_row", "text"])
-        self.ids, self.rows = np.asarray(t["_id"]).astype(np.int64), np.asarray(t["_row"]).astype(np.int64)
-        raw = [x or b"" for x in t["text"].cast(pa.binary()).to_pylist()]
+    """The texts of a chunk one after the other, with the anchor of every window. Copies are left out."""
+
+    def __init__(self, table: pa.Table, copies: set[tuple[int, int]], length: int = LENGTH, gram: int = GRAM):
+        ids, rows = np.asarray(table["_id"]).astype(np.int64), np.asarray(table["_row"]).astype(np.int64)
+        texts = table["text"].cast(pa.binary())
+        own = [i for i, k in enumerate(zip(ids.tolist(), rows.tolist(), strict=True)) if k not in copies] if copies else range(len(ids))
+        self.ids, self.rows = ids[own] if copies else ids, rows[own] if copies else rows
+        raw = [x or b"" for x in (texts.take(pa.array(own, pa.int64())) if copies else texts).to_pylist()]
         self.data = np.frombuffer(b"".join(raw), np.uint8)
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         self.ends = np.cumsum(size)
         self.begins = self.ends - size
-        n, width = len(self.data), length - gram + 1
+        n = len(self.data)
         self.at = self.low = self.high = self.owner = np.zeros(0, np.int64)
         self.hash = np.zeros(0, np.uint64)
         if n < length:
             return
-        h = self.data.astype(np.uint64) + np.uint64(1)
-        step, base = 1, 0x9E3779B97F4A7C15
-        while step < gram:
-            h = h[:-step] * np.uint64(pow(base, step, 1 << 64)) + h[step:]
-            step *= 2
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-        h ^= h >> np.uint64(29)
-        least, place, have = h, np.arange(len(h), dtype=np.int32), 1
-        while have < width:
-            d = min(have, width - have)
-            other = least[d:]
-            less = other < least[: len(other)]
-            place = np.where(less, place[d:], place[: len(other)])
-            least = np.minimum(other, least[: len(other)])
-            have += d
+        anchor, least = self._anchors(length, gram)
         valid = np.zeros(n + 1, np.int8)
         long = size >= length
         np.add.at(valid, self.begins[long], 1)
         np.add.at(valid, self.ends[long] - length + 1, -1)
         window = np.flatnonzero(np.cumsum(valid[:n]) > 0)
-        anchor = place[window]
+        anchor = anchor[window]
         new = np.ones(len(window), bool)
         new[1:] = (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1)
         first = np.flatnonzero(new)
@@ -91,19 +79,77 @@ class Chunk:
             return
         self.at, self.low = anchor[first].astype(np.int64), window[first]
         self.high = window[np.append(first[1:], len(window)) - 1]
-        self.hash = h[self.at]
+        self.hash = least[self.low]
         self.owner = np.searchsorted(self.ends, self.low, "right")
 
+    def _anchors(self, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each window the place of its anchor and the anchor's hash, in blocks that fit a processor's cache.
+
+        Grams are compared by the upper bits of their hashes, then by place (the leftmost of equals), both in one number.
+        """
+        n, width, base = len(self.data), length - gram + 1, 0x9E3779B97F4A7C15
+        place, least = np.zeros(n, np.int32), np.zeros(n, np.uint64)
+        low_bits = np.uint64((1 << (BLOCK + length).bit_length()) - 1)
+        for s in range(0, n - length + 1, BLOCK):
+            h = self.data[s : s + BLOCK + length - 1].astype(np.uint64) + np.uint64(1)
+            step = 1
+            while step < gram:
+                h = h[:-step] * np.uint64(pow(base, step, 1 << 64)) + h[step:]
+                step *= 2
+            h ^= h >> np.uint64(29)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(32)
+            h *= np.uint64(0x94D049BB133111EB)
+            h ^= h >> np.uint64(29)
+            key, have = (h & ~low_bits) | np.arange(len(h), dtype=np.uint64), 1
+            while have < width:
+                d = min(have, width - have)
+                key = np.minimum(key[:-d], key[d:])
+                have += d
+            at = (key & low_bits).astype(np.int64)
+            place[s : s + len(at)], least[s : s + len(at)] = at + s, h[at]
+        return place, least
+
 
 def _packed(columns: dict[str, list], kinds: dict[str, pa.DataType]) -> pa.Table:
     return pa.table({k: pa.array(columns[k], kinds[k]) for k in kinds})
 
 
+#: What goes to a chunk beside its texts, as columns of numbers: its copies (ids, rows), its anchors that lie in several
+#: documents (hashes), its contexts' places (how many, ids, rows, places) and what was found (contexts, windows from, to, least id).
+COPIES, WANTED, PLACES, FOUND = range(4)
+_SIDE = {"s_chunk": pa.int32(), "kind": pa.int32(), **dict.fromkeys(("a", "b", "c", "d"), pa.binary())}
+_SIDE_DDL = "s_chunk int, kind int, a binary, b binary, c binary, d binary"
+
+
+def _add(out: dict[str, list], chunk: int, kind: int, *columns: np.ndarray) -> None:
+    for k, v in zip(_SIDE, (chunk, kind, *(x.tobytes() for x in columns), *[None] * (4 - len(columns))), strict=True):
+        out[k].append(v)
+
+
+def _side(side: pa.Table, kind: int, *types: str) -> list[np.ndarray]:
+    """The columns of a chunk's rows of one kind."""
+    own = side.filter(pc.equal(side["kind"], kind)) if side.num_rows else side
+    return [_numbers(own[c], t)[0] if own.num_rows else np.zeros(0, t) for c, t in zip("abcd", types, strict=False)]
+
+
+def _copies(side: pa.Table) -> set[tuple[int, int]]:
+    return set(zip(*(x.tolist() for x in _side(side, COPIES, "<i8", "<i8")), strict=True))
+
+
+def _pack_copies(table: pa.Table) -> pa.Table:
+    out: dict[str, list] = {k: [] for k in _SIDE}
+    _add(out, table["c_chunk"][0].as_py(), COPIES, np.asarray(table["c_id"]).astype("<i8"), np.asarray(table["c_row"]).astype("<i8"))
+    return _packed(out, _SIDE)
+
+
 def _anchors(buckets: int):
     kinds = {"bucket": pa.int32(), "chunk": pa.int32(), "hashes": pa.binary(), "least": pa.binary(), "most": pa.binary()}
 
-    def run(table: pa.Table) -> pa.Table:
-        c = Chunk(table)
+    def run(table: pa.Table, side: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _packed({k: [] for k in kinds}, kinds)
+        c = Chunk(table, _copies(side))
         order = np.lexsort((c.ids[c.owner], c.hash))
         h, d = c.hash[order], c.ids[c.owner][order]
         first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
@@ -139,19 +185,17 @@ def _repeated(table: pa.Table) -> pa.Table:
     several = np.minimum.reduceat(least[order], first) < np.maximum.reduceat(most[order], first)
     keep = np.zeros(len(h), bool)
     keep[order] = np.repeat(several, np.diff(np.append(first, len(s))))
-    chunks, out = table["chunk"].to_pylist(), {"r_chunk": [], "hashes": []}
+    chunks, out = table["chunk"].to_pylist(), {k: [] for k in _SIDE}
     cuts = np.searchsorted(row, np.arange(len(chunks) + 1))
     for i, c in enumerate(chunks):
         mine = h[cuts[i] : cuts[i + 1]][keep[cuts[i] : cuts[i + 1]]]
         if len(mine):
-            out["r_chunk"].append(c)
-            out["hashes"].append(mine.tobytes())
-    return _packed(out, {"r_chunk": pa.int32(), "hashes": pa.binary()})
+            _add(out, c, WANTED, mine)
+    return _packed(out, _SIDE)
 
 
-_LONGS = pa.list_(pa.int64())
-_ENTRY = {"bucket": pa.int32(), "chunk": pa.int32(), "hash": pa.int64(), "context": pa.binary(), "least": pa.int64(), "ids": _LONGS, "rows": _LONGS, "places": _LONGS}
-_ENTRY_DDL = "bucket int, chunk int, hash long, context binary, least long, ids array<long>, rows array<long>, places array<long>"
+_ENTRY = {"bucket": pa.int32(), "chunk": pa.int32(), "entry": pa.int32(), "hash": pa.int64(), "context": pa.binary(), "least": pa.int64(), "most": pa.int64(), **dict.fromkeys(("a", "b", "c", "d"), pa.binary())}
+_ENTRY_DDL = "bucket int, chunk int, entry int, hash long, context binary, least long, most long, a binary, b binary, c binary, d binary"
 
 
 def _starts(code: np.ndarray) -> np.ndarray:
@@ -159,28 +203,29 @@ def _starts(code: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
 
 
-def _lists(values: np.ndarray, starts: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)).astype(np.int32)), pa.array(values))
-
-
 def _contexts(buckets: int, length: int = LENGTH):
-    def run(table: pa.Table, wanted: pa.Table) -> pa.Table:
-        if not table.num_rows or not wanted.num_rows:
+    """The chunk's distinct contexts with their least and largest ids; where each stands stays with the chunk (bucket -1)."""
+
+    def run(table: pa.Table, side: pa.Table) -> pa.Table:
+        wanted = np.sort(_side(side, WANTED, "<u8")[0])
+        if not table.num_rows or not len(wanted):
             return _packed({k: [] for k in _ENTRY}, _ENTRY)
-        c, w = Chunk(table), np.sort(_numbers(wanted["hashes"], "<u8")[0])
-        hit = np.flatnonzero(w[np.minimum(np.searchsorted(w, c.hash), len(w) - 1)] == c.hash)
+        c, chunk = Chunk(table, _copies(side)), table["chunk"][0].as_py()
+        hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, c.hash), len(wanted) - 1)] == c.hash)
         owner, start, size = c.owner[hit], c.low[hit], c.high[hit] + length - c.low[hit]
         ends = np.cumsum(size)
         data = c.data[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
         texts = pa.Array.from_buffers(pa.binary(), len(hit), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(data.tobytes())]).dictionary_encode()
         code, ids = np.asarray(texts.indices), c.ids[owner]
         order = np.lexsort((ids, code))
-        first = _starts(code[order])
-        h = c.hash[hit][order][first]
-        return pa.table({
-            "bucket": pa.array((h % np.uint64(buckets)).astype(np.int32)), "chunk": pa.array(np.full(len(first), table["chunk"][0].as_py(), np.int32)), "hash": pa.array(h.view(np.int64)),
-            "context": texts.dictionary.take(pa.array(code[order][first])), "least": pa.array(ids[order][first]), "ids": _lists(ids[order], first), "rows": _lists(c.rows[owner][order], first),
-            "places": _lists((start - c.begins[owner])[order], first)})
+        first, ids = _starts(code[order]), ids[order]
+        stop, h = np.append(first[1:], len(order)), c.hash[hit][order][first]
+        none = pa.nulls(len(first), pa.binary())
+        own = pa.table([pa.array((h % np.uint64(buckets)).astype(np.int32)), pa.array(np.full(len(first), chunk, np.int32)), pa.array(np.arange(len(first), dtype=np.int32)), pa.array(h.view(np.int64)), texts.dictionary.take(pa.array(code[order][first])),
+                        pa.array(ids[first]), pa.array(ids[stop - 1]), none, none, none, none], names=list(_ENTRY))
+        places = (stop - first, ids, c.rows[owner][order], (start - c.begins[owner])[order])
+        kept = _packed({k: [v] for k, v in zip(_ENTRY, (-1, chunk, None, None, None, None, None, *(x.astype("<i8").tobytes() for x in places)), strict=True)}, _ENTRY)
+        return pa.concat_tables([own, kept])
 
     return run
 
@@ -259,9 +304,6 @@ def least_of_windows(contexts: list[bytes], least: np.ndarray, length: int = LEN
     return flat, begin
 
 
-_SPANS = {"s_chunk": pa.int32(), "ids": pa.binary(), "rows": pa.binary(), "starts": pa.binary(), "stops": pa.binary()}
-
-
 def _expand(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each row, ``count`` numbers from ``first``; and the row of each."""
     row = np.repeat(np.arange(len(count)), count)
@@ -269,13 +311,13 @@ def _expand(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _resolve(length: int = LENGTH):
+    """For each chunk the windows of its contexts that start in a smaller document than the context's largest, as runs of one least id."""
+
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         texts = table["context"].combine_chunks().dictionary_encode()
         code, values = np.asarray(texts.indices), texts.dictionary
         least, size = np.asarray(table["least"]), np.asarray(pc.binary_length(values))
-        lists = {k: table[k].combine_chunks() for k in ("ids", "rows", "places")}
-        count = np.asarray(pc.list_value_length(lists["ids"]))
         # Contexts of each anchor: a group with one text is clear.
         _, group = np.unique(np.asarray(table["hash"]), return_inverse=True)
         lowest, highest = np.full(group.max() + 1, len(values)), np.full(group.max() + 1, -1)
@@ -298,45 +340,43 @@ def _resolve(length: int = LENGTH):
             first_run[which] = len(values) + np.searchsorted(row[cut], np.arange(len(which)))
             runs[which] = np.bincount(row[cut], minlength=len(which))
             low, high, than = np.append(low, at[cut] - begin[row[cut]]), np.append(high, at[last] - begin[row[cut]]), np.append(than, flat[at[cut]])
-        # Every occurrence of every entry, then every run of its text.
-        entry = np.repeat(np.arange(len(count)), count)
-        run_of, occurrence = _expand(first_run[code[entry]], runs[code[entry]])
-        ids, rows, places = (np.asarray(lists[k].flatten()) for k in ("ids", "rows", "places"))
-        later = ids[occurrence] > than[run_of]
-        run_of, occurrence = run_of[later], occurrence[later]
-        chunk = np.asarray(table["chunk"])[entry[occurrence]]
+        run_of, entry = _expand(first_run[code], runs[code])
+        useful = np.asarray(table["most"])[entry] > than[run_of]
+        run_of, entry = run_of[useful], entry[useful]
+        chunk = np.asarray(table["chunk"])[entry]
         order = np.argsort(chunk, kind="stable")
-        run_of, occurrence, chunk = run_of[order], occurrence[order], chunk[order]
-        columns = [ids[occurrence], rows[occurrence], places[occurrence] + low[run_of], places[occurrence] + high[run_of] + length]
+        run_of, entry, chunk = run_of[order], np.asarray(table["entry"])[entry[order]].astype("<i8"), chunk[order]
         cut = _starts(chunk)
-        out: dict[str, list] = {k: [] for k in _SPANS}
+        out: dict[str, list] = {k: [] for k in _SIDE}
         for a, b in zip(cut.tolist(), np.append(cut[1:], len(chunk)).tolist(), strict=True):
-            for k, v in zip(_SPANS, (int(chunk[a]), *(x[a:b].tobytes() for x in columns)), strict=True):
-                out[k].append(v)
-        return _packed(out, _SPANS)
+            _add(out, int(chunk[a]), FOUND, entry[a:b], low[run_of[a:b]], high[run_of[a:b]], than[run_of[a:b]])
+        return _packed(out, _SIDE)
 
     return run
 
 
-def _marked(table: pa.Table, copies: pa.Table) -> pa.Table:
-    """The texts of a chunk, told which are equal to one with a smaller doc_id."""
-    known = set(zip(copies["c_id"].to_pylist(), copies["c_row"].to_pylist(), strict=True)) if copies.num_rows else set()
-    mark = [k in known for k in zip(table["_id"].to_pylist(), table["_row"].to_pylist(), strict=True)]
-    return table.append_column("copy", pa.array(mark, pa.bool_()))
+def _spans(side: pa.Table, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """ids, rows, starts and stops of what goes, from the chunk's places and what was found for its contexts."""
+    count, ids, rows, places = _side(side, PLACES, *["<i8"] * 4)
+    entry, low, high, than = _side(side, FOUND, *["<i8"] * 4)
+    first = np.cumsum(count) - count
+    at, run = _expand(first[entry], count[entry])
+    later = ids[at] > than[run]
+    at, run = at[later], run[later]
+    return ids[at], rows[at], places[at] + low[run], places[at] + high[run] + length
 
 
-def _remove(table: pa.Table, spans: pa.Table) -> pa.Table:
+def _remove(table: pa.Table, side: pa.Table) -> pa.Table:
     by_row: dict[tuple[int, int], list[int]] = defaultdict(list)
-    if spans.num_rows:
-        ids, rows, starts, stops = (_numbers(spans[k], "<i8")[0] for k in ("ids", "rows", "starts", "stops"))
-        for i, key in enumerate(zip(ids.tolist(), rows.tolist(), strict=True)):
-            by_row[key].append(i)
-    out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept")}
-    for i, row, copy, text in zip(table["_id"].to_pylist(), table["_row"].to_pylist(), table["copy"].to_pylist(), table["text"].cast(pa.binary()).to_pylist(), strict=True):
+    ids, rows, starts, stops = _spans(side)
+    for i, key in enumerate(zip(ids.tolist(), rows.tolist(), strict=True)):
+        by_row[key].append(i)
+    copies, out = _copies(side), {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept")}
+    for key, text in zip(zip(table["_id"].to_pylist(), table["_row"].to_pylist(), strict=True), table["text"].cast(pa.binary()).to_pylist(), strict=True):
         text = text or b""
-        own = by_row.get((i, row))
+        own = by_row.get(key)
         kept, runs = text, 0
-        if copy and len(text) >= LENGTH:
+        if key in copies and len(text) >= LENGTH:
             kept, runs = b"", 1
         elif own:
             edge = np.zeros(len(text) + 1, np.int64)
@@ -353,23 +393,26 @@ def _remove(table: pa.Table, spans: pa.Table) -> pa.Table:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary; a cut may fall inside a character)."""
     spark = docs.sparkSession
+    small_batches(spark)
     own = docs.select("doc_id", "text")
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, math.ceil(total / CHUNK_BYTES))
     buckets = max(1, math.ceil(total / ((LENGTH - GRAM + 2) / 2) / BUCKET_ANCHORS))
-    table = f"suffix_chunks_{uuid.uuid4().hex}"
     kind = own.schema["doc_id"].dataType.simpleString()
     keyed = (own.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn("_row", F.xxhash64("text"))
              .withColumn("chunk", F.pmod(F.xxhash64("doc_id", "_row"), F.lit(chunks)).cast("int")))
-    rows = materialise(keyed.select("_id", "_row", "chunk", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest")), "digests")
-    first = rows.groupBy("digest").agg(F.min("_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first")
-    copies = rows.join(first, "digest").filter("_id > first").select(F.col("chunk").alias("c_chunk"), F.col("_id").alias("c_id"), F.col("_row").alias("c_row")).distinct()
     # Written once, bucketed by chunk: the three passes over the texts need no further shuffle.
-    marked = keyed.groupBy("chunk").cogroup(copies.groupBy("c_chunk")).applyInArrow(_marked, f"doc_id {kind}, text string, _id long, _row long, chunk int, copy boolean")
-    (marked.write.bucketBy(chunks, "chunk").sortBy("chunk").option("compression", "zstd").format("parquet").saveAsTable(table))
-    texts = spark.read.table(table)
-    anchors = texts.groupBy("chunk").applyInArrow(_anchors(buckets), "bucket int, chunk int, hashes binary, least binary, most binary")
-    wanted = materialise(anchors.groupBy("bucket").applyInArrow(_repeated, "r_chunk int, hashes binary"), "anchors")
-    entries = texts.groupBy("chunk").cogroup(wanted.groupBy("r_chunk")).applyInArrow(_contexts(buckets), _ENTRY_DDL)
-    spans = materialise(entries.groupBy("bucket").applyInArrow(_resolve(), "s_chunk int, ids binary, rows binary, starts binary, stops binary"), "spans")
-    return texts.groupBy("chunk").cogroup(spans.groupBy("s_chunk")).applyInArrow(_remove, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    files = min(chunks, MOST_BUCKETS)
+    texts = bucketed(keyed.repartition(files, "chunk"), "chunk", files, "suffix_chunks")
+    digests = materialise(keyed.select("_id", "_row", "chunk", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest")), "digests")
+    first = materialise(digests.groupBy("digest").agg(F.min("_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first"), "copied")
+    # Both sides are exchanged for this join alone, so adaptive execution may split a digest that many rows share.
+    found = digests.join(first.hint("merge"), "digest").filter("_id > first").select(F.col("chunk").alias("c_chunk"), F.col("_id").alias("c_id"), F.col("_row").alias("c_row")).distinct()
+    copies = materialise(found.groupBy("c_chunk").applyInArrow(_pack_copies, _SIDE_DDL), "copies")
+    beside = lambda side, run, ddl: texts.groupBy("chunk").cogroup(side.groupBy("s_chunk")).applyInArrow(run, ddl)
+    anchors = beside(copies, _anchors(buckets), "bucket int, chunk int, hashes binary, least binary, most binary")
+    wanted = materialise(anchors.groupBy("bucket").applyInArrow(_repeated, _SIDE_DDL), "anchors")
+    entries = materialise(beside(copies.union(wanted), _contexts(buckets), _ENTRY_DDL), "contexts")
+    results = materialise(entries.filter("bucket >= 0").select("bucket", "chunk", "entry", "hash", "context", "least", "most").groupBy("bucket").applyInArrow(_resolve(), _SIDE_DDL), "found")
+    places = entries.filter("bucket = -1").select(F.col("chunk").alias("s_chunk"), F.lit(PLACES).alias("kind"), "a", "b", "c", "d")
+    return beside(copies.union(places).union(results), _remove, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
