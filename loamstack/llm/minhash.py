@@ -21,7 +21,7 @@ threshold does so with a probability below ``MISS`` (the bands miss it with 5e-8
 
 Result: one row for each row of the input: doc_id, class_id (the least doc_id of its class), class_size, kept (one row
 for each class). Edge cases: a null text counts as empty; texts without words form one class; rows with one doc_id
-count one by one, and one of them is kept; a null doc_id ranks last; an empty table gives an empty result; columns other than
+count one by one, also if their texts differ; a null doc_id ranks last; an empty table gives an empty result; columns other than
 doc_id and text are never looked at.
 """
 
@@ -31,14 +31,15 @@ import hashlib
 import math
 from collections.abc import Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamstack.llm.components import connected_components
-from loamstack.llm.store import materialise
+from loamstack.llm.store import materialise, small_batches
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -46,7 +47,7 @@ REGISTERS, ROWS = 128, 4
 BANDS = REGISTERS // ROWS
 MISS = 1e-12
 SLACK = 0.01
-CHUNK_ROWS, CHUNK_CHARS = 512, 2_000_000
+CHUNK_ROWS, CHUNK_CHARS = 256, 500_000
 #: Rows of a bucket that meet at a time in rounds 2 and 3.
 BLOCK = 1024
 ONE_WAY = np.uint64(0x9E3779B97F4A7C15)
@@ -71,30 +72,32 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2**64 and of its inverse."""
-    base = 0x5851F42D4C957F2D
-    up = np.full(n, base, np.uint64)
-    down = np.full(n, pow(base, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+def _factors() -> np.ndarray:
+    """An odd factor for each of the first places in a word."""
+    return mixed(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1)
+
+
+def _word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Of the words between ``start`` and ``stop``; every word is followed by one separator."""
+    place = np.arange(len(data)) - np.repeat(start, stop + 1 - start)
+    factor = _factors()[np.minimum(place, 4095)]
+    far = np.flatnonzero(place > 4095)
+    factor[far] = mixed(place[far].astype(np.uint64) + np.uint64(1)) | np.uint64(1)
+    factor *= data.astype(np.uint64) + np.uint64(1)
+    factor[stop] = 0
+    return mixed(np.add.reduceat(factor, start) + (stop - start).astype(np.uint64) * ONE_WAY)
 
 
 def shingle_keys(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys of at most 1024 texts with single spaces (place of the text in 10 bits, hash in 54), and counts."""
-    data = np.frombuffer("\n".join(texts).encode("utf-8", "surrogatepass"), np.uint8)
-    n = len(data)
-    if not n:
+    data = np.frombuffer(("\n".join(texts) + "\n").encode("utf-8", "surrogatepass"), np.uint8)
+    stop = np.flatnonzero((data == 32) | (data == 10))
+    start = np.append(0, stop[:-1] + 1)
+    text = np.append(0, np.cumsum(data[stop[:-1]] == 10))
+    word, real = _word_hashes(data, start, stop), stop > start
+    word, text = word[real], text[real]
+    if not len(word):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    size = 1 << max(16, (n - 1).bit_length())
-    up, down = _powers(size)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n])])
-    cut = np.flatnonzero((data == 32) | (data == 10))
-    start, stop = np.concatenate([[0], cut + 1]), np.append(cut, n)
-    text = np.concatenate([[0], np.cumsum(data[cut] == 10)])
-    real = stop > start
-    start, stop, text = start[real], stop[real], text[real]
-    word = mixed((sums[stop] - sums[start]) * down[start] + (stop - start).astype(np.uint64) * ONE_WAY)
     count = np.bincount(text, minlength=len(texts))
     first = np.cumsum(count) - count
     # A text of fewer words is one shingle of what it has.
@@ -132,47 +135,44 @@ def prob_min_hash(keys: np.ndarray, counts: np.ndarray, texts: int, registers: i
     return winner.reshape(texts, registers)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of the batches, with the last column as texts with single spaces."""
     for b in batches:
-        ids: list = []
-        texts: list[str] = []
-        size = 0
-        for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            ids.append(d)
-            texts.append(" ".join((t or "").split()))
+        at, texts, size = 0, [], 0
+        for t in b.column(b.num_columns - 1):
+            texts.append(" ".join((t.as_py() or "").split()))
             size += len(texts[-1])
-            if len(ids) >= CHUNK_ROWS or size >= CHUNK_CHARS:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-        if ids:
-            yield ids, texts
+            if len(texts) >= CHUNK_ROWS or size >= CHUNK_CHARS:
+                yield b.slice(at, len(texts)), texts
+                at, texts, size = at + len(texts), [], 0
+        if texts:
+            yield b.slice(at), texts
 
 
-def _node(text: str) -> bytes:
+def _digest(text: str) -> bytes:
     return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     fold = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
-    for ids, texts in _chunks(batches):
+    for b, texts in _chunks(batches):
         keys, counts = shingle_keys(texts)
         sig = prob_min_hash(keys, np.ones_like(counts), len(texts))
         bands = np.repeat(fold[None], len(texts), 0)
         for r in range(ROWS):
             bands = mixed(bands * np.uint64(0xD6E8FEB86659FD93) + sig[:, r::ROWS])
         rows = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel().view(np.int64)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(list(map(_node, texts)), pa.binary()), pa.array([t != "" for t in texts]), pa.array([x.tobytes() for x in sig], pa.binary()), rows],
-            names=["doc_id", "node", "has_words", "signature", "bands"])
+        columns = [pa.array(list(map(_digest, texts)), pa.binary()), pa.array([t != "" for t in texts]), pa.array([x.tobytes() for x in sig], pa.binary()), rows]
+        yield pa.RecordBatch.from_arrays(b.columns[:3] + columns, names=["row", "doc_id", "key", "digest", "has_words", "signature", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, texts in _chunks(batches):
+    for b, texts in _chunks(batches):
         keys, _ = shingle_keys(texts)
         bounds = np.searchsorted(keys, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(54))
-        parts = [(keys[a:b] & np.uint64((1 << 54) - 1)).tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+        parts = [(keys[a:b] & np.uint64((1 << 54) - 1)).tobytes() for a, b in pairwise(bounds)]
         thin = [np.unique(np.frombuffer(p, np.uint64).astype(np.uint32)).tobytes() for p in parts]
-        yield pa.RecordBatch.from_arrays([pa.array(list(map(_node, texts)), pa.binary()), pa.array(parts, pa.binary()), pa.array(thin, pa.binary())], names=["node", "shingles", "thin"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(parts, pa.binary()), pa.array(thin, pa.binary())], names=["node", "shingles", "thin"])
 
 
 def jaccard(a: bytes, b: bytes, kind: type = np.uint64) -> float:
@@ -209,14 +209,14 @@ def _cross(best_only: bool, threshold: float):
     """Of two blocks of a bucket the pairs of different components with agreeing signatures, in their first common band."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        a: list[bytes] = []
-        b: list[bytes] = []
+        a: list[int] = []
+        b: list[int] = []
         agree: list[float] = []
         if left.num_rows and right.num_rows:
             sig = [np.frombuffer(b"".join(t["signature"].to_pylist()), np.uint32).reshape(t.num_rows, -1) for t in (left, right)]
             nodes, theirs, band = left["node"].to_pylist(), right["o_node"].to_pylist(), left["band"][0].as_py()
             thin = [] if best_only else [t["thin"].to_pylist() for t in (left, right)]
-            own, other = np.array(left["label"].to_pylist(), object), np.array(right["o_label"].to_pylist(), object)
+            own, other = np.asarray(left["label"]), np.asarray(right["o_label"])
             for i, node in enumerate(nodes):
                 same = sig[1] == sig[0][i]
                 share = np.where(other != own[i], same.mean(1), 0)
@@ -229,7 +229,7 @@ def _cross(best_only: bool, threshold: float):
                 a += [node] * len(at)
                 b += [theirs[j] for j in at]
                 agree += share[at].tolist()
-        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(agree, pa.float64())], names=["a", "b", "agree"])
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(agree, pa.float64())], names=["a", "b", "agree"])
 
     return run
 
@@ -237,49 +237,68 @@ def _cross(best_only: bool, threshold: float):
 def _links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_verify(threshold), "a binary, b binary")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_verify(threshold), "a long, b long")
 
 
 def _signed(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     one = nodes.select(F.col("node").alias("a"), F.col("signature").alias("x"))
     two = nodes.select(F.col("node").alias("b"), F.col("signature").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_agree(threshold), "a binary, b binary")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_agree(threshold), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, class_id, class_size, kept, node (digest of its words)."""
-    own = docs.select("doc_id", "text")
+def _key(text: Column) -> Column:
+    """Tells texts apart: rows with one doc_id and one key are interchangeable."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
+def _classes(docs: DataFrame, threshold: float) -> DataFrame:
+    """row, doc_id, key, class_id, class_size, kept: a row for each row of ``docs``."""
+    small_batches(docs.sparkSession)
+    own = docs.select("doc_id", _key(F.col("text")).alias("key"), "text")
     kind = own.schema["doc_id"].dataType.simpleString()
-    rows = materialise(own.mapInArrow(_sketch, f"doc_id {kind}, node binary, has_words boolean, signature binary, bands array<long>"), "signatures")
-    nodes = materialise(rows.filter("has_words").groupBy("node").agg(F.first("signature").alias("signature"), F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id")), "nodes")
+    # Written at once, so that the numbers of rows stay what they are.
+    rows = materialise(own.select(F.monotonically_increasing_id().alias("row"), "doc_id", "key", "text").mapInArrow(
+        _sketch, f"row long, doc_id {kind}, key binary, digest binary, has_words boolean, signature binary, bands array<long>"), "signatures")
+    # A node is the least row of those with the same words. Few digests have several rows; the join with those can be split.
+    copied = materialise(rows.groupBy("digest").agg(F.min("row").alias("node"), F.count("*").alias("n")).filter("n > 1").select("digest", "node"), "copied")
+    placed = lambda *columns: rows.select("row", "digest", *columns).join(copied.hint("merge"), "digest", "left").withColumn("node", F.coalesce("node", "row"))
+    nodes = materialise(placed("doc_id", "key", "has_words", "signature", "bands").filter("has_words and row = node").select("node", "doc_id", "key", "signature", "bands"), "nodes")
     members = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     buckets = members.groupBy("band", "bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
     # Only nodes that share a bucket go on.
     shared = materialise(members.join(buckets, ["band", "bucket"]), "buckets")
-    pairs = _signed(shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), nodes, threshold)
-    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select(F.col("doc_id").alias("_wanted")).distinct()
-    texts = own.join(wanted, own["doc_id"].eqNullSafe(wanted["_wanted"]), "left_semi")
-    sets = materialise(texts.mapInArrow(_sets, "node binary, shingles binary, thin binary").groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("thin").alias("thin")), "shingles")
+    signed = nodes.select("node", "signature")
+    pairs = _signed(shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), signed, threshold)
+    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    texts = own.join(wanted, own["doc_id"].eqNullSafe(wanted["_id"]) & (own["key"] == wanted["_key"])).select("node", "text")
+    sets = materialise(texts.mapInArrow(_sets, "node long, shingles binary, thin binary").dropDuplicates(["node"]), "shingles")
     links = materialise(_links(pairs, sets, threshold), "links")
     labels = connected_components(links)
     for best_only in (True, False):
-        more = _cross_pairs(shared, nodes if best_only else nodes.join(sets.select("node", "thin"), "node"), labels, best_only, threshold)
+        more = _cross_pairs(shared, signed if best_only else signed.join(sets.select("node", "thin"), "node"), labels, best_only, threshold)
         if more is None:
             break
         links = materialise(links.union(_links(more, sets, threshold)), "links")
         labels = connected_components(links)
-    grouped = rows.select("doc_id", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    classes = materialise(grouped.groupBy("label", "doc_id").agg(F.count("*").alias("copies"), F.first("node").alias("node")), "classes")
-    sizes = classes.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    joined = classes.join(sizes, "label").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return joined.select("doc_id", "class_id", "class_size", (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("copy") == 1)).alias("kept"))
+    grouped = materialise(placed("doc_id", "key").join(labels, "node", "left").select("row", "doc_id", "key", F.coalesce("label", "node").alias("label")), "classes")
+    one = F.coalesce(F.min_by("row", "doc_id"), F.min("row"))
+    sizes = materialise(grouped.groupBy("label").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), one.alias("first")).filter("n > 1"), "sizes")
+    joined = grouped.join(sizes.hint("merge"), "label", "left")
+    alone = F.col("n").isNull()
+    return joined.select("row", "doc_id", "key", F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("class_id"), F.coalesce("n", F.lit(1)).cast("long").alias("class_size"),
+                         (alone | (F.col("row") == F.col("first"))).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, class_id, class_size, kept."""
+    return _classes(docs, threshold).select("doc_id", "class_id", "class_size", "kept")
 
 
 def _cross_pairs(shared: DataFrame, nodes: DataFrame, labels: DataFrame, best_only: bool, threshold: float) -> DataFrame | None:
     """Pairs of different components in one bucket, from nodes outside the bucket's largest component."""
     placed = shared.select("band", "bucket", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     by_label = placed.groupBy("band", "bucket", "label").agg(F.count("*").alias("n"))
-    mixed_buckets = by_label.groupBy("band", "bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"), F.sum("n").alias("size")).filter("labels > 1")
+    mixed_buckets = by_label.groupBy("band", "bucket").agg(F.max_by("label", "n").alias("main"), F.count("*").alias("labels"), F.sum("n").alias("size")).filter("labels > 1")
     there = materialise(placed.join(mixed_buckets, ["band", "bucket"]).select("band", "bucket", "node", "label", "main", "size"), "mixed")
     if there.limit(1).count() == 0:
         return None
@@ -290,16 +309,17 @@ def _cross_pairs(shared: DataFrame, nodes: DataFrame, labels: DataFrame, best_on
     outside = left.select("band", "bucket", "row").distinct()
     right = full.withColumn("col", block(1)).select("band", "bucket", "col", F.col("node").alias("o_node"), F.col("label").alias("o_label"), *carried).join(outside, ["band", "bucket"])
     right = right.select(F.col("band").alias("o_band"), F.col("bucket").alias("o_bucket"), F.col("row").alias("o_row"), F.col("col").alias("o_col"), "o_node", "o_label", *[F.col(c).alias(c) for c in carried])
-    pairs = left.groupBy("band", "bucket", "row", "col").cogroup(right.groupBy("o_band", "o_bucket", "o_row", "o_col")).applyInArrow(_cross(best_only, threshold), "a binary, b binary, agree double")
+    pairs = left.groupBy("band", "bucket", "row", "col").cogroup(right.groupBy("o_band", "o_bucket", "o_row", "o_col")).applyInArrow(_cross(best_only, threshold), "a long, b long, agree double")
     if best_only:
-        pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
+        pairs = pairs.groupBy("a").agg(F.max_by("b", "agree").alias("b"))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of each class: that with the least doc_id."""
-    kept = near_duplicates(docs, threshold).filter("kept").select(F.col("doc_id").alias("_kept_id"))
-    kept = materialise(kept, "kept")
-    some = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """``docs`` with one row of each class, one with the least doc_id. Rows of different texts that share a doc_id count one by one."""
+    kept = materialise(_classes(docs, threshold).filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("key").alias("_kept_key")), "kept")
+    keyed = docs.withColumn("_near_key", _key(F.col("text")))
+    some = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_kept_id"]) & (keyed["_near_key"] == kept["_kept_key"]), "left_semi")
+    # Equal rows fall into one class, so at most one of them was kept; the join brings back all of them.
     repeated = docs.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
-    return some.dropDuplicates(["doc_id"]) if repeated else some
+    return (some.dropDuplicates(["doc_id", "_near_key"]) if repeated else some).drop("_near_key")
