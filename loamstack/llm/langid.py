@@ -4,7 +4,9 @@ Texts are lowered, everything but letters becomes one boundary sign, and the 2-
 are hashed into ``DIM`` places. Document frequencies are counted over every training text. The centroids (a few for
 each language, by spherical k-means with farthest-point starts) are fitted on at most ``sample_per_language`` training
 texts of each language, those with the least hashes of doc_id. A text goes to the language of the centroid with the
-largest cosine and is rejected if its distance 1 - cosine exceeds ``max_distance``.
+largest cosine. Cosines grow with length, of noise too, so the largest distance that is accepted is fitted for each
+doubling of the number of n-grams, on every training text: a text is rejected if its cosine is below ``slack`` times the
+lowest percentile of training texts of its length.
 
 Edge cases: a null text or one without letters is ``und`` with score 0, and rejected; ties go to the language that
 sorts first; a model without training texts answers ``und`` for all; an empty table gives an empty result; repeated
@@ -22,13 +24,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from loamstack.llm.store import small_batches
+
 BITS = 13
 DIM = 1 << BITS
 SAMPLE_PER_LANGUAGE = 400
 CENTROIDS = 4
-MAX_DISTANCE = 0.97
+#: Rejection: the share of the percentile that a cosine has to reach, the percentile, texts that it takes at least, steps of a cosine.
+SLACK, LOWEST, LEAST_TEXTS, STEPS = 0.5, 0.01, 100, 400
+#: What a cosine has to reach at any length; the only limit for lengths below which there are fewer than LEAST_TEXTS.
+LEAST_COSINE = 0.03
+#: Lengths are told apart by doublings of the number of n-grams, up to this one.
+DOUBLINGS = 32
 #: Texts and characters that are counted at a time.
-CHUNK_ROWS, CHUNK_CHARS = 256, 2_000_000
+CHUNK_ROWS, CHUNK_CHARS = 64, 500_000
 
 
 @cache
@@ -62,9 +71,10 @@ def term_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     lengths[-1] -= 1
     table = _lowered()
     x = table[np.minimum(codes, 0xFFFF)]
-    far = codes > 0xFFFF
-    if far.any():
-        x[far] = codes[far]
+    far = np.flatnonzero(codes > 0xFFFF)
+    if len(far):  # few signs, so each is looked up once
+        found, at = np.unique(codes[far], return_inverse=True)
+        x[far] = np.array([ord(chr(c).lower()[0]) if chr(c).isalpha() else 0 for c in found], np.uint32)[at]
     keep = x > 0
     keep[1:] |= keep[:-1].copy() if len(x) else False  # one boundary after each word
     row = np.repeat(np.arange(len(texts), dtype=np.int64), lengths)[keep]
@@ -117,15 +127,55 @@ def _centroids(idf: np.ndarray, k: int, rounds: int = 12):
     return fit
 
 
+def _doubling(counts: np.ndarray) -> np.ndarray:
+    """The length of each text as a number of doublings."""
+    return np.log2(np.maximum(counts.sum(1), 1)).astype(np.int64).clip(0, DOUBLINGS - 1)
+
+
+def _cosines(texts: list[str | None], idf: np.ndarray, centroids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For slices of texts the cosines with all centroids, whether there are letters, and the lengths."""
+    for part in chunks(texts):
+        counts, letters = term_counts(part)
+        yield np.clip(weighted(counts, idf) @ centroids.T, 0, 1), letters, _doubling(counts)
+
+
+def limits(histogram: np.ndarray, slack: float) -> np.ndarray:
+    """The least cosine that is accepted for each length, from counts of training texts by length and cosine."""
+    out = np.full(len(histogram), LEAST_COSINE)
+    for i in range(len(histogram)):
+        # Where texts of a length are few, shorter ones (whose cosines are lower) are judged with them.
+        first = next((k for k in range(i, -1, -1) if histogram[k : i + 1].sum() >= LEAST_TEXTS), None)
+        if first is not None:
+            below = np.cumsum(histogram[first : i + 1].sum(0))
+            out[i] = max(LEAST_COSINE, slack * int(np.searchsorted(below, LOWEST * below[-1], "right")) / STEPS)
+    return out
+
+
+def _histogram(idf: np.ndarray, centroids: np.ndarray):
+    """Counts of texts by length and step of their best cosine."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros((DOUBLINGS, STEPS + 1), np.int64)
+        for b in batches:
+            for sims, letters, length in _cosines(b.column(0).to_pylist(), idf, centroids):
+                np.add.at(out, (length[letters], (sims.max(1)[letters] * STEPS).astype(np.int64)), 1)
+        length, step = np.nonzero(out)
+        yield pa.RecordBatch.from_arrays([pa.array(length, pa.int32()), pa.array(step, pa.int32()), pa.array(out[length, step])], names=["length", "step", "n"])
+
+    return run
+
+
 class LanguageModel:
-    """idf of shape (DIM,), centroids of shape (n, DIM), and the language of each centroid."""
+    """idf of shape (DIM,), centroids of shape (n, DIM), the language of each centroid, and the least cosine for each length."""
 
-    def __init__(self, idf: np.ndarray, centroids: np.ndarray, langs: list[str], max_distance: float = MAX_DISTANCE):
-        self.idf, self.centroids, self.langs, self.max_distance = idf, centroids, langs, max_distance
+    def __init__(self, idf: np.ndarray, centroids: np.ndarray, langs: list[str], least: np.ndarray | None = None):
+        self.idf, self.centroids, self.langs = idf, centroids, langs
+        self.least = np.full(DOUBLINGS, LEAST_COSINE) if least is None else least
 
     @classmethod
-    def fit(cls, train: DataFrame, k: int = CENTROIDS, sample_per_language: int = SAMPLE_PER_LANGUAGE, max_distance: float = MAX_DISTANCE) -> LanguageModel:
+    def fit(cls, train: DataFrame, k: int = CENTROIDS, sample_per_language: int = SAMPLE_PER_LANGUAGE, slack: float = SLACK) -> LanguageModel:
         """``train``: doc_id, text, lang, all of which are training rows."""
+        small_batches(train.sparkSession)
         train = train.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
         parts = train.select("text").mapInArrow(_frequencies, "n long, df array<long>")
         total = parts.select("n", F.posexplode("df").alias("at", "df")).groupBy("at").agg(F.sum("df").alias("df"), F.sum("n").alias("n")).collect()
@@ -138,26 +188,30 @@ class LanguageModel:
         # At most sample_per_language ids of each language.
         sample = train.join(F.broadcast(picked), "doc_id", "left_semi").groupBy("lang").applyInArrow(_centroids(idf, k), "lang string, centroid array<float>")
         rows = sorted(sample.collect(), key=lambda r: r["lang"])
-        return cls(idf, np.array([r["centroid"] for r in rows], np.float32).reshape(len(rows), DIM), [r["lang"] for r in rows], max_distance)
+        centroids = np.array([r["centroid"] for r in rows], np.float32).reshape(len(rows), DIM)
+        histogram = np.zeros((DOUBLINGS, STEPS + 1), np.int64)
+        if rows:
+            for r in train.select("text").mapInArrow(_histogram(idf, centroids), "length int, step int, n long").groupBy("length", "step").agg(F.sum("n").alias("n")).collect():
+                histogram[r["length"], r["step"]] = r["n"]
+        return cls(idf, centroids, [r["lang"] for r in rows], limits(histogram, slack))
 
     def predict(self, docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
         """The columns ``carry`` (doc_id) with lang_pred, score (cosine, 0 to 1) and rejected."""
         carry = ["doc_id"] if carry is None else carry
-        idf, centroids, langs, limit = self.idf, self.centroids, self.langs, self.max_distance
+        idf, centroids, langs, least = self.idf, self.centroids, self.langs, self.least
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                pred, score = [], []
-                for part in chunks(b.column(b.num_columns - 1).to_pylist()):
-                    counts, letters = term_counts(part)
-                    if langs:
-                        sims = np.clip(weighted(counts, idf) @ centroids.T, 0, 1)
-                        best = sims.argmax(1)
-                        pred += [langs[i] if ok else "und" for i, ok in zip(best, letters, strict=True)]
-                        score += np.where(letters, sims[np.arange(len(part)), best], 0).tolist()
-                    else:
-                        pred, score = pred + ["und"] * len(part), score + [0.0] * len(part)
-                rejected = [p == "und" or 1 - s > limit for p, s in zip(pred, score, strict=True)]
+                pred, score, rejected = [], [], []
+                texts = b.column(b.num_columns - 1).to_pylist()
+                for sims, letters, length in _cosines(texts, idf, centroids) if langs else ():
+                    best = sims.argmax(1)
+                    top = np.where(letters, sims[np.arange(len(best)), best], 0)
+                    pred += [langs[i] if ok else "und" for i, ok in zip(best, letters, strict=True)]
+                    score += top.tolist()
+                    rejected += (~letters | (top < least[length])).tolist()
+                if not langs:
+                    pred, score, rejected = ["und"] * len(texts), [0.0] * len(texts), [True] * len(texts)
                 yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(b.num_columns - 1)], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
                                                  names=[*b.schema.names[:-1], "lang_pred", "score", "rejected"])
 
