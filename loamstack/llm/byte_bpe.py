@@ -179,6 +179,20 @@ def _from_planes(data: pa.Buffer) -> np.ndarray:
     return low | mid << 8 | high << 16
 
 
+def _squeezed(data: bytes) -> bytes:
+    """Zstandard behind the plain size: what crosses a shuffle in blobs is not compressed well by the shuffle itself."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _plain(blob: pa.Scalar) -> bytes:
+    data = blob.as_py()
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def _steps(codes: np.ndarray) -> bytes:
+    return _squeezed(np.diff(codes, prepend=0).astype("<i4").tobytes())
+
+
 def _slices(batches: Iterator[pa.RecordBatch], fast: bool) -> Iterator[tuple[list, list[str], bool]]:
     """Ids and texts in slices of one kind: all of Latin script or all not."""
     for b in (whole.slice(at, BATCH_ROWS) for whole in batches for at in range(0, whole.num_rows, BATCH_ROWS)):
@@ -216,7 +230,7 @@ def _cut(pattern: str, parts: int, kind: pa.DataType):
             order = np.argsort(part, kind="stable")
             cuts = _cuts(part[order])
             length = np.fromiter(map(len, names), np.int32, len(names))
-            rows = [(chunk, int(part[order[a]]), None, None, None, b"".join([names[i] for i in order[a:b]]), length[order[a:b]].tobytes(), order[a:b].astype("<i4").tobytes()) for a, b in pairwise(cuts)]
+            rows = [(chunk, int(part[order[a]]), None, None, None, _squeezed(b"".join([names[i] for i in order[a:b]])), _squeezed(length[order[a:b]].tobytes()), _steps(order[a:b])) for a, b in pairwise(cuts)]
             return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
         for ids, texts, simple in _slices(batches, pattern == BYTE_LEVEL_PATTERN):
@@ -241,8 +255,13 @@ def _cuts(ordered: np.ndarray) -> list[int]:
     return [*np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])).tolist(), len(ordered)] if len(ordered) else [0]
 
 
-def _numbers(column: pa.ChunkedArray, kind: str) -> np.ndarray:
-    parts = [np.frombuffer(x.as_buffer(), kind) for x in column]
+def _numbers(column: pa.ChunkedArray, kind: str, steps: bool = False) -> list[np.ndarray]:
+    """The numbers of each row."""
+    parts = [np.frombuffer(_plain(x), kind) for x in column]
+    return [np.cumsum(p, dtype=p.dtype) for p in parts] if steps else parts
+
+
+def _joined(parts: list[np.ndarray], kind: str) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
@@ -250,14 +269,14 @@ def _distinct(byte_ids: np.ndarray):
     """One row for a part: its distinct words as arrays of byte ids, and where each chunk's words stand among them."""
 
     def run(table: pa.Table) -> pa.Table:
-        sizes = _numbers(table["sizes"], "<i4")
-        data = b"".join(x.as_buffer() for x in table["words"])
+        sizes, codes = _joined(_numbers(table["sizes"], "<i4"), "<i4"), _numbers(table["codes"], "<i4", True)
+        data = b"".join(map(_plain, table["words"]))
         found = _binary(data, np.append(0, np.cumsum(sizes, dtype=np.int64))).dictionary_encode()
         letters = byte_ids[np.frombuffer(b"".join(found.dictionary.to_pylist()), np.uint8)]
         ends = np.append(0, np.cumsum(np.asarray(pc.binary_length(found.dictionary)), dtype=np.int64)).astype(np.int32)
         words = pa.ListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(letters)))
-        counts = [len(x.as_buffer()) // 4 for x in table["codes"]]
-        return pa.table([pa.array([table["chunk"].to_pylist()], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int32())), words, pa.array([np.asarray(found.indices).astype("<i4").tobytes()]), pa.array([_numbers(table["codes"], "<i4").tobytes()])],
+        counts = list(map(len, codes))
+        return pa.table([pa.array([table["chunk"].to_pylist()], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int32())), words, pa.array([np.asarray(found.indices).astype("<i4").tobytes()]), pa.array([_joined(codes, "<i4").tobytes()])],
                         names=["chunks", "counts", "words", "at", "codes"])
 
     return run
@@ -275,7 +294,7 @@ def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for c, n in zip(chunks.as_py(), counts.as_py(), strict=True):
                 own = at[last : last + n]
                 ids, _ = _gather(flat, start[own], size[own])
-                rows.append((c, codes[last : last + n].tobytes(), size[own].astype("<u4").tobytes(), ids.astype("<u2").tobytes()))
+                rows.append((c, _steps(codes[last : last + n]), _squeezed(size[own].astype("<u4").tobytes()), _squeezed(ids.astype("<u2").tobytes())))
                 last += n
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["w_chunk", "codes", "sizes", "ids"])
 
@@ -309,7 +328,8 @@ def _assemble(pieces: Pieces | None, kind: pa.DataType):
     schema = pa.schema([("doc_id", kind), ("n_tokens", pa.int64()), ("ids", pa.binary())] + [("decoded", pa.binary())] * bool(pieces))
 
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        codes, sizes, flat = _numbers(words["codes"], "<i4"), _numbers(words["sizes"], "<u4"), _numbers(words["ids"], "<u2")
+        codes = _joined(_numbers(words["codes"], "<i4", True), "<i4")
+        sizes, flat = (_joined(_numbers(words[k], t), t) for k, t in (("sizes", "<u4"), ("ids", "<u2")))
         start, size = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
         size[codes] = sizes
         start[codes] = np.cumsum(sizes, dtype=np.int64) - sizes
