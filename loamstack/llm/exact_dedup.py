@@ -1,9 +1,13 @@
 """Exact deduplication against a persistent digest index that is bucketed and sorted by hash.
 
-The index is a catalogue table with one row for each distinct normalised text seen so far: ``digest`` (32 bytes),
-``keep_id`` and ``group_size``. A batch is reduced to one row for each of its digests before anything is joined, so
-a text that a third of all rows share crosses the network once per map task. The batch's groups meet the index in a
-sort-merge anti join that leaves the index where it is (same buckets, same order), and what is new is appended.
+The index is a catalogue table to which each batch appends one row for each of its distinct normalised texts: ``digest``
+(32 bytes), ``keep_id``, ``n`` (its rows in the batch), ``is_new`` and ``batch``. A batch is reduced to one row for each of
+its digests before anything is joined, so a text that a third of all rows share crosses the network once per map task.
+The batch's groups meet the index in a sort-merge anti join: the index stays where it is (same buckets; each append adds
+files to a bucket, so a bucket is sorted again as it is read), and what is new is appended.
+
+Batches are told apart by a number. A batch that is added again, after a lost driver for instance, meets its own rows as
+its own: nothing is appended twice and the result is the same.
 
 Edge cases: a null text counts as empty; a null doc_id ranks after all others; of repeated rows with one doc_id and
 one text exactly one is kept; an empty table gives an empty result and leaves the index empty. Columns other than
@@ -41,43 +45,51 @@ class DigestIndex:
         return self.spark.catalog.tableExists(self.table)
 
     def read(self) -> DataFrame:
+        """All rows that batches have appended: digest, keep_id, n, is_new, batch."""
         return self.spark.read.table(self.table)
 
+    def groups(self) -> DataFrame:
+        """digest, keep_id, group_size (rows of all batches), batch (the one it came with). The buckets spare the shuffle."""
+        return self.read().groupBy("digest").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("group_size"), F.min(F.when(F.col("is_new"), F.col("batch"))).alias("batch"))
+
     def _append(self, groups: DataFrame) -> None:
-        (groups.select("digest", "keep_id", "group_size").repartition(self.buckets, "digest")
+        (groups.select("digest", "keep_id", "n", "is_new", "batch").repartition(self.buckets, "digest")
          .write.bucketBy(self.buckets, "digest").sortBy("digest").mode("append").format("parquet").saveAsTable(self.table))
 
-    def add(self, docs: DataFrame) -> DataFrame:
-        """Deduplicate a batch and add its new texts.
-
-        Returns one row for each row of ``docs``: doc_id, keep_id (the row that stays, from an earlier batch if the
-        text was known), group_size (rows of this batch with that text), kept, digest.
-        """
-        rows = materialise(
-            docs.select("doc_id", digest(F.col("text")).alias("digest")).groupBy("digest", "doc_id").agg(F.count("*").alias("copies")),
-            "digests",
-        )
-        groups = rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+    def record(self, docs: DataFrame, batch: int | None = None) -> DataFrame:
+        """Append a batch; returns its rows (digest, doc_id, copies, batch). Without a number the batch is a new one."""
+        rows = materialise(docs.select("doc_id", digest(F.col("text")).alias("digest")).groupBy("digest", "doc_id").agg(F.count("*").alias("copies")), "digests")
+        groups = rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("n"))
         if not self.exists():
-            self._append(groups.limit(0))
-        known = self.read().select("digest", F.col("keep_id").alias("known_id")).hint("merge")
-        fresh = groups.join(known, "digest", "left_anti")
-        batch = materialise(
-            fresh.withColumn("is_new", F.lit(True)).unionByName(
-                groups.join(known, "digest").select("digest", F.col("known_id").alias("keep_id"), "group_size", F.lit(False).alias("is_new"))),
-            "digest-groups",
-        )
-        self._append(batch.filter("is_new"))
-        # Both sides are exchanged, so that adaptive execution can split a digest that many rows share.
-        joined = rows.join(batch, "digest")
-        first = (F.col("copy") == 1) & F.col("is_new") & F.col("doc_id").eqNullSafe(F.col("keep_id"))
-        return (joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-                .select("doc_id", "keep_id", "group_size", first.alias("kept"), "digest"))
-
-
-def drop_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
+            self._append(groups.limit(0).withColumns({"is_new": F.lit(True), "batch": F.lit(0).cast("long")}))
+        if batch is None:
+            batch = (self.read().agg(F.max("batch")).first()[0] or 0) + 1
+        log = self.read()
+        known = log.filter((F.col("batch") != batch) & F.col("is_new")).select("digest", F.col("keep_id").alias("known_id")).hint("merge")
+        mine = log.filter(F.col("batch") == batch).select("digest").hint("merge")
+        fresh = groups.join(known, "digest", "left_anti").withColumn("is_new", F.lit(True))
+        seen = groups.join(known, "digest").select("digest", F.col("known_id").alias("keep_id"), "n", F.lit(False).alias("is_new"))
+        # Written first: the table can't be read and appended to at once.
+        self._append(materialise(fresh.unionByName(seen).join(mine, "digest", "left_anti").withColumn("batch", F.lit(batch).cast("long")), "digest-groups"))
+        return rows.withColumn("batch", F.lit(batch).cast("long"))
+
+    def decide(self, rows: DataFrame) -> DataFrame:
+        """For rows of ``record``, one for each row of the batch: doc_id, keep_id, group_size (rows seen so far), kept, digest."""
+        # A text that was seen once needs no join. Both sides are exchanged for this join alone, so it can be split by adaptive execution.
+        several = materialise(self.groups().filter("group_size > 1").withColumnRenamed("batch", "first_batch"), "several")
+        joined = rows.join(several.hint("merge"), "digest", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        alone = F.col("group_size").isNull()
+        first = alone | ((F.col("copy") == 1) & (F.col("batch") == F.col("first_batch")) & F.col("doc_id").eqNullSafe(F.col("keep_id")))
+        return joined.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), first.alias("kept"), "digest")
+
+    def add(self, docs: DataFrame, batch: int | None = None) -> DataFrame:
+        """Deduplicate a batch against all before it, and add it: see ``decide``."""
+        return self.decide(self.record(docs, batch))
+
+
+def drop_copies(docs: DataFrame, index: DigestIndex, batch: int | None = None) -> DataFrame:
     """``docs`` without rows whose normalised text is in the index or in a row with a smaller doc_id; adds to the index."""
-    keep = materialise(index.add(docs).filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_digest")), "kept")
+    keep = materialise(index.add(docs, batch).filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_digest")), "kept")
     tagged = docs.withColumn("_digest", digest(F.col("text")))
     on = tagged["doc_id"].eqNullSafe(keep["_kept_id"]) & (tagged["_digest"] == keep["_kept_digest"])
     kept = tagged.join(keep, on, "left_semi")
