@@ -79,8 +79,12 @@ def boxes_json(items: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(items, one), ", "), F.lit("]"))
 
 
-def bigrams(text: Column) -> Column:
-    """Neighbouring tokens; a token is a Chinese character or a run of ASCII word signs."""
-    tokens = F.regexp_extract_all(text, F.lit(r"[一-龥]|[A-Za-z0-9_]+"), 0)
-    pairs = F.transform(F.sequence(F.lit(0), F.size(tokens) - 2), lambda i: F.concat_ws(" ", F.get(tokens, i), F.get(tokens, i + 1)))
-    return F.when(F.size(tokens) < 2, F.array().cast("array<string>")).otherwise(pairs)
+def tokens(text: Column) -> Column:
+    """A token is a Chinese character or a run of ASCII word signs."""
+    return F.regexp_extract_all(text, F.lit(r"[一-龥]|[A-Za-z0-9_]+"), 0)
+
+
+def bigrams(found: Column) -> Column:
+    """Neighbouring ones of an array of tokens, which should be a column, not an expression that each use works out anew."""
+    n = F.greatest(F.size(found) - 1, F.lit(0))
+    return F.zip_with(F.slice(found, F.lit(1), n), F.slice(found, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b))

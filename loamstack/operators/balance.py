@@ -2,32 +2,48 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loamstack.functions.draws import key
+from loamstack.functions.draws import mark_first
+
+
+#: Values of a column by which rows are balanced; the counts of so many reach the driver, more are refused.
+MOST_STRATA = 100_000
 
 
 def counts(df: DataFrame, col: str) -> dict:
-    return {r[0]: r[1] for r in df.groupBy(col).count().collect()}
+    found = df.groupBy(col).count().limit(MOST_STRATA + 1).collect()
+    if len(found) > MOST_STRATA:
+        raise ValueError(f"{col} has more than {MOST_STRATA} values: it is no column of strata")
+    return {r[0]: r[1] for r in found}
+
+
+def _mark(df: DataFrame, col: str, takes: dict, seed: int, *ids: Column) -> DataFrame:
+    kind = T.StructType([T.StructField(col, df.schema[col].dataType), T.StructField("_take", T.LongType())])
+    return mark_first(df, [col], df.sparkSession.createDataFrame([(k, int(v)) for k, v in takes.items()], kind), seed, *ids)
 
 
 def take_per(df: DataFrame, col: str, takes: dict, seed: int, *ids: Column) -> DataFrame:
     """The first ``takes[value]`` rows (none if absent) of each value of ``col``, in the order of their draws."""
-    kind = df.schema[col].dataType
-    table = df.sparkSession.createDataFrame([(k, int(v)) for k, v in takes.items()], T.StructType([T.StructField(col, kind), T.StructField("_take", T.LongType())]))
-    joined = df.join(F.broadcast(table), col)  # one row for each stratum
-    most = int(max([0, *takes.values()]))
-    # The constant bound lets the planner trim every stratum before the shuffle.
-    return _ranked(joined, col, seed, *ids).filter((F.col("_r") <= most) & (F.col("_r") <= F.col("_take"))).select(*df.columns)
+    return _mark(df, col, takes, seed, *ids).filter("_first").drop("_first")
 
 
-def _ranked(df: DataFrame, col: str, seed: int, *ids: Column) -> DataFrame:
-    return df.withColumn("_r", F.row_number().over(W.partitionBy(col).orderBy(key(seed, *ids), *ids)))
+def spread(df: DataFrame, col: str, sizes: dict, want: dict, seed: int, *ids: Column) -> DataFrame:
+    """Rows of each value until there are ``want[value]`` of them: whole rounds, then the first by draws; ``_copy`` counts from 0."""
+    rounds = {k: divmod(want[k], sizes[k]) for k in sizes}
+    table = F.create_map(*[x for k, (q, _) in rounds.items() if k is not None for x in (F.lit(k), F.lit(q))]) if len(rounds) <= 1000 else None
+    if table is None:  # too many for a literal
+        kind = T.StructType([T.StructField("_value", df.schema[col].dataType), T.StructField("_whole", T.IntegerType())])
+        marked = _mark(df, col, {k: r for k, (_, r) in rounds.items()}, seed, *ids)
+        side = df.sparkSession.createDataFrame([(k, q) for k, (q, _) in rounds.items()], kind)
+        marked = marked.join(side, F.col(col).eqNullSafe(F.col("_value"))).drop("_value")
+    else:
+        whole = F.coalesce(F.try_element_at(table, F.col(col)), F.lit(rounds.get(None, (0, 0))[0]))
+        marked = _mark(df, col, {k: r for k, (_, r) in rounds.items()}, seed, *ids).withColumn("_whole", whole)
+    n = F.col("_whole") + F.col("_first").cast("int")
+    return marked.withColumn("_whole", n).filter("_whole > 0").withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_whole") - 1))).drop("_whole", "_first")
 
 
 def balance_labels(samples: DataFrame, ratio: float, seed: int = 0, id_col: str = "sample_id") -> DataFrame:
@@ -57,6 +73,7 @@ def water_level(sizes: list[int], max_share: float) -> int:
 
 def cap_source_share(samples: DataFrame, max_share: float, seed: int = 0, id_col: str = "sample_id") -> DataFrame:
     """No dataset above ``max_share`` of the result; what a dataset loses is spread over its labels in proportion."""
+    counts(samples, "dataset")  # bounds what is collected
     rows = samples.groupBy("dataset", "label").count().collect()
     size: dict = {}
     for r in rows:
@@ -77,11 +94,7 @@ def weigh_sources(samples: DataFrame, weights: dict[str, float], seed: int = 0,
     """Weight 0 drops a dataset, below 1 takes round(n * w) rows, above 1 adds copies until round(n * w); ``copy`` counts from 0."""
     size = counts(samples, "dataset")
     want = {d: round(n * max(0.0, weights.get(d, 1.0))) for d, n in size.items()}
-    table = samples.sparkSession.createDataFrame([(d, size[d], want[d]) for d in size], "dataset string, _n long, _want long")
-    ranked = _ranked(samples.join(F.broadcast(table), "dataset"), "dataset", seed, F.col(id_col))
-    copies = F.floor((F.col("_want") - F.col("_r")) / F.col("_n")).cast("int") + 1
-    return ranked.withColumn("_c", F.when(F.col("_want") < F.col("_r"), 0).otherwise(copies)).filter("_c > 0").withColumn(
-        "copy", F.explode(F.sequence(F.lit(0), F.col("_c") - 1))).select(*samples.columns, "copy")
+    return spread(samples, "dataset", size, want, seed, F.col(id_col)).withColumnRenamed("_copy", "copy")
 
 
 def cap_classes(records: DataFrame, tasks: list[str], times: float, max_copies: float = 3.0, seed: int = 0, id_col: str = "qa_id") -> DataFrame:
@@ -99,12 +112,9 @@ def cap_classes(records: DataFrame, tasks: list[str], times: float, max_copies:
     cap = max(1, int(middle * times))
     floor = max(1, int(cap / times))
     want = {t: min(cap, max(n, min(floor, int(n * max_copies)))) for t, n in size.items()}
-    table = records.sparkSession.createDataFrame([(t, size[t], want[t]) for t in size], "target_type string, _n long, _want long")
-    ranked = _ranked(part.join(F.broadcast(table), "target_type"), "target_type", seed, F.col(id_col))
-    copies = F.when(F.col("_want") < F.col("_r"), 0).otherwise(F.floor((F.col("_want") - F.col("_r")) / F.col("_n")).cast("int") + 1)
-    spread = ranked.withColumn("_c", copies).filter("_c > 0").withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_c") - 1)))
-    name = F.when(F.col("_k") == 0, F.col(id_col)).otherwise(F.concat(F.col(id_col), F.lit("#os"), F.col("_k").cast("string")))
-    done = spread.withColumn(id_col, name).withColumn("oversampled", F.col("_k") > 0).select(*records.columns, "oversampled")
+    copies = spread(part, "target_type", size, want, seed, F.col(id_col))
+    name = F.when(F.col("_copy") == 0, F.col(id_col)).otherwise(F.concat(F.col(id_col), F.lit("#os"), F.col("_copy").cast("string")))
+    done = copies.withColumn(id_col, name).withColumn("oversampled", F.col("_copy") > 0).select(*records.columns, "oversampled")
     return out.filter(~mine | F.col("target_type").isNull()).unionByName(done)
 
 
@@ -159,8 +169,7 @@ def mix_general(train: DataFrame, pool: DataFrame, share: float, seed: int = 0,
     want = int(n * share / (1 - share))
     if not have or not want:
         return train
-    copies = pool.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(math.ceil(want / have) - 1))))
-    picked = copies.orderBy("_k", key(seed, F.col(id_col)), id_col).limit(want).drop("_k")
+    picked = spread(pool.withColumn("_all", F.lit(1)), "_all", {1: have}, {1: want}, seed, F.col(id_col)).drop("_all", "_copy")
     return train.unionByName(picked, allowMissingColumns=True)
 
 

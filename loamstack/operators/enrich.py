@@ -43,10 +43,29 @@ def ask(missing: DataFrame, model: Callable[[str, str], str], workers: int = 16)
     return raw.select("k", F.when(why.isNull(), X.strip_reasoning(F.col("raw"))).alias("a"), why.alias("why"))
 
 
+def hits(asked: DataFrame, cache: DataFrame, by: str) -> DataFrame:
+    """hits and misses of ``asked`` (k) in ``cache`` (k) for each value of ``by``."""
+    known = cache.select("k").distinct().withColumn("_hit", F.lit(1))
+    found = asked.join(known, "k", "left").groupBy(by).agg(F.count("_hit").alias("hits"), F.count("*").alias("_n"))
+    return found.select(by, "hits", (F.col("_n") - F.col("hits")).alias("misses"))
+
+
+def append(cache: DataFrame | None, found: DataFrame, attempt: int) -> DataFrame:
+    """The cache (k, a, why, attempt) with the answers of an attempt; a question that was refused may be asked again."""
+    new = found.select("k", "a", "why", F.lit(attempt).alias("attempt"))
+    return new if cache is None else cache.select("k", "a", "why", "attempt").unionByName(new)
+
+
+def latest(cache: DataFrame) -> DataFrame:
+    """One row for each question: an accepted answer before refusals, then the latest attempt, then the least text."""
+    order = F.struct(F.col("a").isNotNull().alias("ok"), (F.col("attempt") if "attempt" in cache.columns else F.lit(0)).alias("n"), F.coalesce("a", "why", F.lit("")).alias("t"))
+    return cache.groupBy("k").agg(F.max_by(F.struct("a", "why"), order).alias("_row")).select("k", "_row.a", "_row.why")
+
+
 def apply(df: DataFrame, cache: DataFrame) -> DataFrame:
     """``df`` with accepted answers in place: answer, answer_template, rewritten, rewrite_rejected."""
     keyed = df.withColumn("_k", F.when(eligible(df), X.cache_key(F.col("task"), F.col("question"), F.col("answer"))))
-    known = cache.groupBy("k").agg(F.first("a").alias("_a"), F.first("why").alias("_why"))
+    known = latest(cache).select("k", F.col("a").alias("_a"), F.col("why").alias("_why"))
     joined = keyed.join(known, F.col("_k") == F.col("k"), "left")
     return joined.select(*[F.coalesce("_a", "answer").alias("answer") if c == "answer" else F.col(c) for c in df.columns],
                          F.when(F.col("_a").isNotNull(), F.col("answer")).alias("answer_template"), F.col("_a").isNotNull().alias("rewritten"), F.col("_why").alias("rewrite_rejected"))

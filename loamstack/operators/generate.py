@@ -88,7 +88,7 @@ def with_references(df: DataFrame, least: int = 3) -> DataFrame:
     from pyspark.sql import Window as W
 
     group = ["dataset", "category"]
-    normal = df.filter("label = 'normal'").select(*group, F.col("image").alias("reference")).withColumn("_b", F.pmod(F.xxhash64("reference"), F.lit(64)).cast("int"))
+    normal = df.filter("label = 'normal'").select("sample_id", *group, F.col("image").alias("reference")).withColumn("_b", (draws.number("ref0", F.col("sample_id")) % 64).cast("int"))
     rank = F.row_number().over(W.partitionBy(*group, "_b").orderBy("reference"))
     pool = normal.withColumn("_place", rank)
     sizes = pool.groupBy(*group, "_b").agg(F.max("_place").alias("n"))
@@ -96,7 +96,7 @@ def with_references(df: DataFrame, least: int = 3) -> DataFrame:
     asked = df.filter("label = 'anomalous'").select("sample_id", *group).join(known, group)
     bucket = draws.pick(F.col("_buckets"), "ref", F.col("sample_id"))
     drawn = asked.withColumn("_x", bucket).select("sample_id", *group, F.col("_x._b").alias("_b"), (draws.number("ref2", F.col("sample_id")) % F.col("_x.n") + 1).cast("int").alias("_place"))
-    return df.join(drawn.join(pool, [*group, "_b", "_place"]).select("sample_id", "reference"), "sample_id", "left")
+    return df.join(drawn.join(pool.drop("sample_id"), [*group, "_b", "_place"]).select("sample_id", "reference"), "sample_id", "left")
 
 
 class _Builder:
@@ -177,7 +177,7 @@ class _Builder:
         letter = F.get(letters, (F.array_position(options, first["zh"]) - 1).cast("int"))
         listed = F.array_join(F.transform(options, lambda o, i: F.concat(F.get(letters, i), F.lit(". "), o)), "\n")
         places = F.array_distinct(F.transform(d, lambda x: F.concat(x["zh"], F.lit("位于画面"), x["region"])))
-        where = F.concat(F.lit("共 "), F.size(d).cast("string"), F.lit(" 处："), F.array_join(F.slice(places, 1, 6), "，"), F.lit("。"))
+        where = F.concat(F.lit("共 "), F.size(d).cast("string"), F.lit(" 处："), F.array_join(places, "，"), F.lit("。"))
         cause = F.coalesce(_lookup(CAUSES, F.col("degradation")), F.lit("成像不清"))
         asked_first = F.coalesce(first["type"], away)
         turn = lambda q, a: F.struct(q.alias("question"), a.alias("answer"))

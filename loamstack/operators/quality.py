@@ -30,30 +30,46 @@ def _codes(*rules: tuple[Column, Column | str]) -> Column:
     return F.filter(found, lambda x: x.isNotNull())
 
 
-def box_items(answer: Column) -> Column:
-    """The items of the widest bracketed part as JSON texts, null if it is no JSON array."""
-    part = F.regexp_extract(answer, r"(?s)\[.*\]", 0)
+def box_part(answer: Column) -> Column:
+    return F.regexp_extract(answer, r"(?s)\[.*\]", 0)
+
+
+def box_items(part: Column) -> Column:
+    """The items of a bracketed part as JSON texts, null if it is no JSON array."""
     return F.when(X.is_json_array(part), F.from_json(part, "array<string>"))
 
 
+def boxes_of(items: Column) -> Column:
+    """array<struct<raw,box>>: each item's box as text and as numbers."""
+    raw = F.transform(items, lambda i: F.get_json_object(i, "$.bbox_2d"))
+    return F.transform(raw, lambda r: F.struct(r.alias("raw"), F.from_json(r, "array<double>").alias("box")))
+
+
+def _let(value: Column, f) -> Column:
+    """f(value), with value worked out once."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def _box_code(item: Column, norm: Column, hw: Column) -> Column:
-    raw = F.get_json_object(item, "$.bbox_2d")
-    box = F.from_json(raw, "array<double>")
+    raw, box = item["raw"], item["box"]
     low, high = F.array_min(box), F.array_max(box)
     outside = (box[0] < 0) | (box[1] < 0) | (box[2] > hw[1]) | (box[3] > hw[0])
     return (F.when(raw.isNull(), "bad_box_item").when(box.isNull() | (F.size(box) != 4), "bad_box_len").when((box[2] <= box[0]) | (box[3] <= box[1]), "degenerate_box")
             .when(norm & ((low < 0) | (high > 1000)), "box_out_of_range").when(~norm & outside, "box_out_of_image"))
 
 
-def _answer_codes(f: dict[str, Column]) -> Column:
-    """What depends on the task and the answer."""
+def _bad_box(f: dict[str, Column], boxes: Column) -> Column:
+    """The first box's code that is one."""
+    norm = F.coalesce(f["coord_mode"], F.lit("norm1000")) == "norm1000"
+    return F.get(F.filter(F.transform(boxes, lambda b: _box_code(b, norm, f["image_hw"])), lambda c: c.isNotNull()), 0)
+
+
+def _answer_codes(f: dict[str, Column], items: Column, bad_box: Column) -> Column:
+    """What depends on the task and the answer; the items of its JSON and the code of its boxes are given."""
     task, question, answer = F.coalesce(f["task"], F.lit("")), F.coalesce(f["question"], F.lit("")), F.coalesce(f["answer"], F.lit(""))
     fmt, ans, yes = f["output_format"], F.trim(answer), f["yes_no"]
     negative, mc = task.isin(*NEGATIVE_TASKS), task == "classification_mc"
-    items = box_items(answer)
     boxed = task.startswith("grounding") | (task == "counting")
-    norm = F.coalesce(f["coord_mode"], F.lit("norm1000")) == "norm1000"
-    bad_box = F.get(F.filter(F.transform(items, lambda i: _box_code(i, norm, f["image_hw"])), lambda c: c.isNotNull()), 0)
     letter = F.coalesce(f["answer_letter"], F.lit(""))
     good_letter = letter.rlike("^[A-F]$")
     image, said = f["image_defect_types"], f["answer_defect_types"]
@@ -101,7 +117,8 @@ def _turn_codes(f: dict[str, Column]) -> Column:
         q, a = F.coalesce(t["question"], F.lit("")), F.coalesce(t["answer"], F.lit(""))
         empty = (q == "") | (a == "")
         probe = f | {"answer": a, "task": F.when(f["yes_no"] == "no", "grounding_negative").otherwise("grounding_all")}
-        inner = F.transform(F.concat(_text_codes(probe), _answer_codes(probe)), lambda e: F.concat(F.lit("turn_"), i.cast("string"), F.lit("_"), e))
+        answered = _let(box_part(a), lambda p: _let(box_items(p), lambda items: _let(_bad_box(probe, boxes_of(items)), lambda bad: _answer_codes(probe, items, bad))))
+        inner = F.transform(F.concat(_text_codes(probe), answered), lambda e: F.concat(F.lit("turn_"), i.cast("string"), F.lit("_"), e))
         own = _codes((empty, name("empty_turn_")), (~empty & X.has_placeholder(F.concat(q, a)), name("unfilled_placeholder_turn_")))
         return F.concat(own, F.when(~empty & F.contains(a, F.lit("[")), inner).otherwise(F.array().cast("array<string>")))
 
@@ -116,7 +133,11 @@ def with_errors(df: DataFrame, systems: dict[str, str] | None = None) -> DataFra
     wrong = F.lit(False)
     for fmt, prompt in (systems or {}).items():
         wrong = wrong | ((f["output_format"] == fmt) & f["system"].isNotNull() & (f["system"] != prompt))
-    return df.withColumn("errors", F.concat(_turn_codes(f), _text_codes(f), _codes((wrong, "system_format_mismatch")), _answer_codes(f)))
+    # Each step in a projection of its own: what several rules test is parsed once.
+    parsed = (df.withColumn("_part", box_part(F.coalesce(f["answer"], F.lit("")))).withColumn("_items", box_items(F.col("_part")))
+              .withColumn("_boxes", boxes_of(F.col("_items"))).withColumn("_bad_box", _bad_box(f, F.col("_boxes"))))
+    errors = F.concat(_turn_codes(f), _text_codes(f), _codes((wrong, "system_format_mismatch")), _answer_codes(f, F.col("_items"), F.col("_bad_box")))
+    return parsed.withColumn("errors", errors).drop("_part", "_items", "_boxes", "_bad_box")
 
 
 def passing(df: DataFrame, systems: dict[str, str] | None = None) -> DataFrame:

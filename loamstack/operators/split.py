@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loamstack.functions.draws import number
@@ -29,8 +28,11 @@ def split_by(df: DataFrame, col: str, seed: int = 0, ratios: tuple = RATIOS) ->
     return df.withColumn("split", split_of(number(seed, F.concat(F.lit("sid:"), F.col(col).cast("string"))), ratios))
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """Through a table in the shared checkpoint folder: cuts the lineage and outlives a lost executor."""
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Through a table in the shared checkpoint folder: cuts the lineage and outlives a lost executor.
+
+    A local session that names no folder gets one of its own below /tmp; elsewhere the setting is needed.
+    """
     spark: SparkSession = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -47,14 +49,14 @@ def components(edges: DataFrame) -> DataFrame:
 
     Labels go to hubs and back, a minimum each way, then each label jumps to its own label.
     """
-    edges = _written(edges.select("member", "hub").distinct(), "edges")
-    labels = _written(edges.select("member").distinct().withColumn("root", F.col("member")), "roots")
+    edges = written(edges.select("member", "hub").distinct(), "edges")
+    labels = written(edges.select("member").distinct().withColumn("root", F.col("member")), "roots")
     while True:
         hubs = edges.join(labels, "member").groupBy("hub").agg(F.min("root").alias("root"))
         near = edges.join(hubs, "hub").groupBy("member").agg(F.min("root").alias("near"))
-        step = _written(near.join(labels, "member"), "near")
+        step = written(near.join(labels, "member"), "near")
         jump = step.select(F.col("member").alias("near"), F.col("near").alias("far"))
-        new = _written(step.join(jump, "near", "left").select("member", F.col("root").alias("old"), F.least("near", F.coalesce("far", "near")).alias("root")), "roots")
+        new = written(step.join(jump, "near", "left").select("member", F.col("root").alias("old"), F.least("near", F.coalesce("far", "near")).alias("root")), "roots")
         if new.filter("root <> old").limit(1).count() == 0:
             return new.select("member", "root")
         labels = new.select("member", "root")
@@ -81,5 +83,11 @@ def merge_over(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
 
 
+def without(df: DataFrame, other: DataFrame, col: str) -> DataFrame:
+    """``df`` without rows whose ``col`` is in ``other``, as benchmark items are kept out of training data."""
+    return df.join(other.select(col).distinct(), col, "left_anti")
+
+
 def rank_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    return df.withColumn("_r", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter("_r = 1").drop("_r")
+    """The first row of each key; ``order`` ascends. As dedup_first, for keys of few values."""
+    return dedup_first(df, keys, order)

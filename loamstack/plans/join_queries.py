@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamstack.functions import draws
-from loamstack.operators import balance, split, taxonomy
+from loamstack.functions import text as X
+from loamstack.operators import attach, balance, enrich, generate, split, taxonomy
 from loamstack.plans.views import BOXES, RECORDS, SAMPLES, boxes, draw, order, records, registered, samples, table
 
 QUERIES, ORACLE_SQL, query = registered()
@@ -60,11 +60,9 @@ def anno_assemble(spark, d) -> DataFrame:
     """Images with their annotations in order; annotations of placeholder categories fall out."""
     part = table(spark, d, "part")
     placeholder = part.groupBy("p_brand").agg(F.min("p_size").alias("s"), F.count("*").alias("n")).filter("s = 1 and n > 90").select("p_brand")
-    kept = part.join(placeholder, "p_brand", "left_anti").select(F.col("p_partkey").alias("part"), "p_type")
-    by_image = boxes(spark, d).join(kept, "part").groupBy("image").agg(F.array_sort(F.collect_list(F.struct("line", "p_type", F.col("box")[0].alias("x1")))).alias("a"))
-    size = F.coalesce(F.size("a"), F.lit(0)).cast("bigint")
-    joined = table(spark, d, "orders").select(F.col("o_orderkey").alias("image")).join(by_image, "image", "left")
-    return joined.select("image", F.greatest(size, F.lit(0)).alias("n_boxes"), F.when(F.col("a").isNull(), "normal").otherwise("anomalous").alias("label"),
+    classes = part.join(placeholder, "p_brand", "left_anti").select(F.col("p_partkey").alias("part"), "p_type")
+    found = attach.annotations(table(spark, d, "orders").select(F.col("o_orderkey").alias("image")), boxes(spark, d), classes, "image", "part", ["line", "p_type", F.col("box")[0].alias("x1")])
+    return found.select("image", F.size("a").cast("bigint").alias("n_boxes"), attach.label(F.col("a")).alias("label"),
                          F.coalesce(F.array_join(F.transform("a", lambda x: F.concat_ws("@", x["p_type"], x["x1"].cast("string"))), ";"), F.lit("")).alias("defects"))
 
 
@@ -73,36 +71,26 @@ def anno_assemble(spark, d) -> DataFrame:
 def first_match_by_priority(spark, d) -> DataFrame:
     """Each image with the first of its candidate files."""
     files = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").cast("bigint").alias("k"))
-    joined = table(spark, d, "orders").select(F.col("o_orderkey").alias("image"), (F.col("o_custkey") % 25).alias("k")).join(files, "k", "left")
-    prio = (F.col("image") + F.col("s_suppkey")) % 5
-    return joined.select("image", F.col("s_suppkey").alias("file"), prio.alias("prio")).transform(
-        lambda x: x.groupBy("image").agg(F.min_by(F.struct("file", "prio"), F.struct("prio", "file")).alias("f"))).select("image", "f.file", "f.prio")
+    images = table(spark, d, "orders").select(F.col("o_orderkey").alias("image"), (F.col("o_custkey") % 25).alias("k"))
+    return attach.first_by_priority(images, files.withColumnRenamed("s_suppkey", "file"), "image", "k", (F.col("image") + F.col("file")) % 5, F.col("file")).select("image", "file", "prio")
 
 
-@query("""WITH c AS (SELECT DISTINCT md5(event_type || chr(1) || props) AS k FROM events WHERE event_id % 2 = 0), r AS (SELECT event_type, md5(event_type || chr(1) || props) AS k FROM events WHERE event_id % 2 = 1)
+@query("""WITH c AS (SELECT DISTINCT md5(event_type || chr(0) || props || chr(0)) AS k FROM events WHERE event_id % 2 = 0), r AS (SELECT event_type, md5(event_type || chr(0) || props || chr(0)) AS k FROM events WHERE event_id % 2 = 1)
     SELECT event_type, count(c.k) AS hits, count(*) - count(c.k) AS misses FROM r LEFT JOIN c USING (k) GROUP BY 1""")
 def cache_hit_miss(spark, d) -> DataFrame:
-    k = F.md5(F.concat_ws("\x01", "event_type", "props").cast("binary"))
-    e = table(spark, d, "events").select("event_id", "event_type", k.alias("k"))
-    cached = e.filter("event_id % 2 = 0").select("k").distinct().withColumn("hit", F.lit(1))
-    joined = e.filter("event_id % 2 = 1").join(cached, "k", "left")
-    return joined.groupBy("event_type").agg(F.count("hit").alias("hits"), (F.count("*") - F.count("hit")).alias("misses"))
+    e = table(spark, d, "events").select("event_id", "event_type", X.cache_key(F.col("event_type"), F.col("props"), F.lit("")).alias("k"))
+    return enrich.hits(e.filter("event_id % 2 = 1"), e.filter("event_id % 2 = 0"), "event_type")
 
 
-@query(f"""WITH {SAMPLES}, p AS (SELECT dataset, category, sample_id AS ref, row_number() OVER w - 1 AS place, count(*) OVER (PARTITION BY dataset, category) AS n FROM samples WHERE label = 'normal' WINDOW w AS (PARTITION BY dataset, category ORDER BY sample_id)),
-    s AS (SELECT sample_id, dataset, category, {draw(5, 'sample_id')} AS x FROM samples WHERE label = 'anomalous')
-    SELECT s.sample_id, p.ref FROM s JOIN p ON s.dataset = p.dataset AND s.category = p.category AND p.n >= 3 AND p.place = s.x % p.n""")
+@query(f"""WITH {SAMPLES}, p AS (SELECT dataset, category, sample_id::VARCHAR AS reference, {draw('ref0', 'sample_id')} % 64 AS b FROM samples WHERE label = 'normal'),
+    q AS (SELECT *, row_number() OVER (PARTITION BY dataset, category, b ORDER BY reference) AS place, count(*) OVER (PARTITION BY dataset, category, b) AS n, count(*) OVER (PARTITION BY dataset, category) AS every FROM p),
+    k AS (SELECT dataset, category, list_sort(list(DISTINCT b)) AS bs FROM q WHERE every >= 3 GROUP BY 1, 2),
+    s AS (SELECT sample_id, dataset, category, bs[({draw('ref', 'sample_id')} % len(bs))::INT + 1] AS b FROM samples JOIN k USING (dataset, category) WHERE label = 'anomalous')
+    SELECT s.sample_id, q.reference AS ref FROM s JOIN q USING (dataset, category, b) WHERE q.place = {draw('ref2', 's.sample_id')} % q.n + 1""")
 def ref_pool_pick(spark, d) -> DataFrame:
-    """A normal reference of the same dataset and category for each anomalous sample: joined on a drawn place, no array of the pool."""
-    from pyspark.sql import Window as W
-
-    s = samples(spark, d)
-    group = ["dataset", "category"]
-    normal = s.filter("label = 'normal'")
-    size = normal.groupBy(*group).agg(F.count("*").alias("n")).filter("n >= 3")
-    pool = normal.select(*group, F.col("sample_id").alias("ref"), (F.row_number().over(W.partitionBy(*group).orderBy("sample_id")) - 1).cast("bigint").alias("place"))
-    asked = s.filter("label = 'anomalous'").join(size, group).select("sample_id", *group, (draws.number(5, F.col("sample_id")) % F.col("n")).alias("place"))
-    return asked.join(pool, [*group, "place"]).select("sample_id", "ref")
+    """A normal reference of the same dataset and category for each anomalous sample."""
+    s = samples(spark, d).withColumn("image", F.col("sample_id").cast("string"))
+    return generate.with_references(s).filter("reference is not null").select("sample_id", F.col("reference").alias("ref"))
 
 
 @query(f"""WITH {SAMPLES} SELECT dataset, category, min(sample_id) AS sample_id, any_value(length(text))::INT AS n FROM (SELECT *, row_number() OVER (PARTITION BY dataset, category, text ORDER BY sample_id) AS r FROM samples) WHERE r = 1 GROUP BY dataset, category, text""")
@@ -129,12 +117,11 @@ def split_assign_simple(spark, d) -> DataFrame:
     return split.split_by(samples(spark, d), "sample_id").select("sample_id", "split")
 
 
-_LINKS = "l AS (SELECT DISTINCT 'sid:' || o_custkey AS m, o_orderdate::DATE || '/' || (o_orderkey % 3) AS hub FROM orders WHERE o_custkey % 2 = 0 AND o_orderkey % 4 = 0)"
+_LINKS = "l AS (SELECT DISTINCT 'sid:' || l_orderkey AS m, l_shipdate::DATE || '/' || l_partkey AS hub FROM lineitem)"
 
 
 def _linked(spark, d) -> DataFrame:
-    o = table(spark, d, "orders").filter("o_custkey % 2 = 0 and o_orderkey % 4 = 0")
-    return o.select(F.col("o_custkey").alias("sample_id"), "o_orderkey", F.concat_ws("/", F.col("o_orderdate").cast("date").cast("string"), (F.col("o_orderkey") % 3).cast("string")).alias("image"))
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("sample_id"), F.concat_ws("/", F.col("l_shipdate").cast("date").cast("string"), F.col("l_partkey").cast("string")).alias("image"))
 
 
 _ROOTS = f"""WITH RECURSIVE {_LINKS}, e AS (SELECT DISTINCT a.m AS a, b.m AS b FROM l a JOIN l b USING (hub)),
@@ -143,7 +130,7 @@ _ROOTS = f"""WITH RECURSIVE {_LINKS}, e AS (SELECT DISTINCT a.m AS a, b.m AS b F
 
 @query(f"""{_ROOTS} SELECT substr(m, 5)::BIGINT AS sample_id, root, {_SPLIT.format(draw(0, 'root'))} AS split FROM roots""")
 def group_split_components(spark, d) -> DataFrame:
-    """Customers that share an order day are linked, as samples are by an image."""
+    """Orders that ship one part on one day are linked, as samples are by an image."""
     return split.split_groups(_linked(spark, d), "sample_id", "image").select("sample_id", "root", "split").distinct()
 
 
@@ -162,7 +149,7 @@ def bank_merge(spark, d) -> DataFrame:
 
 @query("""SELECT d.doc_id FROM documents d ANTI JOIN (SELECT DISTINCT text FROM benchmark) b ON d.text = b.text""")
 def benchmark_anti_join(spark, d) -> DataFrame:
-    return table(spark, d, "documents").join(table(spark, d, "benchmark").select("text").distinct(), "text", "left_anti").select("doc_id")
+    return split.without(table(spark, d, "documents"), table(spark, d, "benchmark"), "text").select("doc_id")
 
 
 @query(f"""WITH {SAMPLES}, sizes AS (SELECT dataset, count(*) AS n FROM samples GROUP BY 1), lv AS (SELECT max(l) AS level FROM (SELECT g.l, least(any_value(m.m), g.l) AS top, sum(least(n, g.l)) AS total FROM sizes, (SELECT max(n) AS m FROM sizes) m, range(1, 100001) g(l) WHERE g.l <= m.m GROUP BY g.l) WHERE top <= 0.4::DOUBLE * total + 1e-9),

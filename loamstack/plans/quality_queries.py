@@ -112,8 +112,9 @@ def export_openai(spark, d) -> DataFrame:
     return export.export(_exported(spark, d), "openai", "/data")
 
 
-@query(f"""WITH {RECORDS}, x AS (SELECT qa_id, answer, ord, CASE ord % 3 WHEN 0 THEN '<think>x</think> ' || answer WHEN 1 THEN answer || ' 42' ELSE '<think>' || answer END AS raw FROM records)
-    SELECT qa_id, CASE ord % 3 WHEN 2 THEN 'empty' WHEN 1 THEN 'facts_changed' END AS why FROM x WHERE ord % 3 = 0 OR true""")
+@query(rf"""WITH {RECORDS}, x AS (SELECT qa_id, answer, ord, CASE ord % 3 WHEN 0 THEN '<think>x</think> ' || answer WHEN 1 THEN answer || ' 42' ELSE '<think>' || answer END AS raw FROM records), s AS (SELECT qa_id, answer, trim(regexp_replace(regexp_replace(raw, '(?s)<think>.*?</think>', '', 'g'), '(?s)<think>.*$', ''), E' \t\n\r\f\v') AS new FROM x),
+    f AS (SELECT *, array_to_string(regexp_extract_all(answer, '-?\d+(?:\.\d+)?'), '|') || '|' || regexp_extract(answer, '(?s)\[.*\]') AS before, array_to_string(regexp_extract_all(new, '-?\d+(?:\.\d+)?'), '|') || '|' || regexp_extract(new, '(?s)\[.*\]') AS after FROM s)
+    SELECT qa_id, CASE WHEN new = '' THEN 'empty' WHEN before <> after THEN 'facts_changed' END AS why FROM f""")
 def rewrite_gate(spark, d) -> DataFrame:
     k = F.col("ord") % 3
     raw = F.when(k == 0, F.concat(F.lit("<think>x</think> "), F.col("answer"))).when(k == 1, F.concat(F.col("answer"), F.lit(" 42"))).otherwise(F.concat(F.lit("<think>"), F.col("answer")))
@@ -164,9 +165,9 @@ def pipeline_end_to_end(spark, d) -> DataFrame:
     """Cap, balance, generate, dedup, class cap, checks, quota, split: counts by split and task."""
     s = _image_samples(spark, d)
     s = balance_labels(cap_source_share(s, 0.4), 1.0)
-    r = generate.records(s)
+    r = split.written(generate.records(s), "records")  # generated once, read by every later step
     r = split.dedup_first(r, ["image", "question", "answer"], ["qa_id"])
-    r = quality.passing(r, generate.SYSTEMS)
+    r = split.written(quality.passing(r, generate.SYSTEMS), "passing")
     r = cap_classes(r, ["classification_open", "classification_mc"], 3.0)
     r = quota_sample(r, generate.RATIO)
     return split.split_by(r, "sample_id").groupBy("split", "task").agg(F.count("*").alias("n"))

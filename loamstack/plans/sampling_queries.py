@@ -77,11 +77,11 @@ def quota_sample(spark, d) -> DataFrame:
     return balance.quota_sample(records(spark, d), RATIO, 160).select("qa_id", "task")
 
 
-@query(f"""WITH {SAMPLES}, {RECORDS}, n AS (SELECT floor(count(*) * 0.4::DOUBLE / (1 - 0.4::DOUBLE))::BIGINT AS want FROM records), p AS (SELECT sample_id::VARCHAR AS qa_id FROM samples WHERE dataset = 'es' AND sample_id < 500),
-    c AS (SELECT p.qa_id, g, row_number() OVER (ORDER BY g, {order(0, 'p.qa_id')}) AS r FROM p, range(0, 50) x(g))
+@query(f"""WITH {SAMPLES}, {RECORDS}, n AS (SELECT floor(count(*) * 0.4::DOUBLE / (1 - 0.4::DOUBLE))::BIGINT AS want FROM records), p AS (SELECT sample_id::VARCHAR AS qa_id FROM samples WHERE dataset = 'es'),
+    g AS (SELECT unnest(range(0, (SELECT want FROM n) // (SELECT count(*) FROM p) + 1)) AS g), c AS (SELECT p.qa_id, g, row_number() OVER (ORDER BY g, {order(0, 'p.qa_id')}) AS r FROM p, g)
     SELECT qa_id, 'train' AS origin FROM records UNION ALL SELECT qa_id, 'general' FROM c, n WHERE r <= want""")
 def mix_general(spark, d) -> DataFrame:
-    pool = samples(spark, d).filter("dataset = 'es' and sample_id < 500").select(F.col("sample_id").cast("string").alias("qa_id"), F.lit("general").alias("origin"))
+    pool = samples(spark, d).filter("dataset = 'es'").select(F.col("sample_id").cast("string").alias("qa_id"), F.lit("general").alias("origin"))
     return balance.mix_general(records(spark, d).select("qa_id", F.lit("train").alias("origin")), pool, 0.4)
 
 
@@ -92,7 +92,7 @@ def reservoir_per_source(spark, d) -> DataFrame:
 
 @query(f"""WITH {RECORDS} SELECT task, qa_id FROM (SELECT *, row_number() OVER (PARTITION BY task ORDER BY (image_status = 'anomalous') DESC, {order(3, 'qa_id')}) AS r FROM records) WHERE r = 1""")
 def preview_one_per_task(spark, d) -> DataFrame:
-    first = [F.desc(F.col("image_status") == "anomalous"), draws.key(3, F.col("qa_id")), "qa_id"]
+    first = [F.col("image_status") != "anomalous", draws.key(3, F.col("qa_id")), "qa_id"]
     return split.rank_first(records(spark, d), ["task"], first).select("task", "qa_id")
 
 

@@ -77,11 +77,11 @@ def smart_resize(spark, d) -> DataFrame:
     return part.select("p_partkey", size.alias("s")).select("p_partkey", "s.h", "s.w")
 
 
-@query(f"""WITH {RECORDS} SELECT sample_id, ord, substr(md5(sample_id || '|' || task || '|' || question), 1, 16) AS qa_id, md5(task || chr(0) || question || chr(0) || answer) AS cache_key FROM records""".replace("chr(0)", "chr(1)"))
+@query(f"""WITH {RECORDS} SELECT sample_id, ord, substr(md5(sample_id || '|' || task || '|' || question), 1, 16) AS qa_id, md5(task || chr(0) || question || chr(0) || answer) AS cache_key FROM records""")
 def qa_id_hash(spark, d) -> DataFrame:
     r = records(spark, d)
     return r.select("sample_id", "ord", X.qa_id(F.col("sample_id"), F.col("task"), F.col("question")).alias("qa_id"),
-                    F.md5(F.concat_ws("\x01", "task", "question", "answer").cast("binary")).alias("cache_key"))
+                    X.cache_key(F.col("task"), F.col("question"), F.col("answer")).alias("cache_key"))
 
 
 @query("""SELECT event_id, array_to_string(regexp_extract_all(event_type || ' -' || props || ' [' || user_id || '] ' || (event_id % 7), '-?\\d+(?:\\.\\d+)?'), '|') || '|' || regexp_extract(event_type || ' -' || props || ' [' || user_id || '] ' || (event_id % 7), '(?s)\\[.*\\]') AS facts FROM events""")
@@ -90,16 +90,16 @@ def fact_fingerprint(spark, d) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.array_join(X.facts(t), "|").alias("facts"))
 
 
-_RAW = "CASE doc_id % 4 WHEN 0 THEN '<think>' || substr(text, 1, 20) || '</think> ' || substr(text, 21, 40) WHEN 1 THEN substr(text, 1, 20) || '</reason>' || substr(text, 21, 40) WHEN 2 THEN substr(text, 1, 20) || ' <thinking>' || substr(text, 21, 40) ELSE substr(text, 1, 40) END"
+_RAW = "CASE doc_id % 4 WHEN 0 THEN '<think>' || substr(text, 1, 20) || '</think> ' || substr(text, 21) WHEN 1 THEN substr(text, 1, 20) || '</reason>' || substr(text, 21) WHEN 2 THEN substr(text, 1, 20) || ' <thinking>' || substr(text, 21) ELSE text END"
 
 
 @query(f"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace({_RAW}, '(?is)<\\s*think\\s*>.*?<\\s*/\\s*think\\s*>', '', 'g'), '(?is)^.*<\\s*/\\s*(?:think|thinking|reasoning|reason)\\s*>', ''),
     '(?is)<\\s*(?:think|thinking|reasoning|reason)\\s*>.*$', ''), '^\\s+|\\s+$', '', 'g') AS answer FROM documents""")
 def strip_reasoning(spark, d) -> DataFrame:
     t = F.col("text")
-    first, rest, k = F.substring(t, 1, 20), F.substring(t, 21, 40), F.col("doc_id") % 4
+    first, rest, k = F.substring(t, 1, 20), F.expr("substring(text, 21)"), F.col("doc_id") % 4
     raw = (F.when(k == 0, F.concat(F.lit("<think>"), first, F.lit("</think> "), rest)).when(k == 1, F.concat(first, F.lit("</reason>"), rest))
-           .when(k == 2, F.concat(first, F.lit(" <thinking>"), rest)).otherwise(F.substring(t, 1, 40)))
+           .when(k == 2, F.concat(first, F.lit(" <thinking>"), rest)).otherwise(t))
     return table(spark, d, "documents").select("doc_id", X.strip_reasoning(raw).alias("answer"))
 
 

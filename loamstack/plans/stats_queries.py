@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loamstack.functions import text as X
@@ -61,7 +60,7 @@ def ratio_gap(spark, d) -> DataFrame:
 
 @query(f"""WITH {RECORDS} SELECT target_type, count(*) AS n FROM records WHERE task IN ('classification_open', 'counting') GROUP BY 1""")
 def class_distribution(spark, d) -> DataFrame:
-    return records(spark, d).filter(F.col("task").isin("classification_open", "counting")).groupBy("target_type").agg(F.count("*").alias("n"))
+    return stats.class_counts(records(spark, d), ["classification_open", "counting"])
 
 
 @query(f"""WITH {SAMPLES}, {BOXES}, b AS (SELECT image, count(*) AS n FROM boxes GROUP BY 1), p AS (SELECT dataset, count(*) AS n, count(*) FILTER (label = 'normal') AS n_normal, count(*) FILTER (label = 'anomalous') AS n_anomalous, count(b.n) AS with_box, coalesce(sum(b.n), 0)::BIGINT AS n_boxes, count(DISTINCT category) AS n_categories,
@@ -77,15 +76,9 @@ def preflight_profile(spark, d) -> DataFrame:
 @query("""WITH c AS (SELECT event_type, regexp_extract(props, '"k":\\s*(\\d+)', 1)::INT AS k FROM events), r AS (SELECT event_type, count(*) AS n, count(*) FILTER (k % 5 <> 0) AS accepted, min(k) AS shortest, list_sort(list(k))[(count(*) // 2)::INT + 1] AS median, max(k) AS longest FROM c GROUP BY 1)
     SELECT event_type, n, accepted, round(accepted::DOUBLE / n, 4) AS rate, shortest, median, longest, CASE WHEN accepted::DOUBLE / n >= 0.8 THEN 'healthy' WHEN accepted::DOUBLE / n >= 0.6 THEN 'warn' ELSE 'stop' END AS verdict FROM r""")
 def cache_report(spark, d) -> DataFrame:
-    """Acceptance by model. The upper median comes from counts of values, not from a collected group."""
+    """Acceptance by model."""
     k = F.from_json("props", "struct<k:int>")["k"]
-    e = table(spark, d, "events").select("event_type", k.alias("k"))
-    sums = e.groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("k") % 5 != 0).alias("accepted"), F.min("k").alias("shortest"), F.max("k").alias("longest"))
-    run = F.sum("c").over(W.partitionBy("event_type").orderBy("k").rowsBetween(W.unboundedPreceding, 0))
-    middle = e.groupBy("event_type", "k").agg(F.count("*").alias("c")).withColumn("run", run).join(sums.select("event_type", "n"), "event_type").filter(F.col("run") > F.floor(F.col("n") / 2)).groupBy("event_type").agg(F.min("k").alias("median"))
-    rate = F.col("accepted") / F.col("n")
-    return sums.join(middle, "event_type").select("event_type", "n", "accepted", F.round(rate, 4).alias("rate"), "shortest", "median", "longest",
-                                                  F.when(rate >= 0.8, "healthy").when(rate >= 0.6, "warn").otherwise("stop").alias("verdict"))
+    return stats.acceptance(table(spark, d, "events"), "event_type", k % 5 != 0, k)
 
 
 @query(f"""WITH {SAMPLES} SELECT dataset, count(*) AS n, count(*) FILTER (label = 'anomalous') AS anomalous, count(*) FILTER (label = 'normal') AS normal, count(DISTINCT category) AS n_types FROM samples GROUP BY 1""")
@@ -97,22 +90,17 @@ def ingest_summary(spark, d) -> DataFrame:
 
 @query(f"""WITH {RECORDS}, t AS (SELECT task, count(*) AS n, count(DISTINCT question) AS q FROM records GROUP BY 1) SELECT task, q AS n_questions, CASE WHEN q < 45 THEN 'few_questions' WHEN n < 50 THEN 'few_records' END AS warning FROM t WHERE q < 45 OR n < 50""")
 def build_warnings(spark, d) -> DataFrame:
-    t = records(spark, d).groupBy("task").agg(F.count("*").alias("n"), F.countDistinct("question").alias("q")).filter("q < 45 or n < 50")
-    return t.select("task", F.col("q").alias("n_questions"), F.when(F.col("q") < 45, "few_questions").otherwise("few_records").alias("warning"))
+    return stats.thin_tasks(records(spark, d), 45, 50)
 
 
-@query("""WITH m AS (SELECT p_brand, p_size AS grade, avg(p_retailprice) AS price FROM part WHERE p_size <= 6 GROUP BY 1, 2), l AS (SELECT *, lag(price) OVER (PARTITION BY p_brand ORDER BY grade) AS before FROM m)
-    SELECT p_brand, count(*) FILTER (price > before) AS up, count(*) FILTER (before IS NOT NULL) AS steps, CASE WHEN count(*) FILTER (price > before) >= 4 THEN 'ok' WHEN count(*) FILTER (price > before) <= 1 THEN 'reversed' ELSE 'unclear' END AS verdict FROM l GROUP BY 1""")
+@query("""WITH m AS (SELECT p_brand, p_size AS grade, avg(p_retailprice) AS price FROM part GROUP BY 1, 2), l AS (SELECT *, lag(price) OVER (PARTITION BY p_brand ORDER BY grade) AS before FROM m),
+    k AS (SELECT p_brand, count(*) FILTER (price > before) AS up, count(*) FILTER (before IS NOT NULL) AS steps FROM l GROUP BY 1)
+    SELECT *, CASE WHEN 5 * up >= 4 * steps THEN 'ok' WHEN 5 * up <= steps THEN 'reversed' ELSE 'unclear' END AS verdict FROM k""")
 def grade_monotonicity(spark, d) -> DataFrame:
     """Whether a mean rises from grade to grade."""
-    m = table(spark, d, "part").filter("p_size <= 6").groupBy("p_brand", F.col("p_size").alias("grade")).agg(F.avg("p_retailprice").alias("price"))
-    before = F.lag("price").over(W.partitionBy("p_brand").orderBy("grade"))
-    up = F.count_if(F.col("price") > F.col("before"))
-    return m.withColumn("before", before).groupBy("p_brand").agg(up.alias("up"), F.count("before").alias("steps"), F.when(up >= 4, "ok").when(up <= 1, "reversed").otherwise("unclear").alias("verdict"))
+    return stats.monotonicity(table(spark, d, "part"), "p_brand", "p_size", "p_retailprice")
 
 
 @query("""SELECT p_type, count(*) AS n, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) FILTER (r <= 3) AS examples FROM (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) AS r FROM part) GROUP BY 1""")
 def raw_class_preview(spark, d) -> DataFrame:
-    part = table(spark, d, "part")
-    first = part.withColumn("r", F.row_number().over(W.partitionBy("p_type").orderBy("p_partkey"))).filter("r <= 3").groupBy("p_type").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p_partkey")), lambda x: x.cast("string")), ",").alias("examples"))
-    return part.groupBy("p_type").agg(F.count("*").alias("n")).join(first, "p_type")
+    return stats.examples(table(spark, d, "part"), "p_type", "p_partkey")
