@@ -123,7 +123,7 @@ _SIDE_DDL = "s_chunk int, kind int, a binary, b binary, c binary, d binary"
 
 
 def _add(out: dict[str, list], chunk: int, kind: int, *columns: np.ndarray) -> None:
-    for k, v in zip(_SIDE, (chunk, kind, *(x.tobytes() for x in columns), *[None] * (4 - len(columns))), strict=True):
+    for k, v in zip(_SIDE, (chunk, kind, *(x.astype("<i8").tobytes() for x in columns), *[None] * (4 - len(columns))), strict=True):
         out[k].append(v)
 
 
@@ -317,7 +317,7 @@ def _resolve(length: int = LENGTH):
         table = table.combine_chunks()
         texts = table["context"].combine_chunks().dictionary_encode()
         code, values = np.asarray(texts.indices), texts.dictionary
-        least, size = np.asarray(table["least"]), np.asarray(pc.binary_length(values))
+        least, size = np.asarray(table["least"]), np.asarray(pc.binary_length(values)).astype(np.int64)
         # Contexts of each anchor: a group with one text is clear.
         _, group = np.unique(np.asarray(table["hash"]), return_inverse=True)
         lowest, highest = np.full(group.max() + 1, len(values)), np.full(group.max() + 1, -1)
