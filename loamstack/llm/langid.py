@@ -66,9 +66,8 @@ def chunks(texts: list[str | None]) -> Iterator[list[str]]:
 
 def term_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Counts of hashed n-grams, a row for each text, and whether it has a letter."""
-    codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    lengths[-1] -= 1
     table = _lowered()
     x = table[np.minimum(codes, 0xFFFF)]
     far = np.flatnonzero(codes > 0xFFFF)
