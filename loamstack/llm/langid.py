@@ -30,6 +30,7 @@ BITS = 13
 DIM = 1 << BITS
 SAMPLE_PER_LANGUAGE = 400
 CENTROIDS = 4
+BUCKETS = 256
 #: Rejection: the share of the percentile that a cosine has to reach, the percentile, texts that it takes at least, steps of a cosine.
 SLACK, LOWEST, LEAST_TEXTS, STEPS = 0.5, 0.01, 100, 400
 #: What a cosine has to reach at any length; the only limit for lengths below which there are fewer than LEAST_TEXTS.
@@ -182,8 +183,12 @@ class LanguageModel:
         for r in total:
             df[r["at"]], n = r["df"], r["n"]
         idf = (np.log((1 + n) / (1 + df)) + 0.1).astype(np.float32)
-        rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-        picked = train.select("doc_id", "lang").withColumn("r", rank).filter(F.col("r") <= sample_per_language).select("doc_id").distinct()
+        # Ranked within hash buckets first, so that the last step sees a bounded number of ids of each language, however many tasks there are.
+        ids = train.select("doc_id", "lang").withColumn("_b", F.pmod(F.hash("doc_id"), F.lit(BUCKETS)))
+        for by in (["lang", "_b"], ["lang"]):
+            rank = F.row_number().over(W.partitionBy(*by).orderBy(F.xxhash64("doc_id"), "doc_id"))
+            ids = ids.withColumn("r", rank).filter(F.col("r") <= sample_per_language).drop("r")
+        picked = ids.select("doc_id").distinct()
         # At most sample_per_language ids of each language.
         sample = train.join(F.broadcast(picked), "doc_id", "left_semi").groupBy("lang").applyInArrow(_centroids(idf, k), "lang string, centroid array<float>")
         rows = sorted(sample.collect(), key=lambda r: r["lang"])
