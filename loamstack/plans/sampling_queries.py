@@ -93,7 +93,7 @@ def reservoir_per_source(spark, d) -> DataFrame:
 @query(f"""WITH {RECORDS} SELECT task, qa_id FROM (SELECT *, row_number() OVER (PARTITION BY task ORDER BY (image_status = 'anomalous') DESC, {order(3, 'qa_id')}) AS r FROM records) WHERE r = 1""")
 def preview_one_per_task(spark, d) -> DataFrame:
     first = [F.col("image_status") != "anomalous", draws.key(3, F.col("qa_id")), "qa_id"]
-    return split.rank_first(records(spark, d), ["task"], first).select("task", "qa_id")
+    return split.dedup_first(records(spark, d), ["task"], first).select("task", "qa_id")
 
 
 @query(f"""WITH {RECORDS}, n AS (SELECT greatest(1, 30 // count(DISTINCT task)) AS per FROM records) SELECT task, qa_id FROM (SELECT task, qa_id, row_number() OVER (ORDER BY r, task) AS k FROM (SELECT *, row_number() OVER (PARTITION BY task ORDER BY {order(1, 'qa_id')}) AS r FROM records), n WHERE r <= per) WHERE k <= 30""")

@@ -1,5 +1,7 @@
 """Operators on small tables: the invariants and exact numbers that the surveyed system promises."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -219,3 +221,31 @@ def test_stats_and_config(spark):
     assert config.apply_overrides({"a": {"b": 1}}, ["a.b=2", "c.d=x"]) == {"a": {"b": 2}, "c": {"d": "x"}}
     assert config.merge_specs([{"name": "a", "x": 1}], [{"name": "a", "x": 2}, {"name": "b"}]) == [{"name": "a", "x": 2}, {"name": "b"}]
     assert [s["name"] for s in config.enabled([{"name": "a", "enabled": False}, {"name": "b"}])] == ["b"]
+
+
+def test_first_rows_of_strata_without_a_task_for_each(spark, monkeypatch):
+    from loamstack.functions import draws
+
+    rows = [(i, "abc"[min(i % 5, 2)]) for i in range(3000)] + [(9000, None), (9001, None)]
+    df = spark.createDataFrame(rows, "id long, s string")
+    takes = {"a": 100, "b": 0, "c": 5000, None: 1}
+    table = spark.createDataFrame(list(takes.items()), "s string, _take long")
+    for prefix in (1, 4):
+        monkeypatch.setattr(draws, "PREFIX", prefix)
+        marked = draws.mark_first(df, ["s"], table, 3, F.col("id"))
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "SortMergeJoin" not in plan
+        got = {(r["id"], r["s"]): r["_first"] for r in marked.collect()}
+        for s, n in takes.items():
+            own = sorted((hashlib.md5(f"3:{i}".encode()).hexdigest(), i) for i, x in rows if x == s)
+            assert [got[i, s] for _, i in own] == [k < n for k in range(len(own))]
+    assert draws.mark_first(df.limit(0), ["s"], table, 3, F.col("id")).count() == 0
+
+
+def test_cache_of_several_attempts(spark):
+    from loamstack.operators import enrich
+
+    first = spark.createDataFrame([("k1", None, "empty"), ("k2", "good", None)], "k string, a string, why string")
+    second = spark.createDataFrame([("k1", "later", None), ("k2", None, "facts_changed"), ("k3", None, "empty")], "k string, a string, why string")
+    cache = enrich.append(enrich.append(None, first, 1), second, 2)
+    assert {r["k"]: (r["a"], r["why"]) for r in enrich.latest(cache).collect()} == {"k1": ("later", None), "k2": ("good", None), "k3": (None, "empty")}
