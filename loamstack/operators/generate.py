@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loamstack.functions import draws
 from loamstack.functions import geometry as G
 from loamstack.functions import text as X
-from loamstack.operators.taxonomy import DEFECTS, GRADES, OTHER
+from loamstack.operators.taxonomy import DEFECTS, GRADES, OTHER, action
 
 MOST = 4
 # The weight with which each task is taken, and its share of the quota.
@@ -170,7 +170,7 @@ class _Builder:
         zero = (self.draw("zero") < 0.25) & away.isNotNull()
         mine = F.when(zero, none.cast("array<string>")).otherwise(F.array(kind))
         counted = F.when(zero, F.slice(d, 1, 0)).otherwise(self.of(kind))
-        worst = F.array_max(F.transform(d, lambda x, i: F.struct(x["area_ratio"].alias("a"), (-i).alias("i"), x["zh"].alias("zh"), x["severity"].alias("severity"))))
+        worst = F.array_max(F.transform(d, lambda x, i: F.struct(x["area_ratio"].alias("a"), (-i).alias("i"), x["zh"].alias("zh"), x["severity"].alias("severity"), x["type"].alias("type"), x["grade"].alias("grade"))))
         grades = F.create_map(*[F.lit(v) for g, (_, i) in GRADE_NAMES.items() for v in (g, i)])
         graded = F.array_max(F.transform(F.filter(d, lambda x: x["grade"].isNotNull()), lambda x: F.struct(F.try_element_at(grades, x["grade"]).alias("rank"), x["grade"].alias("grade"))))
         letters = F.array(*map(F.lit, "ABCDEF"))
@@ -198,7 +198,7 @@ class _Builder:
             "classification_open": r(self.known, self.question("classification_open"), F.concat(first["zh"], F.lit("，在画面"), first["region"], F.lit("，"), G.size_word(first["area_ratio"]), F.lit("。")), target_type=first["type"], said=F.array(first["type"])),
             "classification_mc": r(self.known & (F.size(options) >= 2), F.concat(self.question("classification_mc"), F.lit("\n"), listed), F.concat(letter, F.lit(". "), first["zh"]), answer_letter=letter, options=options, target_type=first["type"], said=F.array(first["type"])),
             "description": r(F.lit(True), self.question("description"), F.when(self.anomalous, F.concat(F.lit("检查发现缺陷，"), where)).otherwise("表面完好，没有裂纹、划伤和锈迹。"), said=self.types),
-            "severity_action": r(self.known, self.question("severity_action"), F.concat(worst["zh"], F.lit("，程度"), _lookup(SEVERITY_NAMES, worst["severity"]), F.lit("，建议由持照人员复核。")), severity=worst["severity"], said=none),
+            "severity_action": r(self.known, self.question("severity_action"), F.concat(worst["zh"], F.lit("，程度"), _lookup(SEVERITY_NAMES, worst["severity"]), F.lit("，建议"), action(worst["type"], worst["grade"]), F.lit("。")), severity=worst["severity"], said=none),
             "object_recognition": r(F.lit(True), self.question("object_recognition"), F.concat(F.lit("图中是"), F.col("object_zh"), F.lit("，对应"), F.col("ctx"), F.lit("。")), said=none),
             "grade_assessment": r(self.anomalous & graded.isNotNull(), self.question("grade_assessment"), F.concat(F.lit("锈蚀等级为"), _lookup({g: zh for g, (zh, _) in GRADE_NAMES.items()}, graded["grade"]), F.lit("。")), grade=graded["grade"], said=none),
             "uncertainty": r(asked_first.isNotNull(), self.question("uncertainty", _lookup(NAMES, asked_first)), F.concat(cause, F.lit("，无法确认，建议补拍。")), target_type=asked_first, asked=F.array(asked_first), said=none),
@@ -207,8 +207,11 @@ class _Builder:
         }
 
 
-def records(df: DataFrame, seed: int = 0, active: list[str] | None = None, most: int = MOST, references: bool = True) -> DataFrame:
-    """Records of all samples. Degraded samples give the task ``uncertainty`` alone."""
+def records(df: DataFrame, seed: int = 0, active: list[str] | None = None, most: int = MOST, references: bool = True, tasks: list[str] | None = None, weights: dict[str, float] | None = None) -> DataFrame:
+    """Records of all samples. Degraded samples give the task ``uncertainty`` alone. ``tasks`` names those that are switched on; a weight of 0 switches one off."""
+    weights = WEIGHTS | (weights or {})
+    if not any(weights[t] > 0 and (tasks is None or t in tasks) for t in WEIGHTS):
+        raise ValueError("no task is switched on")
     active = active or [x[0] for x in DEFECTS if x[0] != OTHER]
     df = scoped(with_references(df) if references else df, active)
     b = _Builder(seed, active, references)
@@ -216,8 +219,10 @@ def records(df: DataFrame, seed: int = 0, active: list[str] | None = None, most:
     degraded = F.col("degradation").isNotNull()
     offers = []
     for task, built in b.tasks(active).items():
+        if weights[task] <= 0 or (tasks is not None and task not in tasks):
+            continue
         apply = degraded if task == "uncertainty" else ~degraded
-        taken = apply & (b.draw("take" + task) < WEIGHTS[task])
+        taken = apply & (b.draw("take" + task) < weights[task])
         offers.append(F.when(taken, F.struct(draws.key(seed, b.id, F.lit("order" + task)).alias("h"), F.lit(task).alias("task"), built.alias("r"))))
     chosen = F.slice(F.array_sort(F.filter(F.array(*offers), lambda o: o["r"].isNotNull())), 1, most)
     systems = F.create_map(*[F.lit(x) for kv in SYSTEMS.items() for x in kv])

@@ -161,3 +161,10 @@ def conversation_errors(turns: Column, images: Column, system: Column | None = N
     if system is not None and systems:
         rules.append((system.isNotNull() & ~system.isin(systems), "unknown_system"))
     return _codes(*rules)
+
+
+def images_missing(records: DataFrame, files: DataFrame, key: str = "qa_id") -> DataFrame:
+    """``key`` of the records (images array, or image) that name a file which ``files`` (path) lacks; a null path is missing too."""
+    named = F.when(F.size("images") > 0, F.col("images")).otherwise(F.array("image")) if "images" in records.columns else F.array("image")
+    asked = records.select(F.col(key), F.explode(named).alias("path"))
+    return asked.join(files.select("path").distinct(), "path", "left_anti").select(key).distinct()

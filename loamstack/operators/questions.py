@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loamstack.functions import draws
 from loamstack.functions import text as X
+from loamstack.operators.taxonomy import DEFECTS
 
 # Words, endings and topics that a question must not have, and the placeholders of each task.
 COLLOQUIAL = ("呗", "咋", "嘛", "哈哈", "啦", "喽", "哟", "呐", "啊？", "这玩意", "整一下", "搞一下", "瞅", "瞧瞧", "弄一下")
@@ -70,3 +72,28 @@ def merged(seed: DataFrame, bank: DataFrame) -> DataFrame:
     both = seed.select("task", "question", F.lit(0).alias("part"), "ord").unionByName(bank.join(seed.select("task").distinct(), "task", "left_semi").select("task", "question", F.lit(1).alias("part"), "ord"))
     first = both.groupBy("task", "question").agg(F.min(F.struct("part", "ord")).alias("p"))
     return first.select("task", "question", F.row_number().over(W.partitionBy("task").orderBy("p", "question")).alias("ord"))
+
+
+def in_language(bank: DataFrame) -> DataFrame:
+    """``bank`` (task, question) without English questions, for tasks that have others; a task with English ones alone keeps them."""
+    english = X.is_english(F.col("question"))
+    other = bank.filter(~F.coalesce(english, F.lit(False))).select("task").distinct().withColumn("_other", F.lit(True))
+    return bank.join(other, "task", "left").filter(F.col("_other").isNull() | ~F.coalesce(english, F.lit(False))).select(*bank.columns)
+
+
+def pick(asked: DataFrame, bank: DataFrame, seed: int = 0) -> DataFrame:
+    """``asked`` (sample_id, task, named) with ``question``: of the task's questions those that name what is asked if ``named``
+    and those that don't if not, one of them drawn; null if there are none. The bank is a few hundred rows of configuration.
+    """
+    names = F.exists(F.array(F.lit("{defect}"), F.lit("{region}")), lambda m: F.contains(F.col("question"), m))
+    pools = bank.select("task", names.alias("named"), "question").groupBy("task", "named").agg(F.array_sort(F.collect_set("question")).alias("_pool"))
+    return asked.join(pools, ["task", "named"], "left").withColumn("question", draws.pick(F.col("_pool"), seed, F.col("sample_id"), F.col("task"))).drop("_pool")
+
+
+def types_in_answer(answer: Column) -> Column:
+    """Types that the boxes of an answer assert, in order, each once; labels without a type stay as they are."""
+    whole = F.regexp_extract(F.coalesce(answer, F.lit("")), r"(?s)\[.*\]", 0)
+    known = F.create_map(*[F.lit(x) for d in DEFECTS for x in (d[1], d[0])])
+    labels = F.transform(F.from_json(whole, "array<string>"), lambda item: F.get_json_object(item, "$.label"))
+    types = F.transform(F.filter(labels, lambda x: x.isNotNull() & (x != "")), lambda x: F.coalesce(F.try_element_at(known, x), x))
+    return F.when(X.is_json_array(whole), F.array_distinct(types)).otherwise(F.array().cast("array<string>"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstack.functions.text import norm_key
@@ -35,6 +35,31 @@ OBJECTS = (
 )
 # Grades of corrosion in order, Chinese names, severities.
 GRADES = (("good", "轻微锈蚀", "minor"), ("fair", "点蚀起皮", "major"), ("poor", "层状剥落", "major"), ("severe", "截面损失", "critical"))
+# What is to be done about each type, and about each grade of corrosion.
+ACTIONS = {
+    "fastener_missing": "补装同规格紧固件并按扭矩值复紧，检查孔位是否扩孔或撕裂",
+    "fastener_loose": "按 AMM 规定扭矩复紧，复紧后做防松标记线",
+    "thread_damage": "更换紧固件，检查配合螺孔螺纹是否同步损伤",
+    "fastener_wrong_spec": "按 IPC 件号核对并更换为正确规格",
+    "fastener_damage": "按 AMM 判定该紧固件可否继续使用，不满足要求则更换同规格件",
+    "corrosion": "按 SRM 打磨除锈并评估剩余厚度，补涂防腐底漆",
+    "crack": "停用该区域并做无损检测确定裂纹长度，按该机型 SRM 的可接受限度判定修理方案",
+    "dent": "测量凹坑深径比，对照 SRM 可接受限度判定打磨、堆修或换件",
+    "scratch": "抛光去除应力集中源并补涂保护涂层",
+    "paint_peeling": "清理松动漆层，按涂装规范补漆，防止下方基材腐蚀",
+    "breakage": "更换受损件，检查相邻结构是否受连带损伤",
+    "contamination": "清洁并溯源渗漏点，确认非液压/燃油渗漏",
+    "misalignment": "按图纸复位并重新紧固，检查孔位偏差",
+    "extra_part": "移除多余件并排查装配工序，防止 FOD",
+    "part_missing": "核对装配清单确认缺件件号，补装后复查相邻工序",
+    "other_anomaly": "记录并由持照人员进一步评估",
+}
+GRADE_ACTIONS = {
+    "good": "清洁表面并做好记录，按计划监控发展",
+    "fair": "除锈至金属基材，测量点蚀深度后补涂防腐底漆",
+    "poor": "机械除锈并评估剩余壁厚，按 SRM 判定是否需要补强",
+    "severe": "停用该区域并测量剩余截面，按该机型 SRM 的可接受限度判定换件或补强",
+}
 OTHER = "other_anomaly"
 
 
@@ -81,3 +106,9 @@ def siblings(spark: SparkSession) -> DataFrame:
     """type, sibling: other types of the same group."""
     d = defect_dim(spark)
     return d.select("type", "grp").join(d.select(F.col("type").alias("sibling"), "grp"), "grp").filter("type <> sibling").select("type", "sibling")
+
+
+def action(type_: Column, grade: Column) -> Column:
+    """What is to be done: by the grade if it is one of corrosion, else by the type; unknown types as the general anomaly."""
+    look = lambda table, key: F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key)
+    return F.coalesce(F.when(type_ == "corrosion", look(GRADE_ACTIONS, grade)), look(ACTIONS, type_), F.lit(ACTIONS[OTHER]))

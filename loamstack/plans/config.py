@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import copy
 import json
+import os
+from collections.abc import Callable
 
 
 def merge_specs(*layers: list[dict]) -> list[dict]:
@@ -38,3 +40,10 @@ def enabled(specs: list[dict], only: list[str] | None = None, commercial: bool =
     else:
         specs = [s for s in specs if s.get("enabled", True)]
     return [s for s in specs if s.get("commercial_ok")] if commercial else specs
+
+
+def resolve(spec: dict, data_root: str, exists: Callable[[str], bool] = os.path.exists) -> dict:
+    """``spec`` with ``{data_root}`` filled in and as root the first of root and root_alternatives that exists, else the first of all."""
+    out = {k: v for k, v in spec.items() if k != "root_alternatives"}
+    tried = [os.path.expanduser(str(r).replace("{data_root}", data_root)) for r in (spec["root"], *(spec.get("root_alternatives") or ()))]
+    return out | {"root": next(filter(exists, tried), tried[0]), "tried_roots": tried}
