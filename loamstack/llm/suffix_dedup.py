@@ -12,7 +12,7 @@ part. Of the others:
 2. Around the anchors that several documents have, the contexts (the bytes of all windows of the anchor, at most
    2 * LENGTH - GRAM) are gathered by anchor. Of equal contexts of a chunk one goes, with the least and largest doc_id;
    where they stand stays with the chunk, so a line of a third of all documents sends a row for each chunk only.
-3. Contexts of one anchor that are all equal need no sorting. The others are put into shards; each shard gets its
+3. Contexts of one anchor that are all equal need no sorting. The others, some anchors at a time, are put into shards; each shard gets its
    Burrows-Wheeler transform, and the transforms are merged by iterative interleave refinement: round h turns the order of
    the shards' suffixes by h bytes into that by h + 2 bytes from the transforms (of letter pairs) alone, and a boundary
    that first appears in a round is a common prefix of as many bytes. After LENGTH bytes the intervals between boundaries are
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ CHUNK_BYTES = 2_000_000
 BLOCK = 1 << 15
 BUCKET_ANCHORS = 500_000
 SHARDS = 8
+#: Bytes of whole anchors' contexts whose transforms are merged at a time, so that a merge stays in a processor's cache.
+MERGE_BYTES = 1 << 17
 LAST = (1 << 63) - 1
 _GAP = 0xFF  # in no UTF-8 text
 
@@ -304,6 +307,15 @@ def least_of_windows(contexts: list[bytes], least: np.ndarray, length: int = LEN
     return flat, begin
 
 
+def least_by_anchor(contexts: list[bytes], least: np.ndarray, anchor: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """``least_of_windows`` of contexts in the order of their anchors, some anchors at a time: a window has one anchor, so those of different anchors never meet."""
+    size = np.fromiter(map(len, contexts), np.int64, len(contexts)) + 1
+    begin = np.cumsum(size) - size
+    first = _starts(anchor)
+    cuts = np.append(first[_starts(begin[first] // MERGE_BYTES)], len(contexts)).tolist()
+    return np.concatenate([least_of_windows(contexts[a:b], least[a:b], length)[0] for a, b in pairwise(cuts)]), begin
+
+
 def _expand(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each row, ``count`` numbers from ``first``; and the row of each."""
     row = np.repeat(np.arange(len(count)), count)
@@ -330,9 +342,12 @@ def _resolve(length: int = LENGTH):
         # Runs of windows of each text that have one least document: (first window, last window, document).
         first_run, runs = np.arange(len(values)), np.ones(len(values), np.int64)
         low, high, than = np.zeros(len(values), np.int64), size - length, by_text.copy()
+        anchor = np.empty(len(values), np.int64)
+        anchor[code] = group
         which = np.flatnonzero(unclear)
         if len(which):
-            flat, begin = least_of_windows(values.take(pa.array(which)).to_pylist(), by_text[which], length)
+            which = which[np.argsort(anchor[which], kind="stable")]
+            flat, begin = least_by_anchor(values.take(pa.array(which)).to_pylist(), by_text[which], anchor[which], length)
             at, row = _expand(begin, (size[which] - length + 1).astype(np.int64))
             new = np.append(True, (row[1:] != row[:-1]) | (flat[at[1:]] != flat[at[:-1]]))
             cut = np.flatnonzero(new)

@@ -129,6 +129,22 @@ def test_merged_transforms():
             assert (a == b) == (c >= depth) or None in keys
 
 
+@pytest.mark.parametrize("size", [1, 300, 1 << 20])
+def test_least_by_anchor(size, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MERGE_BYTES", size)
+    rng = np.random.default_rng(1)
+    anchor = np.sort(rng.integers(0, 9, 60))
+    # A window has one anchor: texts of different anchors have different letters.
+    texts = [bytes(rng.choice([97 + 2 * a, 98 + 2 * a], rng.integers(6, 20)).astype(np.uint8)) for a in anchor]
+    least = rng.integers(0, 1000, len(texts))
+    want = {}
+    for t, n in zip(texts, least):
+        for p in range(len(t) - 5):
+            want[t[p : p + 6]] = min(want.get(t[p : p + 6], 1000), n)
+    flat, begin = suffix_dedup.least_by_anchor(texts, least, anchor, 6)
+    assert all(flat[b + p] == want[t[p : p + 6]] for t, b in zip(texts, begin) for p in range(len(t) - 5))
+
+
 def test_byte_bpe(spark, mixed):
     import public_tokenizers
     import tiktoken
