@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamstack.llm import byte_bpe, chat, exact_dedup, langid, minhash, packing, secrets, suffix_dedup, token_store, topk
+from loamstack.llm import byte_bpe, chat, exact_dedup, langid, line_rules, minhash, packing, secrets, suffix_dedup, token_store, topk
+
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -48,8 +49,6 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = chat.format_conversations(rows.unionByName(more))
     turn = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
     loss = F.array_join("loss_texts", "")
-
-
     back = chat.read_back(done)
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(F.transform("turns", turn), ""), 256).alias("turns_sha256"),
                        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
@@ -94,10 +93,14 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.stored(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judge(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_secret_scans, op2_language_id, op3_chat_formatting, op4_suffix_array_dedup, op5_byte_bpe, op6_exact_dedup, op7_exact_topk_search,
-              op8_minhash_near_dedup, op9_best_fit_packing, op10_token_id_output)
+              op8_minhash_near_dedup, op9_best_fit_packing, op10_token_id_output, op12_quality_rules)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -123,4 +126,22 @@ ORACLE_SQL: dict[str, str] = {
             FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op12_quality_rules": r"""
+        WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, list_filter(string_split_regex(text, '[ \t-\r]+'), lambda x: x <> '') AS w FROM d),
+        windows AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, w FROM w WHERE len(w) >= 8),
+        repeated AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) AS n FROM windows),
+        covered AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM repeated WHERE n > 1) GROUP BY doc_id),
+        lines AS (SELECT doc_id, host, text, unnest(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]'))) AS line FROM d),
+        normal AS (SELECT *, trim(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'), '[ \t-\r]+', ' ', 'g')) AS norm FROM lines),
+        hosts AS (SELECT host, count(DISTINCT text) AS n_host FROM d GROUP BY host),
+        frequent AS (SELECT host, norm FROM normal JOIN hosts USING (host) GROUP BY host, norm, n_host HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > 0.001 * n_host),
+        removed AS (SELECT doc_id, sum(len(list_filter(string_split_regex(line, '[ \t-\r]+'), lambda x: x <> ''))) AS n FROM normal SEMI JOIN frequent USING (host, norm) GROUP BY doc_id),
+        duplicated AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY doc_id),
+        m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+                (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+                coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n, 0)::BIGINT AS n_removed_words
+            FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN duplicated USING (doc_id) LEFT JOIN removed USING (doc_id))
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+            NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_removed_words <= 0.5 * n_words AS kept FROM m""",
 }
