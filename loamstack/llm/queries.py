@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamstack.llm import byte_bpe, chat, exact_dedup, langid, line_rules, minhash, packing, secrets, suffix_dedup, token_store, topk
+from loamstack.llm import align, byte_bpe, chat, exact_dedup, langid, line_rules, minhash, packing, secrets, spelling, suffix_dedup, token_store, topk
 
 
 def tokenizer_path(name: str) -> str:
@@ -93,14 +93,24 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.stored(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = align.align(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups").isNull(), F.lit("")).otherwise(F.sha2("groups", 256))
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(_documents(spark, sf_dir))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(_documents(spark, sf_dir), change=spelling.dropped_letter))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_secret_scans, op2_language_id, op3_chat_formatting, op4_suffix_array_dedup, op5_byte_bpe, op6_exact_dedup, op7_exact_topk_search,
-              op8_minhash_near_dedup, op9_best_fit_packing, op10_token_id_output, op12_quality_rules)
+              op8_minhash_near_dedup, op9_best_fit_packing, op10_token_id_output, op11_cross_tokenizer_alignment, op12_quality_rules, op13_spelling_variants)
 }
 
 ORACLE_SQL: dict[str, str] = {
