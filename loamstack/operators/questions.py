@@ -21,20 +21,43 @@ UNANSWERABLE = (
     ("system", "哪个系统|归属系统|控制参数|飞行安全中的作用"), ("measure", "几何尺寸|深度等级|具体尺寸|长度与|面积与形态"),
 )
 ALLOWED = {
-    "grounding_single": "defect defect_en obj ctx", "grounding_all": "obj ctx", "grounding_negative": "obj ctx", "grounding_counterfactual": "defect defect_en obj ctx", "referring_region": "box obj ctx",
-    "region_word": "defect obj ctx", "counting": "defect obj ctx", "discrimination": "obj ctx", "classification_open": "obj ctx region", "description": "obj ctx", "severity_action": "obj ctx defect region",
-    "object_recognition": "obj ctx", "grade_assessment": "defect obj ctx", "uncertainty": "defect obj ctx", "multi_turn": "obj ctx", "pair_compare": "obj ctx",
+    "grounding_single": ("defect", "defect_en", "obj", "ctx"),
+    "grounding_all": ("obj", "ctx"),
+    "grounding_negative": ("obj", "ctx"),
+    "grounding_counterfactual": ("defect", "defect_en", "obj", "ctx"),
+    "referring_region": ("box", "obj", "ctx"),
+    "region_word": ("defect", "obj", "ctx"),
+    "counting": ("defect", "obj", "ctx"),
+    "discrimination": ("obj", "ctx"),
+    "classification_open": ("obj", "ctx", "region"),
+    "description": ("obj", "ctx"),
+    "severity_action": ("obj", "ctx", "defect", "region"),
+    "object_recognition": ("obj", "ctx"),
+    "grade_assessment": ("defect", "obj", "ctx"),
+    "uncertainty": ("defect", "obj", "ctx"),
+    "multi_turn": ("obj", "ctx"),
+    "pair_compare": ("obj", "ctx"),
+}
+REQUIRED = {
+    "grade_assessment": ("defect",),
+    "grounding_single": ("defect",),
+    "grounding_counterfactual": ("defect",),
+    "referring_region": ("box",),
+    "region_word": ("defect",),
+    "counting": ("defect",),
+    "uncertainty": ("defect",),
+}
+FORBIDDEN = {
+    "object_recognition": ("obj", "ctx"),
 }
-REQUIRED = {"grade_assessment": "defect", "grounding_single": "defect", "grounding_counterfactual": "defect", "referring_region": "box", "region_word": "defect", "counting": "defect", "uncertainty": "defect"}
-FORBIDDEN = {"object_recognition": "obj ctx"}
 TEXT_TASKS = ("referring_region", "region_word", "discrimination", "classification_open", "classification_mc", "description", "severity_action", "object_recognition", "grade_assessment", "uncertainty", "pair_compare", "multi_turn")
 COORDINATES = "坐标|bbox|边界框|检测框|JSON|json"
 
 
-def _of(task: Column, table: dict[str, str]) -> Column:
+def _of(task: Column, table: dict[str, tuple[str, ...]]) -> Column:
     out = F.array().cast("array<string>")
     for name, words in table.items():
-        out = F.when(task == name, F.array(*map(F.lit, words.split()))).otherwise(out)
+        out = F.when(task == name, F.array(*map(F.lit, words))).otherwise(out)
     return out
 
 

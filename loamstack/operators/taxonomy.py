@@ -9,22 +9,38 @@ from loamstack.functions.text import norm_key
 
 # Type, Chinese name, group, default severity, whether the area changes the severity, aliases.
 DEFECTS = (
-    ("fastener_missing", "紧固件缺失", "fastener", "major", False, "missing-head missing_head missing missing_screw missing_pushpin missing_bolt missing_rivet missing_nut missing_washer absent missing_connector missing_cable missing_separator lost_head"),
-    ("fastener_loose", "紧固件松动", "fastener", "major", False, "loose loosened looseness bolt_loose rotation rotated backed_out protruding proud_head lifted"),
-    ("thread_damage", "螺纹损伤", "fastener", "major", False, "thread_side thread_top thread stripped_thread manipulated_front front_bent deformed_thread"),
-    ("fastener_wrong_spec", "紧固件规格不符", "fastener", "major", False, "screw_too_long screw_too_short 1_very_short_screw wrong_screw mismatch wrong_part swapped"),
-    ("fastener_damage", "紧固件损伤", "fastener", "major", False, "fastener_damage damaged_fastener fastener_defect fastener_fault screw_damage bolt_damage rivet_damage head_damage damaged_head"),
-    ("corrosion", "腐蚀锈蚀", "surface", "major", True, "corrosion rust rusty oxidation oxidized pitting pit pitted crazing rolled-in_scale severe poor fair corroded"),
-    ("crack", "裂纹", "structure", "critical", False, "crack cracked cracks crazing_crack fracture fissure rupture"),
-    ("dent", "凹坑", "structure", "major", True, "dent dented dint depression deformation bent deformed bend ak bx"),
-    ("scratch", "划伤", "surface", "minor", True, "scratch scratches scratch_head scratch_neck scratched scuff abrasion gouge nick hs ch"),
-    ("paint_peeling", "漆层剥落", "surface", "minor", True, "paint-peel-off paint_peel_off peel peeling flaking flake coating_loss blister patches"),
-    ("breakage", "断裂破损", "structure", "critical", False, "broken break part_broken bag_broken broken_cable hole puncture tear torn"),
-    ("contamination", "污染异物", "surface", "minor", True, "contamination contaminated foreign_object fod stain dirt grease leak oil_leak spot inclusion spots color discoloration discolored zw yw"),
-    ("misalignment", "错位不齐", "structure", "major", False, "misplaced misaligned wrong_cable_location shift offset wrong_position tilted flip flipped upside_down reversed wrong_orientation"),
-    ("extra_part", "多余件", "structure", "major", False, "extra_cable 1_additional_pushpin additional redundant duplicate"),
-    ("part_missing", "零件缺失", "structure", "major", False, "qs missing_part part_missing component_missing absent_part"),
-    ("other_anomaly", "异常", "other", "minor", True, "anomaly defect damage bad abnormal combined misc"),
+    ("fastener_missing", "紧固件缺失", "fastener", "major", False,
+     ("missing-head", "missing_head", "missing", "missing_screw", "missing_pushpin", "missing_bolt", "missing_rivet", "missing_nut", "missing_washer", "absent", "missing_connector", "missing_cable", "missing_separator", "lost_head")),
+    ("fastener_loose", "紧固件松动", "fastener", "major", False,
+     ("loose", "loosened", "looseness", "bolt_loose", "rotation", "rotated", "backed_out", "protruding", "proud_head", "lifted")),
+    ("thread_damage", "螺纹损伤", "fastener", "major", False,
+     ("thread_side", "thread_top", "thread", "stripped_thread", "manipulated_front", "front_bent", "deformed_thread")),
+    ("fastener_wrong_spec", "紧固件规格不符", "fastener", "major", False,
+     ("screw_too_long", "screw_too_short", "1_very_short_screw", "wrong_screw", "mismatch", "wrong_part", "swapped")),
+    ("fastener_damage", "紧固件损伤", "fastener", "major", False,
+     ("fastener_damage", "damaged_fastener", "fastener_defect", "fastener_fault", "screw_damage", "bolt_damage", "rivet_damage", "head_damage", "damaged_head")),
+    ("corrosion", "腐蚀锈蚀", "surface", "major", True,
+     ("corrosion", "rust", "rusty", "oxidation", "oxidized", "pitting", "pit", "pitted", "crazing", "rolled-in_scale", "severe", "poor", "fair", "corroded")),
+    ("crack", "裂纹", "structure", "critical", False,
+     ("crack", "cracked", "cracks", "crazing_crack", "fracture", "fissure", "rupture")),
+    ("dent", "凹坑", "structure", "major", True,
+     ("dent", "dented", "dint", "depression", "deformation", "bent", "deformed", "bend", "ak", "bx")),
+    ("scratch", "划伤", "surface", "minor", True,
+     ("scratch", "scratches", "scratch_head", "scratch_neck", "scratched", "scuff", "abrasion", "gouge", "nick", "hs", "ch")),
+    ("paint_peeling", "漆层剥落", "surface", "minor", True,
+     ("paint-peel-off", "paint_peel_off", "peel", "peeling", "flaking", "flake", "coating_loss", "blister", "patches")),
+    ("breakage", "断裂破损", "structure", "critical", False,
+     ("broken", "break", "part_broken", "bag_broken", "broken_cable", "hole", "puncture", "tear", "torn")),
+    ("contamination", "污染异物", "surface", "minor", True,
+     ("contamination", "contaminated", "foreign_object", "fod", "stain", "dirt", "grease", "leak", "oil_leak", "spot", "inclusion", "spots", "color", "discoloration", "discolored", "zw", "yw")),
+    ("misalignment", "错位不齐", "structure", "major", False,
+     ("misplaced", "misaligned", "wrong_cable_location", "shift", "offset", "wrong_position", "tilted", "flip", "flipped", "upside_down", "reversed", "wrong_orientation")),
+    ("extra_part", "多余件", "structure", "major", False,
+     ("extra_cable", "1_additional_pushpin", "additional", "redundant", "duplicate")),
+    ("part_missing", "零件缺失", "structure", "major", False,
+     ("qs", "missing_part", "part_missing", "component_missing", "absent_part")),
+    ("other_anomaly", "异常", "other", "minor", True,
+     ("anomaly", "defect", "damage", "bad", "abnormal", "combined", "misc")),
 )
 # Object, Chinese name, role, context.
 OBJECTS = (
@@ -35,31 +51,15 @@ OBJECTS = (
 )
 # Grades of corrosion in order, Chinese names, severities.
 GRADES = (("good", "轻微锈蚀", "minor"), ("fair", "点蚀起皮", "major"), ("poor", "层状剥落", "major"), ("severe", "截面损失", "critical"))
-# What is to be done about each type, and about each grade of corrosion.
+#: What is to be done about each type, and about each grade of corrosion: example sentences, replaced by a user's own tables.
 ACTIONS = {
-    "fastener_missing": "补装同规格紧固件并按扭矩值复紧，检查孔位是否扩孔或撕裂",
-    "fastener_loose": "按 AMM 规定扭矩复紧，复紧后做防松标记线",
-    "thread_damage": "更换紧固件，检查配合螺孔螺纹是否同步损伤",
-    "fastener_wrong_spec": "按 IPC 件号核对并更换为正确规格",
-    "fastener_damage": "按 AMM 判定该紧固件可否继续使用，不满足要求则更换同规格件",
-    "corrosion": "按 SRM 打磨除锈并评估剩余厚度，补涂防腐底漆",
-    "crack": "停用该区域并做无损检测确定裂纹长度，按该机型 SRM 的可接受限度判定修理方案",
-    "dent": "测量凹坑深径比，对照 SRM 可接受限度判定打磨、堆修或换件",
-    "scratch": "抛光去除应力集中源并补涂保护涂层",
-    "paint_peeling": "清理松动漆层，按涂装规范补漆，防止下方基材腐蚀",
-    "breakage": "更换受损件，检查相邻结构是否受连带损伤",
-    "contamination": "清洁并溯源渗漏点，确认非液压/燃油渗漏",
-    "misalignment": "按图纸复位并重新紧固，检查孔位偏差",
-    "extra_part": "移除多余件并排查装配工序，防止 FOD",
-    "part_missing": "核对装配清单确认缺件件号，补装后复查相邻工序",
-    "other_anomaly": "记录并由持照人员进一步评估",
-}
-GRADE_ACTIONS = {
-    "good": "清洁表面并做好记录，按计划监控发展",
-    "fair": "除锈至金属基材，测量点蚀深度后补涂防腐底漆",
-    "poor": "机械除锈并评估剩余壁厚，按 SRM 判定是否需要补强",
-    "severe": "停用该区域并测量剩余截面，按该机型 SRM 的可接受限度判定换件或补强",
+    "fastener_missing": "补上规格一致的紧固件，并查看孔边有无损坏", "fastener_loose": "重新拧紧并画上防松标记", "thread_damage": "换新紧固件，同时查看配合孔的螺纹",
+    "fastener_wrong_spec": "核对规格后换上正确的紧固件", "fastener_damage": "判断能否继续使用，不能则换新", "corrosion": "清除锈迹，测量余厚后重新做防护",
+    "crack": "暂停使用此处，进一步检测裂纹长度", "dent": "测量深度和直径，再决定修整还是换件", "scratch": "磨平划痕并恢复保护层",
+    "paint_peeling": "去掉松动的漆皮后补漆", "breakage": "换新零件，并查看周围是否受损", "contamination": "清洁表面并查明来源",
+    "misalignment": "调回正确位置后重新固定", "extra_part": "取走多出的零件，回查装配步骤", "part_missing": "按清单查出所缺零件并补装", "other_anomaly": "记录下来，请专业人员判断",
 }
+GRADE_ACTIONS = {"good": "清洁后登记，下次检查时复看", "fair": "除去锈点，测量坑深后补涂保护层", "poor": "除锈后测量余厚，再决定是否加强", "severe": "暂停使用此处，测量剩余截面后决定换件"}
 OTHER = "other_anomaly"
 
 
@@ -70,7 +70,7 @@ def defect_dim(spark: SparkSession) -> DataFrame:
 
 def alias_dim(spark: SparkSession) -> DataFrame:
     """alias key, type, ord; a name that two types have goes to the later one."""
-    names = [(n, d[0]) for d in DEFECTS for n in (d[0], *d[5].split())]
+    names = [(n, d[0]) for d in DEFECTS for n in (d[0], *d[5])]
     rows = [(n, t, i) for i, (n, t) in enumerate(names)]
     keyed = spark.createDataFrame(rows, "name string, type string, ord int").withColumn("alias", norm_key(F.col("name")))
     return keyed.groupBy("alias").agg(F.max_by("type", "ord").alias("type"), F.min("ord").alias("ord"))
@@ -108,7 +108,8 @@ def siblings(spark: SparkSession) -> DataFrame:
     return d.select("type", "grp").join(d.select(F.col("type").alias("sibling"), "grp"), "grp").filter("type <> sibling").select("type", "sibling")
 
 
-def action(type_: Column, grade: Column) -> Column:
+def action(type_: Column, grade: Column, actions: dict[str, str] | None = None, grade_actions: dict[str, str] | None = None) -> Column:
     """What is to be done: by the grade if it is one of corrosion, else by the type; unknown types as the general anomaly."""
+    actions, grade_actions = actions or ACTIONS, grade_actions or GRADE_ACTIONS
     look = lambda table, key: F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key)
-    return F.coalesce(F.when(type_ == "corrosion", look(GRADE_ACTIONS, grade)), look(ACTIONS, type_), F.lit(ACTIONS[OTHER]))
+    return F.coalesce(F.when(type_ == "corrosion", look(grade_actions, grade)), look(actions, type_), F.lit(actions[OTHER]))

@@ -18,7 +18,7 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(str(x) if isinstance(x, int) else f"'{x}'" for x in r) + ")" for r in rows)
 
 
-_ALIASES = _values([(n, d[0], i) for i, (n, d) in enumerate([(n, d) for d in taxonomy.DEFECTS for n in (d[0], *d[5].split())])])
+_ALIASES = _values([(n, d[0], i) for i, (n, d) in enumerate([(n, d) for d in taxonomy.DEFECTS for n in (d[0], *d[5])])])
 _DEFECTS = _values([(d[0], d[2]) for d in taxonomy.DEFECTS])
 _OBJECTS = _values([(o[0], i) for i, o in enumerate(taxonomy.OBJECTS)])
 #: Raw class names in many spellings: an alias with what a source puts around it.
