@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from loamstack.functions.draws import mark_first
 
+from loamstack.operators.chain import Chain
 
 #: Values of a column by which rows are balanced; the counts of so many reach the driver, more are refused.
 MOST_STRATA = 100_000
@@ -20,40 +18,23 @@ def counts(df: DataFrame, col: str) -> dict:
     return {r[0]: r[1] for r in found}
 
 
-def _mark(df: DataFrame, col: str, takes: dict, seed: int, *ids: Column) -> DataFrame:
-    kind = T.StructType([T.StructField(col, df.schema[col].dataType), T.StructField("_take", T.LongType())])
-    return mark_first(df, [col], df.sparkSession.createDataFrame([(k, int(v)) for k, v in takes.items()], kind), seed, *ids)
-
-
 def take_per(df: DataFrame, col: str, takes: dict, seed: int, *ids: Column) -> DataFrame:
     """The first ``takes[value]`` rows (none if absent) of each value of ``col``, in the order of their draws."""
-    return _mark(df, col, takes, seed, *ids).filter("_first").drop("_first")
+    return Chain(df, [col], seed, *ids).first({(k,): v for k, v in takes.items()}).apply()
 
 
-def spread(df: DataFrame, col: str, sizes: dict, want: dict, seed: int, *ids: Column) -> DataFrame:
-    """Rows of each value until there are ``want[value]`` of them: whole rounds, then the first by draws; ``_copy`` counts from 0."""
-    rounds = {k: divmod(want[k], sizes[k]) for k in sizes}
-    table = F.create_map(*[x for k, (q, _) in rounds.items() if k is not None for x in (F.lit(k), F.lit(q))]) if len(rounds) <= 1000 else None
-    if table is None:  # too many for a literal
-        kind = T.StructType([T.StructField("_value", df.schema[col].dataType), T.StructField("_whole", T.IntegerType())])
-        marked = _mark(df, col, {k: r for k, (_, r) in rounds.items()}, seed, *ids)
-        side = df.sparkSession.createDataFrame([(k, q) for k, (q, _) in rounds.items()], kind)
-        marked = marked.join(side, F.col(col).eqNullSafe(F.col("_value"))).drop("_value")
-    else:
-        whole = F.coalesce(F.try_element_at(table, F.col(col)), F.lit(rounds.get(None, (0, 0))[0]))
-        marked = _mark(df, col, {k: r for k, (_, r) in rounds.items()}, seed, *ids).withColumn("_whole", whole)
-    n = F.col("_whole") + F.col("_first").cast("int")
-    return marked.withColumn("_whole", n).filter("_whole > 0").withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_whole") - 1))).drop("_whole", "_first")
+def label_takes(sizes: dict, ratio: float) -> dict:
+    """All anomalous rows (and those of other labels), and at most floor(anomalous * ratio) normal ones."""
+    return {k: v for k, v in sizes.items() if k != "normal"} | {"normal": int(sizes.get("anomalous", 0) * ratio)}
 
 
 def balance_labels(samples: DataFrame, ratio: float, seed: int = 0, id_col: str = "sample_id") -> DataFrame:
-    """All anomalous rows and at most floor(anomalous * ratio) normal ones; a ratio of 0 or less keeps all."""
+    """See ``label_takes``; a ratio of 0 or less keeps all."""
     if ratio <= 0:
         return samples
-    found = counts(samples, "label")
-    n = found.get("anomalous", 0)
-    takes = {k: v for k, v in found.items() if k != "normal"} | {"normal": int(n * ratio)}
-    return take_per(samples, "label", takes, seed, F.col(id_col)).select(*samples.columns)
+    chain = Chain(samples, ["label"], seed, F.col(id_col))
+    label = lambda cell: cell[0]
+    return chain.first(label_takes(chain.sizes(label), ratio), label).apply()
 
 
 def water_level(sizes: list[int], max_share: float) -> int:
@@ -71,30 +52,49 @@ def water_level(sizes: list[int], max_share: float) -> int:
     return low
 
 
-def cap_source_share(samples: DataFrame, max_share: float, seed: int = 0, id_col: str = "sample_id") -> DataFrame:
-    """No dataset above ``max_share`` of the result; what a dataset loses is spread over its labels in proportion."""
-    counts(samples, "dataset")  # bounds what is collected
-    rows = samples.groupBy("dataset", "label").count().collect()
+def share_takes(sizes: dict, max_share: float) -> dict:
+    """By (dataset, label) of the same sizes: no dataset above ``max_share``; what a dataset loses is spread over its labels in proportion."""
     size: dict = {}
-    for r in rows:
-        size[r["dataset"]] = size.get(r["dataset"], 0) + r["count"]
+    for (d, _), n in sizes.items():
+        size[d] = size.get(d, 0) + n
     level, takes = water_level(list(size.values()), max_share), {}
     for d, n in size.items():
-        anomalous = sum(r["count"] for r in rows if r["dataset"] == d and r["label"] == "anomalous")
-        if n <= level:
-            takes |= {(d, "anomalous"): anomalous, (d, "normal"): n - anomalous}
-        else:
-            some = round(level * (anomalous / n))
-            takes |= {(d, "anomalous"): some, (d, "normal"): level - some}
-    keyed = samples.withColumn("_stratum", F.concat_ws("\u0001", "dataset", "label"))
-    return take_per(keyed, "_stratum", {"\u0001".join(k): v for k, v in takes.items()}, seed, F.col(id_col)).select(*samples.columns)
+        anomalous = sizes.get((d, "anomalous"), 0)
+        some = anomalous if n <= level else round(level * (anomalous / n))
+        takes |= {(d, "anomalous"): some, (d, "normal"): min(n, level) - some}
+    return takes
+
+
+class Sampling(Chain):
+    """Steps on samples (dataset, label) that read them once and are applied in one filter: ``Sampling(s).cap_source_share(0.4).balance_labels(1.0).apply()``."""
+
+    def __init__(self, samples: DataFrame, seed: int = 0, id_col: str = "sample_id"):
+        super().__init__(samples, ["dataset", "label"], seed, F.col(id_col))
+
+    def cap_source_share(self, max_share: float) -> Sampling:
+        return self.first(share_takes(self.sizes(), max_share))
+
+    def balance_labels(self, ratio: float) -> Sampling:
+        label = lambda cell: cell[1]
+        return self.first(label_takes(self.sizes(label), ratio), label) if ratio > 0 else self
+
+    def weigh_sources(self, weights: dict[str, float]) -> Sampling:
+        """As a last step; see ``weigh_sources``."""
+        dataset = lambda cell: cell[0]
+        return self.spread({d: round(n * max(0.0, weights.get(d, 1.0))) for d, n in self.sizes(dataset).items()}, dataset)
+
+
+def cap_source_share(samples: DataFrame, max_share: float, seed: int = 0, id_col: str = "sample_id") -> DataFrame:
+    """No dataset above ``max_share`` of the result; see ``share_takes``."""
+    return Sampling(samples, seed, id_col).cap_source_share(max_share).apply()
 
 
 def weigh_sources(samples: DataFrame, weights: dict[str, float], seed: int = 0, id_col: str = "sample_id") -> DataFrame:
     """Weight 0 drops a dataset, below 1 takes round(n * w) rows, above 1 adds copies until round(n * w); ``copy`` counts from 0."""
-    size = counts(samples, "dataset")
-    want = {d: round(n * max(0.0, weights.get(d, 1.0))) for d, n in size.items()}
-    return spread(samples, "dataset", size, want, seed, F.col(id_col)).withColumnRenamed("_copy", "copy")
+    chain = Chain(samples, ["dataset"], seed, F.col(id_col))
+    dataset = lambda cell: cell[0]
+    want = {d: round(n * max(0.0, weights.get(d, 1.0))) for d, n in chain.sizes(dataset).items()}
+    return chain.spread(want, dataset).apply().withColumnRenamed("_copy", "copy")
 
 
 def cap_classes(records: DataFrame, tasks: list[str], times: float, max_copies: float = 3.0, seed: int = 0, id_col: str = "qa_id") -> DataFrame:
@@ -104,7 +104,8 @@ def cap_classes(records: DataFrame, tasks: list[str], times: float, max_copies:
     """
     mine = F.col("task").isin(tasks) & F.col("target_type").isNotNull()
     part = records.filter(mine)
-    size = counts(part, "target_type")
+    chain = Chain(part, ["target_type"], seed, F.col(id_col))
+    size = chain.sizes(lambda cell: cell[0])
     out = records.withColumn("oversampled", F.lit(False))
     if not size:
         return out
@@ -112,7 +113,7 @@ def cap_classes(records: DataFrame, tasks: list[str], times: float, max_copies:
     cap = max(1, int(middle * times))
     floor = max(1, int(cap / times))
     want = {t: min(cap, max(n, min(floor, int(n * max_copies)))) for t, n in size.items()}
-    copies = spread(part, "target_type", size, want, seed, F.col(id_col))
+    copies = chain.spread(want, lambda cell: cell[0]).apply()
     name = F.when(F.col("_copy") == 0, F.col(id_col)).otherwise(F.concat(F.col(id_col), F.lit("#os"), F.col("_copy").cast("string")))
     done = copies.withColumn(id_col, name).withColumn("oversampled", F.col("_copy") > 0).select(*records.columns, "oversampled")
     return out.filter(~mine | F.col("target_type").isNull()).unionByName(done)
@@ -156,20 +157,21 @@ def quota_sample(records: DataFrame, ratio: dict[str, float], total: int | None
     """Rows of each task by quota; tasks outside ``ratio`` are dropped; an empty ratio keeps all."""
     if not ratio:
         return records
-    sizes = counts(records, "task")
-    takes = quota_takes(sizes, ratio, auto_total(sizes, ratio) if total is None else total)
-    return take_per(records, "task", takes, seed, F.col(id_col)).select(*records.columns)
+    chain = Chain(records, ["task"], seed, F.col(id_col))
+    task = lambda cell: cell[0]
+    sizes = chain.sizes(task)
+    return chain.first(quota_takes(sizes, ratio, auto_total(sizes, ratio) if total is None else total), task).apply()
 
 
 def mix_general(train: DataFrame, pool: DataFrame, share: float, seed: int = 0, id_col: str = "qa_id") -> DataFrame:
     """``train`` with rows of ``pool`` until they make up ``share`` (0 to 0.5, exclusive); pool rows repeat if they are too few."""
     if not 0 < share < 0.5:
         return train
-    n, have = train.count(), pool.count()
-    want = int(n * share / (1 - share))
-    if not have or not want:
+    chain = Chain(pool.withColumn("_all", F.lit(1)), ["_all"], seed, F.col(id_col))
+    want = int(train.count() * share / (1 - share))
+    if not chain.sizes() or not want:
         return train
-    picked = spread(pool.withColumn("_all", F.lit(1)), "_all", {1: have}, {1: want}, seed, F.col(id_col)).drop("_all", "_copy")
+    picked = chain.spread({(1,): want}).apply().drop("_all", "_copy")
     return train.unionByName(picked, allowMissingColumns=True)
 
 

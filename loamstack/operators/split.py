@@ -29,20 +29,24 @@ def split_by(df: DataFrame, col: str, seed: int = 0, ratios: tuple = RATIOS) ->
     return df.withColumn("split", split_of(number(seed, F.concat(F.lit("sid:"), F.col(col).cast("string"))), ratios))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Through a table in the shared checkpoint folder: cuts the lineage and outlives a lost executor.
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared checkpoint folder.
 
     A local session that names no folder gets one of its own below /tmp; elsewhere the setting is needed.
     """
-    spark: SparkSession = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file:///tmp/checkpoints/loamstack"
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Through a table in the shared checkpoint folder: cuts the lineage and outlives a lost executor."""
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def components(edges: DataFrame) -> DataFrame:

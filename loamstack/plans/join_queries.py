@@ -161,8 +161,7 @@ def benchmark_anti_join(spark, d) -> DataFrame:
     SELECT {_SPLIT.format(draw(0, "'sid:' || sample_id"))} AS split, dataset, label, count(*) AS n FROM dd GROUP BY 1, 2, 3""")
 def flagship_split_counts(spark, d) -> DataFrame:
     """Share cap, label balance, dedup, split: counts of what is left."""
-    s = balance.cap_source_share(samples(spark, d), 0.4)
-    s = balance.balance_labels(s, 1.0)
+    s = balance.Sampling(samples(spark, d)).cap_source_share(0.4).balance_labels(1.0).apply()
     s = split.dedup_first(s.select("dataset", "label", "text", "sample_id"), ["dataset", "label", "text"], ["sample_id"])
     return split.split_by(s, "sample_id").groupBy("split", "dataset", "label").agg(F.count("*").alias("n"))
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from loamstack.functions import draws
 from loamstack.functions import text as X
-from loamstack.operators import enrich, export, generate, imaging, quality, questions, split, taxonomy
-from loamstack.operators.balance import balance_labels, cap_classes, cap_source_share, quota_sample
+from loamstack.operators import enrich, export, generate, imaging, quality, questions, rewrite_cache, split, taxonomy
+from loamstack.operators.balance import Sampling, cap_classes, quota_sample
 from loamstack.plans.views import BOXES, RECORDS, H, W, boxes, draw, records, registered, table
 
 QUERIES, ORACLE_SQL, query = registered()
@@ -122,6 +122,30 @@ def rewrite_gate(spark, d) -> DataFrame:
 
 
 
+_STEPS, _DONE = 8, 3
+_ELIGIBLE = "task IN ('discrimination', 'description', 'classification_open')"
+
+
+def _model(question: str, answer: str) -> str:
+    """Says nothing, changes the facts, or repeats the answer."""
+    return ("<think>well</think>", answer + " 42", "<think>well</think> " + answer, answer, answer)[len(answer) % 5]
+
+
+@query(rf"""WITH {RECORDS}, k AS (SELECT task, answer, md5(task || chr(0) || question || chr(0) || answer) AS k FROM records WHERE {_ELIGIBLE}), d AS (SELECT DISTINCT task, k, trim(answer, E' \t\n\r\f\v') AS a, length(answer) % 5 AS says FROM k),
+    s AS (SELECT *, ('0x' || substr(k, 1, 8))::BIGINT % {_STEPS} < {_DONE} AS first_run, CASE WHEN says = 0 OR a = '' THEN CASE WHEN says = 1 THEN 'facts_changed' ELSE 'empty' END WHEN says = 1 THEN 'facts_changed' END AS why FROM d)
+    SELECT task, count(*) AS asked, count(*) FILTER (first_run) AS hits_of_second_run, count(*) FILTER (NOT first_run) AS asked_by_second_run, count(*) FILTER (why IS NULL) AS accepted, count(why) AS refused, count(*) FILTER (why = 'empty') AS empty_answers FROM s GROUP BY task""")
+def rewrite_resume(spark, d) -> DataFrame:
+    """A run that ends after 3 of its 8 steps, and a second one that asks for what lacks."""
+    formats = F.when(F.col("task") == "grounding_all", "json_only").when(F.col("task") == "counting", "text_then_json").otherwise("text")
+    r = split.written(records(spark, d).withColumn("output_format", formats), "records")
+    cache = rewrite_cache.RewriteCache(spark, split.new_folder(spark, "rewrites"))
+    cache.fill(r, _model, "m", steps=_STEPS, most=_DONE)
+    hits = cache.report(r).select("task", F.col("hits").alias("hits_of_second_run"))
+    second = cache.fill(r, _model, "m")
+    tasks = r.select("task", X.cache_key(F.col("task"), F.col("question"), F.col("answer")).alias("k")).distinct()
+    found = cache.rows().join(tasks, "k").groupBy("task").agg(F.count_if(F.col("attempt") == second).alias("asked_by_second_run"), F.count_if(F.col("why") == "empty").alias("empty_answers"))
+    return cache.report(r).drop("hits").join(hits, "task").join(found, "task").select("task", "asked", "hits_of_second_run", "asked_by_second_run", "accepted", "refused", "empty_answers")
+
 
 @query("""WITH RECURSIVE c AS (SELECT vec_id, unnest(range(0, 64)) AS p, unnest(embedding) > 0 AS on_ FROM embeddings), m AS (SELECT vec_id, p, p // 8 AS y, p % 8 AS x FROM c WHERE on_),
     e AS (SELECT a.vec_id, a.p AS a, b.p AS b FROM m a JOIN m b ON a.vec_id = b.vec_id AND abs(a.x - b.x) + abs(a.y - b.y) = 1),
@@ -164,7 +188,7 @@ def mc_options(spark, d) -> DataFrame:
 def pipeline_end_to_end(spark, d) -> DataFrame:
     """Cap, balance, generate, dedup, class cap, checks, quota, split: counts by split and task."""
     s = _image_samples(spark, d)
-    s = balance_labels(cap_source_share(s, 0.4), 1.0)
+    s = Sampling(s).cap_source_share(0.4).balance_labels(1.0).apply()
     r = split.written(generate.records(s), "records")  # generated once, read by every later step
     r = split.dedup_first(r, ["image", "question", "answer"], ["qa_id"])
     r = split.written(quality.passing(r, generate.SYSTEMS), "passing")
