@@ -15,7 +15,7 @@ Nothing is left out: every word meets every shard, though a shard whose words al
 
 Edge cases: null and empty texts have no words; repeated rows count again; a null doc_id is written as an empty text in the
 letter drop; ties of forms go to the smaller word in code-point order; a word without near words is its own root; an
-empty table gives an empty result; other columns are never looked at.
+empty table gives an empty result; other columns are never looked at. Words hold no line break.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ from loamstack.llm.store import materialise, new_path, small_batches
 #: Letters of a run, the share of runs that lose a letter, limits of the vocabulary and of a form.
 LETTERS, DROP, LEAST_LETTERS, LEAST_COUNT, RATIO = "a-zÀ-ÿ", 31, 7, 2, 10
 #: Distinct words that a map task holds before it writes their counts.
-HELD_WORDS = 400_000
-SHARD_LETTERS, PASS_BYTES = 2_000_000, 48 << 20
+HELD_WORDS = 150_000
+SHARD_LETTERS, PASS_BYTES = 1_000_000, 16 << 20
 #: Words of a task and of a block of states, rows of a batch.
 TASK_WORDS, BLOCK_WORDS = 60_000, 4000
 #: Bits of a code point.
@@ -146,11 +146,15 @@ class Shard:
     """A trie with the counts of its words."""
 
     def __init__(self, labels: bytes, first: bytes, ends: bytes, words: bytes, counts: bytes):
-        self.labels, self.first, self.ends = np.frombuffer(labels, np.uint32), np.frombuffer(first, np.int32).astype(np.int64), np.frombuffer(ends, np.int32)
-        self.words, self.counts = words.decode().split("\n"), np.frombuffer(counts, np.int64)
+        self.labels, self.first, self.ends = np.frombuffer(labels, np.uint32), np.frombuffer(first, np.int32), np.frombuffer(ends, np.int32)
+        self.counts, self.words = np.frombuffer(counts, np.int64), words
+        self.breaks = np.concatenate([[-1], np.flatnonzero(np.frombuffer(words, np.uint8) == 10), [len(words)]])
         # Parent and label of each node but the root, in ascending order.
         self.steps = np.repeat(np.arange(len(self.labels)), np.diff(self.first)) << POINT | self.labels[1:]
 
+    def word(self, i: int) -> str:
+        return self.words[self.breaks[i] + 1 : self.breaks[i + 1]].decode()
+
     def near(self, flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (number of a given word, number of a word of the shard) at distance one, each once."""
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -182,7 +186,7 @@ class Shard:
             finish(w[last], node[last], np.full(int(last.sum()), depth + 1))
             n = self.first[node + 1] - self.first[node]
             rep = np.repeat(np.arange(len(w)), n)
-            child = np.arange(len(rep)) + np.repeat(self.first[node] - np.cumsum(n) + n, n)
+            child = np.arange(len(rep)) + np.repeat(self.first[node] - np.cumsum(n, dtype=np.int64) + n, n)
             same = self.labels[child] == letter[rep]
             other = np.flatnonzero(~same)
             of, to = rep[other], child[other]
@@ -211,7 +215,7 @@ def _match(shards):
                 words = whole.column(0).slice(at, BLOCK_WORDS).to_pylist()
                 for t in tries:
                     own, n, best = t.reduced(words)
-                    columns = [[words[i] for i in own], n, [t.words[i] for i in best], t.counts[best]]
+                    columns = [[words[i] for i in own], n, [t.word(i) for i in best], t.counts[best]]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True)], names=["word", "n_near", "form", "form_n"])
 
     return go
