@@ -17,6 +17,7 @@ from loamstack.functions import geometry as G
 from loamstack.operators import imaging
 from loamstack.operators.split import rank_first
 from loamstack.operators.taxonomy import defect_dim, map_defects
+from loamstack.sources import json_array
 
 IMAGES = ("png", "jpg", "jpeg", "bmp", "PNG", "JPG", "JPEG", "BMP")
 # Names that mean "no defect".
@@ -53,31 +54,33 @@ def assemble(images: DataFrame, found: DataFrame) -> DataFrame:
     return joined.withColumn("label", F.when(F.size("defects") > 0, "anomalous").otherwise("normal")).select("image_path", "category", "split", "width", "height", "label", "defects")
 
 
-def _document(spark: SparkSession, path: str, most: int = 256 << 20) -> str | None:
-    """A file that Spark's readers pass over because its name begins with "_", through the file system that Hadoop knows; null if absent."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return None
-    if fs.getFileStatus(p).getLen() > most:
-        raise ValueError(f"{path} is too large to read at once: give it a name without a leading underscore and pass that name")
-    return jvm.org.apache.commons.io.IOUtils.toString(fs.open(p), "UTF-8")
+_IMAGE, _ANNOTATION, _CATEGORY = "struct<id:long,file_name:string,width:int,height:int>", "struct<id:long,image_id:long,category_id:long,bbox:array<double>>", "struct<id:long,name:string,supercategory:string>"
 
 
-def coco(spark: SparkSession, root: str, splits: tuple = ("train", "valid", "test"), name: str = "_annotations.coco.json") -> DataFrame:
-    """<split>/<name> beside the images. A placeholder category (supercategory none, and named as one) is dropped."""
-    schema = ("images array<struct<id:long,file_name:string,width:int,height:int>>, annotations array<struct<id:long,image_id:long,category_id:long,bbox:array<double>>>, "
-              "categories array<struct<id:long,name:string,supercategory:string>>")
+def coco(spark: SparkSession, root: str, splits: tuple = ("train", "valid", "test"), name: str = "_annotations.coco.json", categories: list[str] | None = None) -> DataFrame:
+    """<split>/<name> beside the images. A placeholder category (supercategory none, and named as one) is dropped.
+
+    Files whose names begin with "_" are read by byte ranges (``json_array``); others by Spark's reader, each in one task.
+    ``categories`` names those whose annotations are wanted; of files read by ranges the others never leave the reader.
+    """
     if name.startswith("_"):
-        texts = [(k, _document(spark, f"{root.rstrip('/')}/{k}/{name}")) for k in splits]
-        doc = spark.createDataFrame([x for x in texts if x[1] is not None], "split string, text string").select("split", F.from_json("text", "struct<" + schema.replace("images array", "images:array").replace("annotations array", "annotations:array").replace("categories array", "categories:array") + ">").alias("d")).select("split", "d.*")
+        paths = {k: f"{root.rstrip('/')}/{k}/{name}" for k in splits}
+        split = F.element_at(F.create_map(*[F.lit(x) for k, p in paths.items() for x in (p, k)]), F.col("path")).alias("split")
+        parsed = lambda key, kind, only=None: json_array.elements(spark, list(paths.values()), (key,), only).select(split, F.col("at").alias("ord"), F.from_json("text", kind).alias("x")).select("split", "ord", "x.*")
+        raw = parsed("categories", _CATEGORY)
+        wanted = None
+        if categories is not None:  # a few rows of configuration
+            wanted = ("annotations", "category_id", [r["id"] for r in raw.filter(F.col("name").isin(*categories)).select("id").distinct().collect()])
+        image, ann = parsed("images", _IMAGE), parsed("annotations", _ANNOTATION, wanted)
     else:
-        doc = spark.read.schema(schema).option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", name).json(root).withColumn("split", F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1))
+        doc = spark.read.schema(f"images array<{_IMAGE}>, annotations array<{_ANNOTATION}>, categories array<{_CATEGORY}>").option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", name).json(root).withColumn("split", F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1))
         doc = doc.filter(F.col("split").isin(*splits))
-    image = doc.select("split", F.explode("images").alias("i")).select("split", "i.*")
-    ann = doc.select("split", F.posexplode("annotations").alias("ord", "a")).select("split", "ord", "a.image_id", "a.category_id", "a.bbox")
-    cat = doc.select("split", F.explode("categories").alias("c")).select("split", F.col("c.id").alias("category_id"), "c.name", "c.supercategory")
+        image = doc.select("split", F.explode("images").alias("i")).select("split", "i.*")
+        ann = doc.select("split", F.posexplode("annotations").alias("ord", "a")).select("split", "ord", "a.*")
+        raw = doc.select("split", F.explode("categories").alias("c")).select("split", "c.*")
+    ann, cat = ann.select("split", "ord", "image_id", "category_id", "bbox"), raw.select("split", F.col("id").alias("category_id"), "name", "supercategory")
+    if categories is not None:
+        ann = ann.join(cat.filter(F.col("name").isin(*categories)).select("split", "category_id"), ["split", "category_id"], "left_semi")
     holders = cat.join(cat.select("split", F.col("supercategory").alias("name")).distinct(), ["split", "name"], "left_semi").filter(F.lower("supercategory") == "none").select("split", "category_id")
     names = cat.select("split", "category_id", "name")
     kept = ann.join(holders, ["split", "category_id"], "left_anti").join(names, ["split", "category_id"], "left").withColumn("raw", F.coalesce("name", F.lit("defect"))).filter(~F.lower("raw").isin(*_PLAIN))
