@@ -67,21 +67,25 @@ def _said(text: str | None) -> bool:
     return bool(re.sub(r"(?is)<(think|reason)\w*\s*>.*?(</\1\w*\s*>|\Z)", "", text or "").strip())
 
 
-def call(requests: DataFrame, clients: dict[str, Callable[[str], str]], retries: int = 1, backoff: float = 0.0, workers: int = 16) -> DataFrame:
+def call(requests: DataFrame, clients: dict[str, Callable[..., str]], retries: int = 1, backoff: float = 0.0, workers: int = 16) -> DataFrame:
     """One row for each attempt on ``requests`` (request, prompt, route). ``workers`` bounds the requests that run at once.
 
+    With a column ``budget`` clients are called with the prompt and the tokens that the answer may have.
+
     A model is tried ``retries`` more times, then the next of the route, until one says something; an answer of reasoning
     alone is a failure, as is a name without a client. A null route or prompt is an empty one.
     """
 
-    def attempts(prompt: str, names: list[str]) -> Iterator[tuple]:
+    given = ["prompt"] + ["budget"] * ("budget" in requests.columns)
+
+    def attempts(names: list[str], *asked) -> Iterator[tuple]:
         for name in names:
             for again in range(retries + 1):
                 if again:
                     time.sleep(backoff * 2 ** (again - 1))
                 text, start = None, time.monotonic()
                 try:
-                    text = clients[name](prompt)
+                    text = clients[name](*asked)
                     err = None if _said(text) else "empty"
                 except Exception as x:  # whatever a model does, the next one is tried
                     err = type(x).__name__
@@ -91,10 +95,11 @@ def call(requests: DataFrame, clients: dict[str, Callable[[str], str]], retries:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(i, n, *a) for i, p, names in zip(b["request"], b["prompt"], b["route"], strict=True) for n, a in enumerate(attempts(p, list(names)))]
+            asked = zip(*[b[c] for c in given], strict=True)
+            rows = [(i, n, *a) for i, names, x in zip(b["request"], b["route"], asked, strict=True) for n, a in enumerate(attempts(list(names), *x))]
             yield pd.DataFrame(rows, columns=["request", "n", "model", "ok", "latency_ms", "err", "text"])
 
-    asked = requests.select(F.col("request").cast("string"), F.coalesce("prompt", F.lit("")).alias("prompt"), F.coalesce("route", F.array().cast("array<string>")).alias("route"))
+    asked = requests.select(F.col("request").cast("string"), F.coalesce("prompt", F.lit("")).alias("prompt"), F.coalesce("route", F.array().cast("array<string>")).alias("route"), *given[1:])
     return asked.repartition(workers).mapInPandas(run, LOG)
 
 
