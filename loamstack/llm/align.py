@@ -11,8 +11,10 @@ that every segment begins with one space, as B's own prefix does.
 
 1. Texts are cut in chunks. A chunk is written as the places of its segments in its own dictionary, and the dictionary
    as plain rows (chunk, code, segment).
-2. Each distinct segment is tokenised and aligned once. Its path lists the overlapping pairs of tokens in order; each
-   says whether its A token and its B token are new. Paths are joined back to the rows of the chunks.
+2. The rows are dealt and sorted by segment; each distinct one is tokenised and aligned once. Its path lists the
+   overlapping pairs of tokens in order; each says whether its A token and its B token are new. The paths join the rows
+   of all chunks that hold the segment in the same sorted pass, and go back to the chunks packed by chunk (never more
+   packs than rows, so their number follows the input).
 3. Each chunk counts the documents that hold a pair; the counts are added up. The pairs of each chunk get their total
    and whether it is the highest of their A id.
 4. Each chunk composes its documents from the paths and those totals.
@@ -30,7 +32,6 @@ from __future__ import annotations
 import json
 import math
 import os
-import uuid
 from collections.abc import Iterator
 from functools import cache
 
@@ -40,11 +41,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from loamstack.llm.byte_bpe import _from_planes, _plain, _planes, _squeezed, _steps
 from loamstack.llm.pretokenize import byte_signs
-from loamstack.llm.store import MOST_BUCKETS, materialise, small_batches
+from loamstack.llm.store import MOST_BUCKETS, bucketed, materialise, small_batches
 
 #: Characters of a chunk and of the slices in which it is cut and composed; segments that are aligned at a time.
-CHUNK_CHARS, SLICE_CHARS, ALIGN_ROWS = 16_000_000, 1_000_000, 20_000
+CHUNK_CHARS, SLICE_CHARS, ALIGN_ROWS = 32_000_000, 1_000_000, 20_000
+#: Sorted rows of segments that are packed by chunk at a time, and bytes of segments for each task of them.
+PACK_ROWS, TASK_BYTES = 300_000, 4_000_000
+#: Segments whose groups are written at a time.
+TEXT_CODES = 50_000
 #: A pair of a path: A id in the upper 16 bits, B id in the lower ones; its new sides.
 LINK = np.dtype([("pair", "<u4"), ("new", "u1")])
 NEW_A, NEW_B = 1, 2
@@ -146,7 +152,7 @@ def _cut(schema: pa.Schema):
             for v in values:
                 known.setdefault(v, len(known))
             places = np.fromiter(map(known.__getitem__, values), np.int32, len(values))[codes] if values else np.zeros(0, np.int32)
-            yield _rows(schema, chunk=[chunk], doc_ids=[ids], counts=[full.astype("<i8").tobytes()], places=[places.astype("<i4").tobytes()])
+            yield _rows(schema, chunk=[chunk], doc_ids=[ids], counts=[full.astype("<i8").tobytes()], places=[_planes(places)])
             size += sum(map(len, texts))
             if size >= CHUNK_CHARS:
                 yield from dictionary()
@@ -223,13 +229,61 @@ def sides(byte_level: str, pieces: str) -> Sides:
     return Sides(byte_level, pieces)
 
 
+def _spread(pairs: np.ndarray) -> bytes:
+    """The first bytes of all pairs, then the second ones, and so on, compressed."""
+    return _squeezed(pairs.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _gathered(blob: pa.Scalar) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(_plain(blob), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+_PACK = pa.schema([("chunk", pa.int64()), ("codes", pa.binary()), ("sizes", pa.binary()), ("pairs", pa.binary()), ("news", pa.binary())])
+
+
 def _align(byte_level: str, pieces: str):
+    """Of rows (segment, chunk, code) sorted by segment the paths, packed by chunk: ascending codes, links of each, pairs and new sides of the links."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = sides(byte_level, pieces)
-        for whole in batches:
-            for at in range(0, whole.num_rows, ALIGN_ROWS):
-                some = whole.column(0).slice(at, ALIGN_ROWS)
-                yield pa.RecordBatch.from_arrays([some, pa.array(both.paths(some.to_pylist()), pa.binary())], names=["segment", "path"])
+        held: list[pa.RecordBatch] = []
+        last: tuple[bytes, bytes] = (b"", b"")
+
+        def packed() -> pa.RecordBatch:
+            nonlocal last
+            table = pa.Table.from_batches(held).combine_chunks()
+            found = table["segment"].chunk(0).dictionary_encode()
+            parts = found.dictionary.to_pylist()
+            # The first may have been aligned as the last of the rows before.
+            known = parts[0] == last[0]
+            paths = [last[1]] * known
+            for at in range(known, len(parts), ALIGN_ROWS):
+                paths += both.paths(parts[at : at + ALIGN_ROWS])
+            last = parts[-1], paths[-1]
+            links = np.frombuffer(b"".join(paths), LINK)
+            size = np.fromiter((len(p) // LINK.itemsize for p in paths), np.int64, len(paths))
+            start = np.cumsum(size) - size
+            chunk, code, of = np.asarray(table["chunk"]), np.asarray(table["code"]), np.asarray(found.indices)
+            order = np.lexsort((code, chunk))
+            chunk, code, of = chunk[order], code[order], of[order]
+            cuts = np.append(np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1])), len(chunk))
+            rows = []
+            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                own = of[x:y]
+                some = links[_runs(start[own], size[own])]
+                rows.append((int(chunk[x]), _steps(code[x:y]), _squeezed(size[own].astype("<u4").tobytes()), _spread(np.ascontiguousarray(some["pair"])), _squeezed(some["new"].tobytes())))
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PACK, strict=True)], schema=_PACK)
+
+        n = 0
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+                n += b.num_rows
+            if n >= PACK_ROWS:
+                yield packed()
+                held, n = [], 0
+        if held:
+            yield packed()
 
     return run
 
@@ -237,22 +291,24 @@ def _align(byte_level: str, pieces: str):
 class Chunk:
     """A chunk's paths, by the codes of its segments, and its slices."""
 
-    def __init__(self, table: pa.Table):
-        own = table.filter(table["code"].is_valid())
-        code, paths = np.asarray(own["code"]), own["path"].to_pylist()
-        self.links = np.frombuffer(b"".join(paths), LINK)
-        n = np.fromiter((len(p) // LINK.itemsize for p in paths), np.int64, len(paths))
+    def __init__(self, slices: pa.Table, packs: pa.Table):
+        own = packs
+        read = lambda name, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(_plain(x), kind) for x in own[name])])
+        code = np.concatenate([np.zeros(0, np.int64), *(np.cumsum(np.frombuffer(_plain(x), "<i4")) for x in own["codes"])])
+        n = read("sizes", "<u4").astype(np.int64)
+        self.pair = np.concatenate([np.zeros(0, "<u4"), *map(_gathered, own["pairs"])])
+        self.new = read("news", np.uint8)
         self.size, self.start = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
         self.size[code] = n
         self.start[code] = np.cumsum(n) - n
-        self.slices = table.filter(table["doc_ids"].is_valid())
-        self.pairs, self.pair = np.unique(self.links["pair"], return_inverse=True)
+        self.slices = slices
+        self.pairs, self.local = np.unique(self.pair, return_inverse=True)
 
     def documents(self) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
         """For each slice: doc_ids, first place of each document's segments and one more, codes of the segments. Documents with a segment without path have none."""
         for i in range(self.slices.num_rows):
             docs, counts, places = (self.slices[k][i] for k in ("doc_ids", "counts", "places"))
-            counts, codes = np.frombuffer(counts.as_buffer(), "<i8"), np.frombuffer(places.as_buffer(), "<i4")
+            counts, codes = np.frombuffer(counts.as_buffer(), "<i8"), _from_planes(places.as_buffer())
             owner = np.repeat(np.arange(len(counts)), counts)
             odd = np.zeros(len(counts), bool)
             odd[owner[self.size[codes] == 0]] = True
@@ -271,46 +327,63 @@ def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(size.sum())) + np.repeat(start - np.cumsum(size) + size, size)
 
 
-_PAIRS = pa.schema([("p_chunk", pa.int64()), ("pair", pa.int64()), ("n", pa.int64())])
+_PAIRS = pa.schema([("chunk", pa.int64()), ("pair", pa.int64()), ("n", pa.int64())])
 
 
-def _count(table: pa.Table) -> pa.Table:
+def _count(slices: pa.Table, packs: pa.Table) -> pa.Table:
     """How many documents of a chunk hold each pair."""
-    chunk = Chunk(table)
+    chunk = Chunk(slices, packs)
     total = np.zeros(len(chunk.pairs), np.int64)
     for _, bounds, codes in chunk.documents():
         owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         once = np.unique(owner * max(1, len(chunk.size)) + codes)
         owner, codes = once // max(1, len(chunk.size)), once % max(1, len(chunk.size))
-        held = np.repeat(owner, chunk.size[codes]) * max(1, len(total)) + chunk.pair[_runs(chunk.start[codes], chunk.size[codes])]
+        held = np.repeat(owner, chunk.size[codes]) * max(1, len(total)) + chunk.local[_runs(chunk.start[codes], chunk.size[codes])]
         total += np.bincount(np.unique(held) % max(1, len(total)), minlength=len(total))
     some = np.flatnonzero(total)
-    return pa.table([pa.array(np.full(len(some), table["chunk"][0].as_py())), pa.array(chunk.pairs[some].astype(np.int64)), pa.array(total[some])], schema=_PAIRS)
+    return pa.table([pa.array(np.full(len(some), slices["chunk"][0].as_py())), pa.array(chunk.pairs[some].astype(np.int64)), pa.array(total[some])], schema=_PAIRS)
 
 
-def _texts(chunk: Chunk) -> pa.Array:
-    """The groups of each code's path: A ids, a bar, B ids, a semicolon."""
-    pair, new = chunk.links["pair"], chunk.links["new"]
+@cache
+def _shown() -> pa.Array:
+    """Every id and a comma."""
+    return pa.array([f"{i},".encode() for i in range(1 << 16)], pa.binary())
+
+
+def _written(pair: np.ndarray, new: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The groups of paths that follow each other (``size`` links each), and the letters of each path."""
     group = np.cumsum(new == NEW_A + NEW_B)
-    shown = [str(i).encode() + b"," for i in range(1 << 16)]
-    width = np.fromiter(map(len, shown), np.int64, len(shown))
-    letters, first = np.frombuffer(b"".join(shown), np.uint8), np.cumsum(width) - width
     places = [np.flatnonzero(new & side) for side in (NEW_A, NEW_B)]
-    ids = np.concatenate([pair[places[0]] >> 16, pair[places[1]] & 0xFFFF]).astype(np.int64)
+    ids = np.concatenate([pair[places[0]] >> 16, pair[places[1]] & 0xFFFF]).astype(np.int32)
     key = np.concatenate([2 * group[places[0]], 2 * group[places[1]] + 1])
     order = np.argsort(key, kind="stable")
-    ids, key = ids[order], key[order]
-    size = width[ids]
-    out = letters[_runs(first[ids], size)]
-    ends = np.cumsum(size)
-    last = np.flatnonzero(np.append(key[1:] != key[:-1], True)) if len(key) else np.zeros(0, np.int64)
+    key = key[order]
+    text = _shown().take(pa.array(ids[order]))
+    ends = np.frombuffer(text.buffers()[1], np.int32, len(ids) + 1)[1:]
+    out = np.frombuffer(text.buffers()[2], np.uint8)[: ends[-1]].copy()
+    last = np.flatnonzero(np.append(key[1:] != key[:-1], True))
     out[ends[last] - 1] = np.where(key[last] % 2, ord(";"), ord("|"))
-    # Letters of each link's group up to its end give those of a code, as codes hold whole groups.
-    stop = np.append(0, ends[np.searchsorted(key, 2 * np.arange(1, int(group[-1]) + 1) + 1, "right") - 1]) if len(group) else np.zeros(1, np.int64)
-    before = np.append(0, group)
-    bounds = stop[before[np.append(chunk.start, 0)[:-1]]], stop[before[chunk.start + chunk.size]]
+    # A path holds whole groups: its letters end with those of its last group.
+    stop = np.append(0, ends[np.searchsorted(key, 2 * np.arange(1, int(group[-1]) + 1) + 1, "right") - 1])
+    return out, np.diff(stop[np.append(0, group)[np.append(0, np.cumsum(size))]])
+
+
+def _texts(chunk: Chunk) -> pa.Array:
+    """The groups of each code's path: A ids, a bar, B ids, a semicolon."""
     by_place = np.lexsort((chunk.size, chunk.start))
-    flat = pa.Array.from_buffers(pa.binary(), len(by_place), [None, pa.py_buffer(np.append(bounds[0][by_place], len(out)).astype(np.int32)), pa.py_buffer(out.tobytes())])
+    parts, sizes = [], []
+    for at in range(0, len(by_place), TEXT_CODES):
+        own = by_place[at : at + TEXT_CODES]
+        size, first = chunk.size[own], int(chunk.start[own[0]])
+        if size.any():
+            stop = first + int(size.sum())
+            out, n = _written(chunk.pair[first:stop], chunk.new[first:stop], size)
+            parts.append(out.tobytes())
+            sizes.append(n)
+        else:
+            sizes.append(size)
+    bounds = np.append(0, np.cumsum(np.concatenate([np.zeros(0, np.int64), *sizes])))
+    flat = pa.Array.from_buffers(pa.binary(), len(by_place), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(b"".join(parts))])
     back = np.empty(len(by_place), np.int64)
     back[by_place] = np.arange(len(by_place))
     return flat.take(pa.array(back))
@@ -320,37 +393,30 @@ def _compose(kind: pa.DataType):
     counts = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     schema = pa.schema([("doc_id", kind), *[(c, pa.int64()) for c in counts], ("groups", pa.string())])
 
-    def run(table: pa.Table, totals: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return schema.empty_table()
-        chunk = Chunk(table)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        totals = table.filter(table["pair"].is_valid()).select(["pair", "n", "best"])
+        chunk = Chunk(table.filter(table["doc_ids"].is_valid()), table.filter(table["codes"].is_valid()))
+        del table
         order = np.argsort(np.asarray(totals["pair"]))
         place = np.searchsorted(np.asarray(totals["pair"])[order], chunk.pairs)
         # Pairs that only documents without tokens hold have no total.
         place = np.minimum(place, max(0, len(order) - 1))
         n, best = (np.asarray(totals[c])[order][place] if len(order) else np.zeros(len(chunk.pairs), np.int64) for c in ("n", "best"))
-        new = chunk.links["new"]
-        per = [chunk.sums(x) for x in ((new & NEW_A) > 0, (new & NEW_B) > 0, new == NEW_A + NEW_B, np.ones(len(new), np.int64), best.astype(np.int64)[chunk.pair], n[chunk.pair])]
-        texts, out = _texts(chunk), []
+        new = chunk.new
+        per = [chunk.sums(x) for x in ((new & NEW_A) > 0, (new & NEW_B) > 0, new == NEW_A + NEW_B, np.ones(len(new), np.int64), best.astype(np.int64)[chunk.local], n[chunk.local])]
+        texts = _texts(chunk)
         for docs, bounds, codes in chunk.documents():
             columns = [np.append(0, np.cumsum(x[codes]))[bounds] for x in per]
             shown = texts.take(pa.array(codes))
             ends = np.frombuffer(shown.buffers()[1], np.int32, len(codes) + 1)[bounds] if len(codes) else bounds
             raw = shown.buffers()[2].to_pybytes() if len(codes) else b""
             groups = [raw[x : y - 1].decode() if y > x else None for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-            out.append(pa.RecordBatch.from_arrays([docs.cast(kind), *(pa.array(np.diff(c)) for c in columns), pa.array(groups, pa.string())], schema=schema))
-        return pa.Table.from_batches(out, schema)
+            yield pa.RecordBatch.from_arrays([docs.cast(kind), *(pa.array(np.diff(c)) for c in columns), pa.array(groups, pa.string())], schema=schema)
 
     return run
 
 
-def _by_chunk(df: DataFrame, buckets: int, name: str) -> DataFrame:
-    """Bucketed by chunk, one file a bucket: both passes read it without a shuffle."""
-    table = f"{name}_{uuid.uuid4().hex}"
-    df.repartition(buckets, "chunk").write.bucketBy(buckets, "chunk").option("compression", "zstd").format("parquet").saveAsTable(table)
-    return df.sparkSession.read.table(table)
-
-
 def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups (``a1,a2|b1;a3|b2,b3``; null without tokens): a row for each row of ``docs``."""
     check_vocabularies(byte_level, pieces)
@@ -360,17 +426,18 @@ def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     arrow = to_arrow_type(kind)
     schema = pa.schema([("chunk", pa.int64()), ("code", pa.int32()), ("segment", pa.binary()), ("doc_ids", pa.list_(arrow)), ("counts", pa.binary()), ("places", pa.binary())])
     total = own.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = min(MOST_BUCKETS, 2 * math.ceil(total / CHUNK_CHARS) or 1)
-    cut = materialise(own.mapInArrow(_cut(schema), f"chunk long, code int, segment binary, doc_ids array<{kind.simpleString()}>, counts binary, places binary"), "segments")
-    asked = cut.filter("segment IS NOT NULL").select("chunk", "code", "segment")
-    paths = asked.select("segment").distinct().mapInArrow(_align(byte_level, pieces), "segment binary, path binary")
-    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("doc_ids", f"array<{kind.simpleString()}>"), ("counts", "binary"), ("places", "binary"))]
-    back = asked.join(paths.hint("merge"), "segment").select("chunk", "code", "path", *nothing)
-    slices = cut.filter("segment IS NULL").select("chunk", F.lit(None).cast("int").alias("code"), F.lit(None).cast("binary").alias("path"), "doc_ids", "counts", "places")
-    chunks = _by_chunk(back.union(slices), buckets, "aligned_chunks")
-    pairs = materialise(chunks.groupBy("chunk").applyInArrow(_count, "p_chunk long, pair long, n long"), "pairs")
+    buckets = min(MOST_BUCKETS, 4 * math.ceil(total / CHUNK_CHARS) or 1)
+    # Each task writes its own chunks, so a bucket's file holds whole chunks and no row moves.
+    cut = bucketed(own.mapInArrow(_cut(schema), f"chunk long, code int, segment binary, doc_ids array<{kind.simpleString()}>, counts binary, places binary"), "chunk", buckets, "segments")
+    slices = cut.filter("segment IS NULL").select("chunk", "doc_ids", "counts", "places")
+    asked = cut.filter("segment IS NOT NULL").select("segment", "chunk", "code")
+    size = asked.agg(F.sum(F.length("segment"))).first()[0] or 0
+    dealt = asked.repartition(math.ceil(size / TASK_BYTES) or 1, "segment").sortWithinPartitions("segment")
+    packs = materialise(dealt.mapInArrow(_align(byte_level, pieces), "chunk long, codes binary, sizes binary, pairs binary, news binary"), "paths")
+    pairs = materialise(slices.groupBy("chunk").cogroup(packs.groupBy("chunk")).applyInArrow(_count, "chunk long, pair long, n long"), "pairs")
     summed = pairs.groupBy("pair").agg(F.sum("n").alias("n"))
     highest = summed.groupBy(F.shiftright("pair", 16).alias("a")).agg(F.max("n").alias("most"))
     judged = summed.withColumn("a", F.shiftright("pair", 16)).join(highest, "a").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
-    totals = pairs.select("p_chunk", "pair").join(judged, "pair").select("p_chunk", "pair", "n", "best")
-    return chunks.groupBy("chunk").cogroup(totals.groupBy("p_chunk")).applyInArrow(_compose(arrow), f"doc_id {kind.simpleString()}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
+    totals = pairs.select("chunk", "pair").join(judged, "pair").select("chunk", "pair", "n", "best")
+    whole = slices.unionByName(packs, allowMissingColumns=True).unionByName(totals, allowMissingColumns=True)
+    return whole.groupBy("chunk").applyInArrow(_compose(arrow), f"doc_id {kind.simpleString()}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
