@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from loamstack.functions import draws
 from loamstack.functions import geometry as G
 from loamstack.functions import text as X
-from loamstack.operators.taxonomy import DEFECTS, GRADES, OTHER, action
+from loamstack.operators import options as O
+from loamstack.operators import questions as Q
+from loamstack.operators.taxonomy import DEFECTS, GRADES, OTHER, action, with_objects
 
 MOST = 4
 # The weight with which each task is taken, and its share of the quota.
@@ -35,8 +37,8 @@ SYSTEMS = {
 QUESTIONS = {
     "grounding_single": ("请定位图中的{defect}。", "图中{obj}上的{defect}在哪里？"), "grounding_all": ("请列出图中全部异常的位置。", "请找出{obj}上的所有缺陷。"), "grounding_negative": ("请找出{obj}上的所有缺陷。", "请列出图中全部异常的位置。"),
     "grounding_counterfactual": ("请定位图中的{defect}。", "请给出{obj}上{defect}的边界框。"), "referring_region": ("区域 {box} 内是否有异常？", "请判断 {box} 处的状况。"), "counting": ("图中有几处{defect}？", "请清点{obj}上的{defect}。"),
-    "region_word": ("{defect}位于画面的什么方位？", "请说明{defect}所在的方位。"), "discrimination": ("这张图是否有异常？", "请判断{obj}是否合格。"), "classification_open": ("图中的缺陷属于哪一类？", "请说明{obj}上的缺陷类型。"),
-    "classification_mc": ("图中的缺陷是哪一种？", "请选出图中缺陷的类型。"), "description": ("请写一段检查记录。", "请描述{obj}的状况。"), "severity_action": ("请评估缺陷的严重程度。", "缺陷有多严重？应如何处理？"),
+    "region_word": ("{defect}位于画面的什么方位？", "请说明{defect}所在的方位。"), "discrimination": ("这张图是否有异常？", "请判断{obj}是否合格。"), "classification_open": ("图中的缺陷属于哪一类？", "请说明{obj}上的缺陷类型。", "画面{region}的缺陷属于哪一类？", "请说明{obj}{region}处的缺陷类型。"),
+    "classification_mc": ("图中的缺陷是哪一种？", "请选出图中缺陷的类型。"), "description": ("请写一段检查记录。", "请描述{obj}的状况。"), "severity_action": ("请评估缺陷的严重程度。", "缺陷有多严重？应如何处理？", "请评估{defect}的严重程度。", "画面{region}的{defect}有多严重？应如何处理？"),
     "object_recognition": ("图中是什么部件？", "请指出被检部件。"), "grade_assessment": ("请评定锈蚀等级。", "图中锈蚀到了哪一级？"), "uncertainty": ("图中是否有{defect}？", "请确认{obj}上有没有{defect}。"),
     "multi_turn": ("请看这张检查照片，有异常吗？", "这张图里有问题吗？"), "pair_compare": ("对比两张图，第二张有什么不同？", "以第一张为参考，第二张有何差异？"),
 }
@@ -45,6 +47,14 @@ CAUSES = {"blur": "画面模糊", "occlusion": "目标被遮挡", "overexposure"
 SEVERITY_NAMES = {"minor": "轻微", "major": "中等", "critical": "严重"}
 GRADE_NAMES = {g: (zh, i) for i, (g, zh, _) in enumerate(GRADES)}
 
+#: Tasks whose questions name what is asked if a picture shows several types, and the marks of such questions.
+NAMED = {"classification_open": ("{region}",), "severity_action": ("{defect}", "{region}")}
+# Types that a degraded picture is asked about, defects that a comparison lists, the share of answers with an advice.
+ASKED_IF_DEGRADED, MOST_COMPARED, ADVICE_RATE = 3, 4, 0.5
+ADVICE = ("最终结论以现场复核为准。", "处理前请由检验人员确认。", "图片判断仅供参考。")
+#: Questions of a bank that become part of the plan.
+MOST_QUESTIONS = 20_000
+
 _KINDS = {
     "question": "string", "answer": "string", "yes_no": "string", "answer_letter": "string", "options": "array<string>", "n_boxes": "int", "region": "string", "variant": "string", "target_type": "string",
     "severity": "string", "grade": "string", "asked": "array<string>", "said": "array<string>", "turns": "array<struct<question:string,answer:string>>", "images": "array<string>",
@@ -56,7 +66,8 @@ def _lookup(table: dict[str, str], key: Column) -> Column:
 
 
 def samples(rows: DataFrame, w: int, h: int) -> DataFrame:
-    """Rows of image, degradation, dataset, category and raw defects (type, bbox) as samples."""
+    """Rows of image, degradation, dataset, category and raw defects (type, bbox) as samples; objects are mapped from the category unless rows have them."""
+    rows = rows if "object_zh" in rows.columns else with_objects(rows)
     severities = {d[0]: d[3] for d in DEFECTS}
     scaled = [d[0] for d in DEFECTS if d[4]]
 
@@ -70,7 +81,7 @@ def samples(rows: DataFrame, w: int, h: int) -> DataFrame:
 
     defects = F.coalesce(F.transform("raw", defect), F.array().cast("array<struct<type:string,zh:string,bbox:array<int>,area_ratio:double,severity:string,region:string,grade:string>>"))
     image = F.concat(F.lit("/data/"), F.col("image").cast("string"), F.lit(".jpg"))
-    return rows.select(F.col("image").alias("sample_id"), image.alias("image"), F.lit(w).alias("width"), F.lit(h).alias("height"), "dataset", "category", "degradation", F.lit("检查口盖").alias("object_zh"), F.lit("可卸口盖壁板").alias("ctx"),
+    return rows.select(F.col("image").alias("sample_id"), image.alias("image"), F.lit(w).alias("width"), F.lit(h).alias("height"), "dataset", "category", "degradation", "object", "object_zh", "role", "ctx",
                        defects.alias("defects")).withColumn("label", F.when(F.size("defects") > 0, "anomalous").otherwise("normal"))
 
 
@@ -81,9 +92,10 @@ def scoped(df: DataFrame, active: list[str]) -> DataFrame:
 
 
 def with_references(df: DataFrame, least: int = 3) -> DataFrame:
-    """Adds ``reference``: a normal image of the same dataset and category, if there are ``least`` of them.
+    """Adds ``reference``: another, normal image of the same dataset and category, if there are ``least`` of them.
 
-    References are ranked within hash buckets of their group, and samples are joined to one drawn rank of one bucket.
+    References are ranked within hash buckets of their group, and samples are joined to one drawn rank of one bucket; a
+    normal sample skips its own rank, or the bucket that holds nothing else.
     """
     from pyspark.sql import Window as W
 
@@ -93,17 +105,38 @@ def with_references(df: DataFrame, least: int = 3) -> DataFrame:
     pool = normal.withColumn("_place", rank)
     sizes = pool.groupBy(*group, "_b").agg(F.max("_place").alias("n"))
     known = sizes.groupBy(*group).agg(F.sum("n").alias("_all"), F.array_sort(F.collect_list(F.struct("_b", "n"))).alias("_buckets")).filter(F.col("_all") >= least)
-    asked = df.filter("label = 'anomalous'").select("sample_id", *group).join(known, group)
-    bucket = draws.pick(F.col("_buckets"), "ref", F.col("sample_id"))
-    drawn = asked.withColumn("_x", bucket).select("sample_id", *group, F.col("_x._b").alias("_b"), (draws.number("ref2", F.col("sample_id")) % F.col("_x.n") + 1).cast("int").alias("_place"))
+    own = pool.select("sample_id", *group, F.col("_b").alias("_own_b"), F.col("_place").alias("_own"))
+    others = df.filter("label <> 'normal'").select("sample_id", *group, F.lit(None).cast("int").alias("_own_b"), F.lit(None).cast("int").alias("_own"))
+    asked = others.unionByName(own).join(known, group)
+    at = (draws.number("ref", F.col("sample_id")) % F.size("_buckets")).cast("int")
+    alone = lambda x: F.coalesce((x["_b"] == F.col("_own_b")) & (x["n"] == 1), F.lit(False))
+    drawn = asked.withColumn("_at", at).withColumn("_x", F.get("_buckets", F.col("_at")))
+    drawn = drawn.withColumn("_x", F.when(alone(F.col("_x")), F.get("_buckets", (F.col("_at") + 1) % F.size("_buckets"))).otherwise(F.col("_x")))
+    mine = F.coalesce(F.col("_x._b") == F.col("_own_b"), F.lit(False))
+    place = (draws.number("ref2", F.col("sample_id")) % (F.col("_x.n") - mine.cast("int")) + 1).cast("int")
+    drawn = drawn.select("sample_id", *group, F.col("_x._b").alias("_b"), place.alias("_p"), mine.alias("_mine"), "_own")
+    drawn = drawn.select("sample_id", *group, "_b", (F.col("_p") + (F.col("_mine") & (F.col("_p") >= F.col("_own"))).cast("int")).alias("_place"))
     return df.join(drawn.join(pool.drop("sample_id"), [*group, "_b", "_place"]).select("sample_id", "reference"), "sample_id", "left")
 
 
+def pools(bank: DataFrame | None) -> dict[str, list[str]]:
+    """Questions of each task: its templates, then those of ``bank`` (task, question, ord) in its language, each once. A bank is configuration."""
+    found = {t: list(q) for t, q in QUESTIONS.items()}
+    if bank is not None:
+        rows = Q.in_language(bank.filter(F.col("task").isin(*found))).orderBy("task", "ord", "question").limit(MOST_QUESTIONS + 1).collect()
+        if len(rows) > MOST_QUESTIONS:
+            raise ValueError(f"a bank of more than {MOST_QUESTIONS} questions")
+        for r in rows:
+            if r["question"] not in found[r["task"]]:
+                found[r["task"]].append(r["question"])
+    return found
+
+
 class _Builder:
     """The columns of a sample as the tasks see them."""
 
-    def __init__(self, seed: int, active: list[str], has_reference: bool):
-        self.seed, self.id = seed, F.col("sample_id")
+    def __init__(self, seed: int, active: list[str], has_reference: bool, questions: dict[str, list[str]]):
+        self.seed, self.id, self.questions = seed, F.col("sample_id"), questions
         self.defects, self.w, self.h = F.col("defects"), F.col("width"), F.col("height")
         self.types = F.array_distinct(F.transform(self.defects, lambda d: d["type"]))
         self.first = F.get(self.defects, 0)
@@ -120,9 +153,25 @@ class _Builder:
     def pick(self, values: Column, name: str) -> Column:
         return draws.pick(values, self.seed, self.id, F.lit(name))
 
-    def question(self, task: str, defect: Column | None = None, box: Column | None = None) -> Column:
-        template = self.pick(F.array(*map(F.lit, QUESTIONS[task])), "q" + task)
-        return X.fill(template, {"obj": F.col("object_zh"), "defect": F.lit("") if defect is None else defect, "box": F.lit("") if box is None else box})
+    def question(self, task: str, defect: Column | None = None, box: Column | None = None, region: Column | None = None, draw: str = "") -> Column:
+        of = lambda found: F.array(*map(F.lit, found)) if found else F.array().cast("array<string>")
+        every = self.questions[task]
+        pool = of(every)
+        if task in NAMED:
+            named = [q for q in every if any(m in q for m in NAMED[task])]
+            pool = F.when(F.size(self.types) > 1, of(named or every)).otherwise(of([q for q in every if q not in named] or every))
+        empty = F.lit("")
+        return X.fill(self.pick(pool, "q" + task + draw), {"obj": F.col("object_zh"), "ctx": F.col("ctx"), "defect": empty if defect is None else defect, "box": empty if box is None else box, "region": empty if region is None else region})
+
+    def advice(self, name: str) -> Column:
+        """A sentence of advice, or nothing."""
+        return F.when(self.draw("advise" + name) < ADVICE_RATE, self.pick(F.array(*map(F.lit, ADVICE)), "advice" + name)).otherwise("")
+
+    def doubtful(self, k: int) -> Column:
+        """The k-th type that a degraded picture is asked about: those that it shows come first."""
+        shown = F.filter(self.types, lambda t: t != OTHER)
+        others = F.transform(F.array_sort(F.transform(self.absent, lambda t: F.struct(draws.key(self.seed, self.id, F.lit("doubt"), t).alias("h"), t.alias("t")))), lambda x: x["t"])
+        return F.get(F.concat(shown, others), k)
 
     def json(self, defects: Column) -> Column:
         return X.boxes_json(F.transform(defects, lambda d: F.struct(G.norm_box(d["bbox"], self.w, self.h).alias("bbox"), d["zh"].alias("label"))))
@@ -136,8 +185,8 @@ class _Builder:
         return F.when(when, F.struct(*[(values[f] if f in values else F.lit(None)).cast(t).alias(f) for f, t in _KINDS.items()]))
 
     def clean_box(self) -> Column:
-        """A box that meets no defect: thirty tries next to one, then thirty anywhere."""
-        near = self.pick(self.defects, "near")["bbox"]
+        """A box that meets no defect: thirty tries next to one, then thirty anywhere; without defects a sixth of each side."""
+        near = F.coalesce(self.pick(self.defects, "near")["bbox"], F.array(F.lit(0), F.lit(0), (self.w / 6).cast("int"), (self.h / 6).cast("int")))
         bw, bh = F.greatest(F.lit(8), near[2] - near[0]), F.greatest(F.lit(8), near[3] - near[1])
 
         def tried(i: Column) -> Column:
@@ -152,20 +201,16 @@ class _Builder:
 
     def drawn(self, df: DataFrame, active: list[str]) -> DataFrame:
         """``df`` with what several tasks share: a type, an absent type, a box, a region and the options."""
-        first = self.first
-        groups = {x[0]: x[2] for x in DEFECTS}
-        ranked = F.array_sort(F.transform(F.filter(F.array(*map(F.lit, active)), lambda t: ~F.array_contains(self.types, t)), lambda t: F.struct(
-            (_lookup(groups, t) != _lookup(groups, first["type"])).alias("far"), draws.key(self.seed, self.id, t).alias("h"), t.alias("t"))))
-        options = F.transform(F.array_sort(F.transform(F.concat(F.array(first["type"]), F.transform(F.slice(ranked, 1, 3), lambda r: r["t"])), lambda t: F.struct(draws.key(self.seed, self.id, F.lit("o"), t).alias("h"), t.alias("t")))), lambda o: _lookup(NAMES, o["t"]))
-        hit = self.draw("hit") < 0.55
-        return df.withColumns({"_kind": self.pick(self.types, "kind"), "_away": self.pick(self.absent, "away"), "_any_box": self.pick(self.defects, "box"), "_options": F.when(self.anomalous, options)}).withColumn(
-            "_region_box", F.when(self.anomalous, F.when(hit, F.col("_any_box.bbox")).otherwise(self.clean_box())))
+        choice = O.options(self.types, F.col("role"), active, self.seed, self.id)
+        hit = self.anomalous & (self.draw("hit") < 0.55)
+        return df.withColumns({"_kind": self.pick(self.types, "kind"), "_away": self.pick(self.absent, "away"), "_any_box": self.pick(self.defects, "box"), "_options": F.when(self.anomalous, choice)}).withColumn(
+            "_region_box", F.when(hit, F.col("_any_box.bbox")).otherwise(self.clean_box()))
 
     def tasks(self, active: list[str]) -> dict[str, Column]:
         d, first, none = self.defects, self.first, F.array().cast("array<string>")
         kind, away, any_box, region_box, options = self.kind, self.away, self.any_box, self.region_box, self.options
         kind_zh, away_zh = _lookup(NAMES, kind), _lookup(NAMES, away)
-        hit = self.draw("hit") < 0.55
+        hit = self.anomalous & (self.draw("hit") < 0.55)
         box_words = X.box_text(G.norm_box(region_box, self.w, self.h))
         zero = (self.draw("zero") < 0.25) & away.isNotNull()
         mine = F.when(zero, none.cast("array<string>")).otherwise(F.array(kind))
@@ -173,13 +218,16 @@ class _Builder:
         worst = F.array_max(F.transform(d, lambda x, i: F.struct(x["area_ratio"].alias("a"), (-i).alias("i"), x["zh"].alias("zh"), x["severity"].alias("severity"), x["type"].alias("type"), x["grade"].alias("grade"))))
         grades = F.create_map(*[F.lit(v) for g, (_, i) in GRADE_NAMES.items() for v in (g, i)])
         graded = F.array_max(F.transform(F.filter(d, lambda x: x["grade"].isNotNull()), lambda x: F.struct(F.try_element_at(grades, x["grade"]).alias("rank"), x["grade"].alias("grade"))))
-        letters = F.array(*map(F.lit, "ABCDEF"))
-        letter = F.get(letters, (F.array_position(options, first["zh"]) - 1).cast("int"))
-        listed = F.array_join(F.transform(options, lambda o, i: F.concat(F.get(letters, i), F.lit(". "), o)), "\n")
+        letter, listed = O.letter(options, first["zh"]), O.listed(options)
+        # The most severe grade is judged if there is one, else the largest defect.
+        top = F.array_max(F.transform(d, lambda x, i: F.struct(F.coalesce(F.try_element_at(grades, x["grade"]), F.lit(-1)).alias("rank"), F.when(x["grade"].isNull(), x["area_ratio"]).otherwise(0.0).alias("a"), (-i).alias("i"),
+                                                              x["zh"].alias("zh"), x["severity"].alias("severity"), x["type"].alias("type"), x["grade"].alias("grade"), x["region"].alias("region"))))
+        grade_zh = {g: zh for g, (zh, _) in GRADE_NAMES.items()}
+        top_name = F.concat(top["zh"], F.coalesce(F.concat(F.lit("（"), _lookup(grade_zh, top["grade"]), F.lit("）")), F.lit("")))
+        evidence = F.when(first["grade"].isNotNull(), F.concat(F.lit("，程度为"), _lookup(grade_zh, first["grade"]), F.lit("。"))).otherwise(F.concat(F.lit("，在画面"), first["region"], F.lit("，"), G.size_word(first["area_ratio"]), F.lit("。")))
+        compared = F.array_join(F.transform(F.slice(d, 1, MOST_COMPARED), lambda x: F.concat(F.lit("画面"), x["region"], F.lit("出现"), x["zh"])), "；")
         places = F.array_distinct(F.transform(d, lambda x: F.concat(x["zh"], F.lit("位于画面"), x["region"])))
         where = F.concat(F.lit("共 "), F.size(d).cast("string"), F.lit(" 处："), F.array_join(places, "，"), F.lit("。"))
-        cause = F.coalesce(_lookup(CAUSES, F.col("degradation")), F.lit("成像不清"))
-        asked_first = F.coalesce(first["type"], away)
         turn = lambda q, a: F.struct(q.alias("question"), a.alias("answer"))
         opening = self.question("multi_turn")
         bad_turns = F.array(turn(opening, F.concat(F.lit("有异常，"), where)), turn(F.lit("请给出它们的位置。"), self.json(d)), turn(F.lit("最严重的是哪一处？"), F.concat(worst["zh"], F.lit("，程度"), _lookup(SEVERITY_NAMES, worst["severity"]), F.lit("。"))))
@@ -190,40 +238,50 @@ class _Builder:
             "grounding_all": r(self.anomalous, self.question("grounding_all"), self.json(d), n_boxes=F.size(d), asked=none, said=self.types),
             "grounding_negative": r(normal, self.question("grounding_negative"), F.lit("[]"), n_boxes=F.lit(0), asked=none, said=none),
             "grounding_counterfactual": r(self.anomalous & away.isNotNull(), self.question("grounding_counterfactual", away_zh), F.lit("[]"), n_boxes=F.lit(0), variant=F.lit("absent_type"), target_type=away, asked=F.array(away), said=none),
-            "referring_region": r(self.anomalous & region_box.isNotNull(), self.question("referring_region", box=box_words), F.when(hit, F.concat(F.lit("该区域有"), any_box["zh"], F.lit("。"))).otherwise("该区域没有发现问题。"),
+            "referring_region": r(region_box.isNotNull(), self.question("referring_region", box=box_words), F.when(hit, F.concat(F.lit("该区域有"), any_box["zh"], F.lit("。"))).otherwise("该区域没有发现问题。"),
                                   yes_no=F.when(hit, "yes").otherwise("no"), said=F.when(hit, F.array(any_box["type"])).otherwise(none)),
             "counting": r(self.anomalous, self.question("counting", F.when(zero, away_zh).otherwise(kind_zh)), F.concat(F.lit("共 "), F.size(counted).cast("string"), F.lit(" 处。\n"), self.json(counted)), n_boxes=F.size(counted), said=mine),
             "region_word": r(self.anomalous, self.question("region_word", any_box["zh"]), F.concat(any_box["zh"], F.lit("在画面"), any_box["region"], F.lit("。")), region=any_box["region"], said=F.array(any_box["type"])),
             "discrimination": r(F.lit(True), self.question("discrimination"), F.when(self.anomalous, F.concat(F.lit("存在缺陷。"), where)).otherwise("没有发现异常，表面完好。"), yes_no=F.when(self.anomalous, "yes").otherwise("no"), said=self.types),
-            "classification_open": r(self.known, self.question("classification_open"), F.concat(first["zh"], F.lit("，在画面"), first["region"], F.lit("，"), G.size_word(first["area_ratio"]), F.lit("。")), target_type=first["type"], said=F.array(first["type"])),
+            "classification_open": r(self.known, self.question("classification_open", region=first["region"]), F.concat(first["zh"], evidence), target_type=first["type"], said=F.array(first["type"])),
             "classification_mc": r(self.known & (F.size(options) >= 2), F.concat(self.question("classification_mc"), F.lit("\n"), listed), F.concat(letter, F.lit(". "), first["zh"]), answer_letter=letter, options=options, target_type=first["type"], said=F.array(first["type"])),
             "description": r(F.lit(True), self.question("description"), F.when(self.anomalous, F.concat(F.lit("检查发现缺陷，"), where)).otherwise("表面完好，没有裂纹、划伤和锈迹。"), said=self.types),
-            "severity_action": r(self.known, self.question("severity_action"), F.concat(worst["zh"], F.lit("，程度"), _lookup(SEVERITY_NAMES, worst["severity"]), F.lit("，建议"), action(worst["type"], worst["grade"]), F.lit("。")), severity=worst["severity"], said=none),
+            "severity_action": r(self.known, self.question("severity_action", top["zh"], region=top["region"]), F.concat(top_name, F.lit("，程度"), _lookup(SEVERITY_NAMES, top["severity"]), F.lit("，建议"), action(top["type"], top["grade"]), F.lit("。"), self.advice("severity")),
+                                 severity=top["severity"], target_type=top["type"], asked=F.array(top["type"]), said=F.array(top["type"])),
             "object_recognition": r(F.lit(True), self.question("object_recognition"), F.concat(F.lit("图中是"), F.col("object_zh"), F.lit("，对应"), F.col("ctx"), F.lit("。")), said=none),
             "grade_assessment": r(self.anomalous & graded.isNotNull(), self.question("grade_assessment"), F.concat(F.lit("锈蚀等级为"), _lookup({g: zh for g, (zh, _) in GRADE_NAMES.items()}, graded["grade"]), F.lit("。")), grade=graded["grade"], said=none),
-            "uncertainty": r(asked_first.isNotNull(), self.question("uncertainty", _lookup(NAMES, asked_first)), F.concat(cause, F.lit("，无法确认，建议补拍。")), target_type=asked_first, asked=F.array(asked_first), said=none),
             "multi_turn": r(F.lit(True), opening, F.when(self.anomalous, F.get(bad_turns, 0)["answer"]).otherwise(F.get(good_turns, 0)["answer"]), turns=F.when(self.anomalous, bad_turns).otherwise(good_turns), yes_no=F.when(self.anomalous, "yes").otherwise("no"), said=self.types),
-            "pair_compare": r(self.anomalous & self.reference.isNotNull(), self.question("pair_compare"), F.concat(F.lit("与参考图相比，第二张"), where), images=F.array(self.reference, F.col("image")), said=self.types),
+            "pair_compare": r(self.reference.isNotNull(), self.question("pair_compare"), F.when(self.anomalous, F.concat(F.lit("与参考图相比，"), compared, F.lit("。"))).otherwise("与参考图一致，没有发现差异。"), images=F.array(self.reference, F.col("image")), said=self.types),
         }
 
+    def doubts(self) -> list[Column]:
+        """What a degraded picture is asked: whether it shows one of several types, which nobody can say."""
+        cause = F.coalesce(_lookup(CAUSES, F.col("degradation")), F.lit("成像不清"))
+        kinds = [self.doubtful(k) for k in range(ASKED_IF_DEGRADED)]
+        return [self.record(t.isNotNull(), self.question("uncertainty", _lookup(NAMES, t), draw=str(k)), F.concat(cause, F.lit("，无法确认，建议补拍。")), target_type=t, asked=F.array(t), said=F.array().cast("array<string>")) for k, t in enumerate(kinds)]
+
 
-def records(df: DataFrame, seed: int = 0, active: list[str] | None = None, most: int = MOST, references: bool = True, tasks: list[str] | None = None, weights: dict[str, float] | None = None) -> DataFrame:
-    """Records of all samples. Degraded samples give the task ``uncertainty`` alone. ``tasks`` names those that are switched on; a weight of 0 switches one off."""
+def records(df: DataFrame, seed: int = 0, active: list[str] | None = None, most: int = MOST, references: bool = True, tasks: list[str] | None = None, weights: dict[str, float] | None = None, bank: DataFrame | None = None) -> DataFrame:
+    """Records of all samples. Degraded samples give the task ``uncertainty`` alone, for up to three types.
+
+    ``tasks`` names those that are switched on; a weight of 0 switches one off. ``bank`` adds questions (see ``pools``).
+    """
     weights = WEIGHTS | (weights or {})
-    if not any(weights[t] > 0 and (tasks is None or t in tasks) for t in WEIGHTS):
+    on = [t for t in WEIGHTS if weights[t] > 0 and (tasks is None or t in tasks)]
+    if not on:
         raise ValueError("no task is switched on")
     active = active or [x[0] for x in DEFECTS if x[0] != OTHER]
     df = scoped(with_references(df) if references else df, active)
-    b = _Builder(seed, active, references)
+    b = _Builder(seed, active, references, pools(bank))
     df = b.drawn(df, active)
     degraded = F.col("degradation").isNotNull()
     offers = []
     for task, built in b.tasks(active).items():
-        if weights[task] <= 0 or (tasks is not None and task not in tasks):
-            continue
-        apply = degraded if task == "uncertainty" else ~degraded
-        taken = apply & (b.draw("take" + task) < weights[task])
-        offers.append(F.when(taken, F.struct(draws.key(seed, b.id, F.lit("order" + task)).alias("h"), F.lit(task).alias("task"), built.alias("r"))))
+        if task in on:
+            taken = ~degraded & (b.draw("take" + task) < weights[task])
+            offers.append(F.when(taken, F.struct(draws.key(seed, b.id, F.lit("order" + task)).alias("h"), F.lit(task).alias("task"), built.alias("r"))))
+    if "uncertainty" in on:
+        offers += [F.when(degraded, F.struct(F.lit(str(k)).alias("h"), F.lit("uncertainty").alias("task"), built.alias("r"))) for k, built in enumerate(b.doubts())]
     chosen = F.slice(F.array_sort(F.filter(F.array(*offers), lambda o: o["r"].isNotNull())), 1, most)
     systems = F.create_map(*[F.lit(x) for kv in SYSTEMS.items() for x in kv])
     formats = F.create_map(*[F.lit(x) for kv in FORMATS.items() for x in kv])

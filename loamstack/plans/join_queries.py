@@ -48,9 +48,17 @@ def object_map(spark, d) -> DataFrame:
     return part.join(taxonomy.map_objects(part, "category"), "category").select("p_partkey", "category", "object")
 
 
-@query(f"""WITH d AS (SELECT * FROM (VALUES {_DEFECTS}) v(type, grp)) SELECT a.type, b.type AS sibling FROM d a JOIN d b ON a.grp = b.grp AND a.type <> b.type""")
+_TYPE = "([" + ", ".join(f"'{x[0]}'" for x in taxonomy.DEFECTS) + "])[(p_partkey % 16)::INT + 1]"
+
+
+@query(f"""WITH d AS (SELECT * FROM (VALUES {_DEFECTS}) v(type, grp)), p AS (SELECT p_partkey, {_TYPE} AS type FROM part)
+    SELECT p_partkey, p.type, coalesce(string_agg(b.type, ';' ORDER BY b.type), '') AS siblings FROM p JOIN d a ON a.type = p.type LEFT JOIN d b ON a.grp = b.grp AND a.type <> b.type GROUP BY 1, 2""")
 def siblings(spark, d) -> DataFrame:
-    return taxonomy.siblings(spark)
+    """Of each part's type the other types of its group."""
+    kind = F.get(F.array(*[F.lit(x[0]) for x in taxonomy.DEFECTS]), (F.col("p_partkey") % 16).cast("int"))
+    near = taxonomy.siblings(spark).groupBy("type").agg(F.array_join(F.array_sort(F.collect_list("sibling")), ";").alias("siblings"))
+    parts = table(spark, d, "part").select("p_partkey", kind.alias("type"))
+    return parts.join(F.broadcast(near), "type", "left").select("p_partkey", "type", F.coalesce("siblings", F.lit("")).alias("siblings"))
 
 
 @query(f"""WITH {BOXES}, a AS (SELECT b.image, b.line, b.x1, p.p_type FROM boxes b JOIN part p ON b.part = p.p_partkey WHERE p.p_brand NOT IN (SELECT p_brand FROM part GROUP BY 1 HAVING min(p_size) = 1 AND count(*) > 90))
@@ -66,13 +74,13 @@ def anno_assemble(spark, d) -> DataFrame:
                          F.coalesce(F.array_join(F.transform("a", lambda x: F.concat_ws("@", x["p_type"], x["x1"].cast("string"))), ";"), F.lit("")).alias("defects"))
 
 
-@query("""SELECT o_orderkey AS image, s_suppkey AS file, prio FROM (SELECT o_orderkey, s_suppkey, (o_orderkey + s_suppkey) % 5 AS prio, row_number() OVER (PARTITION BY o_orderkey ORDER BY (o_orderkey + s_suppkey) % 5, s_suppkey) AS r
-    FROM orders LEFT JOIN supplier ON o_custkey % 25 = s_nationkey) WHERE r = 1""")
+@query("""SELECT image, file, prio FROM (SELECT o_orderkey AS image, l_partkey AS file, (o_orderkey + l_partkey) % 5 AS prio, row_number() OVER (PARTITION BY o_orderkey ORDER BY (o_orderkey + l_partkey) % 5, l_partkey) AS r
+    FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey) WHERE r = 1""")
 def first_match_by_priority(spark, d) -> DataFrame:
-    """Each image with the first of its candidate files."""
-    files = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").cast("bigint").alias("k"))
-    images = table(spark, d, "orders").select(F.col("o_orderkey").alias("image"), (F.col("o_custkey") % 25).alias("k"))
-    return attach.first_by_priority(images, files.withColumnRenamed("s_suppkey", "file"), "image", "k", (F.col("image") + F.col("file")) % 5, F.col("file")).select("image", "file", "prio")
+    """Each image with the first of its candidate files: those that its lines name."""
+    files = table(spark, d, "lineitem").select(F.col("l_partkey").alias("file"), F.col("l_orderkey").alias("k"))
+    images = table(spark, d, "orders").select(F.col("o_orderkey").alias("image"), F.col("o_orderkey").alias("k"))
+    return attach.first_by_priority(images, files, "image", "k", (F.col("image") + F.col("file")) % 5, F.col("file")).select("image", "file", "prio")
 
 
 @query("""WITH c AS (SELECT DISTINCT md5(event_type || chr(0) || props || chr(0)) AS k FROM events WHERE event_id % 2 = 0), r AS (SELECT event_type, md5(event_type || chr(0) || props || chr(0)) AS k FROM events WHERE event_id % 2 = 1)
@@ -90,7 +98,7 @@ def cache_hit_miss(spark, d) -> DataFrame:
 def ref_pool_pick(spark, d) -> DataFrame:
     """A normal reference of the same dataset and category for each anomalous sample."""
     s = samples(spark, d).withColumn("image", F.col("sample_id").cast("string"))
-    return generate.with_references(s).filter("reference is not null").select("sample_id", F.col("reference").alias("ref"))
+    return generate.with_references(s).filter("label = 'anomalous' and reference is not null").select("sample_id", F.col("reference").alias("ref"))
 
 
 @query(f"""WITH {SAMPLES} SELECT dataset, category, min(sample_id) AS sample_id, any_value(length(text))::INT AS n FROM (SELECT *, row_number() OVER (PARTITION BY dataset, category, text ORDER BY sample_id) AS r FROM samples) WHERE r = 1 GROUP BY dataset, category, text""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamstack.operators import arrange, pool, quality, questions, taxonomy
+from loamstack.operators import arrange, pool, quality, question_rounds, questions, taxonomy
 from loamstack.plans.views import draw, registered, table
 
 QUERIES, ORACLE_SQL, query = registered()
@@ -102,6 +102,28 @@ def question_language(spark, d) -> DataFrame:
     return questions.in_language(_bank(spark, d))
 
 
+_SALVAGE = """r AS (SELECT p_partkey // 6 AS request, (['discrimination', 'description', 'counting'])[(p_partkey // 6 % 3)::INT + 1] AS task, p_partkey // 6 % 5 AS shape, row_number() OVER (PARTITION BY p_partkey // 6 ORDER BY p_partkey) - 1 AS pos, count(*) OVER (PARTITION BY p_partkey // 6) AS size,
+        CASE p_size % 4 WHEN 0 THEN '这玩意有问题吗？' WHEN 1 THEN '请查看{obj}第' || p_size || '处。' WHEN 2 THEN '请清点图中的{defect}' || p_size || '处。' ELSE '看看' END AS question FROM part)"""
+
+
+@query(f"""WITH {_SALVAGE}, s AS (SELECT *, CASE shape WHEN 4 THEN 'none' WHEN 3 THEN CASE WHEN size > 1 THEN 'salvaged' ELSE 'torn' END ELSE 'whole' END AS state FROM r),
+    f AS (SELECT *, row_number() OVER (PARTITION BY task, question ORDER BY request, pos) > 1 AS again FROM s WHERE shape < 3 OR (shape = 3 AND pos < size - 1)),
+    c AS (SELECT state, CASE WHEN length(question) < 6 THEN 'length' WHEN again THEN 'repeated' WHEN contains(question, '这玩意') THEN 'colloquial' WHEN task <> 'counting' AND contains(question, '{{defect}}') THEN 'placeholder_not_allowed'
+        WHEN task = 'counting' AND NOT contains(question, '{{defect}}') THEN 'placeholder_missing' ELSE 'kept' END AS reason FROM f)
+    SELECT state, reason, count(*) AS n FROM c GROUP BY 1, 2""")
+def question_salvage(spark, d) -> DataFrame:
+    """Six parts make an answer of a model; every fifth is torn in its last question, every fifth has no list."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    text = F.when(size % 4 == 0, "这玩意有问题吗？").when(size % 4 == 1, F.concat(F.lit("请查看{obj}第"), size.cast("string"), F.lit("处。"))).when(size % 4 == 2, F.concat(F.lit("请清点图中的{defect}"), size.cast("string"), F.lit("处。"))).otherwise("看看")
+    parts = table(spark, d, "part").select(F.floor(k / 6).alias("request"), F.struct(k.alias("k"), text.alias("q")).alias("x"))
+    said = parts.groupBy("request").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["q"]).alias("qs"))
+    whole, shape = F.to_json("qs"), F.col("request") % 5
+    answer = F.when(shape == 4, "没有问题").when(shape == 3, F.expr("substring(whole, 1, length(whole) - 3)")).otherwise(F.col("whole"))
+    replies = said.withColumn("whole", whole).select("request", _at(("discrimination", "description", "counting"), F.col("request") % 3).alias("task"), answer.alias("text"))
+    none = spark.createDataFrame([], "task string, question string")
+    return question_rounds.checked(replies, none).groupBy("state", F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+
+
 @query(f"""WITH {_BANK}, p AS (SELECT task, contains(question, '{{defect}}') OR contains(question, '{{region}}') AS named, list_sort(list(DISTINCT question)) AS qs FROM bank GROUP BY 1, 2),
     a AS (SELECT o_orderkey AS sample_id, 't' || o_custkey % 8 AS task, o_orderkey % 2 = 0 AS named FROM orders)
     SELECT sample_id, a.task, a.named, qs[({draw(0, "a.sample_id || ':' || a.task")} % len(qs))::INT + 1] AS question FROM a LEFT JOIN p ON p.task = a.task AND p.named = a.named""")
@@ -138,10 +160,10 @@ def defect_actions(spark, d) -> DataFrame:
     return x.select("type", "grade", taxonomy.action(F.col("type"), F.col("grade")).alias("action"), "n")
 
 
-@query("""WITH f AS (SELECT DISTINCT l_orderkey || '.jpg' AS path FROM lineitem WHERE l_linenumber = 2), r AS (SELECT o_orderkey AS qa_id, CASE WHEN o_orderkey % 2 = 0 THEN [o_orderkey || '.jpg', o_orderkey + 1 || '.jpg'] ELSE [o_orderkey || '.jpg'] END AS images FROM orders)
+@query("""WITH f AS (SELECT DISTINCT l_orderkey || '.jpg' AS path FROM lineitem), r AS (SELECT o_orderkey AS qa_id, CASE WHEN o_orderkey % 2 = 0 THEN [o_orderkey || '.jpg', o_orderkey + 1 || '.jpg'] ELSE [o_orderkey || '.jpg'] END AS images FROM orders)
     SELECT DISTINCT qa_id FROM (SELECT qa_id, unnest(images) AS path FROM r) WHERE path NOT IN (SELECT path FROM f)""")
 def image_missing(spark, d) -> DataFrame:
     path = lambda k: F.concat(k.cast("string"), F.lit(".jpg"))
     k = F.col("o_orderkey")
     r = table(spark, d, "orders").select(k.alias("qa_id"), F.when(k % 2 == 0, F.array(path(k), path(k + 1))).alias("images"), path(k).alias("image"))
-    return quality.images_missing(r, table(spark, d, "lineitem").filter("l_linenumber = 2").select(path(F.col("l_orderkey")).alias("path")))
+    return quality.images_missing(r, table(spark, d, "lineitem").select(path(F.col("l_orderkey")).alias("path")))

@@ -9,6 +9,7 @@ from loamstack.functions import draws
 from loamstack.functions import text as X
 from loamstack.operators import enrich, export, generate, imaging, quality, questions, rewrite_cache, split, taxonomy
 from loamstack.operators.balance import Sampling, cap_classes, quota_sample
+from loamstack.plans.generation_queries import image_samples
 from loamstack.plans.views import BOXES, RECORDS, H, W, boxes, draw, records, registered, table
 
 QUERIES, ORACLE_SQL, query = registered()
@@ -50,6 +51,51 @@ def qc_report(spark, d) -> DataFrame:
     return quality.report(_checked(spark, d))
 
 
+#: Records that break one rule each, with the codes that they should get; {n} is the row's number.
+_BROKEN = (
+    ({"task": "description", "answer": "a bbox_2d {n}", "output_format": "text"}, ["text_format_has_boxes"]),
+    ({"task": "counting", "answer": "共 1 处。[{{\"bbox_2d\": [1, 2, 3, 4]}}]", "output_format": "text_then_json"}, ["not_text_then_json"]),
+    ({"task": "description", "image_defect_types": ["crack"], "answer_defect_types": ["crack", "dent"]}, ["answer_asserts_absent_defect"]),
+    ({"task": "uncertainty", "answer": "无法确认。"}, ["uncertainty_without_evidence"]),
+    ({"task": "uncertainty", "answer": "有裂纹。", "degradation": "blur"}, ["uncertainty_without_hedge"]),
+    ({"task": "uncertainty", "answer": "无法确认 bbox_2d", "degradation": "blur"}, ["uncertainty_with_boxes"]),
+    ({"task": "grounding_negative", "answer": "没有腐蚀锈蚀。"}, ["answer_mentions_unasked_term", "answer_not_json"]),
+    ({"task": "grounding_all", "answer": "[{{\"box\": [1, {n}]}}]"}, ["bad_box_item"]),
+    ({"task": "grounding_all", "answer": "[{{\"bbox_2d\": [1, {n}]}}]"}, ["bad_box_len"]),
+    ({"task": "grounding_all", "answer": "[{{\"bbox_2d\": [1, 2, 90, 4]}}]", "coord_mode": "absolute", "image_hw": [50, 60]}, ["box_out_of_image"]),
+    ({"task": "classification_mc", "answer": "AB. x", "answer_letter": "AB", "options": ["x", "y"]}, ["bad_mc_letter"]),
+    ({"task": "classification_mc", "answer": "B. x", "answer_letter": "A", "options": ["x", "y"]}, ["mc_answer_letter_mismatch"]),
+    ({"task": "classification_mc", "answer": "A. x", "answer_letter": "A", "options": ["x", "x"]}, ["duplicate_options"]),
+    ({"task": "description", "answer": ""}, ["empty_qa"]),
+    ({"task": "description", "question": "{{obj}} {n}"}, ["unfilled_placeholder_q"]),
+    ({"task": "description", "question": "检查检查 {n}"}, ["duplicated_word_q:检查检查"]),
+    ({"task": "description", "question": "<image> {n}", "images": ["a", "b"]}, ["image_token_count_mismatch"]),
+    ({"task": "description", "output_format": "text", "system": "another"}, ["system_format_mismatch"]),
+    ({"task": "multi_turn", "turns": [("q", "a")]}, ["too_few_turns"]),
+    ({"task": "multi_turn", "turns": [("q", "a"), ("", "a")]}, ["empty_turn_1"]),
+    ({"task": "multi_turn", "turns": [("{{obj}}?", "a"), ("q", "a")]}, ["unfilled_placeholder_turn_0"]),
+    ({"task": "multi_turn", "turns": [("q", "位于位于"), ("q", "a")]}, ["duplicated_word_turn:位于位于"]),
+    ({"task": "multi_turn", "yes_no": "no", "turns": [("q", "a"), ("q", "[{{\"bbox_2d\": [1, 2, 3, 4]}}]")]}, ["turn_1_negative_with_boxes"]),
+    ({"task": "description"}, []),
+)
+_BROKEN_CODES = ", ".join(f"({i}, '{';'.join(codes)}')" for i, (_, codes) in enumerate(_BROKEN))
+
+
+@query(f"""SELECT l_orderkey AS image, l_linenumber AS line, l_partkey AS part, errors FROM lineitem JOIN (VALUES {_BROKEN_CODES}) c(i, errors) ON i = (l_orderkey + l_partkey) % {len(_BROKEN)}""")
+def qc_every_code(spark, d) -> DataFrame:
+    """Each line as a record that breaks one rule."""
+    i, n = (F.col("l_orderkey") + F.col("l_partkey")) % len(_BROKEN), F.col("l_partkey").cast("string")
+    rows = [{"i": k, "question": "请看图。", "answer": "好。", **{c: v.replace("{{", "{").replace("}}", "}") if isinstance(v, str) else v for c, v in r.items()}} for k, (r, _) in enumerate(_BROKEN)]
+    for r in rows:
+        r["turns"] = [tuple(x.replace("{{", "{").replace("}}", "}") for x in t) for t in r["turns"]] if "turns" in r else None
+    kind = "i int, " + ", ".join(f"{c} {t}" for c, t in quality.FIELDS.items())
+    cases = spark.createDataFrame([(r["i"], *(r.get(c) for c in quality.FIELDS)) for r in rows], kind)
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("image"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), i.cast("int").alias("i"), n.alias("n"))
+    filled = lines.join(F.broadcast(cases), "i").withColumns({c: F.replace(c, F.lit("{n}"), F.col("n")) for c in ("question", "answer")})
+    checked = quality.with_errors(filled, {"text": "S"})
+    return checked.select("image", "line", "part", F.array_join("errors", ";").alias("errors"))
+
+
 _BODY = "b AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i, role, text FROM conversations WHERE role <> 'system')"
 
 
@@ -162,32 +208,10 @@ def mask_components(spark, d) -> DataFrame:
     return found.select("vec_id", F.size("c").cast("bigint").alias("n_components"), F.array_max(F.transform("c", lambda c: c["area"])).alias("largest"), line.alias("components"))
 
 
-def _image_samples(spark, d) -> DataFrame:
-    """Orders as images with their boxes as defects."""
-    part = table(spark, d, "part").select(F.col("p_partkey").alias("part"), F.get(F.array(*[F.lit(x[0]) for x in taxonomy.DEFECTS]), (F.col("p_partkey") % 15).cast("int")).alias("type"))
-    b = boxes(spark, d).join(part, "part").select("image", F.struct("line", "part", "supp", "type", F.col("box").cast("array<int>").alias("bbox")).alias("d"))
-    by = b.groupBy("image").agg(F.array_sort(F.collect_list("d")).alias("raw"))
-    k = F.col("o_orderkey")
-    orders = table(spark, d, "orders").select(k.alias("image"), F.when(F.col("o_orderstatus") == "P", "blur").alias("degradation"), F.concat(F.lit("ds"), (F.col("o_custkey") % 4).cast("string")).alias("dataset"), F.col("o_orderpriority").alias("category"))
-    return generate.samples(orders.join(by, "image", "left"), W, H)
-
-
-@query(None)
-def generate_records(spark, d) -> DataFrame:
-    """Seventeen tasks drawn for each image in one projection."""
-    return generate.records(_image_samples(spark, d)).select("sample_id", "task", "qa_id", "output_format", F.md5(F.concat_ws("\x01", "question", "answer").cast("binary")).alias("text_md5"))
-
-
-@query(None)
-def mc_options(spark, d) -> DataFrame:
-    r = generate.records(_image_samples(spark, d)).filter("task = 'classification_mc'")
-    return r.groupBy("answer_letter").agg(F.count("*").alias("n"), F.min(F.size("options")).alias("least_options"), F.max(F.size("options")).alias("most_options"))
-
-
 @query(None)
 def pipeline_end_to_end(spark, d) -> DataFrame:
     """Cap, balance, generate, dedup, class cap, checks, quota, split: counts by split and task."""
-    s = _image_samples(spark, d)
+    s = image_samples(spark, d)
     s = Sampling(s).cap_source_share(0.4).balance_labels(1.0).apply()
     r = split.written(generate.records(s), "records")  # generated once, read by every later step
     r = split.dedup_first(r, ["image", "question", "answer"], ["qa_id"])
