@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,5 +73,31 @@ def export(records: DataFrame, fmt: str, root: str | None = None) -> DataFrame:
     return records.select("qa_id", (built if fmt == "openai" else F.to_json(built)).alias("line"))
 
 
-def write(records: DataFrame, fmt: str, path: str, root: str | None = None) -> None:
-    export(records, fmt, root).select("line").write.text(path)
+def write(records: DataFrame, fmt: str, path: str, root: str | None = None, as_json_array: bool = False) -> None:
+    """JSON lines, or with ``as_json_array`` one JSON array in each file."""
+    lines = export(records, fmt, root).select("line")
+    (lines.mapInArrow(_array, "line string") if as_json_array else lines).write.text(path)
+
+
+def _array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a partition with brackets and commas; a partition without rows stays empty."""
+    held, first = None, True
+    out = lambda line: pa.RecordBatch.from_arrays([pa.array([line], pa.string())], names=["line"])
+    for b in batches:
+        for line in b.column(0):
+            if held is not None:
+                yield out(("[" if first else "") + held + ",")
+                first = False
+            held = line.as_py()
+    if held is not None:
+        yield out(("[" if first else "") + held + "]")
+
+
+def write_reports(folder: str, formats: dict[str, str], systems: dict[str, str], **tables: DataFrame) -> None:
+    """``system_prompts.json``: the prompts by output format and the format of each task, as a model needs them again later; ``stats.json``:
+    a line for each row of the given tables (small ones), with the table's name."""
+    spark = next(iter(tables.values())).sparkSession
+    prompts = json.dumps({"by_output_format": systems, "task_to_output_format": formats}, ensure_ascii=False)
+    spark.createDataFrame([(prompts,)], "line string").coalesce(1).write.mode("overwrite").text(f"{folder}/system_prompts.json")
+    rows = [t.select(F.to_json(F.struct(F.lit(name).alias("table"), F.struct(*t.columns).alias("row"))).alias("line")) for name, t in tables.items()]
+    reduce(DataFrame.union, rows).coalesce(1).write.mode("overwrite").text(f"{folder}/stats.json")

@@ -89,6 +89,26 @@ def decode_png(data: bytes) -> np.ndarray:
     return pixels[:, :, 0] if channels == 1 else pixels
 
 
+def decode_bmp(data: bytes) -> np.ndarray:
+    """As decode_png, of uncompressed BMPs with 8 (indices), 24 or 32 bits a pixel."""
+    start, head = struct.unpack("<I", data[10:14])[0], struct.unpack("<IiiHHI", data[14:34])
+    w, h, depth, packed = head[1], abs(head[2]), head[4], head[5]
+    if depth not in (8, 24, 32) or packed not in (0, 3) or w <= 0:
+        raise ValueError("this kind of BMP is not read")
+    line, channels = (w * depth + 31) // 32 * 4, depth // 8
+    rows = np.frombuffer(data, np.uint8, line * h, start).reshape(h, line)[:, : w * channels].reshape(h, w, channels).astype(np.int32)
+    rows = rows[::-1] if head[2] > 0 else rows
+    return rows[:, :, 0] if channels == 1 else rows[:, :, 2::-1]
+
+
+def decode(data: bytes) -> np.ndarray | None:
+    """The pixels of a PNG or BMP, None if they can't be read."""
+    try:
+        return decode_bmp(data) if data[:2] == b"BM" else decode_png(data)
+    except (ValueError, KeyError, TypeError, IndexError, struct.error, zlib.error):
+        return None
+
+
 def voc_palette(n: int = 256) -> np.ndarray:
     """The colour of each class index: its bits dealt over the high bits of the three channels."""
     index, out = np.arange(n), np.zeros((n, 3), np.int32)
@@ -177,10 +197,14 @@ def components_udf(width: int):
 def mask_boxes_udf():
     @F.pandas_udf("array<struct<cls:int,area:long,x0:int,y0:int,x1:int,y1:int>>")
     def mask_boxes(content: pd.Series) -> pd.Series:
-        """The components of every class of a PNG mask; class 0 is background."""
+        """The components of every class of a mask, class 0 is background; null if the mask can't be read."""
         out = []
         for c in content:
-            index = class_indices(decode_png(bytes(c))) if c is not None else np.zeros((1, 1), int)
+            pixels = decode(bytes(c)) if c is not None else None
+            if pixels is None:
+                out.append(None)
+                continue
+            index = class_indices(pixels)
             out.append([dict(zip(("cls", "area", "x0", "y0", "x1", "y1"), (int(k), *b), strict=True)) for k in np.unique(index) if k for b in components(index == k)])
         return pd.Series(out)
 
@@ -192,7 +216,11 @@ def histogram_udf():
     def histogram(content: pd.Series) -> pd.Series:
         out = []
         for c in content:
-            values, n = np.unique(class_indices(decode_png(bytes(c))), return_counts=True)
+            pixels = decode(bytes(c)) if c is not None else None
+            if pixels is None:
+                out.append(None)
+                continue
+            values, n = np.unique(class_indices(pixels), return_counts=True)
             out.append([{"value": int(v), "pixels": int(k)} for v, k in zip(values, n, strict=True)])
         return pd.Series(out)
 

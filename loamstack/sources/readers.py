@@ -8,6 +8,7 @@ a box for a source that has only image labels.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +18,10 @@ from loamstack.functions import geometry as G
 from loamstack.operators import imaging
 from loamstack.operators.split import rank_first
 from loamstack.operators.taxonomy import defect_dim, map_defects
-from loamstack.sources import json_array
+from loamstack.sources import json_array, profile
 
+#: Masks whose pixels are read.
+MASKS = ("png", "bmp", "PNG", "BMP")
 IMAGES = ("png", "jpg", "jpeg", "bmp", "PNG", "JPG", "JPEG", "BMP")
 # Names that mean "no defect".
 NORMAL = ("good", "ok", "normal")
@@ -91,8 +94,26 @@ def coco(spark: SparkSession, root: str, splits: tuple = ("train", "valid", "tes
     return assemble(images, found)
 
 
-def yolo(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
-    """images/ and labels/*.txt of ``class cx cy w h``, relative to the image; lines of under five numbers are skipped."""
+def yolo_names(spark: SparkSession, root: str) -> list[str]:
+    """The names in data.yaml, data.yml or dataset.yaml: a list or a map by number, in a block or in brackets; none without such a file."""
+    found = {r["name"]: r["value"] for r in spark.read.option("pathGlobFilter", "{data.yaml,data.yml,dataset.yaml}").text(root, wholetext=True).select("value", F.regexp_extract(F.input_file_name(), "([^/]+)$", 1).alias("name")).collect()}
+    text = next((found[n] for n in ("data.yaml", "data.yml", "dataset.yaml") if n in found), "")
+    plain = lambda v: re.sub(r"\s+#.*$", "", v).strip().strip("'\"")
+    m = re.search(r"(?m)^names[ \t]*:[ \t]*(?:#.*)?(.*)$((?:\n(?:[ \t]+.*|-.*|[ \t]*))*)", text)
+    if not m:
+        return []
+    if flow := re.match(r"\s*([\[{])(.*?)[\]}]", m[1] + m[2], re.S):
+        items = [plain(x) for x in flow[2].split(",") if x.strip()]
+        pairs = [x.split(":", 1) for x in items] if flow[1] == "{" else list(enumerate(items))
+    else:
+        lines = [x.strip() for x in m[2].split("\n") if x.strip() and not x.strip().startswith("#")]
+        pairs = [x.split(":", 1) for x in lines] if lines and not lines[0].startswith("-") else list(enumerate(x[1:] for x in lines))
+    return [plain(v) for _, v in sorted((int(str(k).strip("' \"")), v) for k, v in pairs)]
+
+
+def yolo(spark: SparkSession, root: str, names: list[str] | None = None) -> DataFrame:
+    """images/ and labels/*.txt of ``class cx cy w h``, relative to the image; lines of under five numbers are skipped. Names are those of ``yolo_names`` unless given."""
+    names = yolo_names(spark, root) if names is None else names
     images = sized(files(spark, root)).select(F.col("path").alias("image_path"), F.lit(None).cast("string").alias("category"), F.lit(None).cast("string").alias("split"), "width", "height", _stem(F.col("path")).alias("stem"))
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(root).withColumn("stem", _stem(F.input_file_name()))
     v = F.split(F.trim("value"), r"\s+")
@@ -123,29 +144,63 @@ def manifest_csv(spark: SparkSession, path: str, root: str, hints: dict[str, str
 def _masked(spark: SparkSession, root: str, bad: DataFrame) -> DataFrame:
     """Defects (image_path, raw, path of a mask or null) as the components of their masks; without one, at image level."""
     boxes = imaging.mask_boxes_udf()(F.col("content"))
-    masks = files(spark, root, ("png", "PNG")).join(bad.select("path").filter("path is not null").distinct(), "path", "left_semi").select("path", boxes.alias("b"))
-    joined = bad.join(masks, "path", "left").select("image_path", "raw", F.posexplode_outer("b").alias("ord", "c"))
+    masks = files(spark, root, MASKS).join(bad.select("path").filter("path is not null").distinct(), "path", "left_semi").select("path", boxes.alias("b"))
+    return _boxed(bad.join(masks, "path", "left"))
+
+
+def _boxed(bad: DataFrame) -> DataFrame:
+    """Defects (image_path, raw, components ``b``) as one for each component; at image level where there are none, or the mask can't be read."""
+    joined = bad.select("image_path", "raw", F.posexplode_outer("b").alias("ord", "c"))
     box = F.when(F.col("c").isNotNull(), F.array(*[F.col("c")[k].cast("double") for k in ("x0", "y0", "x1", "y1")]))
     return joined.select("image_path", F.coalesce("ord", F.lit(0)).alias("ord"), "raw", box.alias("box"))
 
 
-def manifest_json(spark: SparkSession, root: str) -> DataFrame:
-    """JSON manifests in several shapes: a list, train and test lists, or any key that holds a list of objects.
+def unread_masks(spark: SparkSession, root: str) -> DataFrame:
+    """path of masks and images below ``root`` whose pixels can't be read: broken, interlaced or of another kind."""
+    return files(spark, root, MASKS).filter(imaging.mask_boxes_udf()(F.col("content")).isNull()).select("path")
 
-    Fields are the first of several names that is filled; a path is tried as it is and below the manifest's category.
-    """
-    raw = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(root).withColumn("file", _stem(F.input_file_name()))
+
+#: Fields of a manifest's items, in the order in which they are tried.
+IMAGE_FIELDS, MASK_FIELDS, CLASS_FIELDS, CATEGORY_FIELDS = ("image_path", "image", "img_path", "path"), ("mask_path", "mask"), ("anomaly_class", "label", "class"), ("category", "object")
+
+
+def _manifest_items(spark: SparkSession, root: str) -> DataFrame:
+    """file, split, m: the items of all manifests below ``root``; a manifest without a list has one row without m."""
+    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(root, wholetext=True).withColumn("file", _stem(F.input_file_name()))
     lists = F.when(F.ltrim("value").startswith("["), F.create_map(F.lit(""), F.col("value"))).otherwise(F.from_json("value", "map<string,string>"))
-    item = raw.select("file", F.explode(lists).alias("split", "list")).filter(F.ltrim("list").startswith("[")).select("file", "split", F.explode(F.from_json("list", "array<map<string,string>>")).alias("m"))
-    first = lambda *names: F.coalesce(*[F.nullif(F.try_element_at("m", F.lit(n)), F.lit("")) for n in names])
-    rows = item.select("file", F.when(F.col("split").isin("train", "test"), F.col("split")).alias("split"), first("image_path", "image", "img_path", "path").alias("image"), first("mask_path", "mask").alias("mask"),
-                       first("anomaly_class", "label", "class").alias("cls"), F.coalesce(first("category", "object"), F.col("file")).alias("category"))
+    found = F.filter(F.transform(F.map_entries(lists), lambda e: F.struct(e["key"].alias("split"), F.when(F.ltrim(e["value"]).startswith("["), F.from_json(e["value"], "array<map<string,string>>")).alias("items"))), lambda e: F.size(e["items"]) > 0)
+    return raw.select("file", F.explode_outer(found).alias("e")).select("file", F.col("e.split").alias("split"), F.explode_outer("e.items").alias("m"))
+
+
+def _manifest_rows(spark: SparkSession, root: str, items: DataFrame) -> DataFrame:
+    """file, split, m, field (the one that names the image), image and mask (below ``root``; null if they aren't there), cls, category."""
+    first = lambda names: F.coalesce(*[F.nullif(F.try_element_at("m", F.lit(n)), F.lit("")) for n in names])
+    rows = items.select("file", F.when(F.col("split").isin("train", "test"), F.col("split")).alias("split"), "m", profile.first_field(F.col("m"), IMAGE_FIELDS).alias("field"), first(IMAGE_FIELDS).alias("image"), first(MASK_FIELDS).alias("mask"),
+                        first(CLASS_FIELDS).alias("cls"), F.coalesce(first(CATEGORY_FIELDS), F.col("file")).alias("category"))
     there = files(spark, root).select("path")
     for c in ("image", "mask"):
         direct = there.select(F.col("path").alias(f"{c}_1"))
         below = there.select(F.col("path").alias(f"{c}_2"))
         rows = (rows.join(direct, F.col(c) == F.col(f"{c}_1"), "left").join(below, F.concat_ws("/", "category", c) == F.col(f"{c}_2"), "left")
                 .withColumn(c, F.coalesce(f"{c}_1", f"{c}_2")).drop(f"{c}_1", f"{c}_2"))
+    return rows
+
+
+def manifest_profile(spark: SparkSession, root: str) -> DataFrame:
+    """Why each manifest below ``root`` gave rows or none (see ``profile.profile``); ``no_items`` if it holds no list of objects."""
+    rows = _manifest_rows(spark, root, _manifest_items(spark, root)).join(sized(files(spark, root)).select(F.col("path").alias("image"), "width"), "image", "left")
+    judged = rows.select(F.col("file").alias("source"), F.col("m").alias("item"), profile.reason(F.col("field"), F.col("image"), F.col("width")).alias("reason"))
+    found = profile.profile(judged.filter("item IS NOT NULL"), IMAGE_FIELDS)
+    bare = judged.groupBy("source").agg(F.count("item").alias("n")).filter("n = 0").select("source", F.lit(0).cast("long").alias("n_items"), F.lit(0).cast("long").alias("n_ok"), F.lit("no_items").alias("reason"), F.lit("").alias("fields"), F.lit("").alias("keys"))
+    return found.unionByName(bare)
+
+
+def manifest_json(spark: SparkSession, root: str) -> DataFrame:
+    """JSON manifests in several shapes: a list, train and test lists, or any key that holds a list of objects.
+
+    Fields are the first of several names that is filled; a path is tried as it is and below the manifest's category.
+    """
+    rows = _manifest_rows(spark, root, _manifest_items(spark, root))
     rows = rows.filter("image is not null")
     images = rows.select(F.col("image").alias("image_path"), "category", "split").join(sized(files(spark, root)).withColumnRenamed("path", "image_path"), "image_path")
     cls = F.lower(F.coalesce("cls", F.lit("")))
@@ -158,20 +213,21 @@ def directories(spark: SparkSession, root: str, names: dict[str, str] | None = N
     part = lambda k: F.regexp_extract("path", r"^([^/]+)/(train|test|validation)/([^/]+)/([^/]+)\.[^./]+$", k)
     images = sized(files(spark, root)).withColumns({"category": part(1), "split": part(2), "kind": part(3), "stem": part(4)}).filter("kind <> ''").withColumnRenamed("path", "image_path")
     mask = lambda k: F.regexp_extract("path", r"^([^/]+)/ground_truth/([^/]+)/([^/]+?)(_mask)?(?:/([^/]+))?\.[^./]+$", k)
-    masks = files(spark, root, ("png", "bmp", "PNG")).select("path", mask(1).alias("category"), mask(2).alias("kind"), mask(3).alias("stem"), mask(4).alias("suffix"), mask(5).alias("part")).filter("kind <> ''")
-    single = rank_first(masks.filter("part = ''"), ["category", "kind", "stem"], [F.desc("suffix"), "path"])
-    every = single.unionByName(masks.filter("part <> ''")).select("category", "kind", "stem", "path")
+    boxes = imaging.mask_boxes_udf()(F.col("content"))
+    masks = files(spark, root, MASKS).select("path", boxes.alias("b"), mask(1).alias("category"), mask(2).alias("kind"), mask(3).alias("stem"), mask(4).alias("suffix"), mask(5).alias("part")).filter("kind <> ''")
+    # Of several files for one mask the first that can be read.
+    single = rank_first(masks.filter("part = ''"), ["category", "kind", "stem"], [F.col("b").isNull(), F.desc("suffix"), "path"])
+    every = single.unionByName(masks.filter("part <> ''")).select("category", "kind", "stem", "b")
     name = F.try_element_at(F.create_map(*[F.lit(x) for kv in (names or {"": ""}).items() for x in kv]), F.col("stem"))
-    bad = images.filter(~F.lower("kind").isin(*NORMAL)).join(every, ["category", "kind", "stem"], "left").select("image_path", F.coalesce(name, F.col("kind")).alias("raw"), "path")
-    found = _masked(spark, root, bad)
-    return assemble(images.drop("kind", "stem"), found)
+    bad = images.filter(~F.lower("kind").isin(*NORMAL)).join(every, ["category", "kind", "stem"], "left").select("image_path", F.coalesce(name, F.col("kind")).alias("raw"), "b")
+    return assemble(images.drop("kind", "stem"), _boxed(bad))
 
 
 def masks(spark: SparkSession, root: str, class_map: dict[int, str], images: str = "images", labels: str = "masks") -> DataFrame:
     """<images>/<stem> with <labels>/<stem>.png whose values are classes; a class without a name becomes class_<value>."""
     found = sized(files(spark, root)).filter(F.col("path").startswith(images + "/")).select(F.col("path").alias("image_path"), F.lit(None).cast("string").alias("category"), F.lit(None).cast("string").alias("split"), "width", "height", _stem(F.col("path")).alias("stem"))
     boxes = imaging.mask_boxes_udf()(F.col("content"))
-    comps = files(spark, root, ("png", "PNG")).filter(F.col("path").startswith(labels + "/")).select(_stem(F.col("path")).alias("stem"), F.posexplode(boxes).alias("ord", "c"))
+    comps = files(spark, root, MASKS).filter(F.col("path").startswith(labels + "/")).select(_stem(F.col("path")).alias("stem"), F.posexplode(boxes).alias("ord", "c"))
     name = F.try_element_at(F.create_map(*[F.lit(x) for kv in (class_map or {-1: ""}).items() for x in kv]), F.col("c.cls"))
     defects = found.join(comps, "stem").select("image_path", "ord", F.coalesce(name, F.concat(F.lit("class_"), F.col("c.cls").cast("string"))).alias("raw"), F.array(*[F.col("c")[k].cast("double") for k in ("x0", "y0", "x1", "y1")]).alias("box"))
     return assemble(found.drop("stem"), defects)

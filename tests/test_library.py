@@ -249,3 +249,19 @@ def test_cache_of_several_attempts(spark):
     second = spark.createDataFrame([("k1", "later", None), ("k2", None, "facts_changed"), ("k3", None, "empty")], "k string, a string, why string")
     cache = enrich.append(enrich.append(None, first, 1), second, 2)
     assert {r["k"]: (r["a"], r["why"]) for r in enrich.latest(cache).collect()} == {"k1": ("later", None), "k2": ("good", None), "k3": (None, "empty")}
+
+
+def test_arrays_and_reports(spark, tmp_path):
+    import json
+
+    df = spark.range(10).repartition(3).selectExpr("string(id) AS qa_id", "'q' AS question", "concat('a', id) AS answer", "array('/r/x.jpg') AS images")
+    export.write(df, "sharegpt", str(tmp_path / "a"), "/r", as_json_array=True)
+    found = [x for f in (tmp_path / "a").glob("part-*") if (t := f.read_text()) for x in json.loads(t)]
+    assert sorted(x["id"] for x in found) == [str(i) for i in range(10)]
+    export.write(df.limit(0), "sharegpt", str(tmp_path / "b"), "/r", as_json_array=True)
+    assert "".join(f.read_text() for f in (tmp_path / "b").glob("part-*")) == ""
+    export.write_reports(str(tmp_path / "r"), generate.FORMATS, generate.SYSTEMS, counts=df.groupBy("question").count(), codes=quality.report(quality.with_errors(df)))
+    lines = [json.loads(x) for f in (tmp_path / "r/stats.json").glob("part-*") for x in f.read_text().splitlines()]
+    assert {"table": "counts", "row": {"question": "q", "count": 10}} in lines and {"table": "codes", "row": {"code": "n_input", "n": 10}} in lines
+    prompts = json.loads("".join(f.read_text() for f in (tmp_path / "r/system_prompts.json").glob("part-*")))
+    assert prompts["by_output_format"] == generate.SYSTEMS and prompts["task_to_output_format"]["counting"] == "text_then_json"

@@ -79,7 +79,7 @@ def test_manifests(spark, tmp_path, shape):
         png(tmp_path / f"pcb/{i}.png", np.zeros((64, 64)))
     items = [{"image_path": "0.png" if shape == "list" else "pcb/0.png", "anomaly_class": "OK", "category": "pcb"}, {"image": "pcb/1.png", "anomaly_class": "HS", "category": "pcb"}]
     doc = {"split": {"train": items[:1], "test": items[1:]}, "list": items, "other": {"meta": {"x": 1}, "samples": items}}[shape]
-    (tmp_path / "pcb.json").write_text(json.dumps(doc))
+    (tmp_path / "pcb.json").write_text(json.dumps(doc, indent=2 if shape == "split" else None))
     rows = {r["image_path"]: r for r in readers.read(spark, "json", root=str(tmp_path)).collect()}
     assert rows["pcb/0.png"]["label"] == "normal" and rows["pcb/1.png"]["defects"][0]["type"] == "scratch"
 
@@ -104,3 +104,54 @@ def test_stream_of_records(spark, tmp_path):
     stream = checks.read_records(spark, str(tmp_path / "in"), "task string, question string, answer string, output_format string, image string, at timestamp")
     checks.write(checks.passing(stream, "at"), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     assert sorted(r["answer"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+
+
+def bmp(path, pixels, up=True):
+    pixels = np.asarray(pixels, np.uint8)
+    h, w = pixels.shape
+    rows = np.zeros((h, (w + 3) // 4 * 4), np.uint8)
+    rows[:, :w] = pixels[::-1] if up else pixels
+    head = struct.pack("<IiiHHIIiiII", 40, w, h if up else -h, 1, 8, 0, rows.size, 0, 0, 256, 0)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(b"BM" + struct.pack("<IHHI", 54 + 1024 + rows.size, 0, 0, 54 + 1024) + head + bytes(1024) + rows.tobytes())
+
+
+def test_bmp_masks_and_broken_ones(spark, tmp_path):
+    for i in range(5):
+        png(tmp_path / f"screw/test/thread_side/{i}.png", np.zeros((64, 64)))
+    masks = tmp_path / "screw/ground_truth/thread_side"
+    bmp(masks / "0_mask.bmp", blob())
+    bmp(masks / "1.bmp", blob(), up=False)
+    png(masks / "2_mask.png", blob())
+    (masks / "2_mask.png").write_bytes((masks / "2_mask.png").read_bytes()[:60])
+    bmp(masks / "2_mask.bmp", blob(9)[:, ::-1])
+    (masks / "3_mask.png").write_bytes(b"nothing")
+    bmp(masks / "4" / "0.bmp", blob())
+    png(masks / "4" / "1.png", blob().T)
+    (masks / "4" / "2.png").write_bytes(b"\x89PNG\r\n\x1a\n")
+    boxes = {r["image_path"][-5]: [d["bbox"] for d in r["defects"]] for r in readers.directories(spark, str(tmp_path)).collect()}
+    assert {k: sorted(v, key=str) for k, v in boxes.items()} == {"0": [[20, 10, 40, 30]], "1": [[20, 10, 40, 30]], "2": [[24, 10, 44, 30]], "3": [None], "4": [None, [10, 20, 30, 40], [20, 10, 40, 30]]}
+    assert sorted(r["path"].split("/")[-1] for r in readers.unread_masks(spark, str(tmp_path)).collect()) == ["2.png", "2_mask.png", "3_mask.png"]
+    rgb = np.zeros((2, 3, 3), np.uint8)
+    rgb[0, 1] = (1, 2, 3)
+    rows = np.zeros((2, 12), np.uint8)
+    rows[:, :9] = rgb[::-1, :, ::-1].reshape(2, 9)
+    data = b"BM" + struct.pack("<IHHI", 0, 0, 0, 54) + struct.pack("<IiiHHIIiiII", 40, 3, 2, 1, 24, 0, 0, 0, 0, 0, 0) + rows.tobytes()
+    assert (imaging.decode(data) == rgb).all() and imaging.decode(b"BM") is None and imaging.decode(data[:50]) is None
+
+
+@pytest.mark.parametrize("text, names", [
+    ("names: ['crack', dent]\nnc: 2\n", ["crack", "dent"]), ("nc: 2\nnames:\n  - crack  # first\n  - 'oil leak'\ntrain: x\n", ["crack", "oil leak"]), ("names:\n- a\n- b\nval: y", ["a", "b"]),
+    ("names:\n  1: dent\n  0: \"crack\"\n", ["crack", "dent"]), ("names: {0: a, 1: b}\n", ["a", "b"]), ("path: x\n", []), ("names: [a,\n  b]\n", ["a", "b"]),
+])
+def test_yolo_names(spark, tmp_path, text, names):
+    (tmp_path / "data.yaml").write_text(text)
+    assert readers.yolo_names(spark, str(tmp_path)) == names
+
+
+def test_yolo_finds_its_names(spark, tmp_path):
+    png(tmp_path / "images/a.png", np.zeros((100, 200)))
+    (tmp_path / "labels").mkdir()
+    (tmp_path / "labels/a.txt").write_text("1 0.5 0.5 0.2 0.4\n")
+    (tmp_path / "dataset.yaml").write_text("names: [crack, dent]")
+    assert readers.read(spark, "yolo", root=str(tmp_path)).first()["defects"][0]["raw"] == "dent"
