@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loamstack.operators import arrange, pool, quality, question_rounds, questions, taxonomy
 from loamstack.plans.views import draw, registered, table
+from loamstack.sources import profile
 
 QUERIES, ORACLE_SQL, query = registered()
 
@@ -167,3 +168,24 @@ def image_missing(spark, d) -> DataFrame:
     k = F.col("o_orderkey")
     r = table(spark, d, "orders").select(k.alias("qa_id"), F.when(k % 2 == 0, F.array(path(k), path(k + 1))).alias("images"), path(k).alias("image"))
     return quality.images_missing(r, table(spark, d, "lineitem").select(path(F.col("l_orderkey")).alias("path")))
+
+
+_FIELDS = ("image_path", "image", "path")
+
+
+@query("""WITH e AS (SELECT event_type || '-' || event_id % 6 AS source, event_id % 6 AS k, 'u' || user_id AS u, user_id FROM events), c AS (SELECT c_custkey FROM customer),
+    j AS (SELECT source, CASE k WHEN 0 THEN 'image' WHEN 1 THEN 'path' WHEN 4 THEN 'image_path' WHEN 5 THEN 'image' END AS field, k, CASE WHEN k IN (2, 3) THEN 'no_field' WHEN k = 4 OR c_custkey IS NULL THEN 'no_file' WHEN user_id % 2 = 0 THEN 'no_size' ELSE 'ok' END AS reason FROM e LEFT JOIN c ON c_custkey = user_id),
+    r AS (SELECT source, reason, count(*) AS n FROM j GROUP BY 1, 2), w AS (SELECT source, arg_min(reason, (-n, list_position(['no_field', 'no_file', 'no_size', 'ok'], reason))) AS why, coalesce(sum(n) FILTER (reason = 'ok'), 0)::BIGINT AS n_ok, sum(n)::BIGINT AS n_items FROM r GROUP BY 1)
+    SELECT source, n_items, n_ok, CASE WHEN n_ok > 0 THEN 'ok' ELSE why END AS reason, CASE WHEN split_part(source, '-', 2) IN ('2', '3') THEN '' ELSE CASE split_part(source, '-', 2) WHEN '0' THEN 'image=' WHEN '1' THEN 'path=' WHEN '4' THEN 'image_path=' ELSE 'image=' END || n_items END AS fields,
+        CASE split_part(source, '-', 2) WHEN '0' THEN 'image=' || n_items WHEN '1' THEN 'path=' || n_items WHEN '2' THEN 'file=' || n_items WHEN '3' THEN 'image=' || n_items WHEN '4' THEN 'image_path=' || n_items ELSE 'image=' || n_items || ',label=' || n_items END AS keys FROM w""")
+def source_reasons(spark, d) -> DataFrame:
+    """Events as the items of manifests in six shapes: which field names a customer, and why sources gave no row."""
+    k, u = F.col("event_id") % 6, F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    one = lambda name, v: F.create_map(F.lit(name), v)
+    item = F.when(k == 0, one("image", u)).when(k == 1, one("path", u)).when(k == 2, one("file", u)).when(k == 3, one("image", F.lit(""))).when(k == 4, one("image_path", F.lit("gone"))).otherwise(F.create_map(F.lit("image"), u, F.lit("label"), F.lit("x")))
+    e = table(spark, d, "events").select(F.concat_ws("-", "event_type", k.cast("string")).alias("source"), "user_id", item.alias("item"))
+    named = F.coalesce(*[F.nullif(F.try_element_at("item", F.lit(n)), F.lit("")) for n in _FIELDS])
+    files = table(spark, d, "customer").select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("file"))
+    found = e.withColumn("named", named).join(files, F.col("named") == F.col("file"), "left")
+    width = F.when(F.col("user_id") % 2 == 1, 8)
+    return profile.profile(found.select("source", "item", profile.reason(profile.first_field(F.col("item"), _FIELDS), F.col("file"), width).alias("reason")), _FIELDS)
