@@ -1,20 +1,20 @@
 """Near duplicates by ProbMinHash: shingles, banding, exact verification, connected components.
 
-A text's shingles are its runs of five words (white space apart; a shorter text is one shingle). Every shingle starts
-a Poisson process with its weight as rate; each arrival falls into one of ``REGISTERS`` registers, which keeps the
-shingle of its earliest arrival. A shingle stops when its next arrival comes after the latest of all registers. Two texts
-agree in a register with their probability Jaccard similarity. Links are decided by the sets of shingles, so every
-shingle has weight 1 here, however often its text repeats it: then that similarity is the one of the sets, each register
-on its own. Weights by count would put it far below for a text that repeats what the other says once.
+A text's shingles are its runs of five words (white space apart; a shorter text is one shingle), with the weight
+1 + ln(count). Every shingle starts a Poisson process with its weight as rate; each arrival falls into one of
+``REGISTERS`` registers, which keeps the shingle of its earliest arrival. A shingle stops when its next arrival comes after
+the latest of all registers. Two texts agree in a register with their probability Jaccard similarity: of the weights x and
+y the sum over common shingles i of 1 / sum over j of max(x_j / x_i, y_j / y_i). Links are decided by this similarity,
+worked out exactly (at least ``THRESHOLD``). Of texts that repeat nothing it is the Jaccard similarity of the sets.
 
 Texts with the same words form one node, so that copies never meet in pairs. Nodes that agree in a band of ``ROWS``
-registers meet in its bucket. Three rounds find all links (Jaccard similarity of the sets of shingles, at least ``THRESHOLD``):
+registers meet in its bucket. Three rounds find all links:
 
 1. every node of a bucket against the least node of the bucket;
 2. nodes outside the largest component of their bucket against the bucket, block by block; each goes on with the
    node of another component whose signature is most like its own;
 3. all pairs of different components that are left, each in the first band that its nodes share. The blocks carry the
-   shingles (32 bits of each), and only pairs that come within ``SLACK`` of the threshold leave their task.
+   shingles (32 bits of each) and their counts, and only pairs that come within ``SLACK`` of the threshold leave their task.
 
 Signatures that agree in less than ``least_agreement`` of their registers are not compared further: a pair at the
 threshold does so with a probability below ``MISS`` (the bands miss it with 5e-8).
@@ -157,7 +157,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     fold = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
     for b, texts in _chunks(batches):
         keys, counts = shingle_keys(texts)
-        sig = prob_min_hash(keys, np.ones_like(counts), len(texts))
+        sig = prob_min_hash(keys, counts, len(texts))
         bands = np.repeat(fold[None], len(texts), 0)
         for r in range(ROWS):
             bands = mixed(bands * np.uint64(0xD6E8FEB86659FD93) + sig[:, r::ROWS])
@@ -167,30 +167,46 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted shingles of each text and their counts, once with 54 bits and once with 32."""
     for b, texts in _chunks(batches):
-        keys, _ = shingle_keys(texts)
+        keys, counts = shingle_keys(texts)
         bounds = np.searchsorted(keys, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(54))
-        parts = [(keys[a:b] & np.uint64((1 << 54) - 1)).tobytes() for a, b in pairwise(bounds)]
-        thin = [np.unique(np.frombuffer(p, np.uint64).astype(np.uint32)).tobytes() for p in parts]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(parts, pa.binary()), pa.array(thin, pa.binary())], names=["node", "shingles", "thin"])
+        rows = []
+        for x, y in pairwise(bounds):
+            own, n = keys[x:y] & np.uint64((1 << 54) - 1), counts[x:y]
+            thin, place = np.unique(own.astype(np.uint32), return_inverse=True)
+            rows.append((own.tobytes(), n.astype("<u4").tobytes(), thin.tobytes(), np.bincount(place, n, len(thin)).astype("<u4").tobytes()))
+        columns = [pa.array(c, pa.binary()) for c in zip(*rows, strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["node", "shingles", "counts", "thin", "thin_counts"])
 
 
-def jaccard(a: bytes, b: bytes, kind: type = np.uint64) -> float:
-    """Of two sorted sets of numbers."""
+def probability_jaccard(a: bytes, n: bytes, b: bytes, m: bytes, kind: type = np.uint64) -> float:
+    """Of two sorted sets of numbers with counts (32 bits each) at the weights 1 + ln(count)."""
     x, y = np.frombuffer(a, kind), np.frombuffer(b, kind)
-    if len(y) < len(x):
-        x, y = y, x
-    if not len(x):
-        return float(not len(y))
+    if not len(x) or not len(y):
+        return float(len(x) == len(y))
     at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-    both = int((y[at] == x).sum())
-    return both / (len(x) + len(y) - both)
+    common = y[at] == x
+    n, m = np.frombuffer(n, "<u4"), np.frombuffer(m, "<u4")
+    if (n == 1).all() and (m == 1).all():
+        both = int(common.sum())
+        return both / (len(x) + len(y) - both)
+    wx, wy = 1 + np.log(n), 1 + np.log(m)
+    own, other = wx[common], wy[at[common]]
+    # In the order of y / x the larger quotient is x's up to i and y's beyond; shingles of one side stand at the ends.
+    order = np.argsort(other / own, kind="stable")
+    own, other = own[order], other[order]
+    ratio = other / own
+    upto = np.searchsorted(ratio, ratio, "right")
+    below = wx[~common].sum() + np.append(0, np.cumsum(own))[upto]
+    above = wy.sum() - np.append(0, np.cumsum(other))[upto]
+    return float((1 / (below / own + above / other)).sum())
 
 
 def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ok = [jaccard(x.as_buffer(), y.as_buffer()) >= threshold for x, y in zip(b.column(2), b.column(3), strict=True)]
+            ok = [probability_jaccard(*(c.as_buffer() for c in row)) >= threshold for row in zip(*b.columns[2:], strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return run
@@ -215,7 +231,7 @@ def _cross(best_only: bool, threshold: float):
         if left.num_rows and right.num_rows:
             sig = [np.frombuffer(b"".join(t["signature"].to_pylist()), np.uint32).reshape(t.num_rows, -1) for t in (left, right)]
             nodes, theirs, band = left["node"].to_pylist(), right["o_node"].to_pylist(), left["band"][0].as_py()
-            thin = [] if best_only else [t["thin"].to_pylist() for t in (left, right)]
+            thin, counts = ([], []) if best_only else ([t[c].to_pylist() for t in (left, right)] for c in ("thin", "thin_counts"))
             own, other = np.asarray(left["label"]), np.asarray(right["o_label"])
             for i, node in enumerate(nodes):
                 same = sig[1] == sig[0][i]
@@ -225,7 +241,7 @@ def _cross(best_only: bool, threshold: float):
                     at = at[[share[at].argmax()]] if len(at) else at
                 else:
                     at = at[same[at].reshape(len(at), BANDS, ROWS).all(2).argmax(1) == band]
-                    at = at[[jaccard(thin[0][i], thin[1][j], np.uint32) >= threshold - SLACK for j in at]] if len(at) else at
+                    at = at[[probability_jaccard(thin[0][i], counts[0][i], thin[1][j], counts[1][j], np.uint32) >= threshold - SLACK for j in at]] if len(at) else at
                 a += [node] * len(at)
                 b += [theirs[j] for j in at]
                 agree += share[at].tolist()
@@ -235,9 +251,9 @@ def _cross(best_only: bool, threshold: float):
 
 
 def _links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_verify(threshold), "a long, b long")
+    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"), F.col("counts").alias("n"))
+    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"), F.col("counts").alias("m"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "n", "y", "m").mapInArrow(_verify(threshold), "a long, b long")
 
 
 def _signed(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -271,11 +287,11 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
     pairs = _signed(shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), signed, threshold)
     wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
     texts = own.join(wanted, own["doc_id"].eqNullSafe(wanted["_id"]) & (own["key"] == wanted["_key"])).select("node", "text")
-    sets = materialise(texts.mapInArrow(_sets, "node long, shingles binary, thin binary").dropDuplicates(["node"]), "shingles")
+    sets = materialise(texts.mapInArrow(_sets, "node long, shingles binary, counts binary, thin binary, thin_counts binary").dropDuplicates(["node"]), "shingles")
     links = materialise(_links(pairs, sets, threshold), "links")
     labels = connected_components(links)
     for best_only in (True, False):
-        more = _cross_pairs(shared, signed if best_only else signed.join(sets.select("node", "thin"), "node"), labels, best_only, threshold)
+        more = _cross_pairs(shared, signed if best_only else signed.join(sets.select("node", "thin", "thin_counts"), "node"), labels, best_only, threshold)
         if more is None:
             break
         links = materialise(links.union(_links(more, sets, threshold)), "links")
@@ -302,7 +318,7 @@ def _cross_pairs(shared: DataFrame, nodes: DataFrame, labels: DataFrame, best_on
     there = materialise(placed.join(mixed_buckets, ["band", "bucket"]).select("band", "bucket", "node", "label", "main", "size"), "mixed")
     if there.limit(1).count() == 0:
         return None
-    carried = ["signature"] if best_only else ["signature", "thin"]
+    carried = ["signature"] if best_only else ["signature", "thin", "thin_counts"]
     full = there.join(nodes.select("node", *carried), "node").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     block = lambda seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks")).cast("int")
     left = full.filter("label <> main").select("band", "bucket", block(1).alias("row"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("col"), "node", "label", *carried)

@@ -6,6 +6,7 @@ import random
 import re
 import uuid
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -203,16 +204,28 @@ def test_topk_of_one_shard_is_whole():
     assert cols[0].tolist() == list(range(49, 39, -1)) and scores[0].tolist() == [3 * i + 1 for i in range(49, 39, -1)]
 
 
-def brute_classes(texts):
-    sets = {}
-    for i, t in enumerate(texts):
-        w = (t or "").split()
-        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
-    label = {i: i for i in sets}
-    for i in sets:
+def shingle_weights(text, weighted=True):
+    w = (text or "").split()
+    n = Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else Counter()
+    return {k: 1 + math.log(c) if weighted else 1.0 for k, c in n.items()}
+
+
+def probability_jaccard(x, y):
+    """Straight from the definition."""
+    if not x or not y:
+        return float(not x and not y)
+    every = set(x) | set(y)
+    return sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in every) for i in set(x) & set(y))
+
+
+def brute_classes(texts, weighted=True):
+    weights = {i: shingle_weights(t, weighted) for i, t in enumerate(texts)}
+    label = {i: i for i in weights}
+    for i in weights:
         for j in range(i):
-            a, b = sets[i], sets[j]
-            if a == b or (a and b and len(a & b) / len(a | b) >= 0.8):
+            a, b = weights[i], weights[j]
+            # No pair of fewer common shingles can be that alike.
+            if len(a.keys() & b.keys()) >= 0.2 * max(len(a), len(b)) and probability_jaccard(a, b) >= 0.8:
                 x, y = label[i], label[j]
                 label = {k: min(x, y) if v in (x, y) else v for k, v in label.items()}
     return label
@@ -242,8 +255,43 @@ def test_near_dedup_of_repeated_lines(spark):
         texts += [f"{head} {line}", " ".join([head, *[line] * times])]
         first, last = words(rng, 40), words(rng, 40)
         texts += [" ".join([first] * times + [last]), " ".join([first] + [last] * times)]
+    for k in range(4):
+        body = words(rng, 60)
+        texts += [f"{body} " * 2, f"{body} " * 3, " ".join([body, *[words(rng, 5)] * 40]), body]
     got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(documents(spark, texts)).collect()}
-    assert got == brute_classes(texts) and len(set(got.values())) == len(texts) // 2
+    assert got == brute_classes(texts) and got != brute_classes(texts, weighted=False)
+
+
+def test_exact_similarity_by_definition():
+    rng = random.Random(12)
+    for _ in range(60):
+        pool = [words(rng, 7) for _ in range(4)]
+        x, y = (" ".join(rng.choices(pool, k=rng.randint(1, 12))) for _ in range(2))
+        keys, counts = minhash.shingle_keys([x, y])
+        low = keys & np.uint64((1 << 54) - 1)
+        own = keys >> np.uint64(54) == 0
+        parts = [z for side in (own, ~own) for z in (low[side].tobytes(), counts[side].astype("<u4").tobytes())]
+        assert abs(minhash.probability_jaccard(*parts) - probability_jaccard(shingle_weights(x), shingle_weights(y))) < 1e-9
+
+
+def test_recall_of_planted_pairs(spark):
+    """Pairs of 0.8 to 0.95, half of them with repeated lines; nearly all have to be found, and none below 0.8."""
+    rng = random.Random(13)
+    texts, pairs = [], []
+    for k in range(400):
+        body = words(rng, 120).split()
+        line = " ".join(body[:12])
+        other = list(body)
+        for at in rng.sample(range(len(body)), rng.randint(0, 3)):
+            other[at] = "zz%d" % rng.randint(0, 99)
+        extra = [line] * rng.choice([0, 0, 1, 3])
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [" ".join([*body, *extra]), " ".join([*other, *extra[:1], *extra])]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(documents(spark, texts)).collect()}
+    alike = {p: probability_jaccard(shingle_weights(texts[p[0]]), shingle_weights(texts[p[1]])) for p in pairs}
+    wanted = [p for p, v in alike.items() if 0.8 <= v <= 0.95]
+    assert len(wanted) >= 100 and sum(got[a] == got[b] for a, b in wanted) >= 0.99 * len(wanted)
+    assert not any(got[a] == got[b] for (a, b), v in alike.items() if v < 0.8)
 
 
 def test_least_agreement_keeps_pairs_at_the_threshold():
@@ -424,6 +472,45 @@ def test_near_dedup_keeps_different_texts_of_one_id(spark):
     assert kept == sorted([(7, a), (7, b), (8, c)])
 
 
+@pytest.mark.parametrize("kind", ["smallint", "decimal(10,0)", "string", "date"])
+def test_ids_of_other_types(spark, kind):
+    docs = spark.createDataFrame([(i, f"some text number {i}") for i in range(3)], DOC).withColumn("doc_id", F.date_add(F.lit("2024-01-01"), F.col("doc_id").cast("int")) if kind == "date" else F.col("doc_id").cast(kind))
+    want = sorted(r["doc_id"] for r in docs.collect())
+    path = tokenizer_path("byte_bpe_50k.json")
+    for done in (token_store.stored(docs, path), packing.pack_documents(docs, path, words=False), byte_bpe.encode(docs, tokenizer_path("byte_bpe_50k.tiktoken"), pretokenize.BYTE_LEVEL_PATTERN)):
+        assert dict(done.dtypes)["doc_id"] == kind and sorted(r["doc_id"] for r in done.collect()) == want
+    if kind == "smallint":
+        assert suffix_dedup.remove_repeats(docs).count() == 3
+    else:
+        with pytest.raises(ValueError, match="whole number"):
+            suffix_dedup.remove_repeats(docs)
+
+
+def test_texts_of_a_megabyte(spark):
+    rng = random.Random(14)
+    long = words(rng, 200_000)
+    docs = documents(spark, [long, "x" * 1_100_000, None])
+    assert len(long) > 1_000_000
+    tokens = {r["doc_id"]: r["n_tokens"] for r in token_store.stored(docs, tokenizer_path("byte_bpe_50k.json")).collect()}
+    encoded = {r["doc_id"]: r["n_tokens"] for r in byte_bpe.encode(docs.filter("doc_id <> 1"), tokenizer_path("byte_bpe_50k.tiktoken"), pretokenize.BYTE_LEVEL_PATTERN).collect()}
+    assert tokens[0] == encoded[0] + 1 and tokens[2] == 1
+    packed = packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), words=False).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert {r["doc_id"]: r["n"] for r in packed} == tokens
+    model = secrets.MarkovRatio.fit(secrets.default_samples(docs.filter("doc_id <> 1")))
+    assert secrets.scan(docs, model).count() == 3
+
+
+def test_words_that_come_again_are_kept_when_the_cache_shrinks(monkeypatch):
+    monkeypatch.setattr(pretokenize, "CACHE_WORDS", 300)
+    monkeypatch.setattr(pretokenize, "CHUNK_CHARS", 1500)
+    rng = random.Random(15)
+    texts = [words(rng, 300) for _ in range(40)]
+    e = pretokenize.CachedEncoder(tokenizer_path("byte_bpe_50k.json"), pretokenize.byte_level, False)
+    ids, counts = e.encode(texts)
+    want = [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == list(map(len, want)) and len(e.known) < 2000
+
+
 def test_long_texts(spark):
     rng = random.Random(8)
     long = words(rng, 60_000)
