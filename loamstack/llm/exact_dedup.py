@@ -23,6 +23,8 @@ from loamstack.llm.store import materialise
 
 #: Fixed value: what counts as one space.
 BLANKS = r"[\x20\x09-\x0D]+"
+#: A digest with over 1/HOT of the rows is hot.
+HOT = 2000
 
 
 def normalised(text: Column) -> Column:
@@ -75,9 +77,14 @@ class DigestIndex:
 
     def decide(self, rows: DataFrame) -> DataFrame:
         """For rows of ``record``, one for each row of the batch: doc_id, keep_id, group_size (rows seen so far), kept, digest."""
-        # A text that was seen once needs no join. Both sides are exchanged for this join alone, so it can be split by adaptive execution.
+        # A text that was seen once needs no join. Those with over 1/HOT of all rows, at most HOT, are sent to all tasks, so that no
+        # digest fills one; the others are exchanged for this join alone, which adaptive execution may split.
         several = materialise(self.groups().filter("group_size > 1").withColumnRenamed("batch", "first_batch"), "several")
-        joined = rows.join(several.hint("merge"), "digest", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        total = self.read().agg(F.sum("n")).first()[0] or 0
+        hot, rest = several.filter(F.col("group_size") > total / HOT), several.filter(F.col("group_size") <= total / HOT)
+        known = rows.join(F.broadcast(hot), "digest", "left")
+        found = known.filter("group_size IS NOT NULL").unionByName(known.filter("group_size IS NULL").select(*rows.columns).join(rest.hint("merge"), "digest", "left"))
+        joined = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
         alone = F.col("group_size").isNull()
         first = alone | ((F.col("copy") == 1) & (F.col("batch") == F.col("first_batch")) & F.col("doc_id").eqNullSafe(F.col("keep_id")))
         return joined.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), first.alias("kept"), "digest")
