@@ -32,8 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
+from pyspark.sql.pandas.types import to_arrow_type
 
 from loamstack.llm.pretokenize import encoder
 from loamstack.llm.store import materialise
@@ -65,7 +65,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), _ARROW, strict=True)], schema=_ARROW)
 
     id_type = own.schema["doc_id"].dataType
-    _ARROW = pa.schema([("doc_id", pa.int64() if isinstance(id_type, T.LongType) else pa.string() if isinstance(id_type, T.StringType) else pa.int32()),
+    _ARROW = pa.schema([("doc_id", to_arrow_type(id_type)),
                         ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
     out = own.mapInArrow(run, f"doc_id {id_type.simpleString()}, piece int, start long, length long, ids_crc32 long, ids binary")
     return out if ids else out.drop("ids")

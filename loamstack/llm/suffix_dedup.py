@@ -414,6 +414,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     chunks = max(1, math.ceil(total / CHUNK_BYTES))
     buckets = max(1, math.ceil(total / ((LENGTH - GRAM + 2) / 2) / BUCKET_ANCHORS))
     kind = own.schema["doc_id"].dataType.simpleString()
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError(f"doc_id has to be a whole number, not {kind}: number the documents first")
     keyed = (own.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn("_row", F.xxhash64("text"))
              .withColumn("chunk", F.pmod(F.xxhash64("doc_id", "_row"), F.lit(chunks)).cast("int")))
     # Written once, bucketed by chunk: the three passes over the texts need no further shuffle.
