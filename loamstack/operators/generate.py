@@ -227,7 +227,7 @@ class _Builder:
         evidence = F.when(first["grade"].isNotNull(), F.concat(F.lit("，程度为"), _lookup(grade_zh, first["grade"]), F.lit("。"))).otherwise(F.concat(F.lit("，在画面"), first["region"], F.lit("，"), G.size_word(first["area_ratio"]), F.lit("。")))
         compared = F.array_join(F.transform(F.slice(d, 1, MOST_COMPARED), lambda x: F.concat(F.lit("画面"), x["region"], F.lit("出现"), x["zh"])), "；")
         places = F.array_distinct(F.transform(d, lambda x: F.concat(x["zh"], F.lit("位于画面"), x["region"])))
-        where = F.concat(F.lit("共 "), F.size(d).cast("string"), F.lit(" 处："), F.array_join(places, "，"), F.lit("。"))
+        where = F.concat(F.when(F.size(d) > 1, F.concat(F.lit("共 "), F.size(d).cast("string"), F.lit(" 处："))).otherwise(""), F.array_join(places, "，"), F.lit("。"))
         turn = lambda q, a: F.struct(q.alias("question"), a.alias("answer"))
         opening = self.question("multi_turn")
         bad_turns = F.array(turn(opening, F.concat(F.lit("有异常，"), where)), turn(F.lit("请给出它们的位置。"), self.json(d)), turn(F.lit("最严重的是哪一处？"), F.concat(worst["zh"], F.lit("，程度"), _lookup(SEVERITY_NAMES, worst["severity"]), F.lit("。"))))

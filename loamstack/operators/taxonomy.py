@@ -112,10 +112,14 @@ def map_objects(names: DataFrame, col: str) -> DataFrame:
     return _map_names(names, col, object_dim(names.sparkSession), "object", "object", 3, "unknown")
 
 
-def with_objects(df: DataFrame, col: str = "category") -> DataFrame:
-    """``df`` with object, object_zh, role and ctx, mapped from the names in ``col``; names without an object are ``unknown``."""
+def with_objects(df: DataFrame, col: str = "category", hints: dict[str, str] | None = None) -> DataFrame:
+    """``df`` with object, object_zh, role and ctx, mapped from the names in ``col``; ``hints`` names the object of some; names without an object are ``unknown``."""
     dim = object_dim(df.sparkSession).select("object", F.col("zh").alias("object_zh"), "role", "ctx")
-    known = map_objects(df.select(F.col(col).alias("_name")), "_name").join(F.broadcast(dim), "object")
+    mapped = map_objects(df.select(F.col(col).alias("_name")), "_name")
+    if hints:
+        hint = F.try_element_at(F.create_map(*[F.lit(x) for kv in hints.items() for x in kv]), F.col("_name"))
+        mapped = mapped.select("_name", F.coalesce(hint, "object").alias("object"))
+    known = mapped.join(F.broadcast(dim), "object")
     return df.join(known, F.col(col).eqNullSafe(F.col("_name"))).drop("_name")
 
 

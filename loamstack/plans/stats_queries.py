@@ -9,6 +9,7 @@ from loamstack.functions import text as X
 from loamstack.operators import balance, stats
 from loamstack.plans.sampling_queries import _RATIO, RATIO
 from loamstack.plans.views import BOXES, RECORDS, SAMPLES, boxes, records, registered, samples, table
+from loamstack.sources import interim
 
 QUERIES, ORACLE_SQL, query = registered()
 
@@ -81,11 +82,13 @@ def cache_report(spark, d) -> DataFrame:
     return stats.acceptance(table(spark, d, "events"), "event_type", k % 5 != 0, k)
 
 
-@query(f"""WITH {SAMPLES} SELECT dataset, count(*) AS n, count(*) FILTER (label = 'anomalous') AS anomalous, count(*) FILTER (label = 'normal') AS normal, count(DISTINCT category) AS n_types FROM samples GROUP BY 1""")
+@query(f"""WITH {SAMPLES}, t AS (SELECT dataset, category, count(*) AS n FROM samples WHERE label = 'anomalous' GROUP BY 1, 2), l AS (SELECT dataset, string_agg(category || '=' || n, ',' ORDER BY category) AS types FROM t GROUP BY 1)
+    SELECT s.dataset, count(*) AS n, count(*) FILTER (label = 'normal') AS normal, count(*) FILTER (label = 'anomalous') AS anomalous, coalesce(any_value(types), '') AS types FROM samples s LEFT JOIN l USING (dataset) GROUP BY 1""")
 def ingest_summary(spark, d) -> DataFrame:
-    s = samples(spark, d)
-    pivot = s.groupBy("dataset").pivot("label", ["anomalous", "normal"]).count().na.fill(0)
-    return s.groupBy("dataset").agg(F.count("*").alias("n"), F.countDistinct("category").alias("n_types")).join(pivot, "dataset")
+    """Samples by source and label, and how many show each type: the category of the anomalous ones stands for it, twice."""
+    one = F.struct(F.col("category").alias("type"))
+    s = samples(spark, d).withColumn("defects", F.when(F.col("label") == "anomalous", F.array(one, one)).otherwise(F.array().cast("array<struct<type:string>>")))
+    return interim.summary(s)
 
 
 @query(f"""WITH {RECORDS}, t AS (SELECT task, count(*) AS n, count(DISTINCT question) AS q FROM records GROUP BY 1) SELECT task, q AS n_questions, CASE WHEN q < 45 THEN 'few_questions' WHEN n < 50 THEN 'few_records' END AS warning FROM t WHERE q < 45 OR n < 50""")
