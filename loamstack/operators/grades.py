@@ -45,6 +45,32 @@ def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays(columns, names=["cls", "px", "imgs", *_SUMS])
 
 
+#: Beyond this many values a mask is no map of classes.
+MOST_CLASSES = 12
+
+
+def mask_values(masks: DataFrame) -> DataFrame:
+    """value, px, imgs, share (of all pixels) of ``masks`` (values: the classes of a mask's pixels, array<int>), by expressions only.
+
+    A mask is reduced to a row for each of its values before the shuffle; null masks and null pixels don't count.
+    """
+    kinds = F.transform(F.array_distinct("values"), lambda v: F.struct(v.alias("value"), F.size(F.filter("values", lambda x: x == v)).cast("long").alias("n")))
+    one = masks.select(F.explode(kinds).alias("k")).select("k.*").filter("value IS NOT NULL")
+    counts = one.groupBy("value").agg(F.sum("n").alias("px"), F.count("*").alias("imgs"))
+    # The values are few: one window over them.
+    return counts.select("value", "px", "imgs", (F.col("px") / F.sum("px").over(W.partitionBy(F.lit(1)))).alias("share"))
+
+
+def guessed_map(values: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """value, name: a first guess of what the values above 0 mean, by falling area (ties: the smaller value); null beyond ``names``.
+
+    Empty if there are more than ``MOST_CLASSES`` values: then these are no masks of classes.
+    """
+    some = values.filter("value <> 0").withColumn("_n", F.count("*").over(W.partitionBy(F.lit(1)))).filter(F.col("_n") <= MOST_CLASSES)
+    place = F.row_number().over(W.partitionBy(F.lit(1)).orderBy(F.desc("px"), "value"))
+    return some.select("value", F.get(F.array(*map(F.lit, names)), place - 1).alias("name"))
+
+
 def pixel_stats(images: DataFrame) -> DataFrame:
     """cls, px, imgs (images that show it) and the means of redness, brightness, saturation and roughness.
 

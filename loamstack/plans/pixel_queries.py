@@ -64,3 +64,11 @@ _UP = "bool_and(coalesce({0} {1} p_{0}, true))"
     n AS (SELECT len(list_filter(h, lambda x: x))::BIGINT AS hits FROM f) SELECT hits, CASE WHEN hits >= 4 THEN 'as_given' WHEN hits <= 1 THEN 'reversed' ELSE 'unclear' END AS verdict FROM n""")
 def grade_direction(spark, d) -> DataFrame:
     return grades.verdict(grades.direction(grades.pixel_stats(_graded(spark, d))))
+
+
+@query(f"""WITH {_IMAGE}, o AS (SELECT cls::INT AS value, px, imgs, px / sum(px) OVER () AS share FROM s), g AS (SELECT value, row_number() OVER (ORDER BY px DESC, value) AS n FROM o WHERE value <> 0)
+    SELECT o.value, px, imgs, round(share, 6) AS share, (['good', 'fair', 'poor', 'severe'])[n::INT] AS name FROM o LEFT JOIN g ON g.value = o.value""")
+def mask_class_guess(spark, d) -> DataFrame:
+    """Values of embeddings as masks, and what they might mean by their area."""
+    values = grades.mask_values(_graded(spark, d).select(F.col("mask").cast("array<int>").alias("values")))
+    return values.join(grades.guessed_map(values, ("good", "fair", "poor", "severe")), "value", "left").select("value", "px", "imgs", F.round("share", 6).alias("share"), "name")

@@ -32,3 +32,12 @@ def test_pixel_stats_and_votes(spark):
     assert vote((0, 1, 1, 9.0, 0.0, 0.0, 0.0), (1, 90, 9, 0.1, 90.0, 0.0, 1.0), (2, 50, 7, 0.2, 80.0, 0.0, 2.0), (3, 10, 3, 0.3, 70.0, 0.0, 1.5)) == [(4, "as_given")]
     assert vote((1, 1, 1, 0.3, 1.0, 0.0, 2.0), (2, 5, 2, 0.2, 2.0, 0.0, 1.0)) == [(0, "reversed")]
     assert vote((0, 5, 2, 0.2, 2.0, 0.0, 1.0), (1, 5, 2, 0.2, 2.0, 0.0, 1.0)) == [] and vote((1, 5, 2, 0.2, 2.0, 0.0, 1.0), (2, 4, 2, 0.3, 2.0, 0.0, 1.0)) == [(2, "unclear")]
+
+
+def test_mask_values_and_the_guess(spark):
+    df = spark.createDataFrame([([0, 0, 2, 2, 2, 5],), ([5, None],), (None,), ([],)], "values array<int>")
+    values = grades.mask_values(df)
+    assert sorted((r["value"], r["px"], r["imgs"], round(r["share"], 4)) for r in values.collect()) == [(0, 2, 1, 0.2857), (2, 3, 1, 0.4286), (5, 2, 2, 0.2857)]
+    assert dict(map(tuple, grades.guessed_map(values, ("good",)).collect())) == {2: "good", 5: None}
+    many = grades.mask_values(spark.createDataFrame([(list(range(14)),)], "values array<int>"))
+    assert grades.guessed_map(many, ("good",)).count() == 0 and grades.mask_values(df.limit(0)).count() == 0
