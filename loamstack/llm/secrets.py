@@ -36,12 +36,16 @@ RUN = rf"[A-Za-z0-9+/_=-]{{{RUN_LEAST},}}"
 MIN_LLR, PER_SIGN = 12.0, 0.6
 SAMPLE_ROWS = 4000
 #: Words of the labelled ordinary identifiers, besides those of the documents.
-NAMES = tuple("""the quick brown fox jumps over lazy dog get set list map name value index count size length first last next find make build create read write open close
-    load save send receive request response client server session user account order item price total number string object array integer boolean default config option setting
-    handler manager factory service controller model view template import export common collect util utils core base test tests main source package module class method function
-    abstract immutable sorted multi public private static final google apache spring java python org com net www http https html index image images content upload download
-    documents report reports version release update delete insert select column table schema database connection address network protocol buffer stream reader writer parser
-    format language english message error exception warning debug logger thread process memory system kernel driver device window button layout style color width height""".split())
+NAMES = (
+    "the", "quick", "brown", "fox", "jumps", "over", "lazy", "dog", "get", "set", "list", "map", "name", "value", "index", "count", "size", "length", "first", "last", "next", "find", "make",
+    "build", "create", "read", "write", "open", "close", "load", "save", "send", "receive", "request", "response", "client", "server", "session", "user", "account", "order", "item", "price",
+    "total", "number", "string", "object", "array", "integer", "boolean", "default", "config", "option", "setting", "handler", "manager", "factory", "service", "controller", "model", "view",
+    "template", "import", "export", "common", "collect", "util", "utils", "core", "base", "test", "tests", "main", "source", "package", "module", "class", "method", "function", "abstract",
+    "immutable", "sorted", "multi", "public", "private", "static", "final", "google", "apache", "spring", "java", "python", "org", "com", "net", "www", "http", "https", "html", "index",
+    "image", "images", "content", "upload", "download", "documents", "report", "reports", "version", "release", "update", "delete", "insert", "select", "column", "table", "schema",
+    "database", "connection", "address", "network", "protocol", "buffer", "stream", "reader", "writer", "parser", "format", "language", "english", "message", "error", "exception", "warning",
+    "debug", "logger", "thread", "process", "memory", "system", "kernel", "driver", "device", "window", "button", "layout", "style", "color", "width", "height",
+)
 
 _SPAN = "array<struct<start:int,end:int>>"
 

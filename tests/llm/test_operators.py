@@ -64,6 +64,19 @@ def test_secrets(spark, mixed):
     assert secrets.scan(docs.limit(0), model).count() == 0
 
 
+def test_kinds_that_training_never_saw(spark):
+    rng = random.Random(16)
+    prose = documents(spark, [words(rng, 60) for _ in range(200)])
+    samples, token = secrets.default_samples(prose), F.col("token")
+    seen = samples.filter(F.when(F.col("is_random"), token.rlike("[+/]") | token.rlike("^[A-Z0-9]{24}$")).otherwise(~token.rlike("[a-z][A-Z]")))
+    model = secrets.MarkovRatio.fit(seen)
+    alphabets = {"alnum": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "lower": "abcdefghijklmnopqrstuvwxyz0123456789", "url": "ABCDEFabcdefghijklmnopqrstuvwxyz0123456789-_"}
+    rows = [(k, "".join(rng.choices(a, k=32))) for k, a in alphabets.items() for _ in range(300)]
+    rows += [("name", sep.join(rng.choices([w for w in secrets.NAMES if len(w) > 4], k=4))) for sep in "_-/" for _ in range(300)]
+    got = {r["k"]: r["p"] for r in spark.createDataFrame(rows, "k string, t string").groupBy("k").agg(F.avg(model.is_random(F.col("t")).cast("int")).alias("p")).collect()}
+    assert min(got[k] for k in alphabets) >= 0.98 and got["name"] <= 0.01
+
+
 def test_language_id(spark):
     rng = random.Random(0)
     parts = {"aa": ["ba", "ko", "mi", "tu"], "bb": ["sch", "ung", "keit", "ver"], "cc": ["eau", "tion", "que", "oir"]}
