@@ -111,7 +111,7 @@ def _verdict(rows: DataFrame, removed: DataFrame, lost: float) -> DataFrame:
 def judge(docs: DataFrame, host: str | None = "source", least: int = LEAST_DOCUMENTS, share: float = SHARE, lost: float = MOST_LOST) -> DataFrame:
     """One row for each row of ``docs``: doc_id, the measures, base_failed, n_removed_words, kept."""
     rows = materialise(measured(docs, host), "measures")
-    return _verdict(rows, _removed(rows, least, share), lost).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_words", "kept")
+    return _verdict(rows, _removed(rows, least, share), lost).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
 
 
 def clean(docs: DataFrame, host: str | None = "source", least: int = LEAST_DOCUMENTS, share: float = SHARE, lost: float = MOST_LOST) -> DataFrame:

@@ -160,13 +160,12 @@ def _anchors(buckets: int):
         h, least, most = h[first], d[first], d[last]
         bucket = (h % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        # A row for each bucket that the chunk has an anchor of: never more rows than anchors, however many buckets there are.
+        present, cuts = np.unique(bucket[order], return_index=True)
         out: dict[str, list] = {k: [] for k in kinds}
-        for b in range(buckets):
-            part = order[cuts[b] : cuts[b + 1]]
-            if len(part):
-                for k, v in zip(kinds, (b, table["chunk"][0].as_py(), h[part].tobytes(), least[part].tobytes(), most[part].tobytes()), strict=True):
-                    out[k].append(v)
+        for b, part in zip(present.tolist(), np.split(order, cuts[1:]) if len(order) else [], strict=True):
+            for k, v in zip(kinds, (b, table["chunk"][0].as_py(), h[part].tobytes(), least[part].tobytes(), most[part].tobytes()), strict=True):
+                out[k].append(v)
         return _packed(out, kinds)
 
     return run

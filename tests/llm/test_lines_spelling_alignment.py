@@ -65,14 +65,14 @@ def test_line_rules(spark, least, share):
     for d, t, h in rows:
         m = measures(t)
         lost = sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in (t or "").split("\n") if (h or "", normal(x)) in gone)
-        want.append((d, *m, lost, not m[-1] and lost <= 0.5 * m[0]))
+        want.append((d, *m, not m[-1] and lost <= 0.5 * m[0], lost))
     df = made(spark, rows)
     got = line_rules.judge(df, least=least, share=share)
     key = lambda r: (r[0] is not None, *r)
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
     cleaned = line_rules.clean(df, least=least, share=share)
     assert cleaned.columns == df.columns
-    left = [(d, "\n".join(x for x in t.split("\n") if (h or "", normal(x)) not in gone)) for (d, t, h), w in zip(rows, want, strict=True) if w[-1]]
+    left = [(d, "\n".join(x for x in t.split("\n") if (h or "", normal(x)) not in gone)) for (d, t, h), w in zip(rows, want, strict=True) if w[-2]]
     assert sorted(((r["doc_id"], r["text"]) for r in cleaned.collect()), key=key) == sorted(left, key=key)
     assert line_rules.judge(df.limit(0)).count() == 0 and line_rules.clean(df.limit(0)).count() == 0
     assert line_rules.judge(df.drop("source"), host=None).count() == len(rows)
