@@ -50,8 +50,8 @@ def hits(asked: DataFrame, cache: DataFrame, by: str) -> DataFrame:
     return found.select(by, "hits", (F.col("_n") - F.col("hits")).alias("misses"))
 
 
-def append(cache: DataFrame | None, found: DataFrame, attempt: int) -> DataFrame:
-    """The cache (k, a, why, attempt) with the answers of an attempt; a question that was refused may be asked again."""
+def with_attempt(cache: DataFrame | None, found: DataFrame, attempt: int) -> DataFrame:
+    """The rows of a cache (k, a, why, attempt) and those of one more attempt; ``rewrite_cache`` keeps them in files."""
     new = found.select("k", "a", "why", F.lit(attempt).alias("attempt"))
     return new if cache is None else cache.select("k", "a", "why", "attempt").unionByName(new)
 

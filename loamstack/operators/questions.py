@@ -91,7 +91,7 @@ def parse_array(text: Column) -> Column:
 
 
 def merged(seed: DataFrame, bank: DataFrame) -> DataFrame:
-    """task, question, ord: seed questions first, then those of the bank for known tasks, each text once."""
+    """task, question, ord: seed questions first, then those of the bank for known tasks, each text once. Banks are configuration: a task's questions are ordered in one window."""
     both = seed.select("task", "question", F.lit(0).alias("part"), "ord").unionByName(bank.join(seed.select("task").distinct(), "task", "left_semi").select("task", "question", F.lit(1).alias("part"), "ord"))
     first = both.groupBy("task", "question").agg(F.min(F.struct("part", "ord")).alias("p"))
     return first.select("task", "question", F.row_number().over(W.partitionBy("task").orderBy("p", "question")).alias("ord"))

@@ -247,7 +247,7 @@ def test_cache_of_several_attempts(spark):
 
     first = spark.createDataFrame([("k1", None, "empty"), ("k2", "good", None)], "k string, a string, why string")
     second = spark.createDataFrame([("k1", "later", None), ("k2", None, "facts_changed"), ("k3", None, "empty")], "k string, a string, why string")
-    cache = enrich.append(enrich.append(None, first, 1), second, 2)
+    cache = enrich.with_attempt(enrich.with_attempt(None, first, 1), second, 2)
     assert {r["k"]: (r["a"], r["why"]) for r in enrich.latest(cache).collect()} == {"k1": ("later", None), "k2": ("good", None), "k3": (None, "empty")}
 
 
