@@ -194,10 +194,10 @@ def components_udf(width: int):
     return run
 
 
-def mask_boxes_udf():
+def mask_boxes_udf(background: tuple[int, ...] = (0,)):
     @F.pandas_udf("array<struct<cls:int,area:long,x0:int,y0:int,x1:int,y1:int>>")
     def mask_boxes(content: pd.Series) -> pd.Series:
-        """The components of every class of a mask, class 0 is background; null if the mask can't be read."""
+        """The components of every class of a mask but the background; null if the mask can't be read."""
         out = []
         for c in content:
             pixels = decode(bytes(c)) if c is not None else None
@@ -205,7 +205,7 @@ def mask_boxes_udf():
                 out.append(None)
                 continue
             index = class_indices(pixels)
-            out.append([dict(zip(("cls", "area", "x0", "y0", "x1", "y1"), (int(k), *b), strict=True)) for k in np.unique(index) if k for b in components(index == k)])
+            out.append([dict(zip(("cls", "area", "x0", "y0", "x1", "y1"), (int(k), *b), strict=True)) for k in np.unique(index) if int(k) not in background for b in components(index == k)])
         return pd.Series(out)
 
     return mask_boxes

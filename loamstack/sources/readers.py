@@ -1,6 +1,8 @@
 """Readers of annotated image sources. Each gives rows of one schema:
 
-image_path, category, split, width, height, label, defects array<struct<raw,type,bbox,area_ratio,severity,region>>
+image_path, category, split, width, height, label, defects array<struct<raw,type,bbox,area_ratio,severity,region,grade>>
+
+A defect of corrosion whose raw name is a grade has that grade and its severity.
 
 An image whose size cannot be read is dropped. Boxes come first, then the components of a mask, then a defect without
 a box for a source that has only image labels.
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from loamstack.functions import geometry as G
 from loamstack.operators import imaging
 from loamstack.operators.split import rank_first
-from loamstack.operators.taxonomy import defect_dim, map_defects
+from loamstack.operators.taxonomy import GRADES, defect_dim, map_defects
 from loamstack.sources import json_array, profile
 
 #: Masks whose pixels are read.
@@ -42,17 +44,26 @@ def sized(df: DataFrame) -> DataFrame:
 
 
 def assemble(images: DataFrame, found: DataFrame) -> DataFrame:
-    """``images`` (image_path, category, split, width, height, is_normal) with ``found`` (image_path, ord, raw, box array<double>; a null box is image-level)."""
+    """``images`` (image_path, category, split, width, height, is_normal) with ``found`` (image_path, ord, raw, box array<double>; a null box is image-level).
+
+    A column ``as_type`` names the type of defects whose raw names are its grades.
+    """
     spark = images.sparkSession
-    mapped = found.join(map_defects(found, "raw"), "raw").join(F.broadcast(defect_dim(spark).select("type", "severity", "area_scales")), "type")
+    named = found.join(map_defects(found, "raw"), "raw")
+    if "as_type" in found.columns:
+        named = named.withColumn("type", F.coalesce("as_type", "type"))
+    mapped = named.join(F.broadcast(defect_dim(spark).select("type", "severity", "area_scales")), "type")
     wide = mapped.join(images.select("image_path", "width", "height"), "image_path")
     box = F.transform("box", lambda v: v.cast("int"))
+    grade = F.when((F.col("type") == "corrosion") & F.col("raw").isin(*[g[0] for g in GRADES]), F.col("raw"))
+    graded = F.try_element_at(F.create_map(*[F.lit(x) for g in GRADES for x in (g[0], g[2])]), grade)
     ratio = F.round(G.area_ratio(F.col("box"), F.col("width"), F.col("height")), 6)
     one = F.struct("ord", "raw", "type", box.alias("bbox"), F.when(F.col("box").isNotNull(), ratio).otherwise(0.0).alias("area_ratio"),
-                   F.when(F.col("area_scales") & F.col("box").isNotNull(), G.severity_from_area(F.col("severity"), ratio)).otherwise(F.col("severity")).alias("severity"), G.region_word(F.col("box"), F.col("width"), F.col("height")).alias("region"))
+                   F.when(graded.isNotNull(), graded).when(F.col("area_scales") & F.col("box").isNotNull(), G.severity_from_area(F.col("severity"), ratio)).otherwise(F.col("severity")).alias("severity"), G.region_word(F.col("box"), F.col("width"), F.col("height")).alias("region"),
+                   grade.alias("grade"))
     defects = wide.select("image_path", one.alias("d")).groupBy("image_path").agg(F.array_sort(F.collect_list("d")).alias("_d"))
-    plain = lambda d: F.struct(d["raw"].alias("raw"), d["type"].alias("type"), d["bbox"].alias("bbox"), d["area_ratio"].alias("area_ratio"), d["severity"].alias("severity"), d["region"].alias("region"))
-    empty = F.array().cast("array<struct<raw:string,type:string,bbox:array<int>,area_ratio:double,severity:string,region:string>>")
+    plain = lambda d: F.struct(d["raw"].alias("raw"), d["type"].alias("type"), d["bbox"].alias("bbox"), d["area_ratio"].alias("area_ratio"), d["severity"].alias("severity"), d["region"].alias("region"), d["grade"].alias("grade"))
+    empty = F.array().cast("array<struct<raw:string,type:string,bbox:array<int>,area_ratio:double,severity:string,region:string,grade:string>>")
     joined = images.join(defects, "image_path", "left").withColumn("defects", F.coalesce(F.transform("_d", plain), empty))
     return joined.withColumn("label", F.when(F.size("defects") > 0, "anomalous").otherwise("normal")).select("image_path", "category", "split", "width", "height", "label", "defects")
 
@@ -223,14 +234,17 @@ def directories(spark: SparkSession, root: str, names: dict[str, str] | None = N
     return assemble(images.drop("kind", "stem"), _boxed(bad))
 
 
-def masks(spark: SparkSession, root: str, class_map: dict[int, str], images: str = "images", labels: str = "masks") -> DataFrame:
-    """<images>/<stem> with <labels>/<stem>.png whose values are classes; a class without a name becomes class_<value>."""
+def masks(spark: SparkSession, root: str, class_map: dict[int, str], images: str = "images", labels: str = "masks", background: tuple[int, ...] = (0,), grade_type: str | None = None) -> DataFrame:
+    """<images>/<stem> with <labels>/<stem>.png whose values are classes; a class without a name becomes class_<value>, those in ``background`` are no defects.
+
+    With ``grade_type`` the names are grades of that type: "good" is one of corrosion then, and not the name of what is no defect.
+    """
     found = sized(files(spark, root)).filter(F.col("path").startswith(images + "/")).select(F.col("path").alias("image_path"), F.lit(None).cast("string").alias("category"), F.lit(None).cast("string").alias("split"), "width", "height", _stem(F.col("path")).alias("stem"))
-    boxes = imaging.mask_boxes_udf()(F.col("content"))
+    boxes = imaging.mask_boxes_udf(background)(F.col("content"))
     comps = files(spark, root, MASKS).filter(F.col("path").startswith(labels + "/")).select(_stem(F.col("path")).alias("stem"), F.posexplode(boxes).alias("ord", "c"))
     name = F.try_element_at(F.create_map(*[F.lit(x) for kv in (class_map or {-1: ""}).items() for x in kv]), F.col("c.cls"))
     defects = found.join(comps, "stem").select("image_path", "ord", F.coalesce(name, F.concat(F.lit("class_"), F.col("c.cls").cast("string"))).alias("raw"), F.array(*[F.col("c")[k].cast("double") for k in ("x0", "y0", "x1", "y1")]).alias("box"))
-    return assemble(found.drop("stem"), defects)
+    return assemble(found.drop("stem"), defects.withColumn("as_type", F.lit(grade_type)) if grade_type else defects)
 
 
 def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:

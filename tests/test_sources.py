@@ -70,7 +70,13 @@ def test_yolo_and_masks(spark, tmp_path):
     png(tmp_path / "m/images/a.png", np.zeros((64, 64)))
     png(tmp_path / "m/masks/a.png", blob(2))
     row = readers.read(spark, "masks", root=str(tmp_path / "m"), class_map={2: "fair"}).first()
-    assert [(d["raw"], d["type"], d["bbox"]) for d in row["defects"]] == [("fair", "corrosion", [20, 10, 40, 30])]
+    assert [(d["raw"], d["type"], d["bbox"], d["grade"], d["severity"]) for d in row["defects"]] == [("fair", "corrosion", [20, 10, 40, 30], "fair", "major")]
+    m = blob(4)
+    m[50:60, 50:60] = 7
+    png(tmp_path / "g/images/a.png", np.zeros((64, 64)))
+    png(tmp_path / "g/masks/a.png", m)
+    row = readers.read(spark, "masks", root=str(tmp_path / "g"), class_map={4: "severe", 0: "good"}, background=(7,), grade_type="corrosion").first()
+    assert {(d["grade"], d["severity"], tuple(d["bbox"])) for d in row["defects"]} == {("severe", "critical", (20, 10, 40, 30)), ("good", "minor", (0, 0, 64, 64))}
 
 
 @pytest.mark.parametrize("shape", ["split", "list", "other"])
