@@ -12,7 +12,7 @@ import os
 import re
 from collections.abc import Callable
 from functools import cache
-from itertools import accumulate, chain, pairwise
+from itertools import accumulate, chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ _ODD = re.compile("[^\x00-įı-˿]")
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 L, N, O, S = range(4)
 #: Words that a worker remembers, those that it learns at a time, and characters that it cuts at a time.
-CACHE_WORDS, LEARN_WORDS, CHUNK_CHARS = 120_000, 10_000, 1_000_000
+CACHE_WORDS, LEARN_WORDS, CHUNK_CHARS = 200_000, 10_000, 1_000_000
 
 
 @cache
@@ -152,6 +152,29 @@ class CachedEncoder:
         self.known: dict[bytes, int] = {}
         self.ids, self.used = np.zeros(1 << 16, np.uint16), 0
         self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.hits = np.zeros(1 << 14, np.int32)
+
+    def _shrink(self) -> None:
+        """Forget all words but those that came in several chunks, the commonest half of the cache at most."""
+        n = len(self.known)
+        hits = self.hits[:n]
+        least = max(2, int(np.partition(hits, n - CACHE_WORDS // 2)[n - CACHE_WORDS // 2]) + 1 if n > CACHE_WORDS // 2 else 2)
+        keep = np.flatnonzero(hits >= least)
+        words, start, size, ids = list(self.known), self.start[keep], self.size[keep], self.ids
+        self._clear()
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        self._room(len(keep), total)
+        self.ids[:total] = ids[np.repeat(start - ends + size, size) + np.arange(total)]
+        self.start[: len(keep)], self.size[: len(keep)], self.hits[: len(keep)] = ends - size, size, 1
+        self.known = {words[k]: i for i, k in enumerate(keep.tolist())}
+        self.used = total
+
+    def _room(self, words: int, ids: int) -> None:
+        while ids > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while words > len(self.start):
+            self.start, self.size, self.hits = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size, self.hits))
 
     def _learn(self, all_words: list[bytes]) -> None:
         for at in range(0, len(all_words), LEARN_WORDS):
@@ -164,31 +187,42 @@ class CachedEncoder:
         found = [[t.id for t in encode(signs[a:b])] for a, b in pairwise(ends)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         total = int(sizes.sum())
-        while self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(words) > len(self.start):
-            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+        self._room(n + len(words), self.used + total)
         self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint16, total)
         self.size[n : n + len(words)] = sizes
         self.start[n : n + len(words)] = self.used + np.cumsum(sizes) - sizes
         self.known.update(zip(words, range(n, n + len(words)), strict=True))
         self.used += total
 
+    def _places(self, values: list[bytes]) -> np.ndarray:
+        """Where each of the distinct words stands in the cache, which learns those that it lacks."""
+        at = np.fromiter(map(self.known.get, values, repeat(-1)), np.int64, len(values))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            if len(self.known) + len(new) > CACHE_WORDS and self.known:
+                self._shrink()
+                at = np.fromiter(map(self.known.get, values, repeat(-1)), np.int64, len(values))
+                new = np.flatnonzero(at < 0)
+            # Learnt words take the next places in turn.
+            at[new] = len(self.known) + np.arange(len(new))
+            self._learn([values[i] for i in new.tolist()])
+        self.hits[at] += 1
+        return at
+
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         words = Words(texts, self.level, self.lower)
-        values = words.values.to_pylist()
-        missing = [w for w in values if w not in self.known]
-        if len(self.known) + len(missing) > CACHE_WORDS and self.known:
-            self._clear()
-            missing = values
-        self._learn(missing)
-        at = np.fromiter(map(self.known.__getitem__, values), np.int64, len(values))
-        size = self.size[at][words.codes]
+        at = self._places(words.values.to_pylist())
+        start, size = self.start[at], self.size[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.start[at][words.codes] - ends + size, size) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(words.counts)])]
-        return ids, np.diff(bounds)
+        # The ids of each distinct word once, as strings of bytes, which are then dealt out as such.
+        own = self.ids[np.repeat(start - ends + size, size) + np.arange(total)]
+        if len(words.codes) == 0:
+            return own[:0], words.counts
+        dealt = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((2 * np.append(0, ends)).astype(np.int32)), pa.py_buffer(own.tobytes())]).take(pa.array(words.codes))
+        bounds = np.frombuffer(dealt.buffers()[1], np.int32, len(words.codes) + 1) // 2
+        ids = np.frombuffer(dealt.buffers()[2], np.uint16, int(bounds[-1]))
+        return ids, np.diff(bounds[np.concatenate([[0], np.cumsum(words.counts)])]).astype(np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint16) one text after the other, and how many each text has."""

@@ -14,6 +14,7 @@ a null doc_id comes first; an empty table gives an empty store; other columns ar
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -22,12 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.pandas.types import to_arrow_type
 
 from loamstack.llm.pretokenize import encoder
 from loamstack.llm.store import materialise, new_path
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
+#: Ids of a shard, which one task writes.
+SHARD_TOKENS = 4 << 20
 BATCH_ROWS = 1000
 
 #: For each control byte the lengths of its four ids.
@@ -77,8 +81,12 @@ def _tokens(path: str, end_id: int, words: bool):
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << 16, np.int64)
     for b in batches:
-        for x in b.column(0):
-            total += np.bincount(np.frombuffer(x.as_buffer(), "<u2"), minlength=1 << 16)
+        ids = b.column(0)
+        if not len(ids):
+            continue
+        # All documents of the batch lie one after the other.
+        bounds = np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1, 4 * ids.offset)
+        total += np.bincount(np.frombuffer(ids.buffers()[2], "<u2", int(bounds[-1] - bounds[0]) // 2, int(bounds[0])), minlength=1 << 16)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["id", "n"])
 
@@ -124,10 +132,11 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID
         if doc_ids:
             yield row()
 
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    arrow = to_arrow_type(own.schema["doc_id"].dataType)
     types = [pa.int32(), pa.int32(), pa.list_(arrow), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.binary()]
     names = ["shard", "block", "doc_ids", "counts", "n_tokens", "control", "data"]
-    ordered = tokens.repartitionByRange("doc_id", "n_tokens").sortWithinPartitions("doc_id", "n_tokens")
+    total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
+    ordered = tokens.repartitionByRange(math.ceil(total / SHARD_TOKENS) or 1, "doc_id", "n_tokens").sortWithinPartitions("doc_id", "n_tokens")
     ordered.mapInArrow(blocks, _BLOCKS.format(kind)).write.parquet(f"{path}/blocks")
 
 
