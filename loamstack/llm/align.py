@@ -440,4 +440,5 @@ def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     judged = summed.withColumn("a", F.shiftright("pair", 16)).join(highest, "a").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
     totals = pairs.select("chunk", "pair").join(judged, "pair").select("chunk", "pair", "n", "best")
     whole = slices.unionByName(packs, allowMissingColumns=True).unionByName(totals, allowMissingColumns=True)
-    return whole.groupBy("chunk").applyInArrow(_compose(arrow), f"doc_id {kind.simpleString()}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
+    # As many tasks as the corpus needs, not as the session has by default.
+    return whole.repartition(buckets, "chunk").groupBy("chunk").applyInArrow(_compose(arrow), f"doc_id {kind.simpleString()}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
