@@ -166,6 +166,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(b.columns[:3] + columns, names=["row", "doc_id", "key", "digest", "has_words", "signature", "bands"])
 
 
+def _counts(n: np.ndarray) -> bytes:
+    """Counts in 32 bits each; nothing if all are 1, as in most texts."""
+    return n.astype("<u4").tobytes() if (n != 1).any() else b""
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted shingles of each text and their counts, once with 54 bits and once with 32."""
     for b, texts in _chunks(batches):
@@ -175,23 +180,22 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x, y in pairwise(bounds):
             own, n = keys[x:y] & np.uint64((1 << 54) - 1), counts[x:y]
             thin, place = np.unique(own.astype(np.uint32), return_inverse=True)
-            rows.append((own.tobytes(), n.astype("<u4").tobytes(), thin.tobytes(), np.bincount(place, n, len(thin)).astype("<u4").tobytes()))
+            rows.append((own.tobytes(), _counts(n), thin.tobytes(), _counts(np.bincount(place, n, len(thin)))))
         columns = [pa.array(c, pa.binary()) for c in zip(*rows, strict=True)]
         yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["node", "shingles", "counts", "thin", "thin_counts"])
 
 
 def probability_jaccard(a: bytes, n: bytes, b: bytes, m: bytes, kind: type = np.uint64) -> float:
-    """Of two sorted sets of numbers with counts (32 bits each) at the weights 1 + ln(count)."""
+    """Of two sorted sets of numbers with counts (see ``_counts``) at the weights 1 + ln(count)."""
     x, y = np.frombuffer(a, kind), np.frombuffer(b, kind)
     if not len(x) or not len(y):
         return float(len(x) == len(y))
     at = np.minimum(np.searchsorted(y, x), len(y) - 1)
     common = y[at] == x
-    n, m = np.frombuffer(n, "<u4"), np.frombuffer(m, "<u4")
-    if (n == 1).all() and (m == 1).all():
+    if not len(n) and not len(m):
         both = int(common.sum())
         return both / (len(x) + len(y) - both)
-    wx, wy = 1 + np.log(n), 1 + np.log(m)
+    wx, wy = (1 + np.log(np.frombuffer(c, "<u4")) if len(c) else np.ones(len(z)) for c, z in ((n, x), (m, y)))
     own, other = wx[common], wy[at[common]]
     # In the order of y / x the larger quotient is x's up to i and y's beyond; shingles of one side stand at the ends.
     order = np.argsort(other / own, kind="stable")
