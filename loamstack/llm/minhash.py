@@ -154,16 +154,17 @@ def _digest(text: str) -> bytes:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    fold = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
     for b, texts in _chunks(batches):
         keys, counts = shingle_keys(texts)
         sig = prob_min_hash(keys, counts, len(texts))
-        bands = np.repeat(fold[None], len(texts), 0)
-        for r in range(ROWS):
-            bands = mixed(bands * np.uint64(0xD6E8FEB86659FD93) + sig[:, r::ROWS])
-        rows = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel().view(np.int64)))
-        columns = [pa.array(list(map(_digest, texts)), pa.binary()), pa.array([t != "" for t in texts]), pa.array([x.tobytes() for x in sig], pa.binary()), rows]
-        yield pa.RecordBatch.from_arrays(b.columns[:3] + columns, names=["row", "doc_id", "key", "digest", "has_words", "signature", "bands"])
+        columns = [pa.array(list(map(_digest, texts)), pa.binary()), pa.array([t != "" for t in texts]), pa.array([x.tobytes() for x in sig], pa.binary())]
+        yield pa.RecordBatch.from_arrays(b.columns[:3] + columns, names=["row", "doc_id", "key", "digest", "has_words", "signature"])
+
+
+def _bands(signature: Column) -> Column:
+    """The bucket of each band: a hash of its ``ROWS`` registers, which stand together (32 bits each)."""
+    size = 4 * ROWS
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(F.substring(signature, k * size + 1, F.lit(size))))
 
 
 def _counts(n: np.ndarray) -> bytes:
@@ -278,12 +279,12 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
     kind = own.schema["doc_id"].dataType.simpleString()
     # Written at once, so that the numbers of rows stay what they are.
     rows = materialise(own.select(F.monotonically_increasing_id().alias("row"), "doc_id", "key", "text").mapInArrow(
-        _sketch, f"row long, doc_id {kind}, key binary, digest binary, has_words boolean, signature binary, bands array<long>"), "signatures")
+        _sketch, f"row long, doc_id {kind}, key binary, digest binary, has_words boolean, signature binary"), "signatures")
     # A node is the least row of those with the same words. Few digests have several rows; the join with those can be split.
     copied = materialise(rows.groupBy("digest").agg(F.min("row").alias("node"), F.count("*").alias("n")).filter("n > 1").select("digest", "node"), "copied")
     placed = lambda *columns: rows.select("row", "digest", *columns).join(copied.hint("merge"), "digest", "left").withColumn("node", F.coalesce("node", "row"))
-    nodes = materialise(placed("doc_id", "key", "has_words", "signature", "bands").filter("has_words and row = node").select("node", "doc_id", "key", "signature", "bands"), "nodes")
-    members = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    nodes = materialise(placed("doc_id", "key", "has_words", "signature").filter("has_words and row = node").select("node", "doc_id", "key", "signature"), "nodes")
+    members = nodes.select("node", F.posexplode(_bands(F.col("signature"))).alias("band", "bucket"))
     buckets = members.groupBy("band", "bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
     # Only nodes that share a bucket go on.
     shared = materialise(members.join(buckets, ["band", "bucket"]), "buckets")
