@@ -46,9 +46,9 @@ from loamstack.llm.pretokenize import byte_signs
 from loamstack.llm.store import MOST_BUCKETS, bucketed, materialise, small_batches
 
 #: Characters of a chunk and of the slices in which it is cut and composed; segments that are aligned at a time.
-CHUNK_CHARS, SLICE_CHARS, ALIGN_ROWS = 32_000_000, 1_000_000, 20_000
+CHUNK_CHARS, SLICE_CHARS, ALIGN_ROWS = 16_000_000, 500_000, 20_000
 #: Sorted rows of segments that are packed by chunk at a time, and bytes of segments for each task of them.
-PACK_ROWS, TASK_BYTES = 300_000, 4_000_000
+PACK_ROWS, TASK_BYTES = 200_000, 4_000_000
 #: Segments whose groups are written at a time.
 TEXT_CODES = 50_000
 #: A pair of a path: A id in the upper 16 bits, B id in the lower ones; its new sides.
