@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamstack.functions import constants, geometry
-from loamstack.operators import generate
+from loamstack.operators import generate, quality, split
 from loamstack.plans import registry
 
 DATA = "/root/testdata/sf0.001"
@@ -54,3 +54,31 @@ def test_constants_keep_quotes_and_backslashes(spark):
 
 def test_tries_for_a_clean_box_are_all_sixty():
     assert [i for a, b in generate.TRIES for i in range(a, b + 1)] == list(range(60))
+
+
+def test_passing_rows_are_those_without_codes_and_each_answer_is_parsed_once(spark):
+    answers = ['[]', '[{"bbox_2d": [1, 2, 3, 4], "label": "x"}]', '[{"bbox_2d": [3, 2, 1, 4]}]', '[{"bbox_2d": [1, 2, 3]}]', '[{}]', '[1', "共 1 处。\n[]", "共 0 处。\n[]", "存在缺陷。", "没有发现异常。", "无法确认，建议补拍。", "位于位于左侧", "{obj} 未见异常。", "A. 裂纹", "", None]
+    tasks = {"grounding_single": "json_only", "grounding_negative": "json_only", "counting": "text_then_json", "discrimination": "text", "uncertainty": "text", "classification_mc": "text", "multi_turn": "dialog", None: None}
+    rows = [(t, f, a, q, n, yes, None if n is None else [(q, a), ("q", answers[n])][:n % 3]) for t, f in tasks.items() for a in answers for q in ("q", "位于位于", None) for n, yes in ((1, "yes"), (2, "no"), (5, None), (None, "yes"))]
+    kind = "task string, output_format string, answer string, question string, n int, yes_no string, turns array<struct<question:string,answer:string>>"
+    df = spark.createDataFrame(rows, kind).selectExpr("*", "if(n = 1, 'A', 'G') AS answer_letter", "if(n = 2, array('a', 'a'), array('a')) AS options", "if(n = 5, 'blur', null) AS degradation", "'S' AS system", "'anomalous' AS image_status")
+    for systems in (None, {"text": "S", "dialog": "T"}):
+        want = quality.with_errors(df, systems).filter(F.size("errors") == 0).drop("errors")
+        got = quality.passing(df, systems)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and 0 < got.count() < len(rows)
+    assert plan(quality.passing(df)).count("regexp_extract(") <= 4
+
+
+def test_rare_copies_are_dropped_as_all_copies_are(spark):
+    rows = [(i % 5 or None, f"q{i % 7}", f"{i:03}", i) for i in range(60)] + [(9, "alone", "x", 1), (None, None, "y", 2), (None, None, "b", 3)]
+    df = spark.createDataFrame(rows, "a int, q string, id string, n int")
+    got, want = (f(df, ["a", "q"], ["id"]) for f in (split.dedup_rare, split.dedup_first))
+    assert got.columns == df.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_what_a_degraded_picture_is_asked_about_is_drawn_once(spark):
+    boxes = "array<struct<type:string,zh:string,bbox:array<int>,area_ratio:double,severity:string,region:string,grade:string>>"
+    kind = f"sample_id long, image string, width int, height int, dataset string, category string, degradation string, object string, object_zh string, role string, ctx string, defects {boxes}, label string"
+    row = (1, "i", 640, 480, "d", "c", "blur", "bolt", "螺栓", "fastener", "x", [], "normal")
+    made = generate.records(spark.createDataFrame([row], kind), references=False)
+    assert plan(made).count("doubt,") == 1 and made.count() == generate.ASKED_IF_DEGRADED
