@@ -82,3 +82,10 @@ def test_what_a_degraded_picture_is_asked_about_is_drawn_once(spark):
     row = (1, "i", 640, 480, "d", "c", "blur", "bolt", "螺栓", "fastener", "x", [], "normal")
     made = generate.records(spark.createDataFrame([row], kind), references=False)
     assert plan(made).count("doubt,") == 1 and made.count() == generate.ASKED_IF_DEGRADED
+
+
+def test_records_are_made_in_more_tasks_than_cores(spark):
+    rows = [(i, "d", "c", f"i{i}", "normal") for i in range(9)]
+    found = generate.with_references(spark.createDataFrame(rows, "sample_id long, dataset string, category string, image string, label string"))
+    assert found.filter("reference <> image").count() == 9
+    assert "RepartitionByExpression [sample_id#" in plan(found) and generate._tasks(found) >= 4 * spark.sparkContext.defaultParallelism
