@@ -12,8 +12,9 @@ part. Of the others:
 2. Around the anchors that several documents have, the contexts (the bytes of all windows of the anchor, at most
    2 * LENGTH - GRAM) are gathered by anchor. Of equal contexts of a chunk one goes, with the least and largest doc_id;
    where they stand stays with the chunk, so a line of a third of all documents sends a row for each chunk only.
-3. Contexts of one anchor that are all equal need no sorting. The others, some anchors at a time, are put into shards; each shard gets its
-   Burrows-Wheeler transform, and the transforms are merged by iterative interleave refinement: round h turns the order of
+3. Contexts of one anchor that are all equal need no sorting, nor do the ends of a context whose windows have hashes of their
+   own. What is left, some anchors at a time, is put into shards; each shard gets its Burrows-Wheeler transform, and the
+   transforms are merged by iterative interleave refinement: round h turns the order of
    the shards' suffixes by h bytes into that by h + 2 bytes from the transforms (of letter pairs) alone, and a boundary
    that first appears in a round is a common prefix of as many bytes. After LENGTH bytes the intervals between boundaries are
    the repeated strings; the least doc_id of each tells which occurrences go.
@@ -39,10 +40,11 @@ from pyspark.sql import functions as F
 from loamstack.llm.store import MOST_BUCKETS, bucketed, materialise, small_batches
 
 LENGTH = 50
-GRAM = 16
-CHUNK_BYTES = 2_000_000
+#: So long that grams rarely meet by chance: at 16 bytes the contexts of chance meetings grew faster than the corpus.
+GRAM = 24
+CHUNK_BYTES = 4_000_000
 BLOCK = 1 << 15
-BUCKET_ANCHORS = 500_000
+BUCKET_ANCHORS = 1_000_000
 SHARDS = 8
 #: Bytes of whole anchors' contexts whose transforms are merged at a time, so that a merge stays in a processor's cache.
 MERGE_BYTES = 1 << 17
@@ -50,6 +52,20 @@ LAST = (1 << 63) - 1
 _GAP = 0xFF  # in no UTF-8 text
 
 
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of every string of ``gram`` bytes: those of 1, 2, 4... bytes by doubling, put together by the gram's binary digits."""
+    part, h, done, step = data.astype(np.uint64) + np.uint64(1), None, 0, 1
+    while True:
+        power = np.uint64(pow(0x9E3779B97F4A7C15, step, 1 << 64))
+        if gram & step:
+            h = part if h is None else h[: len(part) - done] * power + part[done:]
+            done += step
+        if done == gram:
+            return h
+        part = part[:-step] * power + part[step:]
+        step *= 2
+
+
 class Chunk:
     """The texts of a chunk one after the other, with the anchor of every window. Copies are left out."""
 
@@ -68,37 +84,32 @@ class Chunk:
         self.hash = np.zeros(0, np.uint64)
         if n < length:
             return
-        anchor, least = self._anchors(length, gram)
-        valid = np.zeros(n + 1, np.int8)
+        place, hashes = self._anchors(length, gram)
+        edge = np.zeros(n + 1, np.int8)
         long = size >= length
-        np.add.at(valid, self.begins[long], 1)
-        np.add.at(valid, self.ends[long] - length + 1, -1)
-        window = np.flatnonzero(np.cumsum(valid[:n]) > 0)
-        anchor = anchor[window]
-        new = np.ones(len(window), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1)
-        first = np.flatnonzero(new)
-        if not len(first):
-            return
-        self.at, self.low = anchor[first].astype(np.int64), window[first]
-        self.high = window[np.append(first[1:], len(window)) - 1]
-        self.hash = least[self.low]
+        np.add.at(edge, self.begins[long], 1)
+        np.add.at(edge, self.ends[long] - length + 1, -1)
+        inside = np.cumsum(edge[:n], dtype=np.int8) > 0
+        place[~inside] = -1
+        # Runs of windows with one anchor: between texts there are places without a window.
+        turn = np.flatnonzero(place[1:] != place[:-1])
+        first, last = np.append(0, turn + 1), np.append(turn, n - 1)
+        own_runs = place[first] >= 0
+        self.low, self.high = first[own_runs], last[own_runs]
+        self.at = place[self.low].astype(np.int64)
+        self.hash = hashes[self.at]
         self.owner = np.searchsorted(self.ends, self.low, "right")
 
     def _anchors(self, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each window the place of its anchor and the anchor's hash, in blocks that fit a processor's cache.
+        """For each window the place of its anchor (-1: none), and the hash of each gram, in blocks that fit a processor's cache.
 
         Grams are compared by the upper bits of their hashes, then by place (the leftmost of equals), both in one number.
         """
-        n, width, base = len(self.data), length - gram + 1, 0x9E3779B97F4A7C15
-        place, least = np.zeros(n, np.int32), np.zeros(n, np.uint64)
+        n, width = len(self.data), length - gram + 1
+        place, hashes = np.full(n, -1, np.int32), np.zeros(n, np.uint64)
         low_bits = np.uint64((1 << (BLOCK + length).bit_length()) - 1)
         for s in range(0, n - length + 1, BLOCK):
-            h = self.data[s : s + BLOCK + length - 1].astype(np.uint64) + np.uint64(1)
-            step = 1
-            while step < gram:
-                h = h[:-step] * np.uint64(pow(base, step, 1 << 64)) + h[step:]
-                step *= 2
+            h = gram_hashes(self.data[s : s + BLOCK + length - 1], gram)
             h ^= h >> np.uint64(29)
             h *= np.uint64(0xBF58476D1CE4E5B9)
             h ^= h >> np.uint64(32)
@@ -110,8 +121,8 @@ class Chunk:
                 key = np.minimum(key[:-d], key[d:])
                 have += d
             at = (key & low_bits).astype(np.int64)
-            place[s : s + len(at)], least[s : s + len(at)] = at + s, h[at]
-        return place, least
+            place[s : s + len(at)], hashes[s : s + len(h)] = at + s, h
+        return place, hashes
 
 
 def _packed(columns: dict[str, list], kinds: dict[str, pa.DataType]) -> pa.Table:
@@ -147,7 +158,7 @@ def _pack_copies(table: pa.Table) -> pa.Table:
 
 
 def _anchors(buckets: int):
-    kinds = {"bucket": pa.int32(), "chunk": pa.int32(), "hashes": pa.binary(), "least": pa.binary(), "most": pa.binary()}
+    kinds = {"bucket": pa.int32(), "chunk": pa.int32(), "hashes": pa.binary(), "least": pa.binary(), "several": pa.binary()}
 
     def run(table: pa.Table, side: pa.Table) -> pa.Table:
         if not table.num_rows:
@@ -157,14 +168,14 @@ def _anchors(buckets: int):
         h, d = c.hash[order], c.ids[c.owner][order]
         first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
         last = np.append(first[1:], len(h))[: len(first)] - 1
-        h, least, most = h[first], d[first], d[last]
+        h, least, several = h[first], d[first], d[first] < d[last]
         bucket = (h % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         # A row for each bucket that the chunk has an anchor of: never more rows than anchors, however many buckets there are.
         present, cuts = np.unique(bucket[order], return_index=True)
         out: dict[str, list] = {k: [] for k in kinds}
         for b, part in zip(present.tolist(), np.split(order, cuts[1:]) if len(order) else [], strict=True):
-            for k, v in zip(kinds, (b, table["chunk"][0].as_py(), h[part].tobytes(), least[part].tobytes(), most[part].tobytes()), strict=True):
+            for k, v in zip(kinds, (b, table["chunk"][0].as_py(), h[part].tobytes(), least[part].tobytes(), np.flatnonzero(several[part]).astype("<u4").tobytes()), strict=True):
                 out[k].append(v)
         return _packed(out, kinds)
 
@@ -180,15 +191,17 @@ def _numbers(column: pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray
 def _repeated(table: pa.Table) -> pa.Table:
     """For each chunk its anchors that lie in two documents or more."""
     h, row = _numbers(table["hashes"], "<u8")
-    least, most = _numbers(table["least"], "<i8")[0], _numbers(table["most"], "<i8")[0]
+    least, (marked, of) = _numbers(table["least"], "<i8")[0], _numbers(table["several"], "<u4")
+    cuts = np.searchsorted(row, np.arange(table.num_rows + 1))
+    in_chunk = np.zeros(len(h), bool)  # those that several documents of the chunk have
+    in_chunk[cuts[of] + marked] = True
     order = np.argsort(h, kind="stable")
     s = h[order]
     first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
-    several = np.minimum.reduceat(least[order], first) < np.maximum.reduceat(most[order], first)
+    several = (np.minimum.reduceat(least[order], first) < np.maximum.reduceat(least[order], first)) | np.logical_or.reduceat(in_chunk[order], first)
     keep = np.zeros(len(h), bool)
     keep[order] = np.repeat(several, np.diff(np.append(first, len(s))))
     chunks, out = table["chunk"].to_pylist(), {k: [] for k in _SIDE}
-    cuts = np.searchsorted(row, np.arange(len(chunks) + 1))
     for i, c in enumerate(chunks):
         mine = h[cuts[i] : cuts[i + 1]][keep[cuts[i] : cuts[i + 1]]]
         if len(mine):
@@ -196,8 +209,9 @@ def _repeated(table: pa.Table) -> pa.Table:
     return _packed(out, _SIDE)
 
 
-_ENTRY = {"bucket": pa.int32(), "chunk": pa.int32(), "entry": pa.int32(), "hash": pa.int64(), "context": pa.binary(), "least": pa.int64(), "most": pa.int64(), **dict.fromkeys(("a", "b", "c", "d"), pa.binary())}
-_ENTRY_DDL = "bucket int, chunk int, entry int, hash long, context binary, least long, most long, a binary, b binary, c binary, d binary"
+#: A chunk's contexts of a bucket (entry numbers, hashes, least and largest ids, sizes, texts), or all its places (bucket -1).
+_ENTRY = {"bucket": pa.int32(), "chunk": pa.int32(), **dict.fromkeys(("a", "b", "c", "d", "sizes", "texts"), pa.binary())}
+_ENTRY_DDL = "bucket int, chunk int, a binary, b binary, c binary, d binary, sizes binary, texts binary"
 
 
 def _starts(code: np.ndarray) -> np.ndarray:
@@ -222,12 +236,21 @@ def _contexts(buckets: int, length: int = LENGTH):
         order = np.lexsort((ids, code))
         first, ids = _starts(code[order]), ids[order]
         stop, h = np.append(first[1:], len(order)), c.hash[hit][order][first]
-        none = pa.nulls(len(first), pa.binary())
-        own = pa.table([pa.array((h % np.uint64(buckets)).astype(np.int32)), pa.array(np.full(len(first), chunk, np.int32)), pa.array(np.arange(len(first), dtype=np.int32)), pa.array(h.view(np.int64)), texts.dictionary.take(pa.array(code[order][first])),
-                        pa.array(ids[first]), pa.array(ids[stop - 1]), none, none, none, none], names=list(_ENTRY))
+        out: dict[str, list] = {k: [] for k in _ENTRY}
+        bucket = (h % np.uint64(buckets)).astype(np.int64)
+        dealt = np.argsort(bucket, kind="stable")
+        own = texts.dictionary.take(pa.array(code[order][first][dealt]))
+        at, raw = np.frombuffer(own.buffers()[1], np.int32)[: len(own) + 1], memoryview(own.buffers()[2] or b"")
+        # A row for each bucket that the chunk has a context of, as with its anchors.
+        present, cuts = np.unique(bucket[dealt], return_index=True)
+        columns = [x.astype(t) for x, t in ((dealt, "<i8"), (h[dealt], "<u8"), (ids[first][dealt], "<i8"), (ids[stop - 1][dealt], "<i8"), (np.diff(at), "<u4"))]
+        for b, i, j in zip(present.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(own)], strict=True):
+            for k, v in zip(_ENTRY, (b, chunk, *(x[i:j].tobytes() for x in columns), raw[at[i] : at[j]].tobytes()), strict=True):
+                out[k].append(v)
         places = (stop - first, ids, c.rows[owner][order], (start - c.begins[owner])[order])
-        kept = _packed({k: [v] for k, v in zip(_ENTRY, (-1, chunk, None, None, None, None, None, *(x.astype("<i8").tobytes() for x in places)), strict=True)}, _ENTRY)
-        return pa.concat_tables([own, kept])
+        for k, v in zip(_ENTRY, (-1, chunk, *(x.astype("<i8").tobytes() for x in places), None, None), strict=True):
+            out[k].append(v)
+        return _packed(out, _ENTRY)
 
     return run
 
@@ -306,31 +329,72 @@ def least_of_windows(contexts: list[bytes], least: np.ndarray, length: int = LEN
     return flat, begin
 
 
-def least_by_anchor(contexts: list[bytes], least: np.ndarray, anchor: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """``least_of_windows`` of contexts in the order of their anchors, some anchors at a time: a window has one anchor, so those of different anchors never meet."""
-    size = np.fromiter(map(len, contexts), np.int64, len(contexts)) + 1
-    begin = np.cumsum(size) - size
-    first = _starts(anchor)
-    cuts = np.append(first[_starts(begin[first] // MERGE_BYTES)], len(contexts)).tolist()
-    return np.concatenate([least_of_windows(contexts[a:b], least[a:b], length)[0] for a, b in pairwise(cuts)]), begin
-
-
 def _expand(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each row, ``count`` numbers from ``first``; and the row of each."""
     row = np.repeat(np.arange(len(count)), count)
     return first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count), row
 
 
+def _meeting(contexts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last window of each context that may stand elsewhere as well, by its hash; last < first if there is none. The others need no sorting."""
+    first, last = np.full(len(contexts), LAST), np.full(len(contexts), -1)
+    data = np.frombuffer(b"".join(contexts), np.uint8)
+    if len(data) < length:
+        return first, last
+    size = np.fromiter(map(len, contexts), np.int64, len(contexts))
+    begin = np.cumsum(size) - size
+    at, row = _expand(begin, np.maximum(size - length + 1, 0))
+    found = gram_hashes(data, length)[at]
+    order = np.argsort(found)
+    again = np.flatnonzero(found[order[1:]] == found[order[:-1]])
+    met = np.zeros(len(at), bool)
+    met[order[again]] = met[order[again + 1]] = True
+    at, row = at[met], row[met]
+    np.minimum.at(first, row, at - begin[row])
+    np.maximum.at(last, row, at - begin[row])
+    return first, last
+
+
+def _parts(size: np.ndarray, anchor: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of whole anchors with about ``MERGE_BYTES`` each."""
+    first, begin = _starts(anchor), np.cumsum(size) - size
+    return list(pairwise(np.append(first[_starts(begin[first] // MERGE_BYTES)], len(size)).tolist()))
+
+
+def least_by_anchor(contexts: list[bytes], least: np.ndarray, anchor: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """``least_of_windows`` of contexts in the order of their anchors, some anchors at a time: a window has one anchor, so those of different anchors never meet."""
+    size = np.fromiter(map(len, contexts), np.int64, len(contexts)) + 1
+    begin, flat = np.cumsum(size) - size, np.repeat(least, size)
+    met = [_meeting(contexts[a:b], length) for a, b in _parts(size, anchor)]
+    first, last = (np.concatenate(x) for x in zip(*met, strict=True))
+    some = np.flatnonzero(last >= first)
+    if not len(some):
+        return flat, begin
+    # What lies between those windows; the edges of a common passage come down to one text, whatever stands around it.
+    first, count = first[some], (last - first)[some] + 1
+    texts = pa.array([contexts[i][f : f + n + length - 1] for i, f, n in zip(some.tolist(), first.tolist(), count.tolist(), strict=True)], pa.binary()).dictionary_encode()
+    code, own = np.asarray(texts.indices), texts.dictionary.to_pylist()
+    lowest = np.full(len(own), LAST)
+    np.minimum.at(lowest, code, least[some])
+    size, of = np.fromiter(map(len, own), np.int64, len(own)) + 1, np.empty(len(own), anchor.dtype)
+    of[code] = anchor[some]
+    found = np.concatenate([least_of_windows(own[a:b], lowest[a:b], length)[0] for a, b in _parts(size, of)])
+    flat[_expand(begin[some] + first, count)[0]] = found[_expand((np.cumsum(size) - size)[code], count)[0]]
+    return flat, begin
+
+
 def _resolve(length: int = LENGTH):
     """For each chunk the windows of its contexts that start in a smaller document than the context's largest, as runs of one least id."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        texts = table["context"].combine_chunks().dictionary_encode()
+        (entries, row), hashes = _numbers(table["a"], "<i8"), _numbers(table["b"], "<u8")[0]
+        least, most = _numbers(table["c"], "<i8")[0], _numbers(table["d"], "<i8")[0]
+        ends, chunks = np.cumsum(_numbers(table["sizes"], "<u4")[0], dtype=np.int64), np.asarray(table["chunk"])[row]
+        texts = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(b"".join(table["texts"].to_pylist()))]).dictionary_encode()
         code, values = np.asarray(texts.indices), texts.dictionary
-        least, size = np.asarray(table["least"]), np.asarray(pc.binary_length(values)).astype(np.int64)
+        size = np.asarray(pc.binary_length(values)).astype(np.int64)
         # Contexts of each anchor: a group with one text is clear.
-        _, group = np.unique(np.asarray(table["hash"]), return_inverse=True)
+        _, group = np.unique(hashes, return_inverse=True)
         lowest, highest = np.full(group.max() + 1, len(values)), np.full(group.max() + 1, -1)
         np.minimum.at(lowest, group, code)
         np.maximum.at(highest, group, code)
@@ -355,14 +419,14 @@ def _resolve(length: int = LENGTH):
             runs[which] = np.bincount(row[cut], minlength=len(which))
             low, high, than = np.append(low, at[cut] - begin[row[cut]]), np.append(high, at[last] - begin[row[cut]]), np.append(than, flat[at[cut]])
         run_of, entry = _expand(first_run[code], runs[code])
-        useful = np.asarray(table["most"])[entry] > than[run_of]
+        useful = most[entry] > than[run_of]
         run_of, entry = run_of[useful], entry[useful]
-        chunk = np.asarray(table["chunk"])[entry]
+        chunk = chunks[entry]
         order = np.argsort(chunk, kind="stable")
-        run_of, entry, chunk = run_of[order], np.asarray(table["entry"])[entry[order]].astype("<i8"), chunk[order]
+        run_of, entry, chunk = run_of[order], entries[entry[order]], chunk[order]
         cut = _starts(chunk)
         out: dict[str, list] = {k: [] for k in _SIDE}
-        for a, b in zip(cut.tolist(), np.append(cut[1:], len(chunk)).tolist(), strict=True):
+        for a, b in pairwise([*cut.tolist(), len(chunk)]):
             _add(out, int(chunk[a]), FOUND, entry[a:b], low[run_of[a:b]], high[run_of[a:b]], than[run_of[a:b]])
         return _packed(out, _SIDE)
 
@@ -426,9 +490,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     found = digests.join(first.hint("merge"), "digest").filter("_id > first").select(F.col("chunk").alias("c_chunk"), F.col("_id").alias("c_id"), F.col("_row").alias("c_row")).distinct()
     copies = materialise(found.groupBy("c_chunk").applyInArrow(_pack_copies, _SIDE_DDL), "copies")
     beside = lambda side, run, ddl: texts.groupBy("chunk").cogroup(side.groupBy("s_chunk")).applyInArrow(run, ddl)
-    anchors = beside(copies, _anchors(buckets), "bucket int, chunk int, hashes binary, least binary, most binary")
+    anchors = beside(copies, _anchors(buckets), "bucket int, chunk int, hashes binary, least binary, several binary")
     wanted = materialise(anchors.groupBy("bucket").applyInArrow(_repeated, _SIDE_DDL), "anchors")
     entries = materialise(beside(copies.union(wanted), _contexts(buckets), _ENTRY_DDL), "contexts")
-    results = materialise(entries.filter("bucket >= 0").select("bucket", "chunk", "entry", "hash", "context", "least", "most").groupBy("bucket").applyInArrow(_resolve(), _SIDE_DDL), "found")
+    # By their bytes the planner makes fewer tasks than there are cores; the sorting costs far more than they tell.
+    results = materialise(entries.filter("bucket >= 0").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_resolve(), _SIDE_DDL), "found")
     places = entries.filter("bucket = -1").select(F.col("chunk").alias("s_chunk"), F.lit(PLACES).alias("kind"), "a", "b", "c", "d")
     return beside(copies.union(places).union(results), _remove, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
