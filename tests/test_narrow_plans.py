@@ -89,3 +89,9 @@ def test_records_are_made_in_more_tasks_than_cores(spark):
     found = generate.with_references(spark.createDataFrame(rows, "sample_id long, dataset string, category string, image string, label string"))
     assert found.filter("reference <> image").count() == 9
     assert "RepartitionByExpression [sample_id#" in plan(found) and generate._tasks(found) >= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_references_carry_no_list_of_buckets(spark):
+    rows = [(i, f"d{i % 2}", "c", f"/{i}", "normal" if i % 3 else "anomalous") for i in range(30)]
+    plan = generate.with_references(spark.createDataFrame(rows, "sample_id long, dataset string, category string, image string, label string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_buckets" in plan and not any("sample_id" in line and "_buckets" in line for line in plan.splitlines())
