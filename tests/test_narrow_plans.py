@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loamstack.functions import constants, geometry
@@ -95,3 +96,34 @@ def test_references_carry_no_list_of_buckets(spark):
     rows = [(i, f"d{i % 2}", "c", f"/{i}", "normal" if i % 3 else "anomalous") for i in range(30)]
     plan = generate.with_references(spark.createDataFrame(rows, "sample_id long, dataset string, category string, image string, label string"))._jdf.queryExecution().optimizedPlan().toString()
     assert "_buckets" in plan and not any("sample_id" in line and "_buckets" in line for line in plan.splitlines())
+
+
+@needs_tables
+def test_defects_are_described_before_they_are_put_together(spark):
+    from loamstack.plans.generation_queries import image_samples, pictures
+
+    folder = "/root/testdata/sf0.001"
+    made = image_samples(spark, folder)
+    assert "lambdafunction" not in plan(made)
+    # As made from raw defects, and as made for defects that lack their words.
+    columns = [f"defects.{c}" for c in made.schema["defects"].dataType.elementType.names]
+    show = lambda df: sorted(map(repr, df.select("sample_id", "label", *[F.col(c).alias(c) for c in columns]).collect()))
+    assert show(made) == show(generate.samples(pictures(spark, folder), 640, 480))
+    bare = made.withColumn("defects", F.transform("defects", lambda d: d.dropFields("json", "place")))
+    assert show(made) == show(generate._with_words(bare))
+
+
+@needs_tables
+def test_late_tasks_are_asked_only_where_they_can_be_chosen(spark):
+    from loamstack.functions import draws
+    from loamstack.plans.generation_queries import image_samples
+
+    made = image_samples(spark, "/root/testdata/sf0.001")
+    few, every = (generate.records(made, most=n, references=False).select("sample_id", "task", "answer", "options") for n in (4, 20))
+    place = draws.key(0, F.col("sample_id"), F.concat(F.lit("order"), F.col("task")))
+    ranked = every.filter("task <> 'uncertainty'").withColumn("n", F.row_number().over(W.partitionBy("sample_id").orderBy(place))).filter("n <= 4").drop("n")
+    assert sorted(map(repr, few.filter("task <> 'uncertainty'").collect())) == sorted(map(repr, ranked.collect()))
+    assert "_last" in plan(generate.records(made, references=False))
+    shares = (0.0, 0.25, 0.45, 0.8, 1.0, 1.5)
+    told = spark.range(3000).select(*[(draws.below(s, 0, F.col("id")) == (draws.uniform(0, F.col("id")) < s)).alias(f"s{i}") for i, s in enumerate(shares)])
+    assert told.distinct().collect() == [(True,) * len(shares)]
